@@ -1,0 +1,7 @@
+"""Streaming: nothing here by design.
+
+The reference is a batch pipeline over finite files and tables; it has no stream
+source, watermark, event-time window or stateful operator.  Every operator in this
+package is a batch DataFrame plan, so it can also be applied per micro-batch from
+``writeStream.foreachBatch`` if a caller wants incremental runs.
+"""
