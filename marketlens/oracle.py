@@ -355,12 +355,102 @@ ORDER BY customer_unique_id
 """)
 
 
-def _with_body(body: str) -> str:
-    """Allow statements that begin with their own extra CTEs (leading comma)."""
-    return body
+from marketlens.sources.schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS  # noqa: E402
 
+STANDIN_TABLES = {
+    "geolocation": "st_geolocation", "customers": "st_customers", "orders": "st_orders",
+    "sellers": "st_sellers", "prodcategory": "st_prodcategory", "products": "st_products",
+    "order_items": "st_order_items", "order_payments": "st_order_payments",
+    "order_reviews": "st_order_reviews",
+}
+# Text columns of the stand-ins (ids are integers there, so no length rule applies).
+STANDIN_TEXT_COLUMNS = {
+    "geolocation": ("geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"),
+    "customers": ("customer_zip_code_prefix", "customer_city", "customer_state"),
+    "orders": ("order_status",),
+    "sellers": ("seller_zip_code_prefix", "seller_city", "seller_state"),
+    "prodcategory": ("product_category_name", "product_category_name_english"),
+    "products": ("product_category_name",),
+    "order_payments": ("payment_type",),
+    "order_reviews": ("review_comment_message",),
+}
+
+
+def _pk_sql() -> str:
+    parts = []
+    for t, keys in PRIMARY_KEYS.items():
+        k = ", ".join(keys)
+        null = " OR ".join(f"{c} IS NULL" for c in keys)
+        parts.append(f"""SELECT '{t}' AS table_name,
+       COUNT(*) FILTER (WHERE n > 1 AND NOT null_key) AS n_duplicate_keys,
+       CAST(COALESCE(SUM(n) FILTER (WHERE n > 1 AND NOT null_key), 0) AS BIGINT) AS n_duplicate_rows,
+       CAST(COALESCE(SUM(n) FILTER (WHERE null_key), 0) AS BIGINT) AS n_null_key_rows
+FROM (SELECT {k}, COUNT(*) AS n, bool_or({null}) AS null_key FROM {STANDIN_TABLES[t]} GROUP BY {k})""")
+    return with_standins("\nUNION ALL\n".join(parts))
+
+
+def _fk_sql() -> str:
+    parts = []
+    for child, col, parent, pcol in FOREIGN_KEYS:
+        parts.append(f"""SELECT '{child}' AS child_table, '{col}' AS child_column, '{parent}' AS parent_table,
+       CAST(COUNT(*) AS BIGINT) AS n_orphan_rows, COUNT(DISTINCT c.{col}) AS n_orphan_keys
+FROM {STANDIN_TABLES[child]} c
+WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {STANDIN_TABLES[parent]} p WHERE p.{pcol} = c.{col})""")
+    return with_standins("\nUNION ALL\n".join(parts))
+
+
+def _length_sql() -> str:
+    parts = []
+    for t, cols in STANDIN_TEXT_COLUMNS.items():
+        for c in cols:
+            n = MAX_LENGTHS[t][c]
+            parts.append(f"""SELECT '{t}' AS table_name, '{c}' AS column_name, {n} AS max_length,
+       COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_violations,
+       CAST(MAX(length({c})) AS INTEGER) AS longest
+FROM {STANDIN_TABLES[t]}""")
+    return with_standins("\nUNION ALL\n".join(parts))
+
+
+GEOLOCATION_DEDUP_FIRST = with_standins("SELECT * FROM st_geo_first")
+ORPHAN_SELLER_ZIPS = with_standins(
+    "SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state FROM st_geo_seller_add")
+ORPHAN_CUSTOMER_ZIPS = with_standins(
+    "SELECT geolocation_zip_code_prefix, geolocation_city, geolocation_state FROM st_geo_customer_add")
+ORPHAN_CATEGORIES = with_standins("SELECT product_category_name FROM st_category_add")
+GEOLOCATION_REPAIRED = with_standins("SELECT * FROM st_geolocation")
+CATEGORY_REPAIRED = with_standins("SELECT * FROM st_prodcategory")
+
+MONTH_SPINE = with_standins(""",
+Cohort_Base AS (
+  SELECT B.customer_unique_id, CAST(date_trunc('month', MIN(A.order_purchase_timestamp)) AS DATE) AS purchase_month
+  FROM st_orders A JOIN st_customers B ON A.customer_id = B.customer_id
+  GROUP BY B.customer_unique_id)
+SELECT CAST(unnest(generate_series((SELECT MIN(purchase_month) FROM Cohort_Base),
+                                   (SELECT MAX(purchase_month) FROM Cohort_Base),
+                                   INTERVAL '1 month')) AS DATE) AS calendar_month
+""")
+
+STAGE_DURATIONS = with_standins("""
+SELECT order_id,
+       (epoch_us(order_approved_at) - epoch_us(order_purchase_timestamp)) / 1e6 AS seller_response_seconds,
+       (epoch_us(order_delivered_carrier_date) - epoch_us(order_approved_at)) / 1e6 AS carrier_seconds,
+       (epoch_us(order_delivered_customer_date) - epoch_us(order_delivered_carrier_date)) / 1e6 AS customer_delivery_seconds,
+       CAST(EXTRACT(DAY FROM order_delivered_customer_date - order_estimated_delivery_date) AS INTEGER) AS delivery_delay_days
+FROM st_orders
+""")
 
 ORACLE: dict[str, str] = {
+    "geolocation_dedup_first": GEOLOCATION_DEDUP_FIRST,
+    "orphan_seller_zips": ORPHAN_SELLER_ZIPS,
+    "orphan_customer_zips": ORPHAN_CUSTOMER_ZIPS,
+    "orphan_categories": ORPHAN_CATEGORIES,
+    "geolocation_repaired": GEOLOCATION_REPAIRED,
+    "category_repaired": CATEGORY_REPAIRED,
+    "pk_violations": _pk_sql(),
+    "fk_violations": _fk_sql(),
+    "length_violations": _length_sql(),
+    "month_spine": MONTH_SPINE,
+    "stage_durations": STAGE_DURATIONS,
     "best_sellers": BEST_SELLERS,
     "reviews": REVIEWS,
     "customers_distribution": CUSTOMERS_DISTRIBUTION,

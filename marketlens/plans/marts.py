@@ -22,6 +22,7 @@ from marketlens.functions.exact import (
 )
 from marketlens.functions.timecols import micros_between, month_floor, whole_days
 from marketlens.operators.expand import repeat_squared
+from marketlens.operators.spine import month_spine
 from marketlens.sources.marketplace import Marketplace
 
 
@@ -335,27 +336,40 @@ def rmf_per_client(m: Marketplace, snapshot="2018-01-01", control="2018-07-01")
 
 
 # --------------------------------------------------------------------------- K12
+def person_months(m: Marketplace) -> DataFrame:
+    """Per person: first purchase month (``cohort``) and the set of months with a
+    purchase.  A person's distinct months are bounded by the calendar span and
+    ``collect_set`` is merged map-side, so a person with a third of all orders costs
+    one small set per task."""
+    return (m.orders.select("customer_id", month_floor(PURCHASE()).alias("month"))
+            .join(m.customers.select("customer_id", "customer_unique_id"), "customer_id")
+            .groupBy("customer_unique_id")
+            .agg(F.min("month").alias("cohort"), F.collect_set("month").alias("months"))
+            .filter(F.col("cohort").isNotNull()))
+
+
+def cohort_spine(m: Marketplace) -> DataFrame:
+    """Every month from the first to the last cohort month."""
+    return month_spine(person_months(m), "cohort", "calendar_month")
+
+
 def cohort(m: Marketplace, horizon: int = 12) -> DataFrame:
     """Monthly cohorts: new people per first-purchase month and how many of them
-    buy again exactly k months later (k = 1..horizon), on a gap-free month spine."""
-    person_months = (m.orders.select("customer_id", month_floor(PURCHASE()).alias("month"))
-                     .join(m.customers.select("customer_id", "customer_unique_id"), "customer_id")
-                     # A person's distinct months are bounded by the calendar span,
-                     # and collect_set is merged map-side, so a hot person is cheap.
-                     .groupBy("customer_unique_id")
-                     .agg(F.min("month").alias("cohort"), F.collect_set("month").alias("months"))
-                     .filter(F.col("cohort").isNotNull()))
+    buy again exactly k months later (k = 1..horizon), on a gap-free month spine.
+
+    Equal to the reference's COUNT(DISTINCT ...) FILTER form: activity is distinct per
+    (person, month) and each person has one cohort, so plain counts per offset are
+    distinct counts.
+    """
+    pm = person_months(m)
     offsets = F.filter(
         F.transform("months", lambda x: F.months_between(x, F.col("cohort")).cast("int")),
         lambda k: k <= horizon)
-    activity = person_months.select("cohort", F.explode(offsets).alias("k"))
     k = F.col("k")
-    counts = activity.groupBy("cohort").agg(
+    counts = pm.select("cohort", F.explode(offsets).alias("k")).groupBy("cohort").agg(
         F.count_if(k == 0).alias("new_clients"),
         *[F.count_if(k == i).alias(f"still_active_{i}m") for i in range(1, horizon + 1)])
-    spine = (person_months.agg(F.min("cohort").alias("lo"), F.max("cohort").alias("hi"))
-             .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH")))
-                     .alias("purchase_month")))
+    spine = month_spine(pm, "cohort", "purchase_month")
     value_cols = ["new_clients"] + [f"still_active_{i}m" for i in range(1, horizon + 1)]
     # Both sides hold one row per calendar month: broadcasting is size-safe.
     joined = spine.join(F.broadcast(counts), spine.purchase_month == counts.cohort, "left")
@@ -364,6 +378,17 @@ def cohort(m: Marketplace, horizon: int = 12) -> DataFrame:
             .orderBy(F.asc_nulls_last("purchase_month")))
 
 
+def stage_durations(m: Marketplace) -> DataFrame:
+    """F8/I5 per order: seconds between purchase, approval, hand-over to the carrier and
+    delivery, and whole days delivered - estimated.  NULL where a date is missing."""
+    return m.orders.select(
+        "order_id",
+        (micros_between(PURCHASE(), APPROVED()) / F.lit(1e6)).alias("seller_response_seconds"),
+        (micros_between(APPROVED(), CARRIER()) / F.lit(1e6)).alias("carrier_seconds"),
+        (micros_between(CARRIER(), DELIVERED()) / F.lit(1e6)).alias("customer_delivery_seconds"),
+        whole_days(DELIVERED(), ESTIMATED()).alias("delivery_delay_days"))
+
+
 # --------------------------------------------------------------------------- K13
 FIRST_ITEM_ORDER = ("order_item_id", "product_id", "seller_id", "price", "freight_value")
 FIRST_REVIEW_ORDER = ("review_id", "review_score")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlens import plans
+from marketlens.operators import quality, repair
 from marketlens.sources.standins import load_standins
 
 # Parameters for the customer-value query on the stand-in data (its orders span
@@ -45,8 +47,56 @@ def mart_queries() -> dict[str, Query]:
     }
 
 
+def _with_pos(df, col):
+    return df.withColumn("input_pos", F.col(col))
+
+
+def _repair(kind: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = load_standins(spark, sf_dir)
+        sellers = _with_pos(m.sellers, "seller_id")
+        customers = _with_pos(m.customers, "customer_id")
+        if kind == "geolocation_dedup_first":
+            return repair.geolocation_first(m.geolocation_raw)
+        if kind == "orphan_seller_zips":
+            return repair.seller_zip_orphans(m.geolocation_raw, sellers).drop("input_pos")
+        if kind == "orphan_customer_zips":
+            return repair.customer_zip_orphans(m.geolocation_raw, sellers, customers).drop("input_pos")
+        if kind == "orphan_categories":
+            return repair.category_orphans(m.prodcategory_raw, m.products)
+        if kind == "geolocation_repaired":
+            return m.geolocation
+        if kind == "category_repaired":
+            return m.prodcategory
+        raise KeyError(kind)
+    run.__name__ = kind
+    return run
+
+
+def _quality(rule) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rule(load_standins(spark, sf_dir).tables())
+    run.__name__ = rule.__name__
+    return run
+
+
+def relational_queries() -> dict[str, Query]:
+    out = {name: _repair(name) for name in (
+        "geolocation_dedup_first", "orphan_seller_zips", "orphan_customer_zips",
+        "orphan_categories", "geolocation_repaired", "category_repaired")}
+    out.update({
+        "pk_violations": _quality(quality.pk_violations),
+        "fk_violations": _quality(quality.fk_violations),
+        "length_violations": _quality(quality.length_violations),
+        "month_spine": _mart(plans.cohort_spine),
+        "stage_durations": _mart(plans.stage_durations),
+    })
+    return out
+
+
 def queries() -> dict[str, Query]:
     out = dict(mart_queries())
+    out.update(relational_queries())
     return out
 
 
