@@ -466,3 +466,97 @@ ORACLE: dict[str, str] = {
     "cohort": COHORT,
     "first_order_analysis": FIRST_ORDER_ANALYSIS,
 }
+
+
+# ---------------------------------------------------------------- text pipeline
+def _text_ctes() -> str:
+    from marketlens.functions.text import HTML_TAG, NOT_KEPT, WHITESPACE_RUN, default_stopwords
+
+    words = ", ".join("'" + w.replace("'", "''") + "'" for w in default_stopwords("portuguese"))
+    return f""",
+corpus AS (
+  SELECT review_id AS doc_id, review_comment_message AS text,
+         CASE WHEN review_score >= 3 THEN 1 ELSE 0 END AS label
+  FROM st_order_reviews WHERE review_comment_message IS NOT NULL),
+cleaned AS (
+  SELECT doc_id, label,
+         list_filter(list_filter(
+             string_split_regex(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{HTML_TAG}', '', 'g'),
+                                               '{NOT_KEPT}', '', 'g'), '{WHITESPACE_RUN}'),
+             lambda x: x <> ''), lambda x: NOT list_contains([{words}], x)) AS tokens
+  FROM corpus),
+split AS (
+  SELECT doc_id,
+         CASE WHEN CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 100 < 20
+              THEN 'test' ELSE 'train' END AS split,
+         CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) AS h
+  FROM corpus),
+doc_terms AS (
+  SELECT c.doc_id, c.label, s.split, list_filter(c.tokens, lambda x: length(x) >= 2) AS terms
+  FROM cleaned c JOIN split s USING (doc_id)),
+tf AS (
+  SELECT doc_id, split, term, COUNT(*) AS tf
+  FROM (SELECT doc_id, split, unnest(terms) AS term FROM doc_terms) GROUP BY ALL),
+top_terms AS (
+  SELECT term, SUM(tf) AS total_count, COUNT(*) AS doc_freq
+  FROM tf WHERE split = 'train' GROUP BY term
+  ORDER BY total_count DESC, term ASC LIMIT 5000),
+vocab AS (
+  SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index,
+         CAST(total_count AS BIGINT) AS total_count, doc_freq,
+         ln((1.0 + CAST(n AS DOUBLE)) / (1.0 + CAST(doc_freq AS DOUBLE))) + 1.0 AS idf
+  FROM top_terms, (SELECT COUNT(*) AS n FROM doc_terms WHERE split = 'train') AS train_size),
+token_pos AS (
+  SELECT c.doc_id, u.t, u.pos
+  FROM cleaned c, LATERAL (SELECT unnest(c.tokens) AS t, generate_subscripts(c.tokens, 1) AS pos) u)
+"""
+
+
+def _text(body: str) -> str:
+    return with_standins(_text_ctes() + body)
+
+
+_ZEROS = "[" + ", ".join(["0"] * 50) + "]"
+
+TEXT_ORACLE = {
+    "review_clean_text": "SELECT doc_id, label, array_to_string(tokens, ' ') AS clean_text FROM cleaned",
+    "lemma_substitution": """,
+all_tokens AS (SELECT DISTINCT t FROM token_pos),
+lemmas AS (
+  SELECT t AS token, substr(t, 1, length(t) - 1) AS lemma FROM all_tokens
+  WHERE t LIKE '%s' AND length(t) > 2
+    AND substr(t, 1, length(t) - 1) IN (SELECT t FROM all_tokens)),
+rebuilt AS (
+  SELECT p.doc_id, string_agg(coalesce(l.lemma, p.t), ' ' ORDER BY p.pos) AS txt
+  FROM token_pos p LEFT JOIN lemmas l ON l.token = p.t GROUP BY p.doc_id)
+SELECT c.doc_id, coalesce(r.txt, '') AS lemmatized_text
+FROM cleaned c LEFT JOIN rebuilt r USING (doc_id)""",
+    "split_train_test": "SELECT doc_id, split FROM split",
+    "vocabulary_top_n": "SELECT term, term_index, total_count, doc_freq FROM vocab",
+    "tfidf_fit": "SELECT term, term_index, doc_freq, round(idf, 6) AS idf FROM vocab",
+    "tfidf_transform": """,
+w AS (SELECT tf.doc_id, tf.term, v.term_index, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term))
+SELECT doc_id, term, term_index, round(w / sqrt(SUM(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
+    "class_weights": """
+SELECT label, COUNT(*) AS n,
+       CAST((SELECT COUNT(*) FROM doc_terms WHERE split = 'train') AS DOUBLE)
+         / ((SELECT COUNT(DISTINCT label) FROM doc_terms WHERE split = 'train') * COUNT(*)) AS weight
+FROM doc_terms WHERE split = 'train' GROUP BY label""",
+    "encode_fixed_length": f""",
+ids AS (
+  SELECT p.doc_id, list(coalesce(v.term_index + 2, 1) ORDER BY p.pos) AS ids
+  FROM token_pos p LEFT JOIN vocab v ON v.term = p.t GROUP BY p.doc_id)
+SELECT c.doc_id, CAST(len(c.tokens) AS INTEGER) AS n_tokens,
+       array_to_string(list_concat(coalesce(i.ids, []), {_ZEROS})[1:50], ',') AS input_ids
+FROM cleaned c LEFT JOIN ids i USING (doc_id)""",
+    "attention_mask": """
+SELECT doc_id, array_to_string(list_transform(range(1, 51), lambda i: CASE WHEN i <= len(tokens) THEN 1 ELSE 0 END), ',') AS attention_mask
+FROM cleaned""",
+    "shuffle_batches": """
+SELECT doc_id, row_number() OVER (ORDER BY h, doc_id) - 1 AS position,
+       (row_number() OVER (ORDER BY h, doc_id) - 1) // 32 AS batch_id
+FROM split WHERE split = 'train'""",
+}
+
+for _name, _body in TEXT_ORACLE.items():
+    ORACLE[_name] = _text(_body if _body.startswith(",") else "\n" + _body)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens import plans
+from marketlens.plans import text_pipeline
 from marketlens.operators import quality, repair
 from marketlens.sources.standins import load_standins
 
@@ -94,9 +95,17 @@ def relational_queries() -> dict[str, Query]:
     return out
 
 
+def text_queries() -> dict[str, Query]:
+    names = ("review_clean_text", "lemma_substitution", "split_train_test", "vocabulary_top_n",
+             "tfidf_fit", "tfidf_transform", "class_weights", "encode_fixed_length",
+             "attention_mask", "shuffle_batches", "logreg_scores", "logreg_metrics")
+    return {n: _mart(getattr(text_pipeline, n)) for n in names}
+
+
 def queries() -> dict[str, Query]:
     out = dict(mart_queries())
     out.update(relational_queries())
+    out.update(text_queries())
     return out
 
 
