@@ -28,9 +28,25 @@ def train_test_split(df: DataFrame, id_col: str, test_percent: int = 20, seed: i
     return df.withColumn(split_col, F.when(bucket < test_percent, "test").otherwise("train"))
 
 
+def explode_words(df: DataFrame, id_col: str, array_col: str, word_col: str = "term",
+                  pos_col: str | None = None) -> DataFrame:
+    """One row per array element (with its position if ``pos_col``).
+
+    Written as an outer explode plus a NULL filter: for a plain explode Catalyst
+    infers ``size(array) > 0`` and pushes that predicate below the preceding
+    exchange, which evaluates the whole text-cleaning expression twice, the first
+    time before the work is spread out.
+    """
+    if pos_col:
+        out = df.select(id_col, F.posexplode_outer(array_col).alias(pos_col, word_col))
+    else:
+        out = df.select(id_col, F.explode_outer(array_col).alias(word_col))
+    return out.filter(F.col(word_col).isNotNull())
+
+
 def document_terms(df: DataFrame, id_col: str, terms_col: str) -> DataFrame:
     """(doc, term, tf): raw term counts per document."""
-    return (df.select(id_col, F.explode(terms_col).alias("term"))
+    return (explode_words(df, id_col, terms_col)
             .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import join_tokens, normalise_text, tokens
+from marketlens.operators.features import explode_words
 
 PAD_ID = 0
 UNKNOWN_ID = 1
@@ -40,7 +41,7 @@ def substitute_lemmas(df: DataFrame, id_col: str, tokens_col: str, lemmas: DataF
     """Replace each token by its dictionary form from a ``(token, lemma)`` table,
     keeping tokens without an entry.  The table may be of any size: tokens are
     exploded with their position, joined, and re-assembled per document in order."""
-    exploded = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "token"))
+    exploded = explode_words(df, id_col, tokens_col, "token", "_pos")
     mapped = (exploded.join(lemmas.select("token", "lemma"), "token", "left")
               .select(id_col, "_pos", F.coalesce("lemma", "token").alias("_t")))
     regrouped = mapped.groupBy(id_col).agg(
@@ -73,7 +74,7 @@ def encode_fixed_length(df: DataFrame, id_col: str, tokens_col: str, vocab: Data
     document's ids are re-assembled in order; the list is built map-side, so one row
     per document is shuffled.
     """
-    ids = (df.select(id_col, F.posexplode(tokens_col).alias("_pos", "_term"))
+    ids = (explode_words(df, id_col, tokens_col, "_term", "_pos")
            .join(F.broadcast(vocab.select(F.col(term_col).alias("_term"),
                                           (F.col(index_col) + FIRST_TERM_ID).cast("int").alias("_id"))),
                  "_term", "left")

@@ -29,8 +29,15 @@ def review_corpus(m: Marketplace) -> DataFrame:
 
 
 def cleaned_corpus(m: Marketplace) -> DataFrame:
-    """Corpus + clean_text, tokens (stop words removed), terms (>= 2 chars), split."""
-    cleaned = text.clean_reviews(review_corpus(m), "text", "clean_text", "tokens")
+    """Corpus + clean_text, tokens (stop words removed), terms (>= 2 chars), split.
+
+    The corpus is hash-partitioned by doc_id first: cleaning is CPU-heavy per row
+    and runs in parallel whatever the input file layout, and every later per-document
+    step (term counts, norms, re-assembly) reuses this partitioning without another
+    shuffle.
+    """
+    corpus = review_corpus(m).repartition("doc_id")
+    cleaned = text.clean_reviews(corpus, "text", "clean_text", "tokens")
     with_terms = cleaned.withColumn("terms", terms(F.col("tokens")))
     return features.train_test_split(with_terms, "doc_id", TEST_PERCENT, SEED)
 
@@ -48,7 +55,7 @@ def lemma_substitution(m: Marketplace) -> DataFrame:
     where the singular occurs); any (token, lemma) table can be passed to
     ``text.substitute_lemmas``."""
     c = cleaned_corpus(m)
-    vocab = c.select(F.explode("tokens").alias("term"))
+    vocab = features.explode_words(c, "doc_id", "tokens", "term")
     lemmas = text.plural_lemmas(vocab)
     out = text.substitute_lemmas(c.select("doc_id", "tokens"), "doc_id", "tokens", lemmas)
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized_text"))
