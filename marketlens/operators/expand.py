@@ -15,6 +15,7 @@ def repeat_squared(df: DataFrame, n_col: str, spread_keys: list[str] | None = No
     to one task.
     """
     n = F.col(n_col)
+    df = df.filter(n >= 1)  # sequence(1, 0) would count downwards
     first = df.withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int"))))
     if spread_keys:
         first = first.repartition(*[F.col(k) for k in spread_keys], F.col("_i"))
