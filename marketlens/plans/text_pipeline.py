@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import terms
 from marketlens.operators import features, model, text
+from marketlens.session import cut_lineage
 from marketlens.sources.marketplace import Marketplace
 
 MAX_FEATURES = 5000   # vocabulary size of the TF-IDF features (reference setting)
@@ -115,8 +116,12 @@ def shuffle_batches(m: Marketplace) -> DataFrame:
 
 
 def logreg_scores(m: Marketplace) -> DataFrame:
-    """J9 + J10: fit on the training split, score every review."""
-    c = cleaned_corpus(m)
+    """J9 + J10: fit on the training split, score every review.
+
+    The cleaned terms are materialised once in the checkpoint folder: the vocabulary
+    fit, the iterative classifier fit and the scoring all read them.
+    """
+    c = cut_lineage(cleaned_corpus(m).select("doc_id", "label", "split", "terms"))
     fitted = model.fit_sentiment_model(c.filter(F.col("split") == "train"), "doc_id", "terms",
                                        "label", MAX_FEATURES)
     return model.score(fitted, c).select("doc_id", "split", "label", "logit",

@@ -48,12 +48,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's own setting is always kept.  Only where it is unset (local tests)
     a fresh scratch folder is created and registered.
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
+    current = sc.getCheckpointDir()
     if current:
         return current
     scratch = tempfile.mkdtemp(prefix="marketlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and return a DataFrame that
+    reads it back (reliable checkpoint: survives the loss of any executor, unlike a
+    local checkpoint or a cache).  For intermediates that several jobs reuse."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
