@@ -102,10 +102,41 @@ def text_queries() -> dict[str, Query]:
     return {n: _mart(getattr(text_pipeline, n)) for n in names}
 
 
+# The three results the reference ships to its dashboard (fixed values).
+PUBLISHED_RESULTS = ("cohort", "delays_by_state", "sales_by_category_month")
+
+
+def _batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the published queries as one batch into a fresh folder under the
+    shared checkpoint folder; the report lists (name, status, rows, ...)."""
+    from marketlens.runner import run_batch, run_folder
+
+    qs = mart_queries()
+    out = run_folder(spark, "batch")
+    return run_batch(spark, {n: (lambda n=n: qs[n](spark, sf_dir)) for n in PUBLISHED_RESULTS},
+                     out, "csv").select("name", "status", "rows", "format")
+
+
+def _publish_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch run, then publish every result but a deny-listed one."""
+    from marketlens.runner import publish_results, run_batch, run_folder
+
+    qs = mart_queries()
+    report = run_batch(spark, {n: (lambda n=n: qs[n](spark, sf_dir)) for n in PUBLISHED_RESULTS},
+                       run_folder(spark, "batch"), "csv")
+    return publish_results(spark, report, run_folder(spark, "serving"),
+                           exclude=("sales_by_category_month",)).select("name", "status")
+
+
+def runner_queries() -> dict[str, Query]:
+    return {"batch_report": _batch_report, "publish_results": _publish_results}
+
+
 def queries() -> dict[str, Query]:
     out = dict(mart_queries())
     out.update(relational_queries())
     out.update(text_queries())
+    out.update(runner_queries())
     return out
 
 

@@ -103,6 +103,31 @@ def publish_results(spark: SparkSession, report: DataFrame, target_dir: str,
     return spark.createDataFrame(done, "name string, status string, path string")
 
 
+def publish_models(models: Mapping[str, str], target_dir: str,
+                   exclude: Iterable[str] = ("bert",)) -> list[tuple[str, str]]:
+    """B7 for fitted pipelines: load each saved model and save it under
+    ``target_dir/name`` unless its name is deny-listed."""
+    from pyspark.ml import PipelineModel
+
+    out = []
+    for name, path in models.items():
+        if name in set(exclude):
+            out.append((name, "skipped"))
+            continue
+        PipelineModel.load(path).write().overwrite().save(f"{target_dir.rstrip('/')}/{name}")
+        out.append((name, "published"))
+    return out
+
+
+def run_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder for a run's outputs inside the shared checkpoint folder."""
+    import uuid
+
+    from marketlens.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marketlens-{label}-{uuid.uuid4().hex[:12]}"
+
+
 def main(argv=None) -> None:
     from marketlens import registry
     from marketlens.session import local_session
