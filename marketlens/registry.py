@@ -54,7 +54,7 @@ def _with_pos(df, col):
 
 def _repair(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m = load_standins(spark, sf_dir)
+        m = load_standins(spark, sf_dir, materialize_load=False)  # the repair itself
         sellers = _with_pos(m.sellers, "seller_id")
         customers = _with_pos(m.customers, "customer_id")
         if kind == "geolocation_dedup_first":
