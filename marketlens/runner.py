@@ -1,8 +1,8 @@
 """Batch runs (B1-B5, B7): named queries with per-query fault isolation, gated table
 loads, and publishing results to a serving location.
 
-Row counts come from ``DataFrame.observe`` on the written plan, so every query runs
-exactly once; nothing is collected to the driver but the one-row report entries.
+Every query runs exactly once; its row count is read back from the written result.
+Nothing is collected to the driver but the one-row report entries.
 
 usage: python -m marketlens.runner --sf-dir DIR --out DIR [--format csv] [name ...]
 """
@@ -14,7 +14,7 @@ import time
 import traceback
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,16 +29,21 @@ REPORT_SCHEMA = T.StructType([
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """B2: replace the result at ``path``; returns its row count (observed in the
-    same job).  CSV results get a header.  Files are written in parallel, one per
-    task: a sorted result stays sorted across the part files in name order."""
-    obs = Observation("result")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite").format(fmt)
+    """B2: replace the result at ``path``; returns its row count.  CSV results get a
+    header.  Files are written in parallel, one per task: a sorted result stays sorted
+    across the part files in name order.
+
+    The query runs once; the count scans the written files.  (``DataFrame.observe``
+    would count in the same job, but in Spark 4.1 a session that used an Observation
+    later fails to serialise ML training closures, so it is avoided.)
+    """
+    writer = df.write.mode("overwrite").format(fmt)
+    reader = df.sparkSession.read.format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
+        reader = reader.option("header", True)
     writer.save(path)
-    return int(obs.get["rows"])
+    return reader.load(path).count()
 
 
 def run_batch(spark: SparkSession, queries: Mapping[str, Callable[[], DataFrame]], out_dir: str,
