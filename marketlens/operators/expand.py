@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Largest array any generator builds; longer runs are cut into chunks of this size.
+CHUNK = 65536
+
+
+def _numbers(df: DataFrame, n: Column, out: str, spread_keys: list[str] | None) -> DataFrame:
+    """Add ``out`` = 1..n per row, never materialising an array longer than CHUNK:
+    first one row per chunk (ceil(n / CHUNK) of them), optionally hash-spread over
+    the cluster, then the numbers inside each chunk."""
+    chunk = f"{out}_chunk"
+    n_chunks = F.floor((n - 1) / F.lit(CHUNK)).cast("long")
+    chunks = df.withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), n_chunks)))
+    if spread_keys:
+        chunks = chunks.repartition(*[F.col(k) for k in spread_keys], F.col(chunk))
+    lo = F.col(chunk) * F.lit(CHUNK) + 1
+    hi = F.least(lo + F.lit(CHUNK - 1), n.cast("long"))
+    return chunks.withColumn(out, F.explode(F.sequence(lo, hi))).drop(chunk)
+
 
 def repeat_squared(df: DataFrame, n_col: str, spread_keys: list[str] | None = None) -> DataFrame:
-    """Emit every row ``n * n`` times, where n = ``df[n_col]``.
+    """Emit every row ``n * n`` times, where n = ``df[n_col]`` (rows with n < 1 emit
+    nothing).
 
-    Two generators of size n each, never one array of n^2 elements; with
-    ``spread_keys`` the n first-level copies are hash-spread over the cluster before
-    the second level, so a pair with a very large n does not pin its n^2 output rows
-    to one task.
+    The n^2 copies are generated as n x n: two levels of numbers 1..n, each built in
+    chunks of at most CHUNK elements, so no row ever holds a large array.  With
+    ``spread_keys`` the first level is hash-spread before the second, so the n^2
+    output rows of a very large group are produced by many tasks, not one.
     """
     n = F.col(n_col)
-    df = df.filter(n >= 1)  # sequence(1, 0) would count downwards
-    first = df.withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int"))))
-    if spread_keys:
-        first = first.repartition(*[F.col(k) for k in spread_keys], F.col("_i"))
-    second = first.withColumn("_j", F.explode(F.sequence(F.lit(1), n.cast("int"))))
+    base = df.filter(n >= 1)
+    first = _numbers(base, n, "_i", spread_keys)
+    second = _numbers(first, n, "_j", None)
     return second.drop("_i", "_j")

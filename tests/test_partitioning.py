@@ -30,3 +30,13 @@ def test_repeat_squared_emits_n_squared_rows(spark):
     df = spark.createDataFrame([(1, 1), (2, 3), (3, 0)], "k long, n long")
     out = repeat_squared(df, "n", spread_keys=["k"])
     assert sorted(r["k"] for r in out.collect()) == [1] + [2] * 9
+
+
+def test_repeat_squared_chunks_large_counts(spark, monkeypatch):
+    import marketlens.operators.expand as expand
+
+    monkeypatch.setattr(expand, "CHUNK", 4)
+    df = spark.createDataFrame([(1, 10), (2, 3)], "k long, n long")
+    out = expand.repeat_squared(df, "n", spread_keys=["k"])
+    counts = {r["k"]: r["c"] for r in out.groupBy("k").count().withColumnRenamed("count", "c").collect()}
+    assert counts == {1: 100, 2: 9}

@@ -183,3 +183,22 @@ def test_golden_headers(spark):
     assert q["sales_by_category_month"](spark, "/root/testdata/sf0.001").columns == (
         ["category"] + [f"sold_in_{m}" for m in ("jan", "feb", "mar", "apr", "may", "jun", "jul",
                                                  "aug", "sep", "oct", "nov", "dec")] + ["total_sold"])
+
+
+def test_hot_order_skew_is_exact(make_market):
+    """One order holds most items: the pre-aggregated plans give the fan-out counts."""
+    items = [_item(1, i, 7) for i in range(300)] + [_item(1, 300 + i, 8) for i in range(200)]
+    items += [_item(2, 1, 8)]
+    m = make_market(
+        sellers=[(7, "z1", "c", "s"), (8, "z1", "c", "s")],
+        geolocation=[("z1", 1.0, 2.0, "c", "s")],
+        orders=[_order(1, 1, "2000-01-01", "2000-01-15 06:00", "2000-01-10"),
+                _order(2, 2, "2000-01-01", "2000-01-09", "2000-01-10")],
+        order_items=items,
+        order_reviews=[(1, 1, 5, None, None), (2, 1, 1, None, None), (3, 1, 4, None, None),
+                       (4, 2, 2, None, None)])
+    out = {r["seller_id"]: r for r in plans.best_sellers(m, drop_incomplete=False).collect()}
+    assert out[7]["n_orders"] == 900 and out[8]["n_orders"] == 601
+    assert out[7]["perc_delays"] == 90000.0 and out[8]["perc_delays"] == 30000.0
+    assert out[7]["average_delay_days"] == 5.0
+    assert abs(out[8]["average_score"] - (200 * 10 + 2) / 601) < 1e-12
