@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import join_tokens, normalise_text, tokens
-from marketlens.operators.features import explode_words
 
 PAD_ID = 0
 UNKNOWN_ID = 1
@@ -36,19 +35,27 @@ def clean_reviews(df: DataFrame, text_col: str, output_col: str = "clean_text",
     return out if tokens_col else out.drop(keep)
 
 
+def _positions(df: DataFrame, id_col: str, tokens_col: str, token: str) -> DataFrame:
+    """(id, _pos, token) per token, plus one (id, NULL, NULL) row for a document
+    without tokens, so per-document results need no join back to the corpus.
+    (An outer explode also keeps Catalyst from pushing ``size(tokens) > 0`` below
+    the corpus exchange, which would clean every text twice.)"""
+    return df.select(id_col, F.posexplode_outer(tokens_col).alias("_pos", token))
+
+
 def substitute_lemmas(df: DataFrame, id_col: str, tokens_col: str, lemmas: DataFrame,
                       output_col: str = "lemmas") -> DataFrame:
     """Replace each token by its dictionary form from a ``(token, lemma)`` table,
-    keeping tokens without an entry.  The table may be of any size: tokens are
-    exploded with their position, joined, and re-assembled per document in order."""
-    exploded = explode_words(df, id_col, tokens_col, "token", "_pos")
-    mapped = (exploded.join(lemmas.select("token", "lemma"), "token", "left")
-              .select(id_col, "_pos", F.coalesce("lemma", "token").alias("_t")))
-    regrouped = mapped.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "_t"))).alias("_pairs"))
-    rebuilt = regrouped.select(id_col, F.transform("_pairs", lambda p: p["_t"]).alias(output_col))
-    return (df.join(rebuilt, id_col, "left")
-            .withColumn(output_col, F.coalesce(F.col(output_col), F.array().cast("array<string>"))))
+    keeping tokens without an entry; returns (id, lemmas).  The table may be of any
+    size: tokens are exploded with their position, joined (Spark picks broadcast or
+    shuffle by the table's size), and re-assembled per document in order."""
+    mapped = (_positions(df, id_col, tokens_col, "token")
+              .join(lemmas.select("token", "lemma"), "token", "left"))
+    entry = F.when(F.col("_pos").isNotNull(),
+                   F.struct("_pos", F.coalesce("lemma", "token").alias("_t")))
+    return (mapped.groupBy(id_col)
+            .agg(F.array_sort(F.collect_list(entry)).alias("_pairs"))
+            .select(id_col, F.transform("_pairs", lambda p: p["_t"]).alias(output_col)))
 
 
 def plural_lemmas(vocabulary: DataFrame, term_col: str = "term") -> DataFrame:
@@ -74,20 +81,18 @@ def encode_fixed_length(df: DataFrame, id_col: str, tokens_col: str, vocab: Data
     document's ids are re-assembled in order; the list is built map-side, so one row
     per document is shuffled.
     """
-    ids = (explode_words(df, id_col, tokens_col, "_term", "_pos")
-           .join(F.broadcast(vocab.select(F.col(term_col).alias("_term"),
-                                          (F.col(index_col) + FIRST_TERM_ID).cast("int").alias("_id"))),
-                 "_term", "left")
-           .groupBy(id_col)
-           .agg(F.array_sort(F.collect_list(F.struct(
-               "_pos", F.coalesce(F.col("_id"), F.lit(UNKNOWN_ID)).alias("_id")))).alias("_pairs")))
-    n = F.size(tokens_col)
-    base = df.select(id_col, n.alias("n_tokens"))
-    token_ids = F.coalesce(F.transform("_pairs", lambda p: p["_id"]), F.array().cast("array<int>"))
+    vocab_ids = F.broadcast(vocab.select(
+        F.col(term_col).alias("_term"), (F.col(index_col) + FIRST_TERM_ID).cast("int").alias("_id")))
+    entry = F.when(F.col("_pos").isNotNull(),
+                   F.struct("_pos", F.coalesce(F.col("_id"), F.lit(UNKNOWN_ID)).alias("_id")))
+    per_doc = (_positions(df, id_col, tokens_col, "_term").join(vocab_ids, "_term", "left")
+               .groupBy(id_col)
+               .agg(F.array_sort(F.collect_list(entry)).alias("_pairs"),
+                    F.count("_term").cast("int").alias("n_tokens")))
+    token_ids = F.transform("_pairs", lambda p: p["_id"])
     padded = F.slice(F.concat(token_ids, F.array_repeat(F.lit(PAD_ID), max_len)), 1, max_len)
-    return (base.join(ids, id_col, "left")
-            .select(id_col, "n_tokens", padded.alias("input_ids"),
-                    _mask(F.col("n_tokens"), max_len).alias("attention_mask")))
+    return per_doc.select(id_col, "n_tokens", padded.alias("input_ids"),
+                          _mask(F.col("n_tokens"), max_len).alias("attention_mask"))
 
 
 def _mask(n_tokens, max_len: int):

@@ -58,7 +58,7 @@ def lemma_substitution(m: Marketplace) -> DataFrame:
     c = cleaned_corpus(m)
     vocab = features.explode_words(c, "doc_id", "tokens", "term")
     lemmas = text.plural_lemmas(vocab)
-    out = text.substitute_lemmas(c.select("doc_id", "tokens"), "doc_id", "tokens", lemmas)
+    out = text.substitute_lemmas(c, "doc_id", "tokens", lemmas)
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized_text"))
 
 

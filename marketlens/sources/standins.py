@@ -197,6 +197,28 @@ REPAIRED_SCHEMAS = {
 }
 
 
+_RAW: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stand-in tables before repair, planned once per session and folder
+    (lazy plans, no data); sellers and customers carry their input position."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _RAW:
+        _RAW[key] = {
+            "sellers": st_sellers(spark, sf_dir).withColumn("input_pos", F.col("seller_id")),
+            "customers": st_customers(spark, sf_dir).withColumn("input_pos", F.col("customer_id")),
+            "geolocation_raw": st_geolocation_raw(spark, sf_dir),
+            "products": st_products(spark, sf_dir),
+            "prodcategory_raw": st_prodcategory_raw(spark, sf_dir),
+            "orders": st_orders(spark, sf_dir),
+            "order_items": st_order_items(spark, sf_dir),
+            "order_payments": st_order_payments(spark, sf_dir),
+            "order_reviews": st_order_reviews(spark, sf_dir),
+        }
+    return _RAW[key]
+
+
 def load_standins(spark: SparkSession, sf_dir: str, materialize_load: bool = True) -> Marketplace:
     """All nine tables, with geolocation and categories repaired as on load.
 
@@ -207,11 +229,9 @@ def load_standins(spark: SparkSession, sf_dir: str, materialize_load: bool = Tru
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if materialize_load and key in _MARKETS:
         return _MARKETS[key]
-    sellers = st_sellers(spark, sf_dir).withColumn("input_pos", F.col("seller_id"))
-    customers = st_customers(spark, sf_dir).withColumn("input_pos", F.col("customer_id"))
-    geo_raw = st_geolocation_raw(spark, sf_dir)
-    products = st_products(spark, sf_dir)
-    cat_raw = st_prodcategory_raw(spark, sf_dir)
+    raw = _raw_tables(spark, sf_dir)
+    sellers, customers, geo_raw = raw["sellers"], raw["customers"], raw["geolocation_raw"]
+    products, cat_raw = raw["products"], raw["prodcategory_raw"]
 
     def repairs():
         return (repair_geolocation(geo_raw, sellers, customers),
@@ -224,13 +244,13 @@ def load_standins(spark: SparkSession, sf_dir: str, materialize_load: bool = Tru
     market = Marketplace(
         geolocation=geolocation,
         customers=customers.drop("input_pos"),
-        orders=st_orders(spark, sf_dir),
+        orders=raw["orders"],
         sellers=sellers.drop("input_pos"),
         prodcategory=prodcategory,
         products=products,
-        order_items=st_order_items(spark, sf_dir),
-        order_payments=st_order_payments(spark, sf_dir),
-        order_reviews=st_order_reviews(spark, sf_dir),
+        order_items=raw["order_items"],
+        order_payments=raw["order_payments"],
+        order_reviews=raw["order_reviews"],
         geolocation_raw=geo_raw,
         prodcategory_raw=cat_raw,
     )
