@@ -48,18 +48,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's own setting is always kept.  Only where it is unset (local tests)
     a fresh scratch folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the context  # noqa: BLE001
+        sc = None
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     scratch = tempfile.mkdtemp(prefix="marketlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
+    if sc is not None:
+        sc.setCheckpointDir(scratch)
     return scratch
 
 

@@ -166,6 +166,11 @@ def st_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts").alias("review_creation_date")))
 
 
+def _session_id(spark: SparkSession) -> str:
+    """The application id (also available through Spark Connect)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 # (application id, data folder) -> folder holding the repaired tables of that load.
 _LOADED: dict[tuple[str, str], str] = {}
 # (application id, data folder) -> the loaded tables as lazy DataFrames: built once
@@ -178,7 +183,7 @@ def _loaded_repairs(spark: SparkSession, sf_dir: str, build) -> tuple[DataFrame,
     written as parquet into the shared checkpoint folder the first time a session
     asks for them, and read back afterwards (the reference likewise repairs while
     loading its database, then queries the loaded tables)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (_session_id(spark), os.path.abspath(sf_dir))
     base = _LOADED.get(key)
     if base is None:
         geo, cat = build()
@@ -203,7 +208,7 @@ _RAW: dict[tuple[str, str], dict[str, DataFrame]] = {}
 def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The stand-in tables before repair, planned once per session and folder
     (lazy plans, no data); sellers and customers carry their input position."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (_session_id(spark), os.path.abspath(sf_dir))
     if key not in _RAW:
         _RAW[key] = {
             "sellers": st_sellers(spark, sf_dir).withColumn("input_pos", F.col("seller_id")),
@@ -226,7 +231,7 @@ def load_standins(spark: SparkSession, sf_dir: str, materialize_load: bool = Tru
     one-time load (see ``_loaded_repairs``) and the container is reused by later
     calls; otherwise the repairs are planned inline.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (_session_id(spark), os.path.abspath(sf_dir))
     if materialize_load and key in _MARKETS:
         return _MARKETS[key]
     raw = _raw_tables(spark, sf_dir)
