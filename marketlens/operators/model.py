@@ -44,7 +44,7 @@ def fit_sentiment_model(train: DataFrame, id_col: str, terms_col: str, label_col
     vectorizer = tfidf_vectorizer(vocab, terms_col)
     weighted = vectorizer.transform(with_class_weights(train, label_col, "weight")) \
         .withColumn("_label", F.col(label_col).cast("double"))
-    n = weighted.count()
+    n = train.count()  # sum of balanced weights
     lr = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="weight",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
                             standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol)
