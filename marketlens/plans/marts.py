@@ -421,15 +421,11 @@ def first_order_analysis(m: Marketplace, window_days: int = 90) -> DataFrame:
           for c in ("order_id", "ts", "delivered", "estimated", "customer_state")],
         F.max(F.when(F.col("rn") == 2, F.col("ts"))).alias("next_order_ts"))
 
-    first_ids = firsts.select("order_id")
-
     def first_row(df: DataFrame, order_cols, name: str, count_name: str) -> DataFrame:
-        # Aggregate per order first (map-side partial aggregation: a hot order is one
-        # row per task), then keep first orders; the semi-join reuses the order_id
-        # partitioning of the aggregate.
-        per_order = df.groupBy("order_id").agg(F.count("*").alias(count_name),
-                                               F.min(F.struct(*order_cols)).alias(name))
-        return per_order.join(first_ids, "order_id", "left_semi")
+        # Per order: row count and first row, aggregated map-side before the shuffle
+        # (a hot order is one row per task).  The left joins below keep first orders.
+        return df.groupBy("order_id").agg(F.count("*").alias(count_name),
+                                          F.min(F.struct(*order_cols)).alias(name))
 
     items = first_row(m.order_items, FIRST_ITEM_ORDER, "item", "n_items")
     revs = first_row(m.order_reviews, FIRST_REVIEW_ORDER, "review", "n_reviews")
