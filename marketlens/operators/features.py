@@ -96,28 +96,31 @@ def with_class_weights(df: DataFrame, label_col: str, weight_col: str = "weight"
 
 
 def assign_batches(df: DataFrame, id_col: str, batch_size: int = 32, seed: int = 42,
-                   n_buckets: int | None = None) -> DataFrame:
-    """A seeded permutation of the rows and fixed-size batches.
-
-    Rows are ordered by (hash(id, seed), id).  The global position is computed
-    without a single-partition window: the uniform hash range is cut into
-    ``n_buckets`` equal buckets, rows are ranked inside their bucket, and each
-    bucket's offset is the running count of the buckets before it (a table with one
-    row per bucket).  Adds ``position`` (0-based) and ``batch_id``.
+                   n_buckets: int | None = None, group_col: str | None = None) -> DataFrame:
+    """A seeded permutation of the rows and fixed-size batches, numbered within
+    ``group_col`` when given (e.g. per split).
+
+    Rows are ordered by (hash(id, seed), id).  The position is computed without a
+    single-partition window: the uniform hash range is cut into ``n_buckets`` equal
+    buckets, rows are ranked inside their (group, bucket), and each bucket's offset
+    is the running count of the buckets before it in its group (a table with one row
+    per group and bucket).  Adds ``position`` (0-based) and ``batch_id``.
     """
     if n_buckets is None:
         n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    groups = [group_col] if group_col else []
     h = stable_hash(id_col, seed)
     keyed = df.withColumn("_h", h).withColumn(
         "_bucket", ((F.col("_h") * F.lit(n_buckets)) / F.lit(2 ** 32)).cast("long"))
-    ranked = keyed.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", id_col)))
-    sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    # One row per bucket: a running sum over them in one partition is bounded.
-    offsets = sizes.select("_bucket", (F.sum("_size").over(
-        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"))
+    ranked = keyed.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(*groups, "_bucket").orderBy("_h", id_col)))
+    sizes = keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_size"))
+    # One row per (group, bucket): the running sum over them is bounded.
+    offsets = sizes.select(*groups, "_bucket", (F.sum("_size").over(
+        Window.partitionBy(*groups).orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"))
     pos = F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_rn") - 1
-    return (ranked.join(F.broadcast(offsets), "_bucket")
+    return (ranked.join(F.broadcast(offsets), [*groups, "_bucket"])
             .withColumn("position", pos.cast("long"))
             .withColumn("batch_id", F.floor(F.col("position") / F.lit(batch_size)).cast("long"))
             .drop("_h", "_bucket", "_rn", "_offset"))

@@ -116,6 +116,17 @@ def test_batches_are_a_seeded_permutation(spark):
     assert all(pos[i][1] == pos[i][0] // 32 for i in pos)
 
 
+def test_batches_are_numbered_within_groups(spark):
+    df = spark.range(0, 500).withColumnRenamed("id", "doc_id").withColumn(
+        "g", (F.col("doc_id") % 3).cast("string"))
+    out = features.assign_batches(df, "doc_id", batch_size=10, seed=3, n_buckets=4, group_col="g").collect()
+    for g in ("0", "1", "2"):
+        ids = [i for i in range(500) if str(i % 3) == g]
+        expected = sorted(ids, key=lambda i: (_md5_bucket(i, 3), i))
+        pos = {r["doc_id"]: r["position"] for r in out if r["g"] == g}
+        assert [pos[i] for i in expected] == list(range(len(ids)))
+
+
 def test_encode_truncates_pads_and_masks(spark):
     df = spark.createDataFrame([(1, ["aa", "zz", "bb"]), (2, ["aa"] * 7), (3, [])],
                                "doc_id long, tokens array<string>")
