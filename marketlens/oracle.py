@@ -376,7 +376,7 @@ STANDIN_TEXT_COLUMNS = {
 }
 
 
-def _pk_sql() -> str:
+def _pk_body() -> str:
     parts = []
     for t, keys in PRIMARY_KEYS.items():
         k = ", ".join(keys)
@@ -386,20 +386,28 @@ def _pk_sql() -> str:
        CAST(COALESCE(SUM(n) FILTER (WHERE n > 1 AND NOT null_key), 0) AS BIGINT) AS n_duplicate_rows,
        CAST(COALESCE(SUM(n) FILTER (WHERE null_key), 0) AS BIGINT) AS n_null_key_rows
 FROM (SELECT {k}, COUNT(*) AS n, bool_or({null}) AS null_key FROM {STANDIN_TABLES[t]} GROUP BY {k})""")
-    return with_standins("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
 
 
-def _fk_sql() -> str:
+def _pk_sql() -> str:
+    return with_standins(_pk_body())
+
+
+def _fk_body() -> str:
     parts = []
     for child, col, parent, pcol in FOREIGN_KEYS:
         parts.append(f"""SELECT '{child}' AS child_table, '{col}' AS child_column, '{parent}' AS parent_table,
        CAST(COUNT(*) AS BIGINT) AS n_orphan_rows, COUNT(DISTINCT c.{col}) AS n_orphan_keys
 FROM {STANDIN_TABLES[child]} c
 WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {STANDIN_TABLES[parent]} p WHERE p.{pcol} = c.{col})""")
-    return with_standins("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
 
 
-def _length_sql() -> str:
+def _fk_sql() -> str:
+    return with_standins(_fk_body())
+
+
+def _length_body() -> str:
     parts = []
     for t, cols in STANDIN_TEXT_COLUMNS.items():
         for c in cols:
@@ -408,7 +416,24 @@ def _length_sql() -> str:
        COUNT(*) FILTER (WHERE length({c}) > {n}) AS n_violations,
        CAST(MAX(length({c})) AS INTEGER) AS longest
 FROM {STANDIN_TABLES[t]}""")
-    return with_standins("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _length_sql() -> str:
+    return with_standins(_length_body())
+
+
+def _load_report_sql() -> str:
+    return with_standins(f""",
+pk AS ({_pk_body()}),
+fk AS ({_fk_body()}),
+ln AS ({_length_body()}),
+fk_t AS (SELECT child_table AS table_name, CAST(SUM(n_orphan_rows) AS BIGINT) AS fk FROM fk GROUP BY 1),
+ln_t AS (SELECT table_name, CAST(SUM(n_violations) AS BIGINT) AS len FROM ln GROUP BY 1)
+SELECT pk.table_name, pk.n_duplicate_rows + pk.n_null_key_rows AS pk,
+       COALESCE(fk_t.fk, 0) AS fk, COALESCE(ln_t.len, 0) AS len,
+       (pk.n_duplicate_rows + pk.n_null_key_rows + COALESCE(fk_t.fk, 0) + COALESCE(ln_t.len, 0)) = 0 AS loadable
+FROM pk LEFT JOIN fk_t USING (table_name) LEFT JOIN ln_t USING (table_name)""")
 
 
 GEOLOCATION_DEDUP_FIRST = with_standins("SELECT * FROM st_geo_first")
@@ -449,6 +474,7 @@ ORACLE: dict[str, str] = {
     "pk_violations": _pk_sql(),
     "fk_violations": _fk_sql(),
     "length_violations": _length_sql(),
+    "load_report": _load_report_sql(),
     "month_spine": MONTH_SPINE,
     "stage_durations": STAGE_DURATIONS,
     "best_sellers": BEST_SELLERS,

@@ -89,6 +89,7 @@ def relational_queries() -> dict[str, Query]:
         "pk_violations": _quality(quality.pk_violations),
         "fk_violations": _quality(quality.fk_violations),
         "length_violations": _quality(quality.length_violations),
+        "load_report": _quality(quality.table_report),
         "month_spine": _mart(plans.cohort_spine),
         "stage_durations": _mart(plans.stage_durations),
     })
