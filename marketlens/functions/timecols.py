@@ -26,8 +26,16 @@ def whole_days(end: Column, start: Column) -> Column:
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    """Signed microseconds from start to end (exact, bigint)."""
-    return F.timestamp_diff("MICROSECOND", start, end)
+    """Signed microseconds from start to end (exact, bigint).
+
+    Read off the day-time interval ``end - start``, which for ``timestamp_ntz`` does
+    not depend on the session time zone.  (``timestamp_diff`` does: across a
+    daylight-saving change of the session zone it is off by the shift.)
+    """
+    iv = end - start
+    minutes = ((F.extract(F.lit("DAY"), iv) * 24 + F.extract(F.lit("HOUR"), iv)) * 60
+               + F.extract(F.lit("MINUTE"), iv)).cast("long")
+    return minutes * F.lit(60_000_000) + (F.extract(F.lit("SECOND"), iv) * 1_000_000).cast("long")
 
 
 def month_floor(ts: Column) -> Column:

@@ -202,3 +202,20 @@ def test_hot_order_skew_is_exact(make_market):
     assert out[7]["perc_delays"] == 90000.0 and out[8]["perc_delays"] == 30000.0
     assert out[7]["average_delay_days"] == 5.0
     assert abs(out[8]["average_score"] - (200 * 10 + 2) / 601) < 1e-12
+
+
+def test_durations_ignore_the_session_time_zone(spark):
+    """timestamp_ntz arithmetic must not see daylight-saving gaps of the session zone."""
+    from marketlens.functions.timecols import micros_between, whole_days
+
+    df = spark.createDataFrame([(ts("1999-10-03 00:00"), ts("1999-10-03 05:00")),
+                                (ts("1999-10-02 23:00"), ts("1999-10-03 00:30"))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = [(r[0], r[1]) for r in df.select(micros_between(F.col("a"), F.col("b")),
+                                               whole_days(F.col("b"), F.col("a"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [(5 * 3600 * 10 ** 6, 0), (90 * 60 * 10 ** 6, 0)]
