@@ -45,12 +45,24 @@ def fit_sentiment_model(train: DataFrame, id_col: str, terms_col: str, label_col
     weighted = vectorizer.transform(with_class_weights(train, label_col, "weight")) \
         .withColumn("_label", F.col(label_col).cast("double"))
     n = train.count()  # sum of balanced weights
+    # The iterative fit runs one job per L-BFGS step: one partition per core (never
+    # more than the data has) keeps each step to one task per core.
+    cores = _cores(train)
+    if cores:
+        weighted = weighted.coalesce(cores)
     lr = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="weight",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
                             standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol)
     return PipelineModel([*vectorizer.stages, lr.fit(weighted)])
 
 
+def _cores(df: DataFrame) -> int | None:
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: leave the partitioning as it is  # noqa: BLE001
+        return None
+
+
 def score(model: PipelineModel, df: DataFrame, logit_col: str = "logit") -> DataFrame:
     """Apply the fitted pipeline; adds the logit, the positive-class probability
     (sigmoid) and the 0/1 prediction (probability > 0.5)."""
