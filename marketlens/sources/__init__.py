@@ -1,4 +1,4 @@
 """Sources: the nine marketplace tables, from reference-format CSV files or as
 stand-ins derived from the driver's parquet tables."""
 
-from marketlens.sources.marketplace import Marketplace  # noqa: F401
+from marketlens.sources.marketplace import Marketplace, register_views  # noqa: F401

@@ -32,3 +32,14 @@ class Marketplace:
         """The nine loaded tables by name (raw inputs excluded)."""
         return {f.name: getattr(self, f.name) for f in fields(self)
                 if not f.name.endswith("_raw")}
+
+
+def register_views(m: Marketplace, prefix: str = "") -> list[str]:
+    """Register the nine tables as temporary views under their usual names
+    (``orders``, ``order_items``, ...), so existing SQL can run through
+    ``spark.sql``.  Returns the view names."""
+    names = []
+    for name, df in m.tables().items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

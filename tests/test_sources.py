@@ -69,3 +69,24 @@ def test_reference_csv_folder_gives_the_same_answers(spark):
     assert rows_of(plans.delays_by_state(csv_market)) == rows_of(plans.delays_by_state(m))
     assert rows_of(plans.sales_by_category_month(csv_market)) == rows_of(plans.sales_by_category_month(m))
     assert csv_market.geolocation.count() == m.geolocation.count()
+
+
+def test_tables_answer_plain_sql_through_views(spark):
+    """The loaded tables are usable from Spark SQL under their usual names."""
+    from marketlens import plans
+    from marketlens.sources import register_views
+    from marketlens.sources.standins import load_standins
+    from tests.conftest import SMOKE_DIR, rows_of
+
+    m = load_standins(spark, SMOKE_DIR)
+    assert "orders" in register_views(m, prefix="")
+    sql = spark.sql("""
+        SELECT s.seller_state,
+               COUNT(*) FILTER (WHERE o.order_estimated_delivery_date < o.order_delivered_customer_date) AS number_of_delays,
+               COUNT(*) AS number_of_orders
+        FROM order_items i
+        JOIN sellers s ON s.seller_id = i.seller_id
+        JOIN orders o ON o.order_id = i.order_id
+        GROUP BY s.seller_state""")
+    df = plans.delays_by_state(m).select("seller_state", "number_of_delays", "number_of_orders")
+    assert rows_of(sql) == rows_of(df)
