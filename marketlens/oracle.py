@@ -586,3 +586,24 @@ FROM split WHERE split = 'train'""",
 
 for _name, _body in TEXT_ORACLE.items():
     ORACLE[_name] = _text(_body if _body.startswith(",") else "\n" + _body)
+
+
+BINARY_METRICS = with_standins(""",
+scored AS (
+  SELECT review_id AS doc_id, CAST(COALESCE(review_score, 0) AS DOUBLE) - 2.5 AS z,
+         CASE WHEN review_score >= 3 THEN 1 ELSE 0 END AS y,
+         CAST(('0x' || substr(md5(CAST(review_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) AS h
+  FROM st_order_reviews WHERE review_comment_message IS NOT NULL),
+rows AS (
+  SELECT CASE WHEN h % 100 < 20 THEN 'test' ELSE 'train' END AS split, doc_id, h,
+         CASE WHEN (CASE WHEN 1 / (1 + exp(-z)) > 0.5 THEN 1.0 ELSE 0.0 END) = y THEN 1 ELSE 0 END AS hit,
+         greatest(z, 0.0) - z * y + ln(1 + exp(-abs(z))) AS loss
+  FROM scored),
+batched AS (
+  SELECT *, (row_number() OVER (PARTITION BY split ORDER BY h, doc_id) - 1) // 32 AS batch_id FROM rows),
+per_batch AS (SELECT split, batch_id, AVG(loss) AS bl FROM batched GROUP BY split, batch_id)
+SELECT r.split, r.n, r.accuracy, round(r.bce_loss, 9) AS bce_loss, round(b.bce_loss_batched, 9) AS bce_loss_batched
+FROM (SELECT split, COUNT(*) AS n, AVG(hit) AS accuracy, AVG(loss) AS bce_loss FROM batched GROUP BY split) r
+JOIN (SELECT split, AVG(bl) AS bce_loss_batched FROM per_batch GROUP BY split) b USING (split)
+""")
+ORACLE["binary_metrics"] = BINARY_METRICS

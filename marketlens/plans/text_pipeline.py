@@ -145,3 +145,20 @@ def logreg_metrics(m: Marketplace) -> DataFrame:
     batches = features.assign_batches(scored, "doc_id", BATCH_SIZE, SEED, group_col="split")
     return model.binary_metrics(batches, "logit", "label", batch_col="batch_id",
                                 group_cols=["split"])
+
+
+def binary_metrics(m: Marketplace) -> DataFrame:
+    """J11-J13 and I17 on a deterministic score: the rating baseline's logit
+    ``coalesce(review_score, 0) - 2.5`` against ``is_positive``, per split, with
+    batches of 32 in the seeded order.  Losses are rounded to 9 decimals (sums of
+    doubles depend on their order in the last bits)."""
+    scored = (m.order_reviews.filter(F.col("review_comment_message").isNotNull())
+              .select(F.col("review_id").alias("doc_id"),
+                      (F.coalesce(F.col("review_score"), F.lit(0)).cast("double") - F.lit(2.5))
+                      .alias("logit"),
+                      F.when(F.col("review_score") >= 3, 1).otherwise(0).alias("label")))
+    split = features.train_test_split(scored, "doc_id", TEST_PERCENT, SEED)
+    batches = features.assign_batches(split, "doc_id", BATCH_SIZE, SEED, group_col="split")
+    out = model.binary_metrics(batches, "logit", "label", batch_col="batch_id", group_cols=["split"])
+    return out.select("split", "n", "accuracy", F.round("bce_loss", 9).alias("bce_loss"),
+                      F.round("bce_loss_batched", 9).alias("bce_loss_batched"))
