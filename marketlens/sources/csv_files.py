@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators.repair import repair_categories, repair_geolocation
 from marketlens.sources.marketplace import Marketplace
-from marketlens.sources.schemas import CSV_FILES, SCHEMAS
+from marketlens.sources.schemas import SCHEMAS, csv_file_names
 
 
 class MissingInput(FileNotFoundError):
@@ -31,9 +31,12 @@ def read_csv_table(spark: SparkSession, path: str, table: str,
     return df
 
 
-def read_marketplace_csv(spark: SparkSession, data_dir: str) -> Marketplace:
-    """All nine tables from a folder of reference-format CSV files, repaired."""
-    path = {t: f"{data_dir.rstrip('/')}/{name}" for t, name in CSV_FILES.items()}
+def read_marketplace_csv(spark: SparkSession, data_dir: str, prefix: str = "",
+                         files: dict[str, str] | None = None) -> Marketplace:
+    """All nine tables from a folder of reference-format CSV files, repaired.
+    File names follow ``csv_file_names(prefix)`` unless ``files`` maps them."""
+    names = files or csv_file_names(prefix)
+    path = {t: f"{data_dir.rstrip('/')}/{name}" for t, name in names.items()}
     geo_raw = read_csv_table(spark, path["geolocation"], "geolocation", with_position=True)
     sellers = read_csv_table(spark, path["sellers"], "sellers", with_position=True)
     customers = read_csv_table(spark, path["customers"], "customers", with_position=True)

@@ -47,18 +47,16 @@ SCHEMAS: dict[str, T.StructType] = {
         ("review_answer_timestamp", TS)),
 }
 
-# Reference CSV file names per table (fixed values).
-CSV_FILES: dict[str, str] = {
-    "geolocation": "olist_geolocation_dataset.csv",
-    "customers": "olist_customers_dataset.csv",
-    "orders": "olist_orders_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "prodcategory": "product_category_name_translation.csv",
-    "products": "olist_products_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "order_payments": "olist_order_payments_dataset.csv",
-    "order_reviews": "olist_order_reviews_dataset.csv",
-}
+# File naming of a raw export (fixed values): one "<prefix><table>_dataset.csv" per
+# table, and the category translation table under its own name.
+CATEGORY_FILE = "product_category_name_translation.csv"
+
+
+def csv_file_names(prefix: str = "") -> dict[str, str]:
+    """Raw CSV file name per table; ``prefix`` is the export's file-name prefix."""
+    return {t: CATEGORY_FILE if t == "prodcategory" else f"{prefix}{t}_dataset.csv"
+            for t in SCHEMAS}
+
 
 # Primary keys (fixed values).  Items and payments are keyed by all their columns.
 PRIMARY_KEYS: dict[str, tuple[str, ...]] = {

@@ -51,7 +51,7 @@ def test_reference_csv_folder_gives_the_same_answers(spark):
 
     from marketlens import plans
     from marketlens.sources.csv_files import read_marketplace_csv
-    from marketlens.sources.schemas import CSV_FILES, SCHEMAS
+    from marketlens.sources.schemas import SCHEMAS, csv_file_names
     from marketlens.sources.standins import load_standins
     from tests.conftest import SMOKE_DIR, rows_of
 
@@ -64,8 +64,8 @@ def test_reference_csv_folder_gives_the_same_answers(spark):
         cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns
                 else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields]
         (df.select(*cols).coalesce(1).write.option("header", True).option("escape", '"')
-         .csv(f"{folder}/{CSV_FILES[table]}"))
-    csv_market = read_marketplace_csv(spark, folder)
+         .csv(f"{folder}/{csv_file_names('raw_')[table]}"))
+    csv_market = read_marketplace_csv(spark, folder, prefix="raw_")
     assert rows_of(plans.delays_by_state(csv_market)) == rows_of(plans.delays_by_state(m))
     assert rows_of(plans.sales_by_category_month(csv_market)) == rows_of(plans.sales_by_category_month(m))
     assert csv_market.geolocation.count() == m.geolocation.count()
