@@ -219,3 +219,23 @@ def test_durations_ignore_the_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [(5 * 3600 * 10 ** 6, 0), (90 * 60 * 10 ** 6, 0)]
+
+
+def test_output_invariants(spark):
+    """Invariants the reference's stored outputs satisfy, asserted on ours."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    import __spark_entry__ as entry
+    from marketlens.sources.standins import load_standins
+
+    q = entry.queries()
+    m = load_standins(spark, "/root/testdata/sf0.001")
+    people = m.customers.join(m.orders, "customer_id").select("customer_unique_id").distinct().count()
+    cohort = q["cohort"](spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["new_clients"] for r in cohort) == people
+    states = q["delays_by_state"](spark, "/root/testdata/sf0.001").collect()
+    assert [r["number_of_delays"] for r in states] == sorted((r["number_of_delays"] for r in states), reverse=True)
+    for r in states:
+        exact = Decimal(r["number_of_delays"]) * 100 / Decimal(r["number_of_orders"])
+        assert r["percentage_of_delays"] == float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    assert sum(r["number_of_orders"] for r in states) == m.order_items.join(m.sellers, "seller_id").count()
