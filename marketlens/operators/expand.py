@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Largest array any generator builds; longer runs are cut into chunks of this size.
 CHUNK = 65536
+# Rows repeated at least SPREAD_MIN^2 times are spread over the cluster first; the
+# others are expanded where they are, without a shuffle.
+SPREAD_MIN = 1024
 
 
 def _numbers(df: DataFrame, n: Column, out: str, spread_keys: list[str] | None) -> DataFrame:
@@ -29,11 +32,18 @@ def repeat_squared(df: DataFrame, n_col: str, spread_keys: list[str] | None = No
 
     The n^2 copies are generated as n x n: two levels of numbers 1..n, each built in
     chunks of at most CHUNK elements, so no row ever holds a large array.  With
-    ``spread_keys`` the first level is hash-spread before the second, so the n^2
-    output rows of a very large group are produced by many tasks, not one.
+    ``spread_keys``, rows with n >= SPREAD_MIN have their first level hash-spread
+    before the second, so the n^2 output rows of a very large group are produced by
+    many tasks, not one; smaller rows are expanded in place.
     """
     n = F.col(n_col)
-    base = df.filter(n >= 1)
-    first = _numbers(base, n, "_i", spread_keys)
-    second = _numbers(first, n, "_j", None)
-    return second.drop("_i", "_j")
+
+    def expand(rows: DataFrame, spread: list[str] | None) -> DataFrame:
+        first = _numbers(rows, n, "_i", spread)
+        return _numbers(first, n, "_j", None).drop("_i", "_j")
+
+    if not spread_keys:
+        return expand(df.filter(n >= 1), None)
+    small = expand(df.filter((n >= 1) & (n < SPREAD_MIN)), None)
+    large = expand(df.filter(n >= SPREAD_MIN), spread_keys)
+    return small.unionByName(large)

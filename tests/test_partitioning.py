@@ -36,6 +36,7 @@ def test_repeat_squared_chunks_large_counts(spark, monkeypatch):
     import marketlens.operators.expand as expand
 
     monkeypatch.setattr(expand, "CHUNK", 4)
+    monkeypatch.setattr(expand, "SPREAD_MIN", 5)
     df = spark.createDataFrame([(1, 10), (2, 3)], "k long, n long")
     out = expand.repeat_squared(df, "n", spread_keys=["k"])
     counts = {r["k"]: r["c"] for r in out.groupBy("k").count().withColumnRenamed("count", "c").collect()}
