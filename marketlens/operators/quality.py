@@ -57,9 +57,11 @@ def fk_violations(tables: Mapping[str, DataFrame],
         if child not in tables or parent not in tables:
             continue
         parents = tables[parent].select(F.col(pcol).alias("_pk"))
-        orphans = (tables[child].select(F.col(col).alias("_ck")).filter(F.col("_ck").isNotNull())
+        # Child rows are counted per key first (partial aggregation), so the anti-join
+        # sees one row per key, not every child row.
+        per_key = (tables[child].select(F.col(col).alias("_ck")).filter(F.col("_ck").isNotNull())
+                   .groupBy("_ck").agg(F.count("*").alias("n"))
                    .join(parents, F.col("_ck") == F.col("_pk"), "left_anti"))
-        per_key = orphans.groupBy("_ck").agg(F.count("*").alias("n"))
         reports.append(per_key.agg(
             F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_orphan_rows"),
             F.count("*").alias("n_orphan_keys"))

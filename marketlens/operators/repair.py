@@ -46,15 +46,18 @@ def missing_parents(child: DataFrame, child_key: str, parent: DataFrame,
 def _geo_additions(rows: DataFrame, zip_col: str, city_col: str, state_col: str,
                    pos_col: str, known: DataFrame) -> DataFrame:
     """Distinct (zip, city, state) of rows whose zip is missing from ``known``, each
-    with the input position of its first occurrence, and coordinates 0.0."""
-    orphans = missing_parents(rows, zip_col, known, "geolocation_zip_code_prefix")
-    triples = orphans.select(
-        F.col(zip_col).alias("geolocation_zip_code_prefix"),
-        F.col(city_col).alias("geolocation_city"),
-        F.col(state_col).alias("geolocation_state"),
-        F.col(pos_col).alias("input_pos"))
-    first_pos = triples.groupBy("geolocation_zip_code_prefix", "geolocation_city",
-                                "geolocation_state").agg(F.min("input_pos").alias("input_pos"))
+    with the input position of its first occurrence, and coordinates 0.0.
+
+    The rows (a whole customer table, say) are first reduced to distinct triples by
+    a partial aggregation, so only a few rows per task are shuffled; the anti-join
+    then runs on that small set."""
+    triples = (rows.filter(F.col(zip_col).isNotNull())
+               .groupBy(F.col(zip_col).alias("geolocation_zip_code_prefix"),
+                        F.col(city_col).alias("geolocation_city"),
+                        F.col(state_col).alias("geolocation_state"))
+               .agg(F.min(pos_col).alias("input_pos")))
+    first_pos = missing_parents(triples, "geolocation_zip_code_prefix", known,
+                                "geolocation_zip_code_prefix")
     return first_pos.select(
         "geolocation_zip_code_prefix",
         F.lit(0.0).alias("geolocation_lat"), F.lit(0.0).alias("geolocation_lng"),
@@ -117,10 +120,11 @@ def repair_geolocation(geo_raw: DataFrame, sellers: DataFrame, customers: DataFr
 
 
 def category_orphans(cat_raw: DataFrame, products: DataFrame) -> DataFrame:
-    """C2+C4: distinct non-null product categories that have no translation."""
-    return (missing_parents(products, "product_category_name", cat_raw,
-                            "product_category_name")
-            .select("product_category_name").distinct())
+    """C2+C4: distinct non-null product categories that have no translation (the
+    products are reduced to distinct categories before the anti-join)."""
+    names = (products.filter(F.col("product_category_name").isNotNull())
+             .select("product_category_name").distinct())
+    return missing_parents(names, "product_category_name", cat_raw, "product_category_name")
 
 
 def repair_categories(cat_raw: DataFrame, products: DataFrame) -> DataFrame:
