@@ -239,3 +239,32 @@ def test_output_invariants(spark):
         exact = Decimal(r["number_of_delays"]) * 100 / Decimal(r["number_of_orders"])
         assert r["percentage_of_delays"] == float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
     assert sum(r["number_of_orders"] for r in states) == m.order_items.join(m.sellers, "seller_id").count()
+
+
+def test_k12_cohort_counts_and_gap_months(make_market):
+    # person 10: Jan, Feb (twice), Apr -> cohort Jan; active +1 and +3 months
+    # person 20: Mar only -> cohort Mar; Feb has no new people but stays on the spine
+    m = make_market(
+        customers=[(1, 10, "z", "c", "s"), (2, 10, "z", "c", "s"), (3, 10, "z", "c", "s"),
+                   (4, 10, "z", "c", "s"), (5, 20, "z", "c", "s")],
+        orders=[_order(1, 1, "2000-01-15"), _order(2, 2, "2000-02-01"), _order(3, 3, "2000-02-20"),
+                _order(4, 4, "2000-04-30 23:59"), _order(5, 5, "2000-03-03")])
+    rows = {str(r["purchase_month"]): r for r in plans.cohort(m).collect()}
+    assert list(rows) == ["2000-01-01", "2000-02-01", "2000-03-01"]
+    jan, feb, mar = rows["2000-01-01"], rows["2000-02-01"], rows["2000-03-01"]
+    assert (jan["new_clients"], jan["still_active_1m"], jan["still_active_2m"], jan["still_active_3m"]) == (1, 1, 0, 1)
+    assert (feb["new_clients"], feb["still_active_1m"]) == (0, 0)
+    assert (mar["new_clients"], mar["still_active_1m"]) == (1, 0)
+
+
+def test_k6_mean_durations_skip_missing_dates(make_market):
+    m = make_market(
+        orders=[_order(1, 1, "2000-01-01", "2000-01-20", "2000-01-10", approved="2000-01-01 02:00",
+                       carrier="2000-01-03"),
+                _order(2, 2, "2000-01-01", "2000-01-21", "2000-01-10", approved=None,
+                       carrier="2000-01-05")],
+        order_items=[_item(1, 1, 7), _item(2, 1, 7)])
+    r = plans.delay_stats(m).collect()[0]
+    assert r["avg_seller_response_time_seconds"] == 7200.0            # order 2 has no approval
+    assert r["carrier_delivery_time_seconds"] == 46 * 3600.0
+    assert r["customer_delivery_time_seconds"] == (17 * 86400 + 16 * 86400) / 2
