@@ -9,7 +9,7 @@ sums are exact decimal sums, as in the Spark code.
 
 from __future__ import annotations
 
-STANDIN_CTES = """
+BASE_CTES = """
 st_orders AS (
   SELECT o_orderkey AS order_id, o_orderkey AS customer_id, o_orderstatus AS order_status,
          o_orderdate AS order_purchase_timestamp,
@@ -64,7 +64,10 @@ st_order_reviews AS (
          CASE WHEN e.event_id % 50 = 7 THEN NULL ELSE CAST((e.event_id * 7) % 5 + 1 AS INTEGER) END AS review_score,
          d.text AS review_comment_message, e.ts AS review_creation_date
   FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id),
-st_geo_first AS (
+"""
+
+# Load-time repair of geolocation and categories, over the st_* base tables.
+REPAIR_CTES = """st_geo_first AS (
   SELECT geolocation_zip_code_prefix, geolocation_lat, geolocation_lng, geolocation_city, geolocation_state
   FROM (SELECT *, row_number() OVER (PARTITION BY geolocation_zip_code_prefix ORDER BY input_pos) AS rn
         FROM st_geolocation_raw) WHERE rn = 1),
@@ -105,6 +108,15 @@ st_prodcategory AS (
   WHERE rn = 1 AND product_category_name IS NOT NULL AND product_category_name_english IS NOT NULL)
 """
 
+STANDIN_CTES = BASE_CTES + REPAIR_CTES
+
+
+
+def without_base_tables(sql: str) -> str:
+    """The same statement reading the ``st_*`` base tables as existing views (for
+    running the oracle on other data); the repair CTEs stay."""
+    return sql.replace("WITH " + BASE_CTES.lstrip(), "WITH ", 1)
+
 
 def with_standins(body: str) -> str:
     """Prefix a statement (which may start with its own ``WITH``-less CTE list
