@@ -1,8 +1,8 @@
 """DuckDB SQL equal to each registered query, over the driver's parquet views.
 
 Every statement starts with the stand-in tables as CTEs (FIXTURES.md section 4) and
-then states the query the way the reference writes it (joins, not pre-aggregates),
-so it checks the Spark plans independently.  Type casts only align result types
+then states the query as plain join-then-aggregate SQL over the fan-out rows (not
+the pre-aggregated Spark plans), so it checks those plans independently.  Type casts only align result types
 between the engines (DuckDB widens sums to HUGEINT and EXTRACT to BIGINT); money
 sums are exact decimal sums, as in the Spark code.
 """
