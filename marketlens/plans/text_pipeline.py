@@ -37,8 +37,7 @@ def cleaned_corpus(m: Marketplace) -> DataFrame:
     step (term counts, norms, re-assembly) reuses this partitioning without another
     shuffle.
     """
-    n = int(m.order_reviews.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    corpus = review_corpus(m).repartition(n, "doc_id")
+    corpus = review_corpus(m).repartition("doc_id")  # AQE may coalesce small corpora
     cleaned = text.clean_reviews(corpus, "text", "clean_text", "tokens")
     with_terms = cleaned.withColumn("terms", terms(F.col("tokens")))
     return features.train_test_split(with_terms, "doc_id", TEST_PERCENT, SEED)
