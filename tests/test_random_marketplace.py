@@ -2,7 +2,7 @@
 
 The stand-in tables are well behaved.  Here every table is random: NULL dates,
 prices, scores, texts and zips; duplicate item rows; zero prices; a hot order; a
-hot person; orders without items and reviews without scores; texts with accents
+hot person and a hot seller; orders without items and reviews without scores; texts with accents
 and tags.  The raw tables go through the Spark load (repair) and the plans, and
 through the same oracle SQL in DuckDB, reading the raw tables as views in place of
 the stand-in definitions.
@@ -86,7 +86,8 @@ def make_raw(seed: int) -> dict[str, list[tuple]]:
     items = []
     for i in range(900):
         oid = 7 if rng.random() < 0.2 else rng.randint(1, n_orders - 20)   # a hot order; some orders have none
-        row = (oid, rng.randint(1, 4), rng.randint(1, 60), rng.randint(1, 30),
+        seller = 1 if rng.random() < 0.3 else rng.randint(2, 30)             # a hot seller
+        row = (oid, rng.randint(1, 4), rng.randint(1, 60), seller,
                t0 + dt.timedelta(days=rng.randint(0, 700)),
                _maybe(rng, rng.choice([0.0, _money(rng)]), 0.05), round(rng.uniform(0, 50), 2))
         items.append(row)
