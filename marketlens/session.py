@@ -12,8 +12,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session should carry; they are set only where the session has
-# no value of its own.
+# Settings of the local sessions (tests, bench).  AQE and its skew-join handling are
+# Spark's defaults, and the plans count on them; library code never changes the
+# settings of a session it is given.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
