@@ -13,8 +13,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings of the local sessions (tests, bench).  AQE and its skew-join handling are
-# Spark's defaults, and the plans count on them; library code never changes the
-# settings of a session it is given.
+# Spark's defaults, and the plans count on them.  Library code changes nothing in a
+# session it is given, except to name a checkpoint folder where none is set.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
