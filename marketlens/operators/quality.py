@@ -17,8 +17,20 @@ from pyspark.sql import types as T
 from marketlens.sources.schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+_EMPTY = {
+    "pk": "table_name string, n_duplicate_keys bigint, n_duplicate_rows bigint, n_null_key_rows bigint",
+    "fk": "child_table string, child_column string, parent_table string, n_orphan_rows bigint, "
+          "n_orphan_keys bigint",
+    "len": "table_name string, column_name string, max_length int, n_violations bigint, longest int",
+}
+
+
+def _union(frames: Sequence[DataFrame], tables: Mapping[str, DataFrame], kind: str) -> DataFrame:
+    """Union of per-table reports; an empty report when no rule applies."""
+    if frames:
+        return reduce(DataFrame.unionByName, frames)
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([], _EMPTY[kind])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,7 +58,7 @@ def pk_violations(tables: Mapping[str, DataFrame],
             F.coalesce(F.sum(F.when(F.col("null_key") == 1, F.col("n"))), F.lit(0)).cast("long")
             .alias("n_null_key_rows"))
             .select(F.lit(name).alias("table_name"), "*"))
-    return _union(reports)
+    return _union(reports, tables, "pk")
 
 
 def fk_violations(tables: Mapping[str, DataFrame],
@@ -67,7 +79,7 @@ def fk_violations(tables: Mapping[str, DataFrame],
             F.count("*").alias("n_orphan_keys"))
             .select(F.lit(child).alias("child_table"), F.lit(col).alias("child_column"),
                     F.lit(parent).alias("parent_table"), "*"))
-    return _union(reports)
+    return _union(reports, tables, "fk")
 
 
 def length_violations(tables: Mapping[str, DataFrame],
@@ -90,7 +102,7 @@ def length_violations(tables: Mapping[str, DataFrame],
                                 F.col(f"{c}__n").alias("n_violations"),
                                 F.col(f"{c}__max").alias("longest"))
                     for c, n in checks]
-    return _union(reports)
+    return _union(reports, tables, "len")
 
 
 def table_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -114,11 +126,22 @@ LOAD_RESULT = T.StructType([
 
 
 def gated_write(df: DataFrame, path: str, violations: int, table: str,
-                mode: str = "append", fmt: str = "parquet") -> dict:
+                mode: str = "append", fmt: str = "parquet",
+                partition_by: Mapping[str, object] | None = None) -> dict:
     """C11 + B1: write ``df`` only if its rule report found nothing; otherwise skip it
-    and say so.  The caller goes on with the next table either way."""
+    and say so.  The caller goes on with the next table either way.
+
+    ``partition_by`` maps new column names to expressions written as directory
+    partitions (e.g. orders by purchase month), so later date-bounded scans read only
+    the matching folders."""
     if violations:
         return {"table_name": table, "status": "rejected", "violations": int(violations),
                 "path": path}
-    df.write.mode(mode).format(fmt).save(path)
+    writer_df = df
+    for name, expr in (partition_by or {}).items():
+        writer_df = writer_df.withColumn(name, expr)
+    writer = writer_df.write.mode(mode).format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
     return {"table_name": table, "status": "loaded", "violations": 0, "path": path}

@@ -64,9 +64,11 @@ def run_batch(spark: SparkSession, queries: Mapping[str, Callable[[], DataFrame]
 
 
 def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
-                mode: str = "append") -> DataFrame:
+                mode: str = "append", partition_by: Mapping[str, Mapping] | None = None) -> DataFrame:
     """B1 + B4 + C11: append each table, parents first, only if its key and length
-    rules report nothing; each table is isolated from the others' failures."""
+    rules report nothing; each table is isolated from the others' failures.
+    ``partition_by`` gives per-table partition columns, see ``gated_write`` (for
+    example ``{"orders": {"purchase_month": month_floor(F.col("order_purchase_timestamp"))}}``)."""
     pk = {r["table_name"]: r["n_duplicate_rows"] + r["n_null_key_rows"]
           for r in pk_violations(tables).collect()}
     fk: dict[str, int] = {}
@@ -79,7 +81,8 @@ def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: s
     for name in [t for t in LOAD_ORDER if t in tables]:
         bad = pk.get(name, 0) + fk.get(name, 0) + ln.get(name, 0)
         try:
-            results.append(gated_write(tables[name], f"{out_dir.rstrip('/')}/{name}", bad, name, mode))
+            results.append(gated_write(tables[name], f"{out_dir.rstrip('/')}/{name}", bad, name, mode,
+                                       partition_by=(partition_by or {}).get(name)))
         except Exception as exc:  # noqa: BLE001
             results.append({"table_name": name, "status": f"error: {type(exc).__name__}",
                             "violations": bad, "path": out_dir})

@@ -33,3 +33,25 @@ def test_load_gate_rejects_only_the_violating_table(spark):
               load_tables(spark, {"sellers": sellers, "geolocation": geo}, out).collect()}
     assert report == {"geolocation": "loaded", "sellers": "rejected"}
     assert spark.read.parquet(f"{out}/geolocation").count() == 1
+
+
+def test_load_can_partition_orders_by_month_for_pruning(spark):
+    import datetime as dt
+
+    from marketlens.functions.timecols import month_floor
+
+    out = tempfile.mkdtemp(prefix="ml-part-")
+    orders = spark.createDataFrame(
+        [("o1", "c1", "delivered", dt.datetime(2018, 1, 5), None, None, None, None),
+         ("o2", "c2", "delivered", dt.datetime(2018, 2, 7), None, None, None, None)],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp_ntz, "
+        "order_approved_at timestamp_ntz, order_delivered_carrier_date timestamp_ntz, "
+        "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz")
+    report = load_tables(spark, {"orders": orders}, out, partition_by={
+        "orders": {"purchase_month": month_floor(F.col("order_purchase_timestamp"))}}).collect()
+    assert report[0]["status"] == "loaded"
+    loaded = spark.read.parquet(f"{out}/orders")
+    feb = loaded.filter(F.col("purchase_month") == F.lit("2018-02-01").cast("date"))
+    assert [r["order_id"] for r in feb.collect()] == ["o2"]
+    plan = feb._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(purchase_month" in plan
