@@ -32,7 +32,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("MARKETLENS_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("MARKETLENS_DRIVER_MEMORY", "4g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # checkpoints of intermediate corpora are removed once no plan refers to them
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
