@@ -8,6 +8,7 @@ exactly what Python's ``re`` matches in the reference.
 
 from __future__ import annotations
 
+import functools
 import glob
 import os
 import zipfile
@@ -70,14 +71,28 @@ def join_tokens(token_array: Column) -> Column:
     return F.array_join(token_array, " ")
 
 
-def default_stopwords(language: str = "portuguese") -> list[str]:
-    """The stop-word list bundled with Spark ML (the one ``StopWordsRemover``
-    loads), read from the installed Spark jar so no JVM is needed."""
+def _stopwords_from_jar(language: str) -> list[str] | None:
+    """The list as a file of the Spark ML jar, if the jar can be found: under
+    ``$SPARK_HOME``, or beside an unzipped pyspark."""
     import pyspark
 
-    pattern = os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")
-    for jar in glob.glob(pattern):
-        with zipfile.ZipFile(jar) as z:
-            data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-            return [w for w in data.decode("utf-8").split("\n") if w]
-    raise FileNotFoundError(f"no Spark ML jar with stop words under {pattern}")
+    homes = [os.environ.get("SPARK_HOME"), os.path.dirname(os.path.abspath(pyspark.__file__))]
+    for home in filter(None, homes):
+        for jar in glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar")):
+            with zipfile.ZipFile(jar) as z:
+                data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
+                return [w for w in data.decode("utf-8").split("\n") if w]
+    return None
+
+
+@functools.lru_cache(maxsize=None)
+def default_stopwords(language: str = "portuguese") -> list[str]:
+    """The stop-word list bundled with Spark ML (the one ``StopWordsRemover`` loads).
+    Read from the installed jar where there is one in sight (no JVM needed), else
+    through the running session, as with pyspark imported from ``pyspark.zip``."""
+    words = _stopwords_from_jar(language)
+    if words is None:
+        from pyspark.ml.feature import StopWordsRemover
+
+        words = [w for w in StopWordsRemover.loadDefaultStopWords(language) if w]
+    return words

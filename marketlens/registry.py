@@ -143,5 +143,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from marketlens.oracle import ORACLE
-    return dict(ORACLE)
+    from marketlens.oracle import ORACLE, text_oracle
+
+    return {**ORACLE, **text_oracle()}

@@ -28,3 +28,21 @@ def test_bench_prints_one_json_line():
     assert set(result["queries"]) == {"delays_by_state", "cohort"}
     assert result["value"] == round(sum(result["queries"].values()), 3)
     assert set(result["duckdb"]) == {"delays_by_state", "cohort"}
+
+
+def test_oracles_with_pyspark_from_its_zip():
+    """``spark-submit`` imports pyspark from ``pyspark.zip``, without a jars folder
+    beside it; every oracle must still be built."""
+    import glob
+
+    import pyspark
+
+    home = os.path.dirname(pyspark.__file__)
+    libs = glob.glob(os.path.join(home, "python", "lib", "*.zip"))
+    assert any(p.endswith("pyspark.zip") for p in libs)
+    code = ("import pyspark; assert 'pyspark.zip' in pyspark.__file__, pyspark.__file__; "
+            "import __spark_entry__ as e; print(len(e.oracle_sql()))")
+    env = dict(os.environ, SPARK_HOME=home, PYTHONPATH=os.pathsep.join([*libs, ROOT]))
+    out = subprocess.run([sys.executable, "-c", code], env=env, cwd=ROOT, capture_output=True,
+                         text=True, timeout=300, check=True)
+    assert int(out.stdout.strip().splitlines()[-1]) == len(entry.oracle_sql())
