@@ -19,9 +19,26 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.embedding_dedup import embedding_dedup
+
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op3_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.hash_forest import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
+QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_suffix_dedup,)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from marketlens.llm.oracles import ORACLES
+
+    return dict(ORACLES)
