@@ -33,4 +33,41 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 20
 """
 
-ORACLES = {"op2_embedding_dedup": OP2, "op3_hash_forest": OP3}
+OP4 = r"""
+WITH sizes AS (
+  SELECT doc_id, source,
+         CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+per AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
+weighed AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w,
+         source_size * CAST(3 AS DOUBLE) AS cap FROM per),
+filled AS (
+  SELECT *, (CAST(SUM(source_size) OVER () AS DOUBLE)
+             - COALESCE(SUM(cap) OVER (ORDER BY cap / w, source NULLS LAST
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / SUM(w) OVER (ORDER BY cap / w, source NULLS LAST
+                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN level * w > cap THEN cap
+              ELSE least(COALESCE(MAX(CASE WHEN level * w <= cap THEN level END) OVER (), 0) * w, cap)
+         END AS target FROM filled),
+rates AS (
+  SELECT s.*, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         (CAST(('0x' || substr(md5('mix:' || COALESCE(CAST(s.doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT)
+          + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+ranked AS (
+  SELECT *, CAST(floor(rate) AS BIGINT) AS whole,
+         COALESCE(SUM(size) OVER (PARTITION BY source ORDER BY u, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM rates),
+counted AS (
+  SELECT *, whole + CASE WHEN rate > whole AND before + size / 2.0 <= target - whole * source_size
+                         THEN 1 ELSE 0 END AS copies FROM ranked)
+SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies
+FROM counted
+"""
+
+ORACLES = {"op2_embedding_dedup": OP2, "op3_hash_forest": OP3, "op4_pareto_mix": OP4}

@@ -31,7 +31,20 @@ def op3_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
 
 
-QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest)
+def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"))
+
+
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from marketlens.llm.token_planes import token_planes
+
+    return token_planes(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+
+
+QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op8_token_planes)
 
 
 def queries() -> dict[str, Query]:
