@@ -37,6 +37,18 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.importance import classify
+
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.sharding import shard
+
+    return shard(_table(spark, sf_dir, "documents"), shards=8)
+
+
 def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from marketlens.llm.token_planes import token_planes
@@ -44,7 +56,8 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
 
 
-QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op8_token_planes)
+QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op6_importance,
+           op7_label_shards, op8_token_planes)
 
 
 def queries() -> dict[str, Query]:
