@@ -70,4 +70,27 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 FROM counted
 """
 
-ORACLES = {"op2_embedding_dedup": OP2, "op3_hash_forest": OP3, "op4_pareto_mix": OP4}
+OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, a.n AS nu, b.n AS nv, COUNT(*) AS shared
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM common WHERE 100 * shared >= 85 * (nu + nv - shared)),
+ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(node, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.node, w.v FROM reach r JOIN ways w ON w.u = r.other),
+component AS (SELECT node, MIN(other) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets s JOIN component c ON c.node = s.doc_id
+"""
+
+ORACLES = {"op2_embedding_dedup": OP2, "op3_hash_forest": OP3, "op4_pareto_mix": OP4,
+           "op5_jaccard_join": OP5}

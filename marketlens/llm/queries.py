@@ -37,6 +37,12 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlens.llm.importance import classify
 
@@ -56,8 +62,8 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
 
 
-QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op6_importance,
-           op7_label_shards, op8_token_planes)
+QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op5_jaccard_join,
+           op6_importance, op7_label_shards, op8_token_planes)
 
 
 def queries() -> dict[str, Query]:
