@@ -62,8 +62,14 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
 
 
+def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.pii import personal_data
+
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op5_jaccard_join,
-           op6_importance, op7_label_shards, op8_token_planes)
+           op6_importance, op7_label_shards, op8_token_planes, op10_contextual_pii)
 
 
 def queries() -> dict[str, Query]:

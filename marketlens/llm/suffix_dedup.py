@@ -16,8 +16,11 @@ is renamed or sorted recursively.  Neighbours in the array with a common prefix
 ``length`` bytes are equal windows; all but the earliest are removed.
 
 A class with more than ``class_limit`` different segments (a passage inside very many
-documents) is not put into one task: its windows are keyed one by one by a 128-bit hash
-and reduced to the earliest with a combining aggregate, which is exact as well.
+documents) is not put into one task: its segments are cut into ranges of windows and
+classed anew by the bytes that all windows of a range cover.  Where a class is still
+larger, its windows are keyed one by one by a 128-bit hash and reduced to the earliest
+with a combining aggregate, which is exact as well.  The same ranges tell, inside a
+small class, which windows can be equal to any other; the rest is not sorted.
 
 Nulls and edge cases: a null text is empty; texts shorter than ``length`` lose nothing;
 a null doc_id counts as the smallest id; rows that repeat a doc_id are read as one
@@ -40,6 +43,8 @@ CHUNK = 1 << 20        # bytes of text hashed at a time
 POSITION_BITS = 26     # of a packed (hash, position) key
 CLASS_LIMIT = 512      # segments of a class sorted in one block
 BLOCK_BYTES = 1 << 16  # of a block that one suffix array covers
+RANGES = 5             # of window starts around the anchor, see _cores
+SEGMENT = ["h", "doc", "pos", "windows", "lead", "raw"]
 
 
 def suffix_array(codes: list[int]) -> list[int]:
@@ -64,6 +69,24 @@ def suffix_array(codes: list[int]) -> list[int]:
     end = n
     while end > 0:
         here = first_of_end[end]
+        if here == end - 1:  # one suffix: it extends one smaller suffix at most
+            i = next(iter(members[here]))
+            p = i - 1
+            while p >= 0 and label[p] >= here:
+                p = smaller[p]
+            smaller[i] = p
+            if p >= 0:
+                old = label[p]
+                rest = members[old]
+                top = old + len(rest)
+                if top > old + 1:
+                    rest.discard(p)
+                    new = label[p] = top - 1
+                    members[new] = {p}
+                    first_of_end[top] = new
+                    first_of_end[new] = old
+            end = here
+            continue
         pointed: dict[int, int] = {}
         for i in sorted(members[here]):
             p = i - 1
@@ -105,7 +128,8 @@ def suffix_array(codes: list[int]) -> list[int]:
 
 
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, hasher: RollingHash):
-    """Segments of one chunk: row, start in the row, windows, gram hash, segment hash."""
+    """Segments of one chunk: row, start in the row, windows, bytes from the start to the
+    anchor, gram hash, segment hash."""
     n, span = len(data), length - gram + 1
     if n < length:
         return None
@@ -135,7 +159,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, hash
     a = anchor[first]
     shape = ((last - first + 1).astype(np.uint64) << np.uint64(32)) | (a - first).astype(np.uint64)
     segment = mix64(hasher.at(prefix, first, last + length) + mix64(shape))
-    return row[first], first - offsets[row[first]], last - first + 1, grams[a], segment
+    return row[first], first - offsets[row[first]], last - first + 1, a - first, grams[a], segment
 
 
 def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
@@ -164,13 +188,13 @@ def _anchor_rows(length: int, gram: int):
                 found = _anchors(data[lo:hi], local, length, gram, hasher)
                 if found is None:
                     continue
-                row, start, windows, h, segment = found
+                row, start, windows, lead, h, segment = found
                 shift = lo - offsets[a] if b == a + 1 else 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(segment.view(np.int64)),
                      pa.array(ids[a + row]), pa.array(start + shift),
-                     pa.array(windows.astype(np.int32))],
-                    names=["h", "seg", "doc", "pos", "windows"])
+                     pa.array(windows.astype(np.int32)), pa.array(lead.astype(np.int32))],
+                    names=["h", "seg", "doc", "pos", "windows", "lead"])
     return run
 
 
@@ -184,8 +208,8 @@ def _segment_texts(batches):
         lists = batch.column(2)
         wants = lists.flatten()
         counts = np.diff(lists.offsets.to_numpy())
-        h, pos, size, windows = (wants.field(k).to_numpy(zero_copy_only=False)
-                                 for k in ("h", "pos", "size", "windows"))
+        h, pos, size, windows, lead = (wants.field(k).to_numpy(zero_copy_only=False)
+                                       for k in ("h", "pos", "size", "windows", "lead"))
         row = np.repeat(np.arange(len(docs)), counts)
         for lo in range(0, len(row), 50_000):
             part = slice(lo, lo + 50_000)
@@ -193,8 +217,40 @@ def _segment_texts(batches):
             raw = [data[s:s + n].tobytes() for s, n in zip(at, size[part], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[part]), pa.array(docs[row[part]]), pa.array(pos[part]),
-                 pa.array(windows[part]), pa.array(raw, pa.binary())],
-                names=["h", "doc", "pos", "windows", "raw"])
+                 pa.array(windows[part]), pa.array(lead[part]), pa.array(raw, pa.binary())],
+                names=SEGMENT)
+
+
+def _cores(windows: int, lead: int, length: int, gram: int):
+    """The windows of a segment by how far they reach left of the anchor, in ``RANGES``
+    ranges: (range, first window, number of windows, from byte, to byte), the bytes
+    being those that all windows of the range cover."""
+    spare = length - gram
+    step = -(-(spare + 1) // RANGES)
+    for k in range(RANGES):
+        lo, hi = k * step, min((k + 1) * step - 1, spare)
+        a, b = max(lead - hi, 0), min(lead - lo, windows - 1)
+        if a <= b:
+            yield k, a, b - a + 1, lead - lo, lead + gram + spare - hi
+
+
+def _trimmed(rows: list[tuple], length: int, gram: int) -> list[tuple]:
+    """A class's segments, cut to the windows whose cores occur in another segment of
+    the class too; the others can't be equal to anything."""
+    seen: dict[tuple, int] = {}
+    cores = []
+    for _, _, windows, lead, raw in rows:
+        own = [(a, n, (k, raw[x:y])) for k, a, n, x, y in _cores(windows, lead, length, gram)]
+        cores.append(own)
+        for _, _, key in own:
+            seen[key] = seen.get(key, 0) + 1
+    out = []
+    for (doc, pos, _, _, raw), own in zip(rows, cores, strict=True):
+        kept = [(a, n) for a, n, key in own if seen[key] > 1]
+        if kept:
+            a, b = min(a for a, _ in kept), max(a + n for a, n in kept)
+            out.append((doc, pos + a, b - a, raw[a:b + length - 1]))
+    return out
 
 
 def _block_repeats(rows: list[tuple], length: int) -> list[tuple[int, int, int]]:
@@ -202,11 +258,11 @@ def _block_repeats(rows: list[tuple], length: int) -> list[tuple[int, int, int]]
     codes, owner, base = [], [], []
     for k, (_, _, _, raw) in enumerate(rows):
         base.append(len(codes))
-        codes.extend(c + 2 for c in raw)
-        codes.append(1)
+        codes.extend(raw)
+        codes.append(-1)
         owner.extend([k] * (len(raw) + 1))
+    codes.append(-2)
     text = b"\x00".join(r[3] for r in rows)
-    codes.append(0)
     run: list[tuple[int, int]] = []
     found = []
 
@@ -241,7 +297,7 @@ def _merge(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return [tuple(x) for x in out]
 
 
-def _sorted_blocks(length: int):
+def _sorted_blocks(length: int, gram: int):
     """Rows arrive ordered by class; whole classes are gathered into blocks."""
     def run(batches):
         import pyarrow as pa
@@ -253,20 +309,46 @@ def _sorted_blocks(length: int):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (d, s, e)],
                                                  names=["doc", "start", "end"])
 
-        block, size, last = [], 0, None
+        block, size, last, held = [], 0, None, []
         for batch in batches:
-            for h, doc, pos, windows, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if h != last and size >= BLOCK_BYTES:
-                    yield from emit(block)
-                    block, size = [], 0
-                last = h
-                block.append((doc, pos, windows, raw))
-                size += len(raw)
+            for h, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if h != last:
+                    more = _trimmed(held, length, gram)
+                    block += more
+                    size += sum(len(r[3]) for r in more)
+                    held, last = [], h
+                    if size >= BLOCK_BYTES:
+                        yield from emit(block)
+                        block, size = [], 0
+                held.append(tuple(row))
+        block += _trimmed(held, length, gram)
         if block:
             yield from emit(block)
     return run
 
 
+def _core_rows(length: int, gram: int):
+    """Segments of large classes cut into their ranges, classed anew by their cores."""
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            out: list[list] = [[] for _ in SEGMENT]
+            for h, doc, pos, windows, lead, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for k, a, n, x, y in _cores(windows, lead, length, gram):
+                    key = hashlib.blake2b(raw[x:y], digest_size=8, key=k.to_bytes(1, "little")).digest()
+                    row = (int.from_bytes(key, "little", signed=True), doc, pos + a, n, lead - a,
+                           raw[a:a + n + length - 1])
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
+                                             names=SEGMENT)
+    return run
+
+
 def _window_keys(length: int):
     """Each window of the large classes with a 128-bit hash of its bytes."""
     def run(batches):
@@ -274,7 +356,7 @@ def _window_keys(length: int):
 
         one, two = RollingHash(), RollingHash(0xD6E8FEB86659FD93)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(4))
+            data, offsets = text_bytes(batch.column(5))
             doc, pos, windows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
             for a, b in row_chunks(offsets, CHUNK):
                 piece = data[offsets[a]:offsets[b]]
@@ -289,36 +371,45 @@ def _window_keys(length: int):
     return run
 
 
+def _class_sizes(segments: DataFrame) -> DataFrame:
+    """Classes of more than one segment."""
+    return (segments.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+            .select(F.col("h").alias("h2"), "n"))
+
+
 def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32,
                    class_limit: int = CLASS_LIMIT) -> tuple[DataFrame, list[DataFrame]]:
     """(doc, start, end) byte ranges covered by a ``length``-byte string that also
     starts earlier; ranges of a document may overlap.  Second: the stage tables read."""
-    seg_schema = "h long, seg long, doc long, pos long, windows int"
+    seg_schema = "h long, seg long, doc long, pos long, windows int, lead int"
     anchors = stage_table(docs.mapInArrow(_anchor_rows(length, gram), seg_schema), "anchors")
     often = stage_table(anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
                         .select(F.col("h").alias("h2")), "often")
     again = stage_table(anchors.join(often, F.col("h") == F.col("h2"), "left_semi"), "again")
     drop_stage(anchors, often)
-    first = stage_table(again.groupBy("h", "seg").agg(F.min(F.struct("doc", "pos", "windows")).alias("w"))
+    first = stage_table(again.groupBy("h", "seg")
+                        .agg(F.min(F.struct("doc", "pos", "windows", "lead")).alias("w"))
                         .select("h", "seg", "w.*"), "first")
     whole = (again.alias("a").join(first.alias("f"), ["h", "seg"])
              .filter("a.doc <> f.doc OR a.pos <> f.pos")
              .select("a.doc", F.col("a.pos").alias("start"),
                      (F.col("a.pos") + F.col("a.windows") + (length - 1)).alias("end")))
-    classes = stage_table(first.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
-                          .withColumnRenamed("h", "h2"), "classes")
+    classes = stage_table(_class_sizes(first), "classes")
     wanted = (first.join(classes, F.col("h") == F.col("h2"))
               .groupBy("doc").agg(F.collect_list(F.struct(
-                  "h", "pos", (F.col("windows") + (length - 1)).alias("size"), "windows")).alias("wants")))
-    raw_schema = "h long, doc long, pos long, windows int, raw binary"
+                  "h", "pos", (F.col("windows") + (length - 1)).alias("size"), "windows", "lead")).alias("wants")))
+    raw_schema = "h long, doc long, pos long, windows int, lead int, raw binary"
     raw = stage_table(docs.withColumnRenamed("doc", "doc2").join(wanted, F.col("doc2") == F.col("doc"))
                       .select("doc", "text", "wants").mapInArrow(_segment_texts, raw_schema), "segments")
     sized = raw.join(classes, F.col("h") == F.col("h2"))
-    span_schema = "doc long, start long, end long"
-    small = sized.filter(F.col("n") <= class_limit).select("h", "doc", "pos", "windows", "raw")
+    cores = stage_table(sized.filter(F.col("n") > class_limit).select(*SEGMENT)
+                        .mapInArrow(_core_rows(length, gram), raw_schema), "cores")
+    core_sized = cores.join(_class_sizes(cores), F.col("h") == F.col("h2"))
+    small = (sized.filter(F.col("n") <= class_limit)
+             .unionByName(core_sized.filter(F.col("n") <= class_limit)).select(*SEGMENT))
     sorted_ = (small.repartition("h").sortWithinPartitions("h")
-               .mapInArrow(_sorted_blocks(length), span_schema))
-    keys = (sized.filter(F.col("n") > class_limit).select("h", "doc", "pos", "windows", "raw")
+               .mapInArrow(_sorted_blocks(length, gram), "doc long, start long, end long"))
+    keys = (core_sized.filter(F.col("n") > class_limit).select(*SEGMENT)
             .mapInArrow(_window_keys(length), "k1 long, k2 long, doc long, pos long"))
     keys = stage_table(keys, "windows")
     least = keys.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("w")).select("k1", "k2", "w.*")
@@ -326,7 +417,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32,
              .filter("a.doc <> f.doc OR a.pos <> f.pos")
              .select("a.doc", F.col("a.pos").alias("start"), (F.col("a.pos") + length).alias("end")))
     spans = stage_table(whole.unionByName(sorted_).unionByName(large), "spans")
-    drop_stage(again, first, raw, classes, keys)
+    drop_stage(again, first, raw, classes, cores, keys)
     return spans, [spans]
 
 
