@@ -62,6 +62,12 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
 
 
+def op9_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlens.llm.pii import personal_data
 
@@ -69,7 +75,8 @@ def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op5_jaccard_join,
-           op6_importance, op7_label_shards, op8_token_planes, op10_contextual_pii)
+           op6_importance, op7_label_shards, op8_token_planes, op9_conflict_packing,
+           op10_contextual_pii)
 
 
 def queries() -> dict[str, Query]:
