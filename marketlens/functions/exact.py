@@ -11,25 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed-point digits kept when money is summed: prices and freight carry at most
-# four decimals (two-decimal price times two-decimal rate).
-MONEY_DIGITS = 4
-_MONEY_SCALE = 10 ** MONEY_DIGITS
+# Money is summed as a decimal with 12 places, which keeps every digit of an amount up to
+# 10^26, and rounded once, at output, to MONEY_DIGITS places.
+MONEY_TYPE = "decimal(38,12)"
+MONEY_DIGITS = 8
 
 
-def money_units(amount: Column) -> Column:
-    """Money as an exact integer count of 1/10^4 units."""
-    return F.round(amount * F.lit(float(_MONEY_SCALE))).cast("long")
+def money(amount: Column) -> Column:
+    """An amount as an exact decimal; NULL for what is no finite amount (the load rule
+    ``value_violations`` reports those)."""
+    return amount.try_cast(MONEY_TYPE)
 
 
-def money_from_units(units: Column) -> Column:
-    """Integer units back to a double amount (one correctly rounded division)."""
-    return units.cast("double") / F.lit(float(_MONEY_SCALE))
-
-
-def money_sum(amount: Column) -> Column:
-    """Exact sum of a money column, returned as double."""
-    return money_from_units(F.sum(money_units(amount)))
+def money_out(total: Column) -> Column:
+    """A decimal total back as a double, rounded."""
+    return F.round(total.cast("double"), MONEY_DIGITS)
 
 
 def exact_mean(value: Column, wide: bool = False) -> Column:
@@ -56,7 +52,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 def _floor_div(a: Column, b: Column) -> Column:
     """Floor division of non-negative integers by positive integers, exact."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    return F.call_function("div", a, b)
 
 
 def percent_rounded(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -67,6 +63,6 @@ def percent_rounded(part: Column, whole: Column, digits: int = 2) -> Column:
     Rounding the double instead would disagree at exact halves.
     """
     scale = 10 ** digits
-    a = part.cast("long") * F.lit(2 * 100 * scale) + whole.cast("long")
-    b = whole.cast("long") * F.lit(2)
+    a = part.cast("decimal(30,0)") * F.lit(2 * 100 * scale) + whole
+    b = whole.cast("decimal(30,0)") * F.lit(2)
     return _floor_div(a, b).cast("double") / F.lit(float(scale))

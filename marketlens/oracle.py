@@ -1,14 +1,14 @@
 """DuckDB SQL equal to each registered query, over the driver's parquet views.
 
-Every statement starts with the stand-in tables as CTEs (FIXTURES.md section 4) and
-then states the query as plain join-then-aggregate SQL over the fan-out rows (not
-the pre-aggregated Spark plans), so it checks those plans independently.  Type casts only align result types
-between the engines (DuckDB widens sums to HUGEINT and EXTRACT to BIGINT); money
-sums are exact decimal sums, as in the Spark code.
+Every statement starts with the stand-in tables as CTEs (FIXTURES.md section 4); the
+business queries' bodies are in ``oracle_marts``.  Type casts only align result types
+between the engines (DuckDB widens sums to HUGEINT and EXTRACT to BIGINT).
 """
 
 from __future__ import annotations
 
+from marketlens import oracle_marts as marts
+
 BASE_CTES = """
 st_orders AS (
   SELECT o_orderkey AS order_id, o_orderkey AS customer_id, o_orderstatus AS order_status,
@@ -124,284 +124,8 @@ def with_standins(body: str) -> str:
     return "WITH " + STANDIN_CTES.strip() + "\n" + body
 
 
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-
-BEST_SELLERS = with_standins(""",
-seller_rows AS (
-  SELECT li.seller_id, li.order_id, sl.seller_zip_code_prefix AS zip_code, sl.seller_state AS state,
-         sl.seller_city AS city, geo.geolocation_lat, geo.geolocation_lng, rv.review_score AS score,
-         od.order_delivered_customer_date AS delivered_at, od.order_estimated_delivery_date AS due_at
-  FROM st_order_items li
-  JOIN st_orders od ON od.order_id = li.order_id
-  JOIN st_sellers sl ON sl.seller_id = li.seller_id
-  LEFT JOIN st_geolocation geo ON geo.geolocation_zip_code_prefix = sl.seller_zip_code_prefix
-  LEFT JOIN st_order_reviews rv ON rv.order_id = li.order_id),
-seller_stats AS (
-  SELECT seller_id, zip_code, state, city, geolocation_lat, geolocation_lng,
-         COUNT(order_id) AS n_orders,
-         AVG(score) AS average_score,
-         CAST(COUNT(*) FILTER (WHERE score < 3) AS DOUBLE) * 100.0 / COUNT(order_id) AS perc_negative_reviews,
-         CAST(COUNT(*) FILTER (WHERE delivered_at > due_at) AS DOUBLE) * 100.0
-           / NULLIF(COUNT(DISTINCT order_id), 0) AS perc_delays,
-         AVG(EXTRACT(DAY FROM delivered_at - due_at)) FILTER (WHERE delivered_at > due_at) AS average_delay_days
-  FROM seller_rows
-  GROUP BY seller_id, zip_code, state, city, geolocation_lat, geolocation_lng)
-SELECT * FROM seller_stats
-WHERE COLUMNS(*) IS NOT NULL
-ORDER BY n_orders DESC, average_score DESC
-""")
-
-REVIEWS = with_standins("""
-SELECT rv.review_comment_message, rv.review_score,
-       CAST(COALESCE(rv.review_score >= 3, FALSE) AS INTEGER) AS is_positive
-FROM st_order_reviews rv
-WHERE rv.review_comment_message IS NOT NULL
-""")
-
-CUSTOMERS_DISTRIBUTION = with_standins(""",
-spend AS (
-  SELECT cu.customer_unique_id, cu.customer_zip_code_prefix, cu.customer_city, cu.customer_state,
-         geo.geolocation_lat AS lat, geo.geolocation_lng AS lng,
-         CAST(li.price + li.freight_value AS DECIMAL(18,4)) AS amount
-  FROM st_customers cu
-  JOIN st_geolocation geo ON geo.geolocation_zip_code_prefix = cu.customer_zip_code_prefix
-  JOIN st_orders od ON od.customer_id = cu.customer_id
-  JOIN st_order_items li ON li.order_id = od.order_id)
-SELECT customer_unique_id, customer_zip_code_prefix, customer_city, customer_state, lat, lng,
-       CAST(SUM(amount) AS DOUBLE) AS spesa_totale
-FROM spend
-GROUP BY ALL
-ORDER BY spesa_totale DESC
-""")
-
-DELAYS_BY_STATE = with_standins(""",
-item_lateness AS (
-  SELECT sl.seller_state,
-         CAST(od.order_estimated_delivery_date < od.order_delivered_customer_date AS INTEGER) AS late_flag
-  FROM st_order_items li
-  JOIN st_sellers sl ON sl.seller_id = li.seller_id
-  JOIN st_orders od ON od.order_id = li.order_id),
-per_state AS (
-  SELECT seller_state, CAST(COALESCE(SUM(late_flag), 0) AS BIGINT) AS number_of_delays,
-         COUNT(*) AS number_of_orders
-  FROM item_lateness GROUP BY seller_state)
-SELECT seller_state, number_of_delays, number_of_orders,
-       CAST((number_of_delays * 20000 + number_of_orders) // (2 * number_of_orders) AS DOUBLE) / 100
-         AS percentage_of_delays
-FROM per_state
-ORDER BY number_of_delays DESC
-""")
-
-_MONTH_COUNTS = ",\n       ".join(
-    f"COUNT(*) FILTER (WHERE sale_month = {i + 1}) AS sold_in_{m}" for i, m in enumerate(MONTHS))
-
-SALES_BY_CATEGORY_MONTH = with_standins(f""",
-sold AS (
-  SELECT pc.product_category_name_english AS category, month(od.order_purchase_timestamp) AS sale_month
-  FROM st_order_items li
-  JOIN st_orders od ON od.order_id = li.order_id
-  JOIN st_products pr ON pr.product_id = li.product_id
-  JOIN st_prodcategory pc ON pc.product_category_name = pr.product_category_name)
-SELECT category,
-       {_MONTH_COUNTS},
-       COUNT(*) AS total_sold
-FROM sold
-GROUP BY category
-""")
-
-
-def _mean_seconds(start: str, end: str) -> str:
-    span = f"(epoch_us({end}) - epoch_us({start}))"
-    return f"CAST(SUM({span}) AS DOUBLE) / COUNT({span}) / 1e6"
-
-
-DELAY_STATS = with_standins(f""",
-dom_late AS (
-  SELECT li.seller_id, od.*
-  FROM st_orders od JOIN st_order_items li ON li.order_id = od.order_id
-  WHERE day(od.order_delivered_customer_date) > day(od.order_estimated_delivery_date))
-SELECT seller_id,
-       COUNT(*) FILTER (WHERE order_estimated_delivery_date < order_delivered_customer_date) AS number_of_delays,
-       COUNT(*) AS total_orders,
-       {_mean_seconds('order_purchase_timestamp', 'order_approved_at')} AS avg_seller_response_time_seconds,
-       {_mean_seconds('order_approved_at', 'order_delivered_carrier_date')} AS carrier_delivery_time_seconds,
-       {_mean_seconds('order_delivered_carrier_date', 'order_delivered_customer_date')} AS customer_delivery_time_seconds
-FROM dom_late
-GROUP BY seller_id
-ORDER BY number_of_delays DESC
-""")
-
-_NETWORK_CTES = """,
-late_pairs AS (
-  SELECT li.seller_id, od.customer_id
-  FROM st_order_items li JOIN st_orders od ON od.order_id = li.order_id
-  WHERE day(od.order_estimated_delivery_date) < day(od.order_delivered_customer_date)),
-seller_view AS (
-  SELECT lp.seller_id, lp.customer_id, sl.seller_city, sl.seller_state,
-         g.geolocation_lat AS seller_lat, g.geolocation_lng AS seller_lng
-  FROM late_pairs lp
-  JOIN st_sellers sl ON sl.seller_id = lp.seller_id
-  JOIN st_customers cu ON cu.customer_id = lp.customer_id
-  JOIN st_geolocation g ON g.geolocation_zip_code_prefix = sl.seller_zip_code_prefix),
-customer_view AS (
-  SELECT lp.seller_id, lp.customer_id, cu.customer_city, cu.customer_state,
-         g.geolocation_lat AS customer_lat, g.geolocation_lng AS customer_lng
-  FROM late_pairs lp
-  JOIN st_sellers sl ON sl.seller_id = lp.seller_id
-  JOIN st_customers cu ON cu.customer_id = lp.customer_id
-  JOIN st_geolocation g ON g.geolocation_zip_code_prefix = cu.customer_zip_code_prefix)
-"""
-
-NETWORK_DELAY = with_standins(_NETWORK_CTES + """
-SELECT sv.seller_id, sv.seller_city, sv.seller_state, sv.seller_lat, sv.seller_lng,
-       cv.customer_id, cv.customer_city, cv.customer_state, cv.customer_lat, cv.customer_lng
-FROM seller_view sv
-JOIN customer_view cv ON cv.seller_id = sv.seller_id AND cv.customer_id = sv.customer_id
-""")
-
-NETWORK_DELAY_PAIRS = with_standins(_NETWORK_CTES + """,
-seller_side AS (SELECT *, COUNT(*) OVER (PARTITION BY seller_id, customer_id) AS n FROM seller_view),
-customer_side AS (SELECT *, COUNT(*) OVER (PARTITION BY seller_id, customer_id) AS n FROM customer_view)
-SELECT DISTINCT ss.seller_id, ss.seller_city, ss.seller_state, ss.seller_lat, ss.seller_lng,
-       cs.customer_id, cs.customer_city, cs.customer_state, cs.customer_lat, cs.customer_lng,
-       ss.n AS n_items, ss.n * cs.n AS n_rows
-FROM seller_side ss
-JOIN customer_side cs ON cs.seller_id = ss.seller_id AND cs.customer_id = ss.customer_id
-""")
-
-DELAY_REVIEW_CORRELATION = with_standins("""
-SELECT od.order_id,
-       CAST(EXTRACT(DAY FROM od.order_delivered_customer_date - od.order_estimated_delivery_date) AS INTEGER)
-         AS delivery_delay,
-       rv.review_score
-FROM st_order_reviews rv
-JOIN st_orders od ON od.order_id = rv.order_id
-WHERE rv.review_score IS NOT NULL
-  AND od.order_delivered_customer_date IS NOT NULL
-  AND od.order_estimated_delivery_date IS NOT NULL
-ORDER BY delivery_delay DESC, rv.review_score DESC
-""")
-
-NEGATIVE_REVIEWS = with_standins("""
-SELECT review_comment_message, review_score
-FROM st_order_reviews
-WHERE review_score <= 2 AND review_comment_message IS NOT NULL
-""")
-
-PRODUCT_REVIEWS = with_standins(""",
-scored_items AS (
-  SELECT li.product_id, pc.product_category_name_english, rv.review_score
-  FROM st_order_reviews rv
-  JOIN st_order_items li ON li.order_id = rv.order_id
-  JOIN st_products pr ON pr.product_id = li.product_id
-  JOIN st_prodcategory pc ON pc.product_category_name = pr.product_category_name
-  WHERE rv.review_score IS NOT NULL)
-SELECT product_id, product_category_name_english, AVG(review_score) AS avg_score
-FROM scored_items
-GROUP BY ALL
-ORDER BY avg_score DESC
-""")
-
-
 def rmf_sql(snapshot: str = "2000-01-01", control: str = "2000-07-01") -> str:
-    return with_standins(f""",
-last_before_control AS (
-  SELECT cu.customer_unique_id, MAX(od.order_purchase_timestamp) AS control_last
-  FROM st_orders od JOIN st_customers cu ON cu.customer_id = od.customer_id
-  WHERE od.order_purchase_timestamp < TIMESTAMP '{control}'
-  GROUP BY cu.customer_unique_id),
-fanout AS (
-  SELECT cu.customer_unique_id, od.order_id, od.order_purchase_timestamp AS bought_at,
-         pay.payment_value, rv.review_score,
-         CASE WHEN od.order_delivered_customer_date > od.order_estimated_delivery_date
-              THEN EXTRACT(DAY FROM od.order_delivered_customer_date - od.order_estimated_delivery_date)
-              ELSE 0 END AS late_days
-  FROM st_orders od
-  JOIN st_customers cu ON cu.customer_id = od.customer_id
-  JOIN st_order_payments pay ON pay.order_id = od.order_id
-  JOIN st_order_reviews rv ON rv.order_id = od.order_id
-  WHERE od.order_purchase_timestamp <= TIMESTAMP '{snapshot}')
-SELECT f.customer_unique_id,
-       CAST(EXTRACT(DAY FROM TIMESTAMP '{snapshot}' - MAX(f.bought_at)) AS INTEGER) AS recency,
-       COUNT(f.order_id) AS frequency,
-       CAST(SUM(CAST(f.payment_value AS DECIMAL(18,4))) AS DOUBLE) AS monetary,
-       AVG(f.review_score) AS average_score,
-       AVG(f.late_days) AS average_delay_days,
-       CAST(MAX(f.bought_at) <> lc.control_last AS INTEGER) AS churned
-FROM fanout f
-JOIN last_before_control lc ON lc.customer_unique_id = f.customer_unique_id
-GROUP BY f.customer_unique_id, lc.control_last
-ORDER BY churned DESC
-""")
-
-
-_PERSON_MONTH_CTES = """,
-person_first AS (
-  SELECT cu.customer_unique_id AS person,
-         CAST(date_trunc('month', MIN(od.order_purchase_timestamp)) AS DATE) AS first_month
-  FROM st_orders od JOIN st_customers cu ON cu.customer_id = od.customer_id
-  GROUP BY cu.customer_unique_id),
-months AS (
-  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL '1 month')) AS DATE) AS purchase_month
-  FROM (SELECT MIN(first_month) AS lo, MAX(first_month) AS hi FROM person_first))
-"""
-
-_RETURNS = ",\n       ".join(
-    f"COUNT(DISTINCT ac.person) FILTER (WHERE ac.active_month = CAST(mo.purchase_month + INTERVAL '{k} month' AS DATE))"
-    f" AS still_active_{k}m" for k in range(1, 13))
-
-COHORT = with_standins(_PERSON_MONTH_CTES + f""",
-active AS (
-  SELECT DISTINCT cu.customer_unique_id AS person,
-         CAST(date_trunc('month', od.order_purchase_timestamp) AS DATE) AS active_month
-  FROM st_orders od JOIN st_customers cu ON cu.customer_id = od.customer_id)
-SELECT mo.purchase_month,
-       COUNT(DISTINCT pf.person) AS new_clients,
-       {_RETURNS}
-FROM months mo
-LEFT JOIN person_first pf ON pf.first_month = mo.purchase_month
-LEFT JOIN active ac ON ac.person = pf.person
-GROUP BY mo.purchase_month
-ORDER BY mo.purchase_month
-""")
-
-MONTH_SPINE = with_standins(_PERSON_MONTH_CTES + """
-SELECT purchase_month AS calendar_month FROM months
-""")
-
-_TIE_ORDER = ", ".join(
-    ["bought_at", "order_id"] + [f"{c} NULLS FIRST" for c in (
-        "order_item_id", "product_id", "seller_id", "price", "freight_value", "review_id",
-        "review_score", "payment_sequential", "payment_installments", "payment_type", "payment_value")])
-
-FIRST_ORDER_ANALYSIS = with_standins(f""",
-star AS (
-  SELECT cu.customer_unique_id, cu.customer_state, od.order_id, od.order_purchase_timestamp AS bought_at,
-         CAST(CASE WHEN od.order_estimated_delivery_date < od.order_delivered_customer_date
-                   THEN EXTRACT(DAY FROM od.order_delivered_customer_date - od.order_estimated_delivery_date)
-                   ELSE 0 END AS INTEGER) AS delay,
-         rv.review_id, rv.review_score, li.order_item_id, li.product_id, li.seller_id, li.price,
-         li.freight_value, pr.product_category_name, sl.seller_state, pay.payment_sequential,
-         pay.payment_installments, pay.payment_type, pay.payment_value
-  FROM st_orders od
-  JOIN st_customers cu ON cu.customer_id = od.customer_id
-  LEFT JOIN st_order_reviews rv ON rv.order_id = od.order_id
-  LEFT JOIN st_order_items li ON li.order_id = od.order_id
-  LEFT JOIN st_products pr ON pr.product_id = li.product_id
-  LEFT JOIN st_sellers sl ON sl.seller_id = li.seller_id
-  LEFT JOIN st_order_payments pay ON pay.order_id = od.order_id),
-ranked AS (
-  SELECT *, row_number() OVER per_person AS pos, lead(bought_at) OVER per_person AS next_bought_at
-  FROM star
-  WINDOW per_person AS (PARTITION BY customer_unique_id ORDER BY {_TIE_ORDER}))
-SELECT customer_unique_id, delay, review_score, product_category_name,
-       freight_value / NULLIF(price, 0) AS delivery_cost_percentage, payment_installments,
-       CAST(COALESCE(customer_state <> seller_state, FALSE) AS INTEGER) AS interstate_shipping,
-       CAST(COALESCE(next_bought_at < bought_at + INTERVAL 90 DAY, FALSE) AS INTEGER) AS came_back_in_3_months
-FROM ranked
-WHERE pos = 1
-ORDER BY customer_unique_id
-""")
+    return with_standins(marts.rmf_body(snapshot, control))
 
 
 from marketlens.sources.schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS  # noqa: E402
@@ -514,22 +238,22 @@ ORACLE: dict[str, str] = {
     "fk_violations": _fk_sql(),
     "length_violations": _length_sql(),
     "load_report": _load_report_sql(),
-    "month_spine": MONTH_SPINE,
+    "month_spine": with_standins(marts.MONTH_SPINE),
     "stage_durations": STAGE_DURATIONS,
-    "best_sellers": BEST_SELLERS,
-    "reviews": REVIEWS,
-    "customers_distribution": CUSTOMERS_DISTRIBUTION,
-    "delays_by_state": DELAYS_BY_STATE,
-    "sales_by_category_month": SALES_BY_CATEGORY_MONTH,
-    "delay_stats": DELAY_STATS,
-    "network_delay": NETWORK_DELAY,
-    "network_delay_pairs": NETWORK_DELAY_PAIRS,
-    "delay_review_correlation": DELAY_REVIEW_CORRELATION,
-    "negative_reviews": NEGATIVE_REVIEWS,
-    "product_reviews": PRODUCT_REVIEWS,
+    "best_sellers": with_standins(marts.BEST_SELLERS),
+    "reviews": with_standins(marts.REVIEWS),
+    "customers_distribution": with_standins(marts.CUSTOMERS_DISTRIBUTION),
+    "delays_by_state": with_standins(marts.DELAYS_BY_STATE),
+    "sales_by_category_month": with_standins(marts.SALES_BY_CATEGORY_MONTH),
+    "delay_stats": with_standins(marts.DELAY_STATS),
+    "network_delay": with_standins(marts.NETWORK_DELAY),
+    "network_delay_pairs": with_standins(marts.NETWORK_DELAY_PAIRS),
+    "delay_review_correlation": with_standins(marts.DELAY_REVIEW_CORRELATION),
+    "negative_reviews": with_standins(marts.NEGATIVE_REVIEWS),
+    "product_reviews": with_standins(marts.PRODUCT_REVIEWS),
     "rmf_per_client": rmf_sql(),
-    "cohort": COHORT,
-    "first_order_analysis": FIRST_ORDER_ANALYSIS,
+    "cohort": with_standins(marts.COHORT),
+    "first_order_analysis": with_standins(marts.FIRST_ORDER_ANALYSIS),
 }
 
 

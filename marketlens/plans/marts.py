@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.exact import (
-    exact_mean, money_from_units, money_units, percent, percent_rounded, ratio_mean,
+    MONEY_TYPE, exact_mean, money, money_out, percent, percent_rounded, ratio_mean,
 )
 from marketlens.functions.timecols import micros_between, month_floor, whole_days
 from marketlens.operators.expand import repeat_squared
@@ -140,17 +140,17 @@ def reviews(m: Marketplace) -> DataFrame:
 def customers_distribution(m: Marketplace) -> DataFrame:
     """K3: spend (price + freight) per person and place; one row per place of a person."""
     spend_per_order = m.order_items.groupBy("order_id").agg(
-        F.sum(money_units(F.col("price") + F.col("freight_value"))).alias("units"))
+        F.sum(money(F.col("price") + F.col("freight_value"))).alias("spent"))
     spend_per_customer_id = (m.orders.select("order_id", "customer_id")
                              .join(spend_per_order, "order_id")
-                             .groupBy("customer_id").agg(F.sum("units").alias("units")))
+                             .groupBy("customer_id").agg(F.sum("spent").alias("spent")))
     c, geo = m.customers, m.geolocation
     return (c.join(geo, c.customer_zip_code_prefix == geo.geolocation_zip_code_prefix)
             .join(spend_per_customer_id, "customer_id")
             .groupBy("customer_unique_id", "customer_zip_code_prefix", "customer_city",
                      "customer_state", F.col("geolocation_lat").alias("lat"),
                      F.col("geolocation_lng").alias("lng"))
-            .agg(money_from_units(F.sum("units")).alias("spesa_totale"))
+            .agg(money_out(F.sum("spent")).alias("spesa_totale"))
             .orderBy(F.desc_nulls_first("spesa_totale")))
 
 
@@ -301,7 +301,7 @@ def rmf_per_client(m: Marketplace, snapshot="2018-01-01", control="2018-07-01")
     """
     snap, ctrl = _ts(snapshot), _ts(control)
     payments = m.order_payments.groupBy("order_id").agg(
-        F.count("*").alias("n_pay"), F.sum(money_units(F.col("payment_value"))).alias("pay_units"))
+        F.count("*").alias("n_pay"), F.sum(money(F.col("payment_value"))).alias("paid"))
     reviews_per_order = m.order_reviews.groupBy("order_id").agg(
         F.count("*").alias("n_rev"), F.sum(SCORE()).alias("score_sum"),
         F.count(SCORE()).alias("score_n"))
@@ -317,7 +317,7 @@ def rmf_per_client(m: Marketplace, snapshot="2018-01-01", control="2018-07-01")
         F.max(F.when(ts < ctrl, ts)).alias("last_before_control"),
         F.max(F.when(main, ts)).alias("last_main"),
         F.sum(F.when(main, rows)).alias("frequency"),
-        F.sum(F.when(main, F.col("pay_units") * F.col("n_rev"))).alias("monetary_units"),
+        F.sum(F.when(main, F.col("paid") * F.col("n_rev").cast("decimal(20,0)")).cast(MONEY_TYPE)).alias("money"),
         F.sum(F.when(main, F.col("score_sum") * F.col("n_pay"))).alias("score_sum"),
         F.sum(F.when(main, F.col("score_n") * F.col("n_pay"))).alias("score_n"),
         F.sum(F.when(main, F.col("delay_days") * rows)).alias("delay_sum"))
@@ -326,7 +326,7 @@ def rmf_per_client(m: Marketplace, snapshot="2018-01-01", control="2018-07-01")
             .select("customer_unique_id",
                     whole_days(snap, F.col("last_main")).alias("recency"),
                     "frequency",
-                    money_from_units(F.col("monetary_units")).alias("monetary"),
+                    money_out(F.col("money")).alias("monetary"),
                     ratio_mean(F.col("score_sum"), F.col("score_n")).alias("average_score"),
                     ratio_mean(F.col("delay_sum"), F.col("frequency")).alias("average_delay_days"),
                     F.when(F.col("last_main") == F.col("last_before_control"), 0)
