@@ -6,7 +6,6 @@ Layout:
   operators/  reusable DataFrame operators (keep-first dedup, key repair, quality
               rules, row expansion, text features, model training / scoring)
   plans/      the thirteen named business queries, one function each
-  streaming/  intentionally empty: the reference has no streaming operator
   runner      batch run of named queries with per-query fault isolation
 """
 

@@ -28,15 +28,11 @@ def money_out(total: Column) -> Column:
     return F.round(total.cast("double"), MONEY_DIGITS)
 
 
-def exact_mean(value: Column, wide: bool = False) -> Column:
-    """Mean of an integral column: exact integer sum, one division.
-
-    ``wide`` sums in ``decimal(38,0)`` for values whose sum may pass 2^63
-    (microsecond durations over very large groups).  NULLs are skipped; an all-NULL
-    group gives NULL.
-    """
-    total = F.sum(value.cast("decimal(38,0)")) if wide else F.sum(value)
-    return total.cast("double") / F.count(value)
+def weighted_mean(value: Column, weight: Column) -> Column:
+    """Mean of an integral column whose rows count ``weight`` times: exact decimal sums,
+    one division.  NULL values are skipped; a group without a value gives NULL."""
+    total = F.sum((value.cast("decimal(20,0)") * weight.cast("decimal(18,0)")).cast("decimal(38,0)"))
+    return total.cast("double") / F.sum(F.when(value.isNotNull(), weight))
 
 
 def ratio_mean(numerator_sum: Column, denominator_sum: Column) -> Column:

@@ -41,7 +41,3 @@ def micros_between(start: Column, end: Column) -> Column:
 def month_floor(ts: Column) -> Column:
     """First day of the month as a DATE (``date_trunc('month', ts)::date``)."""
     return F.trunc(ts, "month")
-
-
-def day_of_month(ts: Column) -> Column:
-    return F.dayofmonth(ts)

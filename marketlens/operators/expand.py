@@ -2,48 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest array any generator builds; longer runs are cut into chunks of this size.
-CHUNK = 65536
-# Rows repeated at least SPREAD_MIN^2 times are spread over the cluster first; the
-# others are expanded where they are, without a shuffle.
-SPREAD_MIN = 1024
+# Rows that one unit of work emits; also the longest array a generator builds.
+EMIT = 65536
 
 
-def _numbers(df: DataFrame, n: Column, out: str, spread_keys: list[str] | None) -> DataFrame:
-    """Add ``out`` = 1..n per row, never materialising an array longer than CHUNK:
-    first one row per chunk (ceil(n / CHUNK) of them), optionally hash-spread over
-    the cluster, then the numbers inside each chunk."""
-    chunk = f"{out}_chunk"
-    n_chunks = F.floor((n - 1) / F.lit(CHUNK)).cast("long")
-    chunks = df.withColumn(chunk, F.explode(F.sequence(F.lit(0).cast("long"), n_chunks)))
-    if spread_keys:
-        chunks = chunks.repartition(*[F.col(k) for k in spread_keys], F.col(chunk))
-    lo = F.col(chunk) * F.lit(CHUNK) + 1
-    hi = F.least(lo + F.lit(CHUNK - 1), n.cast("long"))
-    return chunks.withColumn(out, F.explode(F.sequence(lo, hi))).drop(chunk)
+def _numbers(upto) -> object:
+    """The array 0 .. upto - 1 (empty for 0)."""
+    whole = F.sequence(F.lit(0).cast("long"), F.greatest(upto - 1, F.lit(0)).cast("long"))
+    return F.when(upto > 0, whole).otherwise(F.array().cast("array<bigint>"))
 
 
-def repeat_squared(df: DataFrame, n_col: str, spread_keys: list[str] | None = None) -> DataFrame:
+def repeat_squared(df: DataFrame, n_col: str, spread_keys: list[str]) -> DataFrame:
     """Emit every row ``n * n`` times, where n = ``df[n_col]`` (rows with n < 1 emit
     nothing).
 
-    The n^2 copies are generated as n x n: two levels of numbers 1..n, each built in
-    chunks of at most CHUNK elements, so no row ever holds a large array.  With
-    ``spread_keys``, rows with n >= SPREAD_MIN have their first level hash-spread
-    before the second, so the n^2 output rows of a very large group are produced by
-    many tasks, not one; smaller rows are expanded in place.
+    A row is first cut into units that emit EMIT copies each (the last one fewer), units
+    are dealt over the cluster by ``spread_keys`` and their number, and each then emits
+    its copies.  So the copies of one very large group come from as many tasks as it
+    has units, whatever n is, and no array is longer than EMIT.
     """
-    n = F.col(n_col)
-
-    def expand(rows: DataFrame, spread: list[str] | None) -> DataFrame:
-        first = _numbers(rows, n, "_i", spread)
-        return _numbers(first, n, "_j", None).drop("_i", "_j")
-
-    if not spread_keys:
-        return expand(df.filter(n >= 1), None)
-    small = expand(df.filter((n >= 1) & (n < SPREAD_MIN)), None)
-    large = expand(df.filter(n >= SPREAD_MIN), spread_keys)
-    return small.unionByName(large)
+    n = F.greatest(F.col(n_col), F.lit(0)).cast("long")
+    total = n * n
+    units = F.ceil(total / F.lit(EMIT)).cast("long")
+    blocks = df.withColumn("_block", F.explode(_numbers(F.ceil(units / F.lit(EMIT)).cast("long"))))
+    in_block = F.least(units - F.col("_block") * EMIT, F.lit(EMIT).cast("long"))
+    cut = (blocks.withColumn("_unit", F.explode(_numbers(in_block)))
+           .withColumn("_unit", F.col("_block") * EMIT + F.col("_unit"))
+           .repartition(*spread_keys, "_unit"))
+    copies = F.least(total - F.col("_unit") * EMIT, F.lit(EMIT).cast("long"))
+    return cut.withColumn("_copy", F.explode(_numbers(copies))).drop("_block", "_unit", "_copy")

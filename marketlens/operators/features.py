@@ -74,8 +74,7 @@ def transform_tfidf(df: DataFrame, id_col: str, terms_col: str, vocab: DataFrame
     """(doc, term, term_index, weight) for vocabulary terms, each document's
     weights scaled to unit L2 norm.  Terms outside the vocabulary are ignored."""
     tf = document_terms(df, id_col, terms_col)
-    # The vocabulary is a top-N list (N = max_features): broadcasting it is bounded.
-    w = (tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")
+    w = (tf.join(vocab.select("term", "term_index", "idf"), "term")
          .withColumn("w", F.col("tf") * F.col("idf")))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", "term_index", (F.col("w") / norm).alias("weight"))
@@ -91,8 +90,7 @@ def class_weights(df: DataFrame, label_col: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label_col: str, weight_col: str = "weight") -> DataFrame:
     w = class_weights(df, label_col).select(label_col, F.col("weight").alias(weight_col))
-    # One row per label value (binary here): size-safe broadcast.
-    return df.join(F.broadcast(w), label_col, "left")
+    return df.join(w, label_col, "left")
 
 
 def assign_batches(df: DataFrame, id_col: str, batch_size: int = 32, seed: int = 42,
@@ -120,7 +118,7 @@ def assign_batches(df: DataFrame, id_col: str, batch_size: int = 32, seed: int =
         Window.partitionBy(*groups).orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1))).alias("_offset"))
     pos = F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_rn") - 1
-    return (ranked.join(F.broadcast(offsets), [*groups, "_bucket"])
+    return (ranked.join(offsets, [*groups, "_bucket"])
             .withColumn("position", pos.cast("long"))
             .withColumn("batch_id", F.floor(F.col("position") / F.lit(batch_size)).cast("long"))
             .drop("_h", "_bucket", "_rn", "_offset"))

@@ -17,7 +17,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.features import fit_tfidf, with_class_weights
+from marketlens.operators.features import fit_tfidf
 
 
 def tfidf_vectorizer(vocab: DataFrame, terms_col: str, features_col: str = "features") -> PipelineModel:
@@ -37,32 +37,25 @@ def tfidf_vectorizer(vocab: DataFrame, terms_col: str, features_col: str = "feat
 
 def fit_sentiment_model(train: DataFrame, id_col: str, terms_col: str, label_col: str,
                         max_features: int = 5000, C: float = 1.0, max_iter: int = 100,
-                        tol: float = 1e-4) -> PipelineModel:
+                        tol: float = 1e-4, aggregation_depth: int = 2) -> PipelineModel:
     """J6 + J8 + J9: TF-IDF vocabulary and a class-balanced logistic regression fitted
     on ``train``; returns one PipelineModel (vectoriser + classifier) for scoring."""
     vocab = fit_tfidf(train, id_col, terms_col, max_features)
     vectorizer = tfidf_vectorizer(vocab, terms_col)
-    weighted = vectorizer.transform(with_class_weights(train, label_col, "weight")) \
+    counts = {r[label_col]: r["n"] for r in train.groupBy(label_col).agg(F.count("*").alias("n")).collect()}
+    n = sum(counts.values())  # the sum of the balanced weights
+    weight = F.lit(None).cast("double")
+    for label, n_label in counts.items():  # one row a class
+        weight = F.when(F.col(label_col).eqNullSafe(F.lit(label)), n / (len(counts) * n_label)).otherwise(weight)
+    weighted = vectorizer.transform(train.withColumn("weight", weight)) \
         .withColumn("_label", F.col(label_col).cast("double"))
-    n = train.count()  # sum of balanced weights
-    # The iterative fit runs one job per L-BFGS step: one partition per core (never
-    # more than the data has) keeps each step to one task per core.
-    cores = _cores(train)
-    if cores:
-        weighted = weighted.coalesce(cores)
     lr = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="weight",
                             regParam=1.0 / (C * max(n, 1)), elasticNetParam=0.0,
-                            standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol)
+                            standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol,
+                            aggregationDepth=aggregation_depth)
     return PipelineModel([*vectorizer.stages, lr.fit(weighted)])
 
 
-def _cores(df: DataFrame) -> int | None:
-    try:
-        return df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: leave the partitioning as it is  # noqa: BLE001
-        return None
-
-
 def score(model: PipelineModel, df: DataFrame, logit_col: str = "logit") -> DataFrame:
     """Apply the fitted pipeline; adds the logit, the positive-class probability
     (sigmoid) and the 0/1 prediction (probability > 0.5)."""
@@ -96,13 +89,17 @@ def binary_metrics(df: DataFrame, logit_col: str, label_col: str,
     keys = list(group_cols or [])
     if not keys:  # one result row: join the two aggregates on a constant key
         base, keys = base.withColumn("_all", F.lit(0)), ["_all"]
-    overall = base.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("_hit").alias("accuracy"),
-                                      F.avg("_loss").alias("bce_loss"))
     if not batch_col:
-        return overall.drop("_all")
-    per_batch = base.groupBy(*keys, batch_col).agg(F.avg("_loss").alias("_bl"))
-    batched = per_batch.groupBy(*keys).agg(F.avg("_bl").alias("bce_loss_batched"))
-    return overall.join(batched, keys, "left").drop("_all")
+        return base.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("_hit").alias("accuracy"),
+                                       F.avg("_loss").alias("bce_loss")).drop("_all")
+    # one pass over the rows: sums for each batch, rolled up to the group
+    per_batch = base.groupBy(*keys, batch_col).agg(
+        F.count("*").alias("_n"), F.sum("_hit").alias("_hits"), F.sum("_loss").alias("_sum"),
+        F.count("_loss").alias("_losses"))
+    return per_batch.groupBy(*keys).agg(
+        F.sum("_n").alias("n"), (F.sum("_hits") / F.sum("_n")).alias("accuracy"),
+        (F.sum("_sum") / F.sum("_losses")).alias("bce_loss"),
+        F.avg(F.col("_sum") / F.col("_losses")).alias("bce_loss_batched")).drop("_all")
 
 
 def save_model(model: PipelineModel, path: str) -> None:

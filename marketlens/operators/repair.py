@@ -140,13 +140,3 @@ def repair_categories(cat_raw: DataFrame, products: DataFrame) -> DataFrame:
                          ["product_category_name"], ["_prio", "input_pos"],
                          ["product_category_name_english"])
     return deduped.na.drop("any")
-
-
-def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a NULL (or NaN) in any column / in ``subset``."""
-    return df.na.drop("any", subset=list(subset) if subset else None)
-
-
-def not_null(df: DataFrame, column: str | Column) -> DataFrame:
-    col = F.col(column) if isinstance(column, str) else column
-    return df.filter(col.isNotNull())

@@ -47,14 +47,16 @@ def substitute_lemmas(df: DataFrame, id_col: str, tokens_col: str, lemmas: DataF
                       output_col: str = "lemmas") -> DataFrame:
     """Replace each token by its dictionary form from a ``(token, lemma)`` table,
     keeping tokens without an entry; returns (id, lemmas).  The table may be of any
-    size: tokens are exploded with their position, joined (Spark picks broadcast or
-    shuffle by the table's size), and re-assembled per document in order."""
+    size.  A document's positions are gathered for each of its distinct tokens first,
+    so what is joined by token is a row a document and token, not an occurrence;
+    then documents are re-assembled in order."""
     mapped = (_positions(df, id_col, tokens_col, "token")
+              .groupBy(id_col, "token").agg(F.collect_list("_pos").alias("_at"))
               .join(lemmas.select("token", "lemma"), "token", "left"))
-    entry = F.when(F.col("_pos").isNotNull(),
-                   F.struct("_pos", F.coalesce("lemma", "token").alias("_t")))
+    word = F.coalesce("lemma", "token")
+    entries = F.transform("_at", lambda p: F.struct(p.alias("_pos"), word.alias("_t")))
     return (mapped.groupBy(id_col)
-            .agg(F.array_sort(F.collect_list(entry)).alias("_pairs"))
+            .agg(F.array_sort(F.flatten(F.collect_list(entries))).alias("_pairs"))
             .select(id_col, F.transform("_pairs", lambda p: p["_t"]).alias(output_col)))
 
 
@@ -75,20 +77,19 @@ def encode_fixed_length(df: DataFrame, id_col: str, tokens_col: str, vocab: Data
 
     ``input_ids``: the id of every token (vocabulary index + FIRST_TERM_ID, or
     UNKNOWN_ID), truncated to ``max_len`` and padded with PAD_ID; ``attention_mask``:
-    1 for a token, 0 for padding; ``n_tokens``: the full token count.  Every token of
-    the whole text is looked up: tokens are exploded with their position and joined
-    to the vocabulary (a top-N table, so broadcasting it is bounded), then each
-    document's ids are re-assembled in order; the list is built map-side, so one row
-    per document is shuffled.
+    1 for a token, 0 for padding; ``n_tokens``: the full token count.  The encoding
+    holds ``max_len`` ids by definition, so only those tokens are exploded with their
+    position and joined to the vocabulary; each document's ids are re-assembled in order.
     """
-    vocab_ids = F.broadcast(vocab.select(
-        F.col(term_col).alias("_term"), (F.col(index_col) + FIRST_TERM_ID).cast("int").alias("_id")))
+    vocab_ids = vocab.select(
+        F.col(term_col).alias("_term"), (F.col(index_col) + FIRST_TERM_ID).cast("int").alias("_id"))
+    heads = df.select(id_col, F.slice(tokens_col, 1, max_len).alias("_head"), F.size(tokens_col).alias("n_tokens"))
     entry = F.when(F.col("_pos").isNotNull(),
                    F.struct("_pos", F.coalesce(F.col("_id"), F.lit(UNKNOWN_ID)).alias("_id")))
-    per_doc = (_positions(df, id_col, tokens_col, "_term").join(vocab_ids, "_term", "left")
-               .groupBy(id_col)
+    per_doc = (heads.select(id_col, "n_tokens", F.posexplode_outer("_head").alias("_pos", "_term"))
+               .join(vocab_ids, "_term", "left").groupBy(id_col)
                .agg(F.array_sort(F.collect_list(entry)).alias("_pairs"),
-                    F.count("_term").cast("int").alias("n_tokens")))
+                    F.coalesce(F.first("n_tokens"), F.lit(0)).alias("n_tokens")))
     token_ids = F.transform("_pairs", lambda p: p["_id"])
     padded = F.slice(F.concat(token_ids, F.array_repeat(F.lit(PAD_ID), max_len)), 1, max_len)
     return per_doc.select(id_col, "n_tokens", padded.alias("input_ids"),

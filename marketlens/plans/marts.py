@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.exact import (
-    MONEY_TYPE, exact_mean, money, money_out, percent, percent_rounded, ratio_mean,
+    MONEY_TYPE, money, money_out, percent, percent_rounded, ratio_mean, weighted_mean,
 )
 from marketlens.functions.timecols import micros_between, month_floor, whole_days
 from marketlens.operators.expand import repeat_squared
@@ -78,6 +78,12 @@ def _ts(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _items_per(m: Marketplace, column: str) -> DataFrame:
+    """Items of each (order, ``column``): counted map-side before any join, so an order
+    with a third of all items is one row for each of its sellers or products."""
+    return m.order_items.groupBy("order_id", column).agg(F.count("*").alias("k"))
+
+
 # --------------------------------------------------------------------------- K1
 def best_sellers(m: Marketplace, drop_incomplete: bool = True) -> DataFrame:
     """K1: per seller and place, item x review rows, review averages and delays.
@@ -158,10 +164,11 @@ def customers_distribution(m: Marketplace) -> DataFrame:
 def delays_by_state(m: Marketplace) -> DataFrame:
     """K4: late items / all items per seller state, percentage rounded half-up to 2
     places on exact numbers.  Counts are items, not orders."""
-    per_seller = (m.order_items.select("order_id", "seller_id")
+    per_seller = (_items_per(m, "seller_id")
                   .join(m.orders.select("order_id", _is_late().alias("is_late")), "order_id")
                   .groupBy("seller_id")
-                  .agg(F.count_if("is_late").alias("n_late"), F.count("*").alias("n_items")))
+                  .agg(F.sum(F.when(F.col("is_late"), F.col("k")).otherwise(0)).alias("n_late"),
+                       F.sum("k").alias("n_items")))
     by_state = (per_seller.join(m.sellers.select("seller_id", "seller_state"), "seller_id")
                 .groupBy("seller_state")
                 .agg(F.sum("n_late").alias("number_of_delays"),
@@ -177,10 +184,10 @@ def delays_by_state(m: Marketplace) -> DataFrame:
 def sales_by_category_month(m: Marketplace) -> DataFrame:
     """K5: items sold per English category and calendar month (all years pooled).
     Products without a (translated) category fall out of the inner join."""
-    per_product = (m.order_items.select("order_id", "product_id")
+    per_product = (_items_per(m, "product_id")
                    .join(m.orders.select("order_id", F.month(PURCHASE()).alias("order_month")),
                          "order_id")
-                   .groupBy("product_id", "order_month").agg(F.count("*").alias("n")))
+                   .groupBy("product_id", "order_month").agg(F.sum("k").alias("n")))
     per_category = (per_product
                     .join(m.products.select("product_id", "product_category_name"), "product_id")
                     .join(m.prodcategory, "product_category_name"))
@@ -204,15 +211,16 @@ def delay_stats(m: Marketplace, late_rule: str = "day_of_month") -> DataFrame:
         micros_between(PURCHASE(), APPROVED()).alias("response_us"),
         micros_between(APPROVED(), CARRIER()).alias("carrier_us"),
         micros_between(CARRIER(), DELIVERED()).alias("customer_us"))
-    per_seller = (m.order_items.select("order_id", "seller_id").join(orders, "order_id")
+    k = F.col("k")
+    per_seller = (_items_per(m, "seller_id").join(orders, "order_id")
                   .groupBy("seller_id").agg(
-                      F.count_if("is_late").alias("number_of_delays"),
-                      F.count("*").alias("total_orders"),
-                      (exact_mean(F.col("response_us"), wide=True) / F.lit(1e6))
+                      F.sum(F.when(F.col("is_late"), k).otherwise(0)).alias("number_of_delays"),
+                      F.sum(k).alias("total_orders"),
+                      (weighted_mean(F.col("response_us"), k) / F.lit(1e6))
                       .alias("avg_seller_response_time_seconds"),
-                      (exact_mean(F.col("carrier_us"), wide=True) / F.lit(1e6))
+                      (weighted_mean(F.col("carrier_us"), k) / F.lit(1e6))
                       .alias("carrier_delivery_time_seconds"),
-                      (exact_mean(F.col("customer_us"), wide=True) / F.lit(1e6))
+                      (weighted_mean(F.col("customer_us"), k) / F.lit(1e6))
                       .alias("customer_delivery_time_seconds")))
     return per_seller.orderBy(F.desc_nulls_first("number_of_delays"))
 
@@ -228,9 +236,9 @@ def network_delay_pairs(m: Marketplace, late_rule: str = "day_of_month") -> Data
     ``n_items`` passing the test and ``n_rows`` = n_items^2, the number of times the
     reference's self-join repeats the pair.  Use this form at scale."""
     keep = _day_of_month_late() if late_rule == "day_of_month" else _calendar_late()
-    pairs = (m.order_items.select("order_id", "seller_id")
+    pairs = (_items_per(m, "seller_id")
              .join(m.orders.filter(keep).select("order_id", "customer_id"), "order_id")
-             .groupBy("seller_id", "customer_id").agg(F.count("*").alias("n_items")))
+             .groupBy("seller_id", "customer_id").agg(F.sum("k").alias("n_items")))
     geo = m.geolocation
     seller_side = m.sellers.join(
         geo, m.sellers.seller_zip_code_prefix == geo.geolocation_zip_code_prefix).select(
@@ -279,8 +287,9 @@ def product_reviews(m: Marketplace) -> DataFrame:
     order), with the English category; products without one are dropped."""
     per_order = (m.order_reviews.filter(SCORE().isNotNull()).groupBy("order_id")
                  .agg(F.sum(SCORE()).alias("s"), F.count(SCORE()).alias("c")))
-    per_product = (m.order_items.select("order_id", "product_id").join(per_order, "order_id")
-                   .groupBy("product_id").agg(F.sum("s").alias("s"), F.sum("c").alias("c")))
+    k = F.col("k")
+    per_product = (_items_per(m, "product_id").join(per_order, "order_id")
+                   .groupBy("product_id").agg(F.sum(k * F.col("s")).alias("s"), F.sum(k * F.col("c")).alias("c")))
     return (per_product
             .join(m.products.select("product_id", "product_category_name"), "product_id")
             .join(m.prodcategory, "product_category_name")
@@ -368,12 +377,14 @@ def cohort(m: Marketplace, horizon: int = 12) -> DataFrame:
     counts = pm.select("cohort", F.explode(offsets).alias("k")).groupBy("cohort").agg(
         F.count_if(k == 0).alias("new_clients"),
         *[F.count_if(k == i).alias(f"still_active_{i}m") for i in range(1, horizon + 1)])
-    spine = month_spine(pm, "cohort", "purchase_month")
     value_cols = ["new_clients"] + [f"still_active_{i}m" for i in range(1, horizon + 1)]
-    # Both sides hold one row per calendar month: broadcasting is size-safe.
-    joined = spine.join(F.broadcast(counts), spine.purchase_month == counts.cohort, "left")
-    return (joined.select("purchase_month",
-                          *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in value_cols])
+    # One row a cohort month, so they fit one row; the spine comes from the same pass.
+    whole = counts.agg(F.min("cohort").alias("lo"), F.max("cohort").alias("hi"),
+                       F.map_from_entries(F.collect_list(F.struct("cohort", F.struct(*value_cols)))).alias("by_month"))
+    months = whole.select("by_month", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("purchase_month"))
+    found = F.try_element_at("by_month", F.col("purchase_month"))
+    return (months.select("purchase_month",
+                          *[F.coalesce(found[c], F.lit(0).cast("long")).alias(c) for c in value_cols])
             .orderBy(F.asc_nulls_last("purchase_month")))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.operators.quality import fk_violations, gated_write, length_violations, pk_violations
+from marketlens.session import scratch_folder
 from marketlens.sources.schemas import LOAD_ORDER
 
 REPORT_SCHEMA = T.StructType([
@@ -129,11 +130,7 @@ def publish_models(models: Mapping[str, str], target_dir: str,
 
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for a run's outputs inside the shared checkpoint folder."""
-    import uuid
-
-    from marketlens.session import ensure_checkpoint_dir
-
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marketlens-{label}-{uuid.uuid4().hex[:12]}"
+    return scratch_folder(spark, label)
 
 
 def main(argv=None) -> None:

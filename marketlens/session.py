@@ -7,10 +7,13 @@ the platform and its settings (shuffle partitions, checkpoint folder, ...) win.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings of the local sessions (tests, bench).  AQE and its skew-join handling are
 # Spark's defaults, and the plans count on them.  Library code changes nothing in a
@@ -34,8 +37,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("MARKETLENS_DRIVER_MEMORY", "4g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # checkpoints of intermediate corpora are removed once no plan refers to them
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
@@ -48,8 +49,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's own setting is always kept.  Only where it is unset (local tests)
-    a fresh scratch folder is created and registered.
+    The cluster's own setting is always kept.  Only in a local session without one a
+    fresh scratch folder is created (and removed when the process ends); on a cluster
+    a missing setting is an error, since executors would write to their own disks.
     """
     try:
         sc = spark.sparkContext
@@ -63,16 +65,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
+    if not spark.conf.get("spark.master", "local").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="marketlens-ckpt-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", scratch)
     if sc is not None:
         sc.setCheckpointDir(scratch)
     return scratch
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and return a DataFrame that
-    reads it back (reliable checkpoint: survives the loss of any executor, unlike a
-    local checkpoint or a cache).  For intermediates that several jobs reuse."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_WRITTEN: list[str] = []  # folders of intermediate tables this process has written
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder inside the shared checkpoint folder, see ``remove_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marketlens-{label}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this process, when nothing reads them any more."""
+    jvm = spark.sparkContext._jvm
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back
+    (columnar, with statistics; survives the loss of any executor).  For intermediates
+    that several jobs or plan branches read."""
+    path = scratch_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,15 +7,11 @@ is a plain projection, so Catalyst prunes each scan to the columns a query uses.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.timecols import add_days, add_hours
 from marketlens.operators.repair import repair_categories, repair_geolocation
-from marketlens.session import ensure_checkpoint_dir
 from marketlens.sources.marketplace import Marketplace
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -166,99 +162,23 @@ def st_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts").alias("review_creation_date")))
 
 
-def _session_id(spark: SparkSession) -> str:
-    """The application id (also available through Spark Connect)."""
-    return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
-# (application id, data folder) -> folder holding the repaired tables of that load.
-_LOADED: dict[tuple[str, str], str] = {}
-# (application id, data folder) -> the loaded tables as lazy DataFrames: built once
-# per session like catalog tables; they hold plans, not data.
-_MARKETS: dict[tuple[str, str], Marketplace] = {}
-
-
-def _loaded_repairs(spark: SparkSession, sf_dir: str, build) -> tuple[DataFrame, DataFrame]:
-    """The load step runs once: the repaired geolocation and category tables are
-    written as parquet into the shared checkpoint folder the first time a session
-    asks for them, and read back afterwards (the reference likewise repairs while
-    loading its database, then queries the loaded tables)."""
-    key = (_session_id(spark), os.path.abspath(sf_dir))
-    base = _LOADED.get(key)
-    if base is None:
-        geo, cat = build()
-        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marketlens-load-{uuid.uuid4().hex[:12]}"
-        geo.write.mode("overwrite").parquet(f"{base}/geolocation")
-        cat.write.mode("overwrite").parquet(f"{base}/prodcategory")
-        _LOADED[key] = base
-    return (spark.read.schema(REPAIRED_SCHEMAS["geolocation"]).parquet(f"{base}/geolocation"),
-            spark.read.schema(REPAIRED_SCHEMAS["prodcategory"]).parquet(f"{base}/prodcategory"))
-
-
-REPAIRED_SCHEMAS = {
-    "geolocation": "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
-                   "geolocation_city string, geolocation_state string",
-    "prodcategory": "product_category_name string, product_category_name_english string",
-}
-
-
-_RAW: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
-def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The stand-in tables before repair, planned once per session and folder
-    (lazy plans, no data); sellers and customers carry their input position."""
-    key = (_session_id(spark), os.path.abspath(sf_dir))
-    if key not in _RAW:
-        _RAW[key] = {
-            "sellers": st_sellers(spark, sf_dir).withColumn("input_pos", F.col("seller_id")),
-            "customers": st_customers(spark, sf_dir).withColumn("input_pos", F.col("customer_id")),
-            "geolocation_raw": st_geolocation_raw(spark, sf_dir),
-            "products": st_products(spark, sf_dir),
-            "prodcategory_raw": st_prodcategory_raw(spark, sf_dir),
-            "orders": st_orders(spark, sf_dir),
-            "order_items": st_order_items(spark, sf_dir),
-            "order_payments": st_order_payments(spark, sf_dir),
-            "order_reviews": st_order_reviews(spark, sf_dir),
-        }
-    return _RAW[key]
-
-
-def load_standins(spark: SparkSession, sf_dir: str, materialize_load: bool = True) -> Marketplace:
-    """All nine tables, with geolocation and categories repaired as on load.
-
-    With ``materialize_load`` the two repaired tables come from the session's
-    one-time load (see ``_loaded_repairs``) and the container is reused by later
-    calls; otherwise the repairs are planned inline.
-    """
-    key = (_session_id(spark), os.path.abspath(sf_dir))
-    if materialize_load and key in _MARKETS:
-        return _MARKETS[key]
-    raw = _raw_tables(spark, sf_dir)
-    sellers, customers, geo_raw = raw["sellers"], raw["customers"], raw["geolocation_raw"]
-    products, cat_raw = raw["products"], raw["prodcategory_raw"]
-
-    def repairs():
-        return (repair_geolocation(geo_raw, sellers, customers),
-                repair_categories(cat_raw, products))
-
-    if materialize_load:
-        geolocation, prodcategory = _loaded_repairs(spark, sf_dir, repairs)
-    else:
-        geolocation, prodcategory = repairs()
-    market = Marketplace(
-        geolocation=geolocation,
+def load_standins(spark: SparkSession, sf_dir: str) -> Marketplace:
+    """All nine tables as lazy plans, geolocation and categories repaired as on load.
+    Nothing runs and nothing is remembered here: a query plans only what it reads."""
+    sellers = st_sellers(spark, sf_dir).withColumn("input_pos", F.col("seller_id"))
+    customers = st_customers(spark, sf_dir).withColumn("input_pos", F.col("customer_id"))
+    geo_raw, cat_raw = st_geolocation_raw(spark, sf_dir), st_prodcategory_raw(spark, sf_dir)
+    products = st_products(spark, sf_dir)
+    return Marketplace(
+        geolocation=repair_geolocation(geo_raw, sellers, customers),
         customers=customers.drop("input_pos"),
-        orders=raw["orders"],
+        orders=st_orders(spark, sf_dir),
         sellers=sellers.drop("input_pos"),
-        prodcategory=prodcategory,
+        prodcategory=repair_categories(cat_raw, products),
         products=products,
-        order_items=raw["order_items"],
-        order_payments=raw["order_payments"],
-        order_reviews=raw["order_reviews"],
+        order_items=st_order_items(spark, sf_dir),
+        order_payments=st_order_payments(spark, sf_dir),
+        order_reviews=st_order_reviews(spark, sf_dir),
         geolocation_raw=geo_raw,
         prodcategory_raw=cat_raw,
     )
-    if materialize_load:
-        _MARKETS[key] = market
-    return market

@@ -75,3 +75,23 @@ def make_market(spark):
 def rows_of(df, order_by=None):
     out = [tuple(r) for r in df.collect()]
     return sorted(out, key=repr) if order_by is None else out
+
+
+# Pieces of review text and what survives cleaning (lower case, no tags, ASCII letters
+# and digits only), known in advance.
+_LETTERS = [("a", "a"), ("B", "b"), ("z", "z"), ("Q", "q"), ("7", "7"), ("0", "0"), ("\u212a", "k"), ("\u0130", "i"),
+            ("ã", ""), ("É", ""), ("ß", ""), ("ﬁ", ""), ("中", ""), ("\U0001F600", ""), ("!", ""), ("-", ""),
+            ("'", ""), (">", ""), ("\x00", ""), ("<b>", ""), ("</p>", ""), ("<a href='x y'>", ""), ("<>", "")]
+_BLANKS = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000"]
+
+
+def assembled_text(rng) -> tuple[str, list[str]]:
+    """A random text and the tokens that cleaning must leave of it."""
+    text, tokens = rng.choice(["", *_BLANKS]), []
+    for _ in range(rng.randint(0, 12)):
+        pieces = [rng.choice(_LETTERS) for _ in range(rng.randint(1, 6))]
+        if rng.random() < 0.1:  # a tag doesn't span lines: its words stay
+            pieces = [("<x\ny>", "x y")]
+        text += "".join(raw for raw, _ in pieces) + rng.choice(_BLANKS)
+        tokens += "".join(left for _, left in pieces).split()
+    return text, tokens

@@ -9,9 +9,10 @@ import math
 import pytest
 
 import __spark_entry__ as entry
+from marketlens import registry
 from tests.conftest import SMOKE_DIR
 
-ORACLE = entry.oracle_sql()
+ORACLE = registry.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
@@ -31,12 +32,12 @@ def _canon(rows, cols):
 
 def test_every_query_has_an_oracle_or_is_declared_iterative():
     rows_only = {"logreg_scores", "logreg_metrics", "batch_report", "publish_results"}
-    assert set(entry.queries()) - set(ORACLE) == rows_only
+    assert set(registry.queries()) - set(ORACLE) == rows_only
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_duckdb(spark, duck, name):
-    df = entry.queries()[name](spark, SMOKE_DIR)
+    df = registry.queries()[name](spark, SMOKE_DIR)
     rel = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(rel.columns)
     spark_types = {c: TYPES.get(t, t) for c, t in df.dtypes}

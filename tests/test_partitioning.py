@@ -4,8 +4,9 @@ hash split and batches are all defined by data, not by arrival order)."""
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from marketlens import registry
 from marketlens.operators.expand import repeat_squared
 from tests.conftest import SMOKE_DIR, rows_of
 
@@ -15,7 +16,7 @@ NAMES = ["first_order_analysis", "best_sellers", "geolocation_repaired", "shuffl
 
 @pytest.mark.parametrize("name", NAMES)
 def test_same_result_with_1_and_8_partitions(spark, name):
-    q = entry.queries()[name]
+    q = registry.queries()[name]
     results = []
     for n in (1, 8):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
@@ -32,12 +33,25 @@ def test_repeat_squared_emits_n_squared_rows(spark):
     assert sorted(r["k"] for r in out.collect()) == [1] + [2] * 9
 
 
-def test_repeat_squared_chunks_large_counts(spark, monkeypatch):
+def test_a_large_group_is_emitted_by_many_tasks(spark):
+    df = spark.createDataFrame([(1, 3000), (2, 3)], "k long, n long")
+    out = repeat_squared(df.repartition(16), "n", spread_keys=["k"])
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["c"] for r in repeat_squared(df, "n", ["k"]).groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count("*").alias("c")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 3000 ** 2 + 9 == out.count()
+    assert len(sizes) == 16 and max(sizes) <= 0.2 * sum(sizes)
+
+
+def test_units_of_units(spark, monkeypatch):
     import marketlens.operators.expand as expand
 
-    monkeypatch.setattr(expand, "CHUNK", 4)
-    monkeypatch.setattr(expand, "SPREAD_MIN", 5)
-    df = spark.createDataFrame([(1, 10), (2, 3)], "k long, n long")
+    monkeypatch.setattr(expand, "EMIT", 4)
+    df = spark.createDataFrame([(1, 10), (2, 3), (3, -1), (4, None)], "k long, n long")
     out = expand.repeat_squared(df, "n", spread_keys=["k"])
-    counts = {r["k"]: r["c"] for r in out.groupBy("k").count().withColumnRenamed("count", "c").collect()}
-    assert counts == {1: 100, 2: 9}
+    assert {r["k"]: r["count"] for r in out.groupBy("k").count().collect()} == {1: 100, 2: 9}

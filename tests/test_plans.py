@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from marketlens import registry
 from tests.conftest import SMOKE_DIR
 
 RUNS_JOBS = {"batch_report", "publish_results", "logreg_scores", "logreg_metrics"}
@@ -17,14 +17,14 @@ def static_plan(spark):
     def plan(name: str) -> str:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         try:
-            df = entry.queries()[name](spark, SMOKE_DIR)
+            df = registry.queries()[name](spark, SMOKE_DIR)
             return df._jdf.queryExecution().executedPlan().toString()
         finally:
             spark.conf.set("spark.sql.adaptive.enabled", "true")
     return plan
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - RUNS_JOBS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - RUNS_JOBS))
 def test_no_cartesian_join_and_no_python(static_plan, name):
     plan = static_plan(name)
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
