@@ -1,8 +1,8 @@
-"""Key and length rules as data-quality reports over DataFrames (C8-C11), and the
-all-or-nothing load gate.
+"""Key, length and value rules as data-quality reports over DataFrames.
 
 A database enforces these on INSERT; here each rule is a distributed aggregate that
-reports violations, and ``gated_write`` writes a table only when its report is clean.
+reports violations, and ``runner.load_tables`` loads a table only when its report is
+clean.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from marketlens.sources.schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS
+from marketlens.functions.exact import MONEY_TYPE
+from marketlens.sources.schemas import FOREIGN_KEYS, MAX_LENGTHS, MONEY_COLUMNS, PRIMARY_KEYS
 
 
 _EMPTY = {
@@ -22,6 +22,7 @@ _EMPTY = {
     "fk": "child_table string, child_column string, parent_table string, n_orphan_rows bigint, "
           "n_orphan_keys bigint",
     "len": "table_name string, column_name string, max_length int, n_violations bigint, longest int",
+    "value": "table_name string, n_violations bigint",
 }
 
 
@@ -85,63 +86,75 @@ def fk_violations(tables: Mapping[str, DataFrame],
 def length_violations(tables: Mapping[str, DataFrame],
                       limits: Mapping[str, Mapping[str, int]] = MAX_LENGTHS) -> DataFrame:
     """Per text column with a VARCHAR(n) limit, values longer than n characters.
-    Columns that are not strings in the given table are skipped."""
+    Columns that are not strings in the given table are skipped.  One pass a table."""
     reports = []
     for name, df in tables.items():
         types = dict(df.dtypes)
         checks = [(c, n) for c, n in limits.get(name, {}).items() if types.get(c) == "string"]
         if not checks:
             continue
-        aggs = []
-        for c, n in checks:
-            aggs += [F.count_if(F.char_length(c) > n).alias(f"{c}__n"),
-                     F.max(F.char_length(c)).alias(f"{c}__max")]
-        wide = df.agg(*aggs)
-        reports += [wide.select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
-                                F.lit(n).alias("max_length"),
-                                F.col(f"{c}__n").alias("n_violations"),
-                                F.col(f"{c}__max").alias("longest"))
-                    for c, n in checks]
+        rows = F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.lit(n).alias("max_length"),
+            F.count_if(F.char_length(c) > n).alias("n_violations"),
+            F.max(F.char_length(c)).alias("longest")) for c, n in checks])
+        reports.append(df.agg(rows.alias("rows")).select(F.explode("rows").alias("r"))
+                       .select(F.lit(name).alias("table_name"), "r.*"))
     return _union(reports, tables, "len")
 
 
+def value_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Amounts that are no finite decimal of 26 digits before the point, so that money
+    sums would have to skip them: (table_name, n_violations)."""
+    reports = []
+    for name, df in tables.items():
+        amounts = [c for c, t in df.dtypes if t in ("double", "float") and c in MONEY_COLUMNS]
+        if amounts:
+            bad = reduce(lambda a, b: a | b, [F.col(c).isNotNull() & F.col(c).try_cast(MONEY_TYPE).isNull()
+                                              for c in amounts])
+            reports.append(df.agg(F.count_if(bad).alias("n_violations"))
+                           .select(F.lit(name).alias("table_name"), "n_violations"))
+    return _union(reports, tables, "value")
+
+
 def table_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per table: total violations of all three rules (0 = loadable)."""
-    pk = pk_violations(tables).select(
-        "table_name", (F.col("n_duplicate_rows") + F.col("n_null_key_rows")).alias("pk"))
-    fk = fk_violations(tables).groupBy(F.col("child_table").alias("table_name")).agg(
-        F.sum("n_orphan_rows").alias("fk"))
-    ln = length_violations(tables).groupBy("table_name").agg(F.sum("n_violations").alias("len"))
-    names = tables.keys()
-    spine = pk.select("table_name").filter(F.col("table_name").isin(list(names)))
-    return (spine.join(pk, "table_name", "left").join(fk, "table_name", "left")
-            .join(ln, "table_name", "left").na.fill(0)
-            .select("table_name", "pk", "fk", "len",
-                    ((F.col("pk") + F.col("fk") + F.col("len")) == 0).alias("loadable")))
-
-
-LOAD_RESULT = T.StructType([
-    T.StructField("table_name", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("violations", T.LongType()), T.StructField("path", T.StringType())])
-
-
-def gated_write(df: DataFrame, path: str, violations: int, table: str,
-                mode: str = "append", fmt: str = "parquet",
-                partition_by: Mapping[str, object] | None = None) -> dict:
-    """C11 + B1: write ``df`` only if its rule report found nothing; otherwise skip it
-    and say so.  The caller goes on with the next table either way.
-
-    ``partition_by`` maps new column names to expressions written as directory
-    partitions (e.g. orders by purchase month), so later date-bounded scans read only
-    the matching folders."""
-    if violations:
-        return {"table_name": table, "status": "rejected", "violations": int(violations),
-                "path": path}
-    writer_df = df
-    for name, expr in (partition_by or {}).items():
-        writer_df = writer_df.withColumn(name, expr)
-    writer = writer_df.write.mode(mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return {"table_name": table, "status": "loaded", "violations": 0, "path": path}
+    """Per table with a primary key: violations of the three rules (0 = loadable)."""
+    def long(df: DataFrame, table: str, rule: str, n) -> DataFrame:
+        return df.select(F.col(table).alias("table_name"), F.lit(rule).alias("rule"), n.cast("long").alias("n"))
+
+    every = (long(pk_violations(tables), "table_name", "pk", F.col("n_duplicate_rows") + F.col("n_null_key_rows"))
+             .unionByName(long(fk_violations(tables), "child_table", "fk", F.col("n_orphan_rows")))
+             .unionByName(long(length_violations(tables), "table_name", "len", F.col("n_violations"))))
+    report = every.groupBy("table_name").agg(*[
+        F.coalesce(F.sum(F.when(F.col("rule") == r, F.col("n"))), F.lit(0).cast("long")).alias(r)
+        for r in ("pk", "fk", "len")], F.max((F.col("rule") == "pk")).alias("keyed"))
+    return report.filter("keyed").select(
+        "table_name", "pk", "fk", "len", ((F.col("pk") + F.col("fk") + F.col("len")) == 0).alias("loadable"))
+
+
+def load_violations(name: str, df: DataFrame, parents: Mapping[str, DataFrame | None],
+                    target: DataFrame | None) -> int:
+    """C8-C11 for one table against what it is loaded into: rows with repeated or NULL
+    keys, rows whose key the target already holds, rows without a parent among
+    ``parents`` (None: there is none), texts that are too long, amounts that don't fit."""
+    key = list(PRIMARY_KEYS[name])
+    n = 0
+    for report in (pk_violations({name: df}), length_violations({name: df}), value_violations({name: df})):
+        counts = [c for c in report.columns if c in ("n_duplicate_rows", "n_null_key_rows", "n_violations")]
+        n += sum(int(r[c] or 0) for r in report.collect() for c in counts)  # one row a rule
+    if target is not None:
+        here = df.select(*[F.col(k).alias(f"_{k}") for k in key])
+        there = target.select(*key)
+        same = reduce(lambda a, b: a & b, [F.col(f"_{k}") == F.col(k) for k in key])
+        n += here.join(there, same, "left_semi").count()
+    for child, column, parent, parent_key in FOREIGN_KEYS:
+        if child == name and parent in parents:
+            rows = df.select(F.col(column).alias("_ck")).filter("_ck IS NOT NULL")
+            known = parents[parent]
+            if known is not None:
+                known = known.select(F.col(parent_key).alias("_pk"))
+                rows = (rows.groupBy("_ck").agg(F.count("*").alias("_n"))
+                        .join(known, F.col("_ck") == F.col("_pk"), "left_anti"))
+                n += int(rows.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
+            else:
+                n += rows.count()
+    return n

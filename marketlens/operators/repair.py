@@ -35,6 +35,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
             .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload]))
 
 
+def _pos_type(df: DataFrame, column: str):
+    """Positions are numbers or, over several files, sortable strings."""
+    return df.schema[column].dataType
+
+
 def missing_parents(child: DataFrame, child_key: str, parent: DataFrame,
                     parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent (anti-join)."""
@@ -112,7 +117,7 @@ def repair_geolocation(geo_raw: DataFrame, sellers: DataFrame, customers: DataFr
         seller_add.select("geolocation_zip_code_prefix"))
     customer_add = _geo_additions(customers, "customer_zip_code_prefix", "customer_city",
                                   "customer_state", customer_pos, known)
-    ranked = (first.withColumn("_prio", F.lit(0)).withColumn("input_pos", F.lit(0).cast("long"))
+    ranked = (first.withColumn("_prio", F.lit(0)).withColumn("input_pos", F.lit(None).cast(_pos_type(sellers, seller_pos)))
               .unionByName(seller_add.withColumn("_prio", F.lit(1)))
               .unionByName(customer_add.withColumn("_prio", F.lit(2))))
     return keep_first(ranked, ["geolocation_zip_code_prefix"], ["_prio", "input_pos"],
@@ -132,9 +137,9 @@ def repair_categories(cat_raw: DataFrame, products: DataFrame) -> DataFrame:
     per name, then drop rows with any NULL (in that order, as the reference does)."""
     added = category_orphans(cat_raw, products).select(
         "product_category_name", F.lit(UNKNOWN_CATEGORY).alias("product_category_name_english"),
-        F.lit(1).alias("_prio"), F.lit(0).cast("long").alias("input_pos"))
+        F.lit(1).alias("_prio"), F.lit(None).cast(_pos_type(cat_raw, "input_pos")).alias("input_pos"))
     ranked = (cat_raw.select(*CATEGORY_COLUMNS, F.lit(0).alias("_prio"),
-                             F.col("input_pos").cast("long"))
+                             "input_pos")
               .unionByName(added))
     deduped = keep_first(ranked.filter(F.col("product_category_name").isNotNull()),
                          ["product_category_name"], ["_prio", "input_pos"],

@@ -128,7 +128,7 @@ def rmf_sql(snapshot: str = "2000-01-01", control: str = "2000-07-01") -> str:
     return with_standins(marts.rmf_body(snapshot, control))
 
 
-from marketlens.sources.schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS  # noqa: E402
+from marketlens.sources.schemas import FOREIGN_KEYS, LOAD_ORDER, MAX_LENGTHS, PRIMARY_KEYS  # noqa: E402
 
 STANDIN_TABLES = {
     "geolocation": "st_geolocation", "customers": "st_customers", "orders": "st_orders",
@@ -196,8 +196,8 @@ def _length_sql() -> str:
     return with_standins(_length_body())
 
 
-def _load_report_sql() -> str:
-    return with_standins(f""",
+def _load_report_body() -> str:
+    return f"""WITH
 pk AS ({_pk_body()}),
 fk AS ({_fk_body()}),
 ln AS ({_length_body()}),
@@ -206,7 +206,11 @@ ln_t AS (SELECT table_name, CAST(SUM(n_violations) AS BIGINT) AS len FROM ln GRO
 SELECT pk.table_name, pk.n_duplicate_rows + pk.n_null_key_rows AS pk,
        COALESCE(fk_t.fk, 0) AS fk, COALESCE(ln_t.len, 0) AS len,
        (pk.n_duplicate_rows + pk.n_null_key_rows + COALESCE(fk_t.fk, 0) + COALESCE(ln_t.len, 0)) = 0 AS loadable
-FROM pk LEFT JOIN fk_t USING (table_name) LEFT JOIN ln_t USING (table_name)""")
+FROM pk LEFT JOIN fk_t USING (table_name) LEFT JOIN ln_t USING (table_name)"""
+
+
+def _load_report_sql() -> str:
+    return with_standins(f"SELECT * FROM ({_load_report_body()})")
 
 
 GEOLOCATION_DEDUP_FIRST = with_standins("SELECT * FROM st_geo_first")
@@ -347,6 +351,42 @@ SELECT doc_id, row_number() OVER (ORDER BY h, doc_id) - 1 AS position,
 FROM split WHERE split = 'train'""",
 }
 
+# ---------------------------------------------------------------- runner
+def _counts(status: str, extra: str) -> str:
+    from marketlens.registry import RESULTS
+
+    return "\nUNION ALL ".join(
+        f"SELECT '{n}' AS name, '{status}' AS status, (SELECT COUNT(*) FROM ({ORACLE[n]})) AS rows{extra}"
+        for n in RESULTS)
+
+
+def _load_gate_sql() -> str:
+    """Own violations of each table, where keys without a parent are all of a child's
+    keys if that parent was rejected; tables in the order of loading."""
+    own = {}
+    parts = [f"own AS (SELECT table_name, pk + len AS n FROM ({_load_report_body()}))"]
+    for table in LOAD_ORDER:
+        terms = [f"(SELECT n FROM own WHERE table_name = '{table}')"]
+        for child, column, parent, parent_key in FOREIGN_KEYS:
+            if child == table:
+                terms.append(f"(SELECT COUNT(*) FROM {STANDIN_TABLES[child]} WHERE {column} IS NOT NULL AND "
+                             f"((SELECT n FROM v_{parent}) > 0 OR {column} NOT IN (SELECT {parent_key} FROM "
+                             f"{STANDIN_TABLES[parent]} WHERE {parent_key} IS NOT NULL)))")
+        own[table] = f"v_{table} AS (SELECT {' + '.join(terms)} AS n)"
+    body = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CASE WHEN n > 0 THEN 'rejected' ELSE 'loaded' END AS status, "
+        f"CAST(n AS BIGINT) AS violations FROM v_{t}" for t in LOAD_ORDER)
+    return with_standins(",\n" + ",\n".join([*parts, *own.values()]) + "\n" + body)
+
+
+def runner_oracle() -> dict[str, str]:
+    return {"batch_report": _counts("ok", ", 'csv' AS format"), "publish_results": _counts("published", ""),
+            "published_reviews": ORACLE["reviews"],
+            "csv_scan": with_standins("SELECT review_id, order_id, review_score, review_comment_message, "
+                                      "review_creation_date FROM st_order_reviews"),
+            "load_gate": _load_gate_sql()}
+
+
 def text_oracle() -> dict[str, str]:
     """The text entries, built when asked for (they need the stop-word list)."""
     return {name: _text(body if body.startswith(",") else "\n" + body)

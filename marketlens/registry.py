@@ -104,34 +104,67 @@ def text_queries() -> dict[str, Query]:
     return {n: _mart(getattr(text_pipeline, n)) for n in names}
 
 
-# The three results the reference ships to its dashboard (fixed values).
-PUBLISHED_RESULTS = ("cohort", "delays_by_state", "sales_by_category_month")
+# The thirteen named results of a batch, all of which are published.
+RESULTS = ("best_sellers", "reviews", "customers_distribution", "delays_by_state", "sales_by_category_month",
+           "delay_stats", "network_delay", "delay_review_correlation", "negative_reviews", "product_reviews",
+           "rmf_per_client", "cohort", "first_order_analysis")
 
 
-def _batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the published queries as one batch into a fresh folder under the
-    shared checkpoint folder; the report lists (name, status, rows, ...)."""
+def _batch(spark: SparkSession, sf_dir: str, names=RESULTS) -> DataFrame:
     from marketlens.runner import run_batch, run_folder
 
     qs = mart_queries()
-    out = run_folder(spark, "batch")
-    return run_batch(spark, {n: (lambda n=n: qs[n](spark, sf_dir)) for n in PUBLISHED_RESULTS},
-                     out, "csv").select("name", "status", "rows", "format")
+    return run_batch(spark, {n: (lambda n=n: qs[n](spark, sf_dir)) for n in names}, run_folder(spark, "batch"), "csv")
+
+
+def _batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run every named query as one batch into a fresh folder under the shared
+    checkpoint folder; the report lists (name, status, rows, format)."""
+    return _batch(spark, sf_dir).select("name", "status", "rows", "format")
 
 
 def _publish_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch run, then publish every result but a deny-listed one."""
-    from marketlens.runner import publish_results, run_batch, run_folder
+    """Batch run, then publish every result; rows are those of the published copy."""
+    from marketlens.runner import publish_results, run_folder
 
-    qs = mart_queries()
-    report = run_batch(spark, {n: (lambda n=n: qs[n](spark, sf_dir)) for n in PUBLISHED_RESULTS},
-                       run_folder(spark, "batch"), "csv")
-    return publish_results(spark, report, run_folder(spark, "serving"),
-                           exclude=("sales_by_category_month",)).select("name", "status")
+    return publish_results(spark, _batch(spark, sf_dir), run_folder(spark, "serving")).select("name", "status", "rows")
+
+
+def _published_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review texts after batch (CSV), publish (CSV) and re-reading."""
+    from marketlens.runner import publish_results, read_result, run_folder
+
+    done = publish_results(spark, _batch(spark, sf_dir, ("reviews",)), run_folder(spark, "serving")).first()
+    return read_result(spark, done["path"], "csv", mart_queries()["reviews"](spark, sf_dir).schema)
+
+
+def _csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A5: the reviews as a reference-format CSV folder, scanned with its schema."""
+    from marketlens.runner import run_folder
+    from marketlens.sources.csv_files import CSV_WRITE, read_csv_table
+    from marketlens.sources.schemas import SCHEMAS
+
+    df = load_standins(spark, sf_dir).order_reviews
+    columns = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in SCHEMAS["order_reviews"].fields]
+    path = run_folder(spark, "csv")
+    df.select(*columns).write.options(**CSV_WRITE).csv(path)
+    return read_csv_table(spark, path, "order_reviews").select(
+        F.col("review_id").cast("long").alias("review_id"), F.col("order_id").cast("long").alias("order_id"),
+        "review_score", "review_comment_message", "review_creation_date")
+
+
+def _load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine tables loaded into an empty target, parents first."""
+    from marketlens.runner import load_tables, run_folder
+
+    return load_tables(spark, load_standins(spark, sf_dir).tables(), run_folder(spark, "load")).select(
+        "table_name", "status", "violations")
 
 
 def runner_queries() -> dict[str, Query]:
-    return {"batch_report": _batch_report, "publish_results": _publish_results}
+    return {"batch_report": _batch_report, "publish_results": _publish_results,
+            "published_reviews": _published_reviews, "csv_scan": _csv_scan, "load_gate": _load_gate}
 
 
 def queries() -> dict[str, Query]:
@@ -143,6 +176,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from marketlens.oracle import ORACLE, text_oracle
+    from marketlens.oracle import ORACLE, runner_oracle, text_oracle
 
-    return {**ORACLE, **text_oracle()}
+    return {**ORACLE, **text_oracle(), **runner_oracle()}

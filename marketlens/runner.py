@@ -10,23 +10,40 @@ usage: python -m marketlens.runner --sf-dir DIR --out DIR [--format csv] [name .
 from __future__ import annotations
 
 import argparse
+import json
 import time
 import traceback
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.operators.quality import fk_violations, gated_write, length_violations, pk_violations
-from marketlens.session import scratch_folder
-from marketlens.sources.schemas import LOAD_ORDER
+from marketlens.operators.quality import load_violations
+from marketlens.session import remove_scratch, scratch_folder
+from marketlens.sources.csv_files import CSV_READ, CSV_WRITE
+from marketlens.sources.schemas import FOREIGN_KEYS, LOAD_ORDER
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("status", T.StringType()),
     T.StructField("rows", T.LongType()), T.StructField("seconds", T.DoubleType()),
     T.StructField("path", T.StringType()), T.StructField("format", T.StringType()),
-    T.StructField("error", T.StringType())])
+    T.StructField("schema", T.StringType()), T.StructField("error", T.StringType())])
+
+
+def _to(df: DataFrame, path: str, fmt: str) -> None:
+    writer = df.write.mode("overwrite").format(fmt)
+    (writer.options(**CSV_WRITE) if fmt == "csv" else writer).save(path)
+
+
+def read_result(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None = None) -> DataFrame:
+    """A2: a written result, with the options it was written with and its own types."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV_READ)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -38,78 +55,100 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     would count in the same job, but in Spark 4.1 a session that used an Observation
     later fails to serialise ML training closures, so it is avoided.)
     """
-    writer = df.write.mode("overwrite").format(fmt)
-    reader = df.sparkSession.read.format(fmt)
-    if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
-        reader = reader.option("header", True)
-    writer.save(path)
-    return reader.load(path).count()
+    _to(df, path, fmt)
+    return read_result(df.sparkSession, path, fmt, df.schema).count()
 
 
 def run_batch(spark: SparkSession, queries: Mapping[str, Callable[[], DataFrame]], out_dir: str,
               fmt: str = "parquet") -> DataFrame:
     """Run every named query, write it under ``out_dir/name``; a failing query is
-    recorded with its error and the batch goes on.  Returns the report."""
+    recorded with its whole error and the batch goes on.  Returns the report."""
     rows = []
     for name, build in queries.items():
         path = f"{out_dir.rstrip('/')}/{name}"
         t0 = time.time()
         try:
-            n = write_result(build(), path, fmt)
-            rows.append((name, "ok", n, time.time() - t0, path, fmt, None))
+            df = build()
+            n = write_result(df, path, fmt)
+            rows.append((name, "ok", n, time.time() - t0, path, fmt, df.schema.json(), None))
         except Exception as exc:  # noqa: BLE001 - isolation is the point
-            rows.append((name, "error", None, time.time() - t0, path, fmt,
-                         f"{type(exc).__name__}: {exc}".splitlines()[0][:500]))
+            rows.append((name, "error", None, time.time() - t0, path, fmt, None, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def read_loaded(spark: SparkSession, out_dir: str, table: str) -> DataFrame | None:
+    """The rows of every load of a table so far; None before the first."""
+    try:
+        return spark.read.parquet(f"{out_dir.rstrip('/')}/{table}/load-*")
+    except AnalysisException:  # no such path
+        return None
+
+
+def _commit(spark: SparkSession, staged: str, final: str) -> None:
+    """Move a fully written folder to its place: one rename, so a load that failed
+    before leaves nothing behind."""
+    sc = spark.sparkContext
+    new_path = sc._jvm.org.apache.hadoop.fs.Path
+    store = new_path(final).getFileSystem(sc._jsc.hadoopConfiguration())
+    store.mkdirs(new_path(final).getParent())
+    if not store.rename(new_path(staged), new_path(final)):
+        raise OSError(f"could not move {staged} to {final}")
+
+
 def load_tables(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
-                mode: str = "append", partition_by: Mapping[str, Mapping] | None = None) -> DataFrame:
-    """B1 + B4 + C11: append each table, parents first, only if its key and length
-    rules report nothing; each table is isolated from the others' failures.
-    ``partition_by`` gives per-table partition columns, see ``gated_write`` (for
-    example ``{"orders": {"purchase_month": month_floor(F.col("order_purchase_timestamp"))}}``)."""
-    pk = {r["table_name"]: r["n_duplicate_rows"] + r["n_null_key_rows"]
-          for r in pk_violations(tables).collect()}
-    fk: dict[str, int] = {}
-    for r in fk_violations(tables).collect():
-        fk[r["child_table"]] = fk.get(r["child_table"], 0) + r["n_orphan_rows"]
-    ln: dict[str, int] = {}
-    for r in length_violations(tables).collect():
-        ln[r["table_name"]] = ln.get(r["table_name"], 0) + r["n_violations"]
+                partition_by: Mapping[str, Mapping] | None = None) -> DataFrame:
+    """B1 + B4 + C11: append each table, parents first, only if its rules report nothing.
+
+    Rules look at what the table is loaded into: keys that an earlier load brought count
+    as taken, and a parent is what this run has loaded or an earlier one had; so when
+    a parent is rejected, its children are as well.  A table is written beside its
+    target and moved there whole.  Each table is isolated from the others' failures.
+    ``partition_by`` maps new columns to expressions written as directory partitions (for
+    example ``{"orders": {"purchase_month": month_floor(F.col("order_purchase_timestamp"))}}``),
+    so later date-bounded scans read only the matching folders.
+    """
     results = []
+    base = out_dir.rstrip("/")
     for name in [t for t in LOAD_ORDER if t in tables]:
-        bad = pk.get(name, 0) + fk.get(name, 0) + ln.get(name, 0)
         try:
-            results.append(gated_write(tables[name], f"{out_dir.rstrip('/')}/{name}", bad, name, mode,
-                                       partition_by=(partition_by or {}).get(name)))
+            # parents not given are outside this load and not checked, unless loaded before
+            parents = {}
+            for _, _, parent, _ in [f for f in FOREIGN_KEYS if f[0] == name]:
+                loaded = read_loaded(spark, base, parent)
+                if parent in tables or loaded is not None:
+                    parents[parent] = loaded
+            bad = load_violations(name, tables[name], parents, read_loaded(spark, base, name))
+            if bad:
+                results.append((name, "rejected", bad, base))
+                continue
+            load = f"load-{uuid.uuid4().hex[:12]}"
+            df, extra = tables[name], (partition_by or {}).get(name) or {}
+            writer = df.withColumns(dict(extra)).write if extra else df.write
+            staged = f"{base}/_staging/{name}-{load}"
+            (writer.partitionBy(*extra) if extra else writer).parquet(staged)
+            _commit(spark, staged, f"{base}/{name}/{load}")
+            results.append((name, "loaded", 0, base))
         except Exception as exc:  # noqa: BLE001
-            results.append({"table_name": name, "status": f"error: {type(exc).__name__}",
-                            "violations": bad, "path": out_dir})
-    return spark.createDataFrame(
-        [(r["table_name"], r["status"], r["violations"], r["path"]) for r in results],
-        "table_name string, status string, violations long, path string")
+            results.append((name, f"error: {type(exc).__name__}: {exc}", None, base))
+    return spark.createDataFrame(results, "table_name string, status string, violations long, path string")
 
 
 def publish_results(spark: SparkSession, report: DataFrame, target_dir: str,
-                    exclude: Iterable[str] = ("bert",)) -> DataFrame:
-    """Re-write every successful result of a batch report to ``target_dir``,
-    except the deny-listed names, by reading and writing the dataset (never a file
-    copy).  Returns what was published."""
+                    exclude: Iterable[str] = ()) -> DataFrame:
+    """Re-write every successful result of a batch report to ``target_dir``, except
+    deny-listed names, by reading and writing the dataset (never a file copy), with the
+    result's own schema.  Returns what was published, with its row count."""
     excluded = set(exclude)
     done = []
     for r in report.filter(F.col("status") == "ok").collect():  # one row per query
         if r["name"] in excluded:
-            done.append((r["name"], "skipped", None))
+            done.append((r["name"], "skipped", None, None))
             continue
         dest = f"{target_dir.rstrip('/')}/{r['name']}"
-        reader = spark.read.format(r["format"])
-        if r["format"] == "csv":
-            reader = reader.option("header", True).option("inferSchema", False)
-        write_result(reader.load(r["path"]), dest, r["format"])
-        done.append((r["name"], "published", dest))
-    return spark.createDataFrame(done, "name string, status string, path string")
+        schema = T.StructType.fromJson(json.loads(r["schema"]))
+        n = write_result(read_result(spark, r["path"], r["format"], schema), dest, r["format"])
+        done.append((r["name"], "published", n, dest))
+    return spark.createDataFrame(done, "name string, status string, rows long, path string")
 
 
 def publish_models(models: Mapping[str, str], target_dir: str,
@@ -152,6 +191,7 @@ def main(argv=None) -> None:
     report.show(len(names), truncate=80)
     if args.publish_to:
         publish_results(spark, report, args.publish_to).show(len(names), truncate=80)
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

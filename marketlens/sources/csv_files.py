@@ -1,36 +1,73 @@
-"""Reference-format CSV files (A1, A5): nine headed CSVs read with explicit schemas."""
+"""Reference-format CSV files (A1, A5): nine headed CSVs read with explicit schemas, and
+the one set of options with which results are written as CSV and read back (A2, B2)."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlens.operators.repair import repair_categories, repair_geolocation
 from marketlens.sources.marketplace import Marketplace
 from marketlens.sources.schemas import SCHEMAS, csv_file_names
 
+# Tables whose text may span lines; only their files can't be split into tasks.
+MULTI_LINE = ("order_reviews",)
+BAD_RECORD = "_bad_record"
+
+# An absent value is an empty field, an empty string a quoted one.  The reader tells them
+# apart by a marker that no text consists of (a private-use character).
+_COMMON = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+           "ignoreTrailingWhiteSpace": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+CSV_WRITE = {**_COMMON, "nullValue": "", "emptyValue": '""'}
+CSV_READ = {**_COMMON, "nullValue": "\ue000", "emptyValue": "", "multiLine": "true", "mode": "FAILFAST",
+            "enforceSchema": "false"}
+
 
 class MissingInput(FileNotFoundError):
     """A required input path does not exist (A5)."""
 
 
+def file_position() -> Column:
+    """Where a row stands in its input: file, then place in the file.  A sortable string;
+    row numbers alone follow the order in which Spark plans the files."""
+    return F.concat_ws("|", F.col("_metadata.file_path"),
+                       F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
+                       F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+
+
+def _reader(spark: SparkSession, table: str):
+    return (spark.read.option("header", True).option("multiLine", table in MULTI_LINE)
+            .option("escape", '"').option("enforceSchema", False).option("mode", "PERMISSIVE"))
+
+
 def read_csv_table(spark: SparkSession, path: str, table: str,
                    with_position: bool = False) -> DataFrame:
-    """A1: headed CSV with the table's schema; review text may span lines and hold
-    quotes.  ``with_position`` adds ``input_pos`` (file order) for keep-first dedup."""
+    """A1: headed CSV with the table's schema; the header must name its columns in order.
+    Review text may span lines and hold quotes.  ``with_position`` adds ``input_pos``
+    (file order) for keep-first dedup.  See ``type_violations`` for bad values."""
     try:
-        df = (spark.read.schema(SCHEMAS[table])
-              .option("header", True).option("multiLine", True)
-              .option("escape", '"').option("mode", "PERMISSIVE")
-              .csv(path))
+        df = _reader(spark, table).schema(SCHEMAS[table]).csv(path)
     except AnalysisException as exc:  # PATH_NOT_FOUND is raised while resolving
         raise MissingInput(f"{table}: input not found at {path}") from exc
     if with_position:
-        df = df.withColumn("input_pos", F.monotonically_increasing_id())
+        df = df.withColumn("input_pos", file_position())
     return df
 
 
+def type_violations(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Rows whose values don't fit the table's types (or that have too many or too few
+    fields), counted: one row (table_name, n_bad_rows, first_bad_row, n_keys), the last being the
+    rows with a key."""
+    schema = T.StructType([*SCHEMAS[table].fields, T.StructField(BAD_RECORD, T.StringType())])
+    df = _reader(spark, table).schema(schema).option("columnNameOfCorruptRecord", BAD_RECORD).csv(path)
+    key = SCHEMAS[table].fieldNames()[0]
+    return df.select(key, BAD_RECORD).agg(
+        F.lit(table).alias("table_name"), F.count_if(F.col(BAD_RECORD).isNotNull()).alias("n_bad_rows"),
+        F.min(BAD_RECORD).alias("first_bad_row"), F.count(key).alias("n_keys"))
+
+
 def read_marketplace_csv(spark: SparkSession, data_dir: str, prefix: str = "",
                          files: dict[str, str] | None = None) -> Marketplace:
     """All nine tables from a folder of reference-format CSV files, repaired.

@@ -103,6 +103,9 @@ MAX_LENGTHS: dict[str, dict[str, int]] = {
                       "review_comment_message": 500},
 }
 
+# Amounts that are summed exactly.
+MONEY_COLUMNS: tuple[str, ...] = ("price", "freight_value", "payment_value")
+
 # Parents before children: the order tables are loaded in.
 LOAD_ORDER: tuple[str, ...] = (
     "geolocation", "customers", "prodcategory", "products", "orders", "sellers",

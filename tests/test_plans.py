@@ -9,7 +9,8 @@ import pytest
 from marketlens import registry
 from tests.conftest import SMOKE_DIR
 
-RUNS_JOBS = {"batch_report", "publish_results", "logreg_scores", "logreg_metrics"}
+RUNS_JOBS = {"batch_report", "publish_results", "published_reviews", "csv_scan", "load_gate",
+             "logreg_scores", "logreg_metrics"}
 
 
 @pytest.fixture
@@ -40,3 +41,44 @@ def test_k1_counts_items_per_order_and_seller_before_any_join(static_plan):
 def test_k13_limits_each_person_to_two_orders_before_the_shuffle(static_plan):
     plan = static_plan("first_order_analysis")
     assert plan.count("WindowGroupLimit") >= 2  # partial (map side) and final
+
+
+@pytest.fixture
+def shuffled_plan(spark, static_plan):
+    """The plan without broadcasts, as at scale."""
+    def plan(name: str) -> str:
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            return static_plan(name)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    return plan
+
+
+def _count(plan: str, what: str) -> int:
+    return len(re.findall(what, plan))
+
+
+def test_cohort_reads_each_table_once(shuffled_plan):
+    plan = shuffled_plan("cohort")
+    assert _count(plan, "FileScan") == 5  # orders; and orders, customer, nation, region for the customers
+
+
+def test_length_rule_reads_each_table_once(shuffled_plan):
+    from marketlens.sources.standins import load_standins  # noqa: F401
+
+    plan = shuffled_plan("length_violations")
+    assert _count(plan, "FileScan") <= 30
+
+
+def test_binary_metrics_aggregates_its_rows_once(shuffled_plan):
+    plan = shuffled_plan("binary_metrics")
+    assert _count(plan, "FileScan") <= 4
+
+
+@pytest.mark.parametrize("name", ["delays_by_state", "sales_by_category_month", "delay_stats",
+                                  "network_delay_pairs", "product_reviews"])
+def test_items_are_counted_before_any_join(shuffled_plan, name):
+    assert re.search(r"HashAggregate\(keys=\[order_id#\d+L, (seller|product)_id#\d+L\], functions=\[partial_count\(1\)\]",
+                     shuffled_plan(name))

@@ -90,3 +90,51 @@ def test_tables_answer_plain_sql_through_views(spark):
         GROUP BY s.seller_state""")
     df = plans.delays_by_state(m).select("seller_state", "number_of_delays", "number_of_orders")
     assert rows_of(sql) == rows_of(df)
+
+
+def test_keep_first_follows_file_order_over_several_files(spark):
+    """The smaller file comes first in name order, whatever order Spark plans them in."""
+    from marketlens.operators.repair import geolocation_first
+
+    d = tempfile.mkdtemp(prefix="ml-order-")
+    head = "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state\n"
+    for name, city, n in (("a.csv", "first", 1), ("b.csv", "second", 5000)):
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(head + f"z,1.0,1.0,{city},s\n" + "".join(f"{name}{i},0.0,0.0,c,s\n" for i in range(n)))
+    raw = read_csv_table(spark, d, "geolocation", with_position=True)
+    kept = geolocation_first(raw).filter("geolocation_zip_code_prefix = 'z'").collect()
+    assert [r["geolocation_city"] for r in kept] == ["first"]
+
+
+def test_bad_values_and_headers_are_reported(spark):
+    from marketlens.sources.csv_files import type_violations
+
+    d = tempfile.mkdtemp(prefix="ml-bad-")
+    path = os.path.join(d, "p.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+                "o1,1,card,1,9.5\no2,x,card,1,9.5\no3,1,card,1\n")
+    report = type_violations(spark, path, "order_payments").first()
+    assert (report["n_bad_rows"], report["first_bad_row"]) == (2, "o2,x,card,1,9.5")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("order_id,payment_type,payment_sequential,payment_installments,payment_value\no1,card,1,1,9.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_table(spark, path, "order_payments").collect()
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from marketlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Cluster:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())
