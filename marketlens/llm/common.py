@@ -202,7 +202,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return out.filter(F.col("u") != F.col("v")).distinct()
 
     def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        with released_shuffles(e.sparkSession):
+            return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     now = stage_table(edges.select(F.col("u").cast("long"), F.col("v").cast("long"))
                       .filter(F.col("u") != F.col("v")).distinct(), "edges")

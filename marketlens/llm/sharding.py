@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import columns_of, drop_stage, running_total, stage_table, uniform
+from marketlens.llm.common import columns_of, drop_stage, released_shuffles, running_total, stage_table, uniform
 
 
 def _per_shard(df: DataFrame, amount: str, shards: int) -> list[int]:
@@ -69,6 +69,11 @@ def propagate(state: DataFrame, caps: list[int], rounds: int = 12) -> DataFrame:
 
 def shard(documents: DataFrame, shards: int = 8, rounds: int = 12) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for each document."""
+    with released_shuffles(documents.sparkSession):  # the rounds' counts leave no files
+        return _shard(documents, shards, rounds)
+
+
+def _shard(documents: DataFrame, shards: int, rounds: int) -> DataFrame:
     rows = stage_table(
         columns_of(documents, "doc_id", "text")
         .select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
