@@ -67,6 +67,19 @@ def score(model: PipelineModel, df: DataFrame, logit_col: str = "logit") -> Data
             .drop("_tf", "_tfidf", "features", "rawPrediction", "probability", "prediction"))
 
 
+def linear_scores(weights: DataFrame, coefficients: DataFrame, ids: DataFrame, id_col: str,
+                  intercept: float = 0.0, digits: int = 6) -> DataFrame:
+    """J10 with a model that is a table: (term, coefficient) against (id, term, weight).
+    Every row of ``ids`` gets a logit (the intercept alone, without known terms), its
+    sigmoid and the 0/1 prediction, rounded to ``digits`` places."""
+    z = (weights.join(coefficients, "term").groupBy(id_col)
+         .agg(F.sum(F.col("weight") * F.col("coefficient")).alias("_z")))
+    logit = F.round(F.coalesce("_z", F.lit(0.0)) + F.lit(float(intercept)), digits)
+    return (ids.select(id_col).join(z, id_col, "left").withColumn("logit", logit)
+            .select(id_col, "logit", F.round(sigmoid(F.col("logit")), digits).alias("probability_positive"),
+                    (F.col("logit") > 0).cast("int").alias("predicted")))
+
+
 def sigmoid(z: Column) -> Column:
     """I17."""
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))

@@ -23,7 +23,8 @@ st_orders AS (
   FROM orders),
 st_customers AS (
   SELECT o.o_orderkey AS customer_id, o.o_custkey AS customer_unique_id,
-         CAST(c.c_nationkey AS VARCHAR) AS customer_zip_code_prefix,
+         CAST(c.c_nationkey AS VARCHAR) || CASE WHEN o.o_custkey % 50 = 7 THEN 'F' ELSE '' END
+           AS customer_zip_code_prefix,
          n.n_name AS customer_city, r.r_name AS customer_state
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
@@ -330,6 +331,16 @@ FROM cleaned c LEFT JOIN rebuilt r USING (doc_id)""",
     "tfidf_transform": """,
 w AS (SELECT tf.doc_id, tf.term, v.term_index, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term))
 SELECT doc_id, term, term_index, round(w / sqrt(SUM(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
+    "linear_scores": """,
+w AS (SELECT tf.doc_id, tf.term, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term)),
+unit AS (SELECT doc_id, term, w / sqrt(SUM(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w),
+z AS (
+  SELECT doc_id, round(SUM(weight * ((CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 2001 - 1000) / 1000.0)), 6) AS logit
+  FROM unit GROUP BY doc_id)
+SELECT c.doc_id, COALESCE(z.logit, CAST(0 AS DOUBLE)) AS logit,
+       round(1 / (1 + exp(-COALESCE(z.logit, 0))), 6) AS probability_positive,
+       CAST(COALESCE(z.logit, 0) > 0 AS INTEGER) AS predicted
+FROM cleaned c LEFT JOIN z USING (doc_id)""",
     "class_weights": """
 SELECT label, COUNT(*) AS n,
        CAST((SELECT COUNT(*) FROM doc_terms WHERE split = 'train') AS DOUBLE)

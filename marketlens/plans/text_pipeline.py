@@ -93,6 +93,16 @@ def tfidf_transform(m: Marketplace) -> DataFrame:
     return w.select("doc_id", "term", "term_index", F.round("weight", 6).alias("weight"))
 
 
+def linear_scores(m: Marketplace) -> DataFrame:
+    """J10, J12, I17 with a deterministic model: each term's coefficient is a digest of
+    the term, in [-1, 1]."""
+    c = cleaned_once(m)
+    vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
+    digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long")
+    coefficients = vocab.select("term", ((digest % 2001 - 1000) / 1000.0).alias("coefficient"))
+    return model.linear_scores(features.transform_tfidf(c, "doc_id", "terms", vocab), coefficients, c, "doc_id")
+
+
 def class_weights(m: Marketplace) -> DataFrame:
     return features.class_weights(_train(m), "label").select("label", "n", "weight")
 

@@ -98,7 +98,7 @@ def relational_queries() -> dict[str, Query]:
 
 def text_queries() -> dict[str, Query]:
     names = ("review_clean_text", "lemma_substitution", "split_train_test", "vocabulary_top_n",
-             "tfidf_fit", "tfidf_transform", "class_weights", "encode_fixed_length",
+             "tfidf_fit", "tfidf_transform", "linear_scores", "class_weights", "encode_fixed_length",
              "attention_mask", "shuffle_batches", "logreg_scores", "logreg_metrics",
              "binary_metrics")
     return {n: _mart(getattr(text_pipeline, n)) for n in names}

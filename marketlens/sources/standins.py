@@ -78,7 +78,10 @@ def st_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(F.broadcast(place), F.col("c_nationkey") == place.n_nationkey)
             .select(F.col("o_orderkey").alias("customer_id"),
                     F.col("o_custkey").alias("customer_unique_id"),
-                    F.col("c_nationkey").cast("string").alias("customer_zip_code_prefix"),
+                    # some customers live in a zip that no other table knows
+                    F.concat(F.col("c_nationkey").cast("string"),
+                             F.when(F.col("o_custkey") % 50 == 7, "F").otherwise(""))
+                    .alias("customer_zip_code_prefix"),
                     F.col("n_name").alias("customer_city"),
                     F.col("r_name").alias("customer_state")))
 
