@@ -37,8 +37,8 @@ CARD = "[0-9][0-9\u0001]++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 IP_VALID = rf"^{_PART}(?:\.{_PART}){{3}}$"
-# what may be an identifier: 6 to 64 letters, digits, "_" and "-"
-CANDIDATE = r"(?:(?<![A-Za-z0-9_-])|\G)[A-Za-z0-9_-]{6,64}+(?![A-Za-z0-9_-])"
+# what may be an identifier: 6 to 64 letters, digits, "_" and "-", with a digit among them
+CANDIDATE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,63}[0-9])[A-Za-z0-9_-]{6,64}+(?![A-Za-z0-9_-])"
 
 
 def _digits(value: Column) -> Column:
