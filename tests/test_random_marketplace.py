@@ -18,14 +18,16 @@ import tempfile
 import duckdb
 import pytest
 
-from marketlens import plans
+from marketlens import plans, registry
 from marketlens.operators import quality
 from marketlens.operators.repair import repair_categories, repair_geolocation
-from marketlens.oracle import ORACLE, rmf_sql, without_base_tables
+from marketlens.oracle import rmf_sql, without_base_tables
 from marketlens.plans import text_pipeline
 from marketlens.sources.marketplace import Marketplace
 from tools.oracle_check import digest
 
+ORACLE = registry.oracle_sql()
+
 DDL = {
     "geolocation_raw": "input_pos long, geolocation_zip_code_prefix string, geolocation_lat double, "
                        "geolocation_lng double, geolocation_city string, geolocation_state string",
