@@ -9,14 +9,19 @@ sets that link share a shingle among their first ``|A| - ceil(t |A|) + 1``.  All
 here put frequent shingles last, so that common lines and passages seldom are in a
 prefix (frequency classes come from counts of all shingles in hashed cells: a fixed
 number of cells, and any order is a valid one), and differ in the hash that orders a
-class.  A candidate pair shares a prefix shingle under the first order; before the sets
-are compared it must also share one under each of the other orders.
+class.  A candidate pair shares a prefix shingle under the first order.  A bound
+comes first: with the hashes counted in cells, the intersection is at most the sum of the
+cells' smaller counts, and pairs that this bound rules out are dropped.  Of the others,
+those that also share a prefix shingle under each of the other orders have their whole
+sets compared; only the texts of their documents are read again for it.
 
 Groups of copies must not cost the square of their size: in a first round every prefix
 shingle proposes only pairs with one document, its hub.  Verified links give components;
 what remains are pairs in different components that share a prefix shingle.  For each
-shingle, the documents outside its largest component meet all others; these pairs are
-verified, whatever their number, so no link between different components is lost.
+shingle, the documents outside its largest component meet all others, one by one if
+those are in small components, else block by block: a document and a block of a large
+component are one row, compared inside a task.  All that meet are verified, whatever
+their number, so no link between different components is lost.
 
 Nulls and edge cases: a null, empty or blank text has an empty set and links with
 nothing; a null doc_id counts as the smallest id; rows that repeat a doc_id are one node
@@ -31,9 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import (RollingHash, columns_of, connected_components, drop_stage, id_key,
-                                   id_value, mix64, row_chunks, stage_table, text_bytes)
+                                   id_value, mix64, released_shuffles, row_chunks, stage_table, text_bytes)
 
-CELL_BITS = 18
+CELL_BITS = 22       # of the cells in which all shingles are counted
+CELL_BLOCK = 1 << 12
+LARGE = 32           # documents of a component that is compared in blocks
+BLOCK = 512
 ORDERS = 3
 
 
@@ -91,15 +99,19 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
 
 
-def _prefixes(rows, hashes, counts, classes, percent, order):
-    """(row, hash) of each row's prefix under one global order."""
+def _prefix_places(rows, hashes, counts, classes, percent, order):
+    """(rows, places) of the hashes in each row's prefix under one global order."""
     cell = classes[(hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
     seed = np.uint64(order * 0x632BE59BD9B4E019 % 2 ** 64)
     by = np.lexsort((mix64(hashes ^ seed), cell, rows))
     first = np.cumsum(counts) - counts
     place = np.arange(len(rows)) - first[rows]
     take = place < prefix_size(counts, percent)[rows]
-    at = by[take]
+    return rows[by[take]], by[take]
+
+
+def _prefixes(rows, hashes, counts, classes, percent, order):
+    at = _prefix_places(rows, hashes, counts, classes, percent, order)[1]
     return rows[at], hashes[at]
 
 
@@ -114,17 +126,31 @@ def _chunks(batches, n: int, text_at: int = 1):
 
 
 def _cells(n: int):
+    """Per task: counts of all cells, one row for each block of cells."""
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(1 << CELL_BITS, np.int64)
+        total = np.zeros(1 << CELL_BITS, np.uint32)
         for _, _, hashes, _ in _chunks(batches, n, 0):
-            total += np.bincount((hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["cell", "n"])
+            np.add.at(total, (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+        rows = total.reshape(-1, CELL_BLOCK)
+        seen = np.flatnonzero(rows.any(axis=1))
+        if len(seen):
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array([rows[k].tobytes() for k in seen], pa.binary())],
+                                             names=["block", "counts"])
     return run
 
 
+def _add_cells(rows):
+    import pyarrow as pa
+
+    total = np.zeros(CELL_BLOCK, np.uint64)
+    for c in rows["counts"].to_pylist():
+        total += np.frombuffer(c, np.uint32)
+    return pa.table([pa.array([rows["block"][0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+                    names=["block", "counts"])
+
+
 def _lists(values, counts, kind):
     import pyarrow as pa
 
@@ -132,8 +158,47 @@ def _lists(values, counts, kind):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
+def _cell_counts(rows, hashes, counts):
+    """For each row, its hashes counted in at least twice as many cells (a power of two);
+    a cell's number are the hash's first bits."""
+    bits = np.clip(np.ceil(np.log2(np.maximum(2 * counts, 2))), 6, 24).astype(np.int64)
+    size = np.where(counts > 0, 1 << bits, 0)
+    base = np.cumsum(size) - size
+    at = base[rows] + (hashes >> (64 - bits[rows]).astype(np.uint64)).astype(np.int64)
+    cells = np.minimum(np.bincount(at, minlength=int(size.sum())), 255).astype(np.uint8)
+    return [cells[x:x + n].tobytes() for x, n in zip(base, size, strict=True)]
+
+
+def _folded(cells: np.ndarray, size: int) -> np.ndarray:
+    return cells.astype(np.int64).reshape(size, -1).sum(axis=1)
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, n: int, m: int, percent: int) -> bool:
+    if a.max() == 255 or b.max() == 255:
+        return True  # a count that is not whole
+    size = min(len(a), len(b))
+    most = int(np.minimum(_folded(a, size), _folded(b, size)).sum())
+    return 100 * most >= percent * (n + m - most)
+
+
+def _bounded(percent: int):
+    """The candidate pairs (u, v) whose cells don't rule a link out."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 4))
+            a, b = batch.column(3), batch.column(5)
+            hit = [i for i in range(batch.num_rows)
+                   if _may_link(np.frombuffer(a[i].as_buffer(), np.uint8), np.frombuffer(b[i].as_buffer(), np.uint8),
+                                int(n[i]), int(m[i]), percent)]
+            take = pa.array(hit, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], names=["u", "v"])
+    return run
+
+
 def _prefix_rows(n: int, percent: int, classes: np.ndarray):
-    """doc, set size, two digests of the set, prefix under the first order."""
+    """doc, set size, two digests of the set, its cells, prefix under the first order."""
     def run(batches):
         import pyarrow as pa
 
@@ -147,26 +212,28 @@ def _prefix_rows(n: int, percent: int, classes: np.ndarray):
             p_rows, p = _prefixes(rows, hashes, counts, classes, percent, 1)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(counts.astype(np.int64)), pa.array(digest[0]), pa.array(digest[1]),
+                 pa.array(_cell_counts(rows, hashes, counts), pa.binary()),
                  _lists(p.view(np.int64), np.bincount(p_rows, minlength=len(counts)), pa.int64())],
-                names=["doc", "n", "s1", "s2", "prefix"])
+                names=["doc", "n", "s1", "s2", "cells", "prefix"])
     return run
 
 
 def _set_rows(n: int, percent: int, classes: np.ndarray):
-    """doc, its whole set and its prefixes under the other orders, as sorted hashes."""
+    """doc, its whole set as sorted hashes, and which of them are in its prefixes under
+    the other orders."""
     def run(batches):
         import pyarrow as pa
 
         for part, rows, hashes, counts in _chunks(batches, n):
-            columns = [part.column(0)]
-            for order in range(1, ORDERS + 1):
-                r, h = (rows, hashes) if order == 1 else _prefixes(rows, hashes, counts, classes, percent, order)
-                if order > 1:
-                    by = np.lexsort((h, r))
-                    r, h = r[by], h[by]
-                cut = np.concatenate([[0], np.cumsum(np.bincount(r, minlength=len(counts)))])
-                columns.append(pa.array([h[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)],
-                                        pa.binary()))
+            cut = np.concatenate([[0], np.cumsum(counts)])
+            columns = [part.column(0),
+                       pa.array([hashes[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())]
+            for order in range(2, ORDERS + 1):
+                _, at = _prefix_places(rows, hashes, counts, classes, percent, order)
+                inside = np.zeros(len(hashes), bool)
+                inside[at] = True
+                columns.append(pa.array([np.packbits(inside[x:y]).tobytes()
+                                         for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "whole", "p2", "p3"])
     return run
 
@@ -187,7 +254,9 @@ def _verify(percent: int):
             columns = [batch.column(k) for k in range(2, 8)]
             hit = []
             for i in range(batch.num_rows):
-                x, x2, x3, y, y2, y3 = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in columns)
+                x, y = (np.frombuffer(columns[k][i].as_buffer(), np.uint64) for k in (0, 3))
+                x2, x3, y2, y3 = (s[np.unpackbits(np.frombuffer(columns[k][i].as_buffer(), np.uint8), count=len(s))
+                                    .astype(bool)] for k, s in ((1, x), (2, x), (4, y), (5, y)))
                 if not _common(x2, y2) or not _common(x3, y3):
                     continue
                 both = _common(x, y)
@@ -198,20 +267,78 @@ def _verify(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("doc").alias("u"), "whole", "p2", "p3")
-    b = sets.select(F.col("doc").alias("v"), F.col("whole").alias("w2"), F.col("p2").alias("q2"), F.col("p3").alias("q3"))
-    both = (pairs.join(a, "u").join(b, "v")
-            .select("u", "v", "whole", "p2", "p3", "w2", "q2", "q3"))
-    return both.mapInArrow(_verify(percent), "u long, v long")
+def _bounded_blocks(percent: int):
+    """Pairs of a block's documents with those that came to meet them, under the bound."""
+    def run(key, members, others):
+        import pyarrow as pa
+
+        u, v = [], []
+        if members.num_rows and others.num_rows:
+            d, n = members["doc"].to_numpy(), members["n"].to_numpy()
+            cells = [np.frombuffer(c, np.uint8) for c in members["cells"].to_pylist()]
+            for x, m, c in zip(others["x"].to_pylist(), others["n"].to_pylist(), others["cells"].to_pylist(), strict=True):
+                mine = np.frombuffer(c, np.uint8)
+                for k in np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m)):
+                    if _may_link(cells[k], mine, int(n[k]), m, percent):
+                        u.append(min(x, int(d[k])))
+                        v.append(max(x, int(d[k])))
+        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+    return run
+
+
+def _close(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (u, v) that the bound leaves."""
+    a = cells.select(F.col("doc").alias("u"), "n", "cells")
+    b = cells.select(F.col("doc").alias("v"), F.col("n").alias("m"), F.col("cells").alias("cells2"))
+    return (pairs.join(a, "u").join(b, "v").select("u", "v", "n", "cells", "m", "cells2")
+            .mapInArrow(_bounded(percent), "u long, v long").distinct())
+
+
+def _close_blocks(placed: DataFrame, others: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """Pairs of large components' documents with documents of other components that share
+    a prefix shingle with some of theirs.  What meets is a document and a block of a
+    component, so a group of copies is not expanded into pairs."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    large = placed.filter(F.col("size") >= LARGE).withColumn("block", F.pmod(F.xxhash64("doc"), blocks))
+    met = (large.select("tok", "part", "block").distinct().join(others.select("tok", "x", "part2"), "tok")
+           .filter("part <> part2").select("part", "block", "x").distinct())
+    chunks = (met.groupBy("part", "block").agg(F.count("*").alias("c"))
+              .select("part", "block", F.ceil(F.col("c") / (4 * BLOCK)).cast("long").alias("chunks")))
+    right = stage_table(met.join(chunks, ["part", "block"]).withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("chunks")))
+             .join(cells.withColumnRenamed("doc", "x"), "x").select("part", "block", "chunk", "x", "n", "cells"), "meeting")
+    left = (large.select("part", "block", "doc").distinct().join(chunks, ["part", "block"])
+            .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+            .join(cells, "doc").select("part", "block", "chunk", "doc", "n", "cells"))
+    keys = ["part", "block", "chunk"]
+    return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+            .applyInArrow(_bounded_blocks(percent), "u long, v long").distinct())
+
+
+def _linked(close: DataFrame, docs: DataFrame, n: int, percent: int, classes: np.ndarray) -> DataFrame:
+    """The pairs (u, v) of a stage table that link, as a stage table."""
+    if close.isEmpty():
+        return close
+    wanted = close.select(F.explode(F.array("u", "v")).alias("doc")).distinct()
+    sets = stage_table(docs.join(wanted, "doc", "left_semi")
+                       .mapInArrow(_set_rows(n, percent, classes), "doc long, whole binary, p2 binary, p3 binary"),
+                       "sets")
+    x = sets.select(F.col("doc").alias("u"), "whole", "p2", "p3")
+    y = sets.select(F.col("doc").alias("v"), F.col("whole").alias("w2"), F.col("p2").alias("q2"), F.col("p3").alias("q3"))
+    both = close.join(x, "u").join(y, "v").select("u", "v", "whole", "p2", "p3", "w2", "q2", "q3")
+    found = stage_table(both.mapInArrow(_verify(percent), "u long, v long"), "linked")
+    drop_stage(close, sets)
+    return found
 
 
 def frequency_classes(docs: DataFrame, n: int) -> np.ndarray:
     """The class of each cell of shingles: 0 up to an ordinary count, then by size."""
-    counted = docs.select("text").mapInArrow(_cells(n), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = counted.toPandas()  # one row a cell, 2 ** CELL_BITS at most
-    total = np.zeros(1 << CELL_BITS)
-    total[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
+    counted = (docs.select("text").mapInArrow(_cells(n), "block long, counts binary")
+               .groupBy("block").applyInArrow(_add_cells, "block long, counts binary"))
+    total = np.zeros((1 << CELL_BITS) // CELL_BLOCK * CELL_BLOCK, float).reshape(-1, CELL_BLOCK)
+    with released_shuffles(docs.sparkSession):
+        for r in counted.collect():  # one row a block of cells
+            total[r["block"]] = np.frombuffer(r["counts"], np.uint64)
+    total = total.reshape(-1)
     middle = max(float(np.median(total)), 1.0)
     spread = 1 + 3 / np.sqrt(middle)  # what chance alone puts into a cell
     return np.clip(np.ceil(4 * np.log2(np.maximum(total / (middle * spread), 1.0))), 0, 250).astype(np.uint8)
@@ -222,7 +349,8 @@ def jaccard_components(documents: DataFrame, n: int = 4, percent: int = 85) -> D
     docs = columns_of(documents, "doc_id", "text").select(id_key().alias("doc"), "text")
     classes = frequency_classes(docs, n)
     prefixes = stage_table(docs.mapInArrow(
-        _prefix_rows(n, percent, classes), "doc long, n long, s1 long, s2 long, prefix array<long>"), "prefixes")
+        _prefix_rows(n, percent, classes), "doc long, n long, s1 long, s2 long, cells binary, prefix array<long>"),
+        "prefixes")
     same = ["s1", "s2", "n"]
     reps = stage_table(prefixes.filter("n > 0").groupBy(*same).agg(F.min("doc").alias("rep")), "reps")
     tokens = (prefixes.filter("n > 0").join(reps.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
@@ -232,29 +360,32 @@ def jaccard_components(documents: DataFrame, n: int = 4, percent: int = 85) -> D
             .filter(F.col("hub.doc") < F.col("far")).select(F.col("tok").alias("tok2"), "hub"))
     shared = stage_table(tokens.join(hubs, F.col("tok") == F.col("tok2")).select("tok", "doc", "n", "hub"), "shared")
     drop_stage(tokens)
-    sets = stage_table(docs.join(shared.select("doc").distinct(), "doc", "left_semi")
-                       .mapInArrow(_set_rows(n, percent, classes), "doc long, whole binary, p2 binary, p3 binary"),
-                       "sets")
+    cells = prefixes.select("doc", "n", "cells")
     near = (F.least("n", "m") * 100 >= F.lit(percent) * F.greatest("n", "m"))
     star = (shared.filter(F.col("doc") != F.col("hub.doc")).withColumn("m", F.col("hub.n")).filter(near)
             .select(F.col("hub.doc").alias("u"), F.col("doc").alias("v")).distinct())
-    links = stage_table(_linked(star, sets, percent), "star")
+    links = _linked(stage_table(_close(star, cells, percent), "close"), docs, n, percent, classes)
     parts = stage_table(connected_components(links), "parts")
     # pairs left over: they share a prefix shingle and are in different components
     placed = (shared.select("tok", "doc", "n")
               .join(parts, F.col("doc") == F.col("node"), "left")
               .select("tok", "doc", "n", F.coalesce("component", "doc").alias("part")))
-    sizes = placed.groupBy("tok", "part").agg(F.count("*").alias("c"))
-    mixed = (sizes.groupBy(F.col("tok").alias("tok2"))
+    counts = placed.groupBy("tok", "part").agg(F.count("*").alias("c"))
+    mixed = (counts.groupBy(F.col("tok").alias("tok2"))
              .agg(F.max(F.struct("c", F.col("part"))).alias("top"), F.count("*").alias("k")).filter("k > 1"))
-    placed = stage_table(placed.join(mixed, F.col("tok") == F.col("tok2"))
-                         .select("tok", "doc", "n", "part", (F.col("part") == F.col("top.part")).alias("main")), "mixed")
+    members = parts.groupBy(F.col("component").alias("of")).agg(F.count("*").alias("size"))
+    placed = (placed.join(mixed, F.col("tok") == F.col("tok2")).join(members, F.col("part") == F.col("of"), "left")
+              .select("tok", "doc", "n", "part", (F.col("part") == F.col("top.part")).alias("main"),
+                      F.coalesce("size", F.lit(1)).alias("size")))
+    placed = stage_table(placed, "mixed")
     others = placed.filter(~F.col("main")).select("tok", F.col("doc").alias("x"), F.col("n").alias("m"),
                                                   F.col("part").alias("part2"))
-    rest = (placed.join(others, ["tok"]).filter((F.col("part") != F.col("part2")) & near)
-            .select(F.least("doc", "x").alias("u"), F.greatest("doc", "x").alias("v")).distinct())
-    rest = stage_table(rest.join(links, ["u", "v"], "left_anti"), "rest")
-    more = stage_table(_linked(rest, sets, percent), "more")
+    pairs = (placed.filter(F.col("size") < LARGE).join(others, ["tok"])
+             .filter((F.col("part") != F.col("part2")) & near)
+             .select(F.least("doc", "x").alias("u"), F.greatest("doc", "x").alias("v")).distinct())
+    close = stage_table(_close(pairs, cells, percent).unionByName(_close_blocks(placed, others, cells, percent))
+                        .distinct(), "close")
+    more = _linked(close, docs, n, percent, classes)
     if not more.isEmpty():
         parts = connected_components(links.unionByName(more))
     out = (prefixes.select("doc", "n", "s1", "s2").join(reps, same, "left")
@@ -262,7 +393,7 @@ def jaccard_components(documents: DataFrame, n: int = 4, percent: int = 85) -> D
            .select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component")))
     # rows that repeat an id are one node: it is in the smallest of their components
     out = stage_table(out, "jaccard")
-    drop_stage(shared, sets, links, placed, rest, more, prefixes, reps)
+    drop_stage(shared, links, placed, more, prefixes, reps)
     return out
 
 
