@@ -83,3 +83,36 @@ def test_edge_cases(documents):
     got = jaccard_join(documents([(None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e")])).collect()
     assert [(r["n_shingles"], r["component_id"]) for r in got] == [(2, None)] * 3
     assert one_of_each(documents([(3, "a b c d e"), (3, "a b c d e"), (4, "q")])).count() == 2
+
+
+def test_components_compared_in_small_blocks(documents, monkeypatch):
+    """Every component of two documents counts as large, blocks hold two."""
+    import marketlens.llm.jaccard_join as module
+
+    monkeypatch.setattr(module, "LARGE", 2)
+    monkeypatch.setattr(module, "BLOCK", 2)
+    rows = corpus(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join(documents(rows), 4, 85).collect()}
+    assert got == brute(rows, 4, 85)
+
+
+def test_block_bound_equals_pair_bound():
+    import numpy as np
+
+    from marketlens.llm.jaccard_join import _cell_counts, _Cells, _may_link
+
+    rng = np.random.default_rng(1)
+
+    def some(n):
+        hashes = np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
+        return _cell_counts(np.zeros(len(hashes), np.int64), hashes, np.array([len(hashes)]))[0], len(hashes)
+
+    block = [some(int(rng.integers(5, 300))) for _ in range(40)]
+    cells = _Cells(np.arange(40), np.array([n for _, n in block]), [c for c, _ in block])
+    for percent in (5, 20, 85):
+        for _ in range(50):
+            raw, n = some(int(rng.integers(5, 300)))
+            mine = np.frombuffer(raw, np.uint8)
+            want = [k for k, (c, m) in enumerate(block) if 100 * min(n, m) >= percent * max(n, m)
+                    and _may_link(np.frombuffer(c, np.uint8), mine, m, n, percent)]
+            assert sorted(cells.may_link(n, mine, percent).tolist()) == want
