@@ -150,7 +150,7 @@ def logreg_scores(m: Marketplace) -> DataFrame:
 def logreg_metrics(m: Marketplace) -> DataFrame:
     """J11-J13 per split; batches of 32 numbered within each split in the seeded order
     (the batch-mean loss is how the reference reports its test loss)."""
-    scored = logreg_scores(m)
+    scored = cut_lineage(logreg_scores(m))  # numbering reads its rows twice
     batches = features.assign_batches(scored, "doc_id", BATCH_SIZE, SEED, group_col="split")
     return model.binary_metrics(batches, "logit", "label", batch_col="batch_id",
                                 group_cols=["split"])
