@@ -267,22 +267,47 @@ def _verify(percent: int):
     return run
 
 
+class _Cells:
+    """The cell counts of a block's documents, as one matrix for each number of cells."""
+
+    def __init__(self, docs: np.ndarray, sizes: np.ndarray, cells: list[bytes]):
+        self.groups = []
+        length = np.array([len(c) for c in cells])
+        for k in np.unique(length):
+            at = np.flatnonzero(length == k)
+            counts = np.frombuffer(b"".join(cells[i] for i in at), np.uint8).reshape(len(at), k).astype(np.int32)
+            self.groups.append((docs[at], sizes[at], (counts == 255).any(axis=1), {int(k): counts}))
+
+    def may_link(self, m: int, cells: np.ndarray, percent: int) -> np.ndarray:
+        """Documents of the block that the bound doesn't rule out."""
+        mine, out = {len(cells): cells.astype(np.int32)}, []
+        for docs, n, whole, folded in self.groups:
+            size = min(max(folded), len(cells))
+            for counts in (folded, mine):
+                if size not in counts:
+                    full = counts[max(counts)]
+                    counts[size] = full.reshape(*full.shape[:-1], size, -1).sum(axis=-1, dtype=np.int32)
+            most = np.minimum(folded[size], mine[size]).sum(axis=1)
+            keep = 100 * most >= percent * (n + m - most)
+            keep |= whole | (cells.max() == 255)
+            keep &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            out.append(docs[keep])
+        return np.concatenate(out)
+
+
 def _bounded_blocks(percent: int):
     """Pairs of a block's documents with those that came to meet them, under the bound."""
     def run(key, members, others):
         import pyarrow as pa
 
-        u, v = [], []
+        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if members.num_rows and others.num_rows:
-            d, n = members["doc"].to_numpy(), members["n"].to_numpy()
-            cells = [np.frombuffer(c, np.uint8) for c in members["cells"].to_pylist()]
+            block = _Cells(members["doc"].to_numpy(), members["n"].to_numpy(), members["cells"].to_pylist())
             for x, m, c in zip(others["x"].to_pylist(), others["n"].to_pylist(), others["cells"].to_pylist(), strict=True):
-                mine = np.frombuffer(c, np.uint8)
-                for k in np.flatnonzero(100 * np.minimum(n, m) >= percent * np.maximum(n, m)):
-                    if _may_link(cells[k], mine, int(n[k]), m, percent):
-                        u.append(min(x, int(d[k])))
-                        v.append(max(x, int(d[k])))
-        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                near = block.may_link(m, np.frombuffer(c, np.uint8), percent)
+                u.append(np.minimum(near, x))
+                v.append(np.maximum(near, x))
+        return pa.table([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
     return run
 
 
