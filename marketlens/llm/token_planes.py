@@ -26,12 +26,12 @@ ignored.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import sys
 import types
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -60,75 +60,101 @@ class WordCoder:
 
     def clear(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.flat, self.start, self.size = array("I"), array("q"), array("q")
-
-    def _encode(self, words: list[bytes]) -> None:
-        plain, odd = [], []
-        for w in words:
-            (odd if b"<" in w or "一".encode() in w else plain).append(w)
-        for a in range(0, len(plain), 128):
-            some = plain[a:a + 128]
-            ids = self.tokenizer.encode_batch_fast(
-                [self.SEPARATOR.join(w.decode() for w in some)], add_special_tokens=False)[0].ids
-            arr, sep = np.array(ids), self.separator
-            hit = arr[:len(arr) - len(sep) + 1] == sep[0]
+        self.n_ids = 0
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if len(a) >= n else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Words and where each one's ids lie in ``ids``."""
+        n = len(self.place)
+        self.flat = self._room(self.flat, self.n_ids + len(ids))
+        self.start, self.size = (self._room(a, n + len(words)) for a in (self.start, self.size))
+        self.flat[self.n_ids:self.n_ids + len(ids)] = ids
+        self.start[n:n + len(words)] = start + self.n_ids
+        self.size[n:n + len(words)] = size
+        self.n_ids += len(ids)
+        self.place.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes new words, many in one call with a separator between them; those that
+        could be joined with it (or be a special token) one by one."""
+        mark, sep = self.SEPARATOR.strip().encode(), self.separator
+        odd = [w for w in words if b"<" in w or mark in w]
+        if odd:
+            words = [w for w in words if not (b"<" in w or mark in w)]
+        groups = [words[a:a + 256] for a in range(0, len(words), 256)]
+        between = self.SEPARATOR.encode()
+        texts = [between.join(g).decode() for g in groups]
+        for some, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            last = len(ids) - len(sep) + 1
+            hit = ids[:last] == sep[0]
             for k in range(1, len(sep)):
-                hit &= arr[k:len(arr) - len(sep) + 1 + k] == sep[k]
+                hit &= ids[k:last + k] == sep[k]
             cut = np.flatnonzero(hit)
             if len(cut) != len(some) - 1:
                 odd.extend(some)
                 continue
-            at = 0
-            for w, c in zip(some, [*cut.tolist(), len(ids)], strict=True):
-                self.parts[w] = ids[at:c]
-                at = c + len(sep)
-        for w, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd],
-                                                              add_special_tokens=False) if odd else [], strict=True):
-            self.parts[w] = e.ids
+            start = np.concatenate([[0], cut + len(sep)])
+            self._keep(some, ids, start, np.concatenate([cut, [len(ids)]]) - start)
+        for w in odd:
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
+            self._keep([w], ids, np.zeros(1, np.int64), np.array([len(ids)]))
+
+    @staticmethod
+    def _plain_stops(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows in which every stop or comma before a blank or a line end follows a
+        letter or digit (ASCII, or one of the Latin letters U+00C0 to U+00FF): there the
+        tokenizer splits as well, so they can be looked up apart."""
+        n = len(data)
+        at = np.flatnonzero((data == 44) | (data == 46))
+        at = at[at + 1 < n]
+        at = at[(data[at + 1] == 32) | (data[at + 1] == 10)]
+        one, two = data[at - 1], data[at - 2]
+        word = (((one | 32) >= 97) & ((one | 32) <= 122)) | ((one >= 48) & (one <= 57))
+        word |= (two == 0xC3) & (one >= 0x80) & (one <= 0xBF) & (one != 0x97) & (one != 0xB7)
+        row = np.searchsorted(offsets, at, side="right") - 1
+        plain = np.ones(len(offsets) - 1, bool)
+        plain[row[~word | (at - offsets[row] < 2)]] = False
+        return plain
 
     @staticmethod
-    def _split(word: bytes) -> tuple[bytes, bytes]:
-        """A word and its closing stops; letter case does not matter to the tokenizer."""
-        core = word.rstrip(b".,")
-        last = core[-1:]
-        if not last.isalnum():
-            return word, b""
-        return (core if b"<" in core else core.lower()), word[len(core):]
-
-    def learn(self, words: set[bytes]) -> None:
-        pairs = [(w, *self._split(w)) for w in words]
-        need = {p for _, a, b in pairs for p in (a, b) if p and p not in self.parts}
-        self._encode(sorted(need))
-        for w, a, b in pairs:
-            ids = self.parts[a] + (self.parts[b] if b else [])
-            self.place[w] = len(self.start)
-            self.start.append(len(self.flat))
-            self.size.append(len(ids))
-            self.flat.extend(ids)
-
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each closed by ``end``, and the count of each text."""
+    def _words(text: bytes, plain: bool) -> list[bytes]:
+        """The words to look up; the tokenizer lower-cases, but for special tokens."""
+        if b"<" not in text:
+            text = text.lower()
+        if plain:
+            for stop in (b",", b"."):
+                for blank in (b" ", b"\n"):
+                    text = text.replace(stop + blank, b" " + stop + blank)
+        return text.split()
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows' texts, each closed by ``end``, and the count of each row."""
         if len(self.place) > WORDS_KEPT:
             self.clear()
-        words = [t.split() for t in texts]
-        new = {w for ws in words for w in ws if w not in self.place}
+        n_texts = len(offsets) - 1
+        split = [self._words(data[x:y].tobytes(), p) for x, y, p in
+                 zip(offsets[:-1], offsets[1:], self._plain_stops(data, offsets), strict=True)]
+        words = list(itertools.chain.from_iterable(split))
+        new = set(words).difference(self.place)
         if new:
-            self.learn(new)
-        place = self.place
-        at = np.array([place[w] for ws in words for w in ws], np.int64)
-        flat, start, size = (np.array(x) for x in (self.flat, self.start, self.size))
-        n_words = np.array([len(ws) for ws in words], np.int64)
-        take = size[at] if len(at) else np.zeros(0, np.int64)
+            self.learn(list(new))
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        n_words = np.array([len(ws) for ws in split], np.int64)
+        take = self.size[at]
         ends = np.cumsum(take)
         text_end = np.concatenate([[0], ends])[np.cumsum(n_words)]
         counts = np.diff(np.concatenate([[0], text_end])) + 1
         out = np.full(int(counts.sum()), end, np.uint32)
         if len(at):
-            inside = np.arange(int(ends[-1])) - np.repeat(ends - take, take)
-            ids = flat[np.repeat(start[at], take) + inside]
-            text_of = np.repeat(np.repeat(np.arange(len(texts)), n_words), take)
-            out[np.arange(len(ids)) + text_of] = ids
+            inside = np.arange(int(ends[-1])) + np.repeat(self.start[at] - ends + take, take)
+            text_of = np.repeat(np.arange(n_texts), counts - 1)
+            out[np.arange(len(inside)) + text_of] = self.flat[inside]
         return out, counts
 
 
@@ -250,8 +276,7 @@ def _write_files(folder: str, tokenizer: str, end: int, kind: str, chunk_ids: in
                     path = f"{folder}/{uuid.uuid4().hex}.planes"
                     stream = store.open_output_stream(f"{inner}/{path.rsplit('/', 1)[1]}")
                     writer, first = PlaneWriter(stream, kind, chunk_ids), docs[a]
-                texts = [data[offsets[k]:offsets[k + 1]].tobytes() for k in range(a, b)]
-                ids, counts = coder.encode(texts, end)
+                ids, counts = coder.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], end)
                 writer.add(docs[a:b], counts, ids)
                 n_docs += b - a
         if writer is not None:
@@ -300,7 +325,7 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end: in
     """Writes the files and returns the manifest (path, first, n_docs, n_ids, before)."""
     docs = columns_of(documents, "doc_id", "text").select(
         id_key().alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    manifest = stage_table(docs.repartitionByRange("doc", "text").sortWithinPartitions("doc", "text")
+    manifest = stage_table(docs.repartitionByRange("doc").sortWithinPartitions("doc", "text")
                            .mapInArrow(_write_files(folder, tokenizer, end, kind, chunk_ids),
                                        "path string, first long, n_docs long, n_ids long"), "manifest")
     order = Window.orderBy("first", "path").rowsBetween(Window.unboundedPreceding, -1)
