@@ -74,6 +74,12 @@ def id_value(col: str) -> Column:
     return F.when(F.col(col) != F.lit(NULL_ID).cast("long"), F.col(col))
 
 
+def text_digest(text: Column) -> list[Column]:
+    """The 128 bits of a text's md5, as the columns d1 and d2."""
+    return [F.conv(F.substring(F.md5(text), at, 16), 16, -10).cast("long").alias(name)
+            for name, at in (("d1", 1), ("d2", 17))]
+
+
 # ------------------------------------------------------------------ arrow text access
 def text_bytes(array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string or binary column (null: empty), no copy."""

@@ -23,9 +23,11 @@ with a combining aggregate, which is exact as well.  The same ranges tell, insid
 small class, which windows can be equal to any other; the rest is not sorted.
 
 Nulls and edge cases: a null text is empty; texts shorter than ``length`` lose nothing;
-a null doc_id counts as the smallest id; rows that repeat a doc_id are read as one
-document given twice (equal places don't remove each other); an empty table gives an
-empty result; further columns are ignored.
+a null doc_id counts as the smallest id; a document is its doc_id and a 128-bit digest of
+its text, so rows of one id (or of none) with different texts are documents of their own,
+in the order of the digest, and rows alike in both are one document given twice (equal
+places don't remove each other); an empty table gives an empty result; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import (NULL_ID, RollingHash, columns_of, drop_stage, id_key, mix64,
-                                   row_chunks, stage_table, text_bytes)
+                                   row_chunks, stage_table, text_bytes, text_digest)
 
 CHUNK = 1 << 20        # bytes of text hashed at a time
 POSITION_BITS = 26     # of a packed (hash, position) key
@@ -45,6 +47,7 @@ CLASS_LIMIT = 512      # segments of a class sorted in one block
 BLOCK_BYTES = 1 << 16  # of a block that one suffix array covers
 RANGES = 5             # of window starts around the anchor, see _cores
 SEGMENT = ["h", "doc", "pos", "windows", "lead", "raw"]
+DOC = "struct<id: long, d1: long, d2: long>"  # id key and text digest; compared in this order
 
 
 def suffix_array(codes: list[int]) -> list[int]:
@@ -175,13 +178,24 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, int, i
             at += CHUNK
 
 
+def _doc_tuples(array) -> list[tuple[int, int, int]]:
+    return list(zip(*(array.field(k).to_pylist() for k in range(3)), strict=True))
+
+
+def _doc_array(docs):
+    import pyarrow as pa
+
+    return pa.StructArray.from_arrays([pa.array([d[k] for d in docs], pa.int64()) for k in range(3)],
+                                      names=["id", "d1", "d2"])
+
+
 def _anchor_rows(length: int, gram: int):
     def run(batches):
         import pyarrow as pa
 
         hasher = RollingHash()
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            docs = batch.column(0)
             data, offsets = text_bytes(batch.column(1))
             for a, b, lo, hi in _pieces(offsets, length):
                 local = np.clip(offsets[a:b + 1], lo, hi) - lo
@@ -192,7 +206,7 @@ def _anchor_rows(length: int, gram: int):
                 shift = lo - offsets[a] if b == a + 1 else 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(segment.view(np.int64)),
-                     pa.array(ids[a + row]), pa.array(start + shift),
+                     docs.take(pa.array(a + row)), pa.array(start + shift),
                      pa.array(windows.astype(np.int32)), pa.array(lead.astype(np.int32))],
                     names=["h", "seg", "doc", "pos", "windows", "lead"])
     return run
@@ -204,7 +218,7 @@ def _segment_texts(batches):
 
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
+        docs = batch.column(0)
         lists = batch.column(2)
         wants = lists.flatten()
         counts = np.diff(lists.offsets.to_numpy())
@@ -216,7 +230,7 @@ def _segment_texts(batches):
             at = offsets[row[part]] + pos[part]
             raw = [data[s:s + n].tobytes() for s, n in zip(at, size[part], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[part]), pa.array(docs[row[part]]), pa.array(pos[part]),
+                [pa.array(h[part]), docs.take(pa.array(row[part])), pa.array(pos[part]),
                  pa.array(windows[part]), pa.array(lead[part]), pa.array(raw, pa.binary())],
                 names=SEGMENT)
 
@@ -253,7 +267,7 @@ def _trimmed(rows: list[tuple], length: int, gram: int) -> list[tuple]:
     return out
 
 
-def _block_repeats(rows: list[tuple], length: int) -> list[tuple[int, int, int]]:
+def _block_repeats(rows: list[tuple], length: int) -> list[tuple[tuple, int, int]]:
     """(doc, start, end) of windows of the block that have an earlier equal window."""
     codes, owner, base = [], [], []
     for k, (_, _, _, raw) in enumerate(rows):
@@ -287,7 +301,7 @@ def _block_repeats(rows: list[tuple], length: int) -> list[tuple[int, int, int]]
     return found
 
 
-def _merge(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def _merge(spans: list[tuple[tuple, int, int]]) -> list[tuple[tuple, int, int]]:
     out: list[list[int]] = []
     for d, s, e in sorted(spans):
         if out and out[-1][0] == d and s <= out[-1][2]:
@@ -306,12 +320,13 @@ def _sorted_blocks(length: int, gram: int):
             spans = _merge(_block_repeats(rows, length))
             if spans:
                 d, s, e = zip(*spans, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (d, s, e)],
+                yield pa.RecordBatch.from_arrays([_doc_array(d), pa.array(s, pa.int64()), pa.array(e, pa.int64())],
                                                  names=["doc", "start", "end"])
 
         block, size, last, held = [], 0, None, []
         for batch in batches:
-            for h, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            h_, docs, *rest = batch.columns
+            for h, *row in zip(h_.to_pylist(), _doc_tuples(docs), *(c.to_pylist() for c in rest), strict=True):
                 if h != last:
                     more = _trimmed(held, length, gram)
                     block += more
@@ -336,16 +351,19 @@ def _core_rows(length: int, gram: int):
 
         for batch in batches:
             out: list[list] = [[] for _ in SEGMENT]
-            for h, doc, pos, windows, lead, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            docs = batch.column(1)
+            rest = (batch.column(k).to_pylist() for k in range(2, len(SEGMENT)))
+            for i, (pos, windows, lead, raw) in enumerate(zip(*rest, strict=True)):
                 for k, a, n, x, y in _cores(windows, lead, length, gram):
                     key = hashlib.blake2b(raw[x:y], digest_size=8, key=k.to_bytes(1, "little")).digest()
-                    row = (int.from_bytes(key, "little", signed=True), doc, pos + a, n, lead - a,
+                    row = (int.from_bytes(key, "little", signed=True), i, pos + a, n, lead - a,
                            raw[a:a + n + length - 1])
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
-                                             names=SEGMENT)
+            columns = [pa.array(c, t) for c, t in zip(out, kinds, strict=True)]
+            columns[1] = docs.take(columns[1])
+            yield pa.RecordBatch.from_arrays(columns, names=SEGMENT)
     return run
 
 
@@ -357,7 +375,8 @@ def _window_keys(length: int):
         one, two = RollingHash(), RollingHash(0xD6E8FEB86659FD93)
         for batch in batches:
             data, offsets = text_bytes(batch.column(5))
-            doc, pos, windows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+            docs = batch.column(1)
+            pos, windows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
             for a, b in row_chunks(offsets, CHUNK):
                 piece = data[offsets[a]:offsets[b]]
                 count = windows[a:b].astype(np.int64)
@@ -366,7 +385,7 @@ def _window_keys(length: int):
                 at = offsets[row] - offsets[a] + step
                 k1, k2 = (mix64(x.at(x.prefix(piece), at, at + length)).view(np.int64) for x in (one, two))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1), pa.array(k2), pa.array(doc[row]), pa.array(pos[row] + step)],
+                    [pa.array(k1), pa.array(k2), docs.take(pa.array(row)), pa.array(pos[row] + step)],
                     names=["k1", "k2", "doc", "pos"])
     return run
 
@@ -381,7 +400,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32,
                    class_limit: int = CLASS_LIMIT) -> tuple[DataFrame, list[DataFrame]]:
     """(doc, start, end) byte ranges covered by a ``length``-byte string that also
     starts earlier; ranges of a document may overlap.  Second: the stage tables read."""
-    seg_schema = "h long, seg long, doc long, pos long, windows int, lead int"
+    seg_schema = f"h long, seg long, doc {DOC}, pos long, windows int, lead int"
     anchors = stage_table(docs.mapInArrow(_anchor_rows(length, gram), seg_schema), "anchors")
     often = stage_table(anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
                         .select(F.col("h").alias("h2")), "often")
@@ -398,7 +417,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32,
     wanted = (first.join(classes, F.col("h") == F.col("h2"))
               .groupBy("doc").agg(F.collect_list(F.struct(
                   "h", "pos", (F.col("windows") + (length - 1)).alias("size"), "windows", "lead")).alias("wants")))
-    raw_schema = "h long, doc long, pos long, windows int, lead int, raw binary"
+    raw_schema = f"h long, doc {DOC}, pos long, windows int, lead int, raw binary"
     raw = stage_table(docs.withColumnRenamed("doc", "doc2").join(wanted, F.col("doc2") == F.col("doc"))
                       .select("doc", "text", "wants").mapInArrow(_segment_texts, raw_schema), "segments")
     sized = raw.join(classes, F.col("h") == F.col("h2"))
@@ -408,9 +427,9 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = 32,
     small = (sized.filter(F.col("n") <= class_limit)
              .unionByName(core_sized.filter(F.col("n") <= class_limit)).select(*SEGMENT))
     sorted_ = (small.repartition("h").sortWithinPartitions("h")
-               .mapInArrow(_sorted_blocks(length, gram), "doc long, start long, end long"))
+               .mapInArrow(_sorted_blocks(length, gram), f"doc {DOC}, start long, end long"))
     keys = (core_sized.filter(F.col("n") > class_limit).select(*SEGMENT)
-            .mapInArrow(_window_keys(length), "k1 long, k2 long, doc long, pos long"))
+            .mapInArrow(_window_keys(length), f"k1 long, k2 long, doc {DOC}, pos long"))
     keys = stage_table(keys, "windows")
     least = keys.groupBy("k1", "k2").agg(F.min(F.struct("doc", "pos")).alias("w")).select("k1", "k2", "w.*")
     large = (keys.alias("a").join(least.alias("f"), ["k1", "k2"])
@@ -455,10 +474,11 @@ def _kept(batches):
 def suffix_dedup(documents: DataFrame, length: int = 100, gram: int = 32,
                  class_limit: int = CLASS_LIMIT) -> DataFrame:
     """Per document what remains after the removal; see the module's docstring."""
-    docs = columns_of(documents, "doc_id", "text").select(id_key().alias("doc"), "text")
+    key = F.struct(id_key().alias("id"), *text_digest(F.coalesce("text", F.lit(""))))
+    docs = columns_of(documents, "doc_id", "text").select(key.alias("doc"), "text")
     spans, _ = repeated_spans(docs, length, gram, class_limit)
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = (docs.withColumnRenamed("doc", "doc2")
-              .join(per_doc, F.col("doc2") == F.col("doc"), "left").select("doc2", "text", "spans"))
+              .join(per_doc, F.col("doc2") == F.col("doc"), "left").select("doc2.id", "text", "spans"))
     out = joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))

@@ -66,3 +66,26 @@ def test_empty_table_and_repeated_rows(documents):
     assert suffix_dedup(documents([])).collect() == []
     got = suffix_dedup(documents([(1, "c" * 120), (1, "c" * 120)])).collect()
     assert len(got) == 2 and {r["doc_id"] for r in got} == {1}
+
+
+def test_rows_of_one_id_with_different_texts(documents):
+    """Null and repeated ids: each text keeps its own bytes and loses its own repeats."""
+    rng = random.Random(8)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passage = text(300)
+    rows = [(None, "a" * 350), (None, "short"), (None, text(500)), (None, None), (None, ""), (5, passage + text(50)),
+            (5, "tiny"), (5, text(30) + passage + text(700)), (5, text(900)), (9, text(10) + passage)]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed_md5(r[1] or "")))
+    want = brute([(k, t) for k, (_, t) in enumerate(order)])
+    for limit in (512, 1):
+        got = suffix_dedup(documents(rows), class_limit=limit).collect()
+        assert sorted(repr(tuple(r)) for r in got) == sorted(
+            repr((order[k][0], *found)) for k, found in want.items())
+
+
+def signed_md5(text):
+    raw = hashlib.md5(text.encode()).digest()
+    return tuple(int.from_bytes(raw[k:k + 8], "big", signed=True) for k in (0, 8))
