@@ -25,18 +25,19 @@ their number, so no link between different components is lost.
 
 Nulls and edge cases: a null, empty or blank text has an empty set and links with
 nothing; a null doc_id counts as the smallest id; rows that repeat a doc_id are one node
-that has the links of all its rows; an empty table gives an empty result; further
-columns are ignored.
+that has the links of all its rows (in ``one_of_each``, rows of one id with different
+texts are nodes of their own); an empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import (RollingHash, columns_of, connected_components, drop_stage, id_key,
-                                   id_value, mix64, released_shuffles, row_chunks, stage_table, text_bytes)
+                                   id_value, mix64, released_shuffles, row_chunks, stage_table, text_bytes, text_digest)
 
 CELL_BITS = 22       # of the cells in which all shingles are counted
 CELL_BLOCK = 1 << 12
@@ -428,13 +429,33 @@ def jaccard_join(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFra
     return out.select(id_value("doc").alias("doc_id"), "n_shingles", id_value("component").alias("component_id"))
 
 
+def _nodes(documents: DataFrame) -> tuple[DataFrame, Column]:
+    """(node, id, d1, d2) of the pairs of id and text in ``documents``, as a stage table,
+    and the expression that gives a row's node: a 64-bit hash under the first seed that
+    gives no two pairs the same one."""
+    text = [F.coalesce(d, F.lit(0).cast("long")) for d in text_digest(F.col("text"))]
+    for seed in range(20):
+        node = F.xxhash64(F.lit(seed), id_key(), F.col("text").isNull(), *text)
+        nodes = stage_table(documents.select(node.alias("node"), id_key().alias("id"), F.col("text").isNull().alias("none"),
+                                             text[0].alias("d1"), text[1].alias("d2")).distinct(), "nodes")
+        with released_shuffles(documents.sparkSession):
+            apart = nodes.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1").isEmpty()
+        if apart:
+            return nodes, node
+        drop_stage(nodes)
+    raise RuntimeError("one_of_each: no seed tells all documents apart")
+
+
 def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents whose id is their component's, with all their columns; of rows that
-    repeat an id, the one with the smallest text."""
-    from pyspark.sql import Window
-
-    kept = (jaccard_components(documents, n, percent).groupBy("doc").agg(F.min("component").alias("component"))
-            .filter(F.col("doc") == F.col("component")).select(F.col("doc").alias("_doc")))
-    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_last()))
-    rows = documents.withColumn("_id", id_key()).join(kept, F.col("_id") == F.col("_doc"), "left_semi")
-    return rows.withColumn("_row", first).filter("_row = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
+    """One document of each component, with all its columns: the smallest id, of rows that
+    repeat it the smallest text digest.  Nodes are pairs of id and text, so only rows that
+    are alike in both or linked by similarity are dropped."""
+    names = documents.columns
+    nodes, node = _nodes(documents)
+    parts = jaccard_components(documents.select(node.alias("doc_id"), "text"), n, percent)
+    kept = (parts.select(F.col("doc").alias("node"), "component").join(nodes, "node").groupBy("component")
+            .agg(F.min(F.struct("id", "none", "d1", "d2", "node")).alias("least")).select(F.col("least.node").alias("_kept")))
+    rows = (documents.select(node.alias("_node"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
+            .groupBy("_node").agg(F.min("_row").alias("_row")))  # combined before the shuffle
+    return (rows.join(kept, F.col("_node") == F.col("_kept"), "left_semi")
+            .select(*[F.col(f"_row.`{c}`") for c in names]))

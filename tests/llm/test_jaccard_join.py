@@ -116,3 +116,13 @@ def test_block_bound_equals_pair_bound():
             want = [k for k, (c, m) in enumerate(block) if 100 * min(n, m) >= percent * max(n, m)
                     and _may_link(np.frombuffer(c, np.uint8), mine, m, n, percent)]
             assert sorted(cells.may_link(n, mine, percent).tolist()) == want
+
+
+def test_one_of_each_decides_by_text(documents):
+    """Null and repeated ids: only rows linked by similarity are dropped."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    near = b + " more"
+    rows = [(None, a), (None, b), (None, c), (None, c), (5, near), (6, d), (6, a), (6, "q"), (7, ""), (7, None), (8, "")]
+    got = one_of_each(documents(rows)).collect()
+    assert sorted(repr((r["doc_id"], r["text"])) for r in got) == sorted(map(repr, [
+        (None, a), (None, b), (None, c), (6, d), (6, "q"), (7, ""), (7, None), (8, "")]))
