@@ -7,7 +7,7 @@ before it, and the word before with the word after.  Patterns and distinct value
 a graph.  Each round scores every pattern by the share of its values that are known to
 be of one kind; patterns with enough known values and a high share are trusted, and a
 candidate that enough trusted patterns of one kind point to becomes known, which lets
-the next round trust further patterns.  Mentions of values so discovered are added to
+the next round trust further patterns, until a round finds nothing new.  Mentions of values so discovered are added to
 the document's spans; the seeds' own spans never change.
 
 The regular expressions are spelled so that Java matches them in one pass and without
@@ -128,18 +128,19 @@ def _mentions(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "mark", "start", "end", "kind", "value", patterns.alias("patterns"))
 
 
-def discover(mentions: DataFrame, rounds: int = 3, least_known: int = 3, least_share: float = 0.8,
+def discover(mentions: DataFrame, least_known: int = 3, least_share: float = 0.8,
              least_patterns: int = 2) -> DataFrame:
-    """(value, kind) of the candidates that trusted patterns point to."""
+    """(value, kind) of the candidates that trusted patterns point to.  The known values
+    only grow, so the rounds end."""
     graph = stage_table(mentions.select(F.explode("patterns").alias("pattern"), "value", "kind")
                         .groupBy("pattern", "value").agg(F.min("kind").alias("kind")), "graph")
     totals = stage_table(graph.groupBy("pattern").agg(F.count("*").alias("n"))
                          .filter(F.col("n") > least_known).withColumnRenamed("pattern", "p"), "totals")
     edges = stage_table(graph.join(totals, F.col("pattern") == F.col("p")).drop("p"), "pairs")
-    known = stage_table(edges.filter("kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("known"))
+    seeds = stage_table(edges.filter("kind IS NOT NULL").groupBy("value").agg(F.min("kind").alias("known"))
                         .withColumnRenamed("value", "v"), "known")
-    added = None
-    for _ in range(rounds):
+    known, added = seeds, None
+    while True:
         told = edges.join(known, F.col("value") == F.col("v"), "left")
         trusted = (told.filter("known IS NOT NULL").groupBy("pattern", "known", "n").agg(F.count("*").alias("hits"))
                    .filter((F.col("hits") >= least_known) & (F.col("hits") >= F.lit(least_share) * F.col("n")))
@@ -152,11 +153,16 @@ def discover(mentions: DataFrame, rounds: int = 3, least_known: int = 3, least_s
         fresh = stage_table(fresh, "fresh")
         if fresh.isEmpty():
             break
-        added = fresh if added is None else added.unionByName(fresh)
-        known = known.unionByName(fresh)
+        if added is None:
+            added = fresh
+        else:  # one table, however many rounds there are
+            both = stage_table(added.unionByName(fresh), "added")
+            drop_stage(added, fresh)
+            added = both
+        known = seeds.unionByName(added)
     drop_stage(graph, totals)
     if added is None:
-        added = known.limit(0)
+        added = seeds.limit(0)
     return added.select(F.col("v").alias("value"), F.col("known").alias("kind"))
 
 

@@ -90,3 +90,18 @@ def test_edge_rows(documents):
     got = personal_data(documents([(None, "a@b.cd"), (1, "a@b.cd"), (1, "a@b.cd"), (1, "none")])).collect()
     assert sorted((str(r["doc_id"]), r["spans"]) for r in got) == [
         ("1", ""), ("1", "email:0:6"), ("1", "email:0:6"), ("None", "email:0:6")]
+
+
+def test_long_chains_of_contexts(documents):
+    """Five contexts, each trusted only once the one before it has told its values."""
+    cards = [next(f"4{i:014d}{c}" for c in range(10) if passes_luhn(f"4{i:014d}{c}")) for i in range(4)]
+    levels = [cards] + [[f"ZQ-{k}{i}8877" for i in range(4)] for k in range(1, 6)]
+    rows = []
+    for k, (told, new) in enumerate(zip(levels[:-1], levels[1:], strict=True)):
+        for i, v in enumerate(new):
+            word = "abcde"[k] + "wxyz"[i]
+            rows += [(len(rows) + n, f"ctx{word} word{word} {t} end{word}") for n, t in enumerate([*told, v])]
+    got = {r["doc_id"]: r["spans"] for r in personal_data(documents(rows)).collect()}
+    for i, text in rows:
+        value = text.split()[2]
+        assert got[i] == f"card:{text.index(value)}:{text.index(value) + len(value)}", text
