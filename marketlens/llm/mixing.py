@@ -57,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: fl
 
 
 def pareto_copies(sizes: DataFrame, targets: DataFrame, seed: str = "mix", bins: int = 1024) -> DataFrame:
-    """``sizes`` (doc_id, source, size, optional weight) with source_size, target, copies."""
+    """``sizes`` (doc_id, source, size, optional weight and mark, the last tie) with source_size, target, copies."""
     if "weight" not in sizes.columns:
         sizes = sizes.withColumn("weight", F.lit(1.0))
     t = targets.withColumnRenamed("source", "_source")
@@ -74,7 +74,8 @@ def pareto_copies(sizes: DataFrame, targets: DataFrame, seed: str = "mix", bins:
     ranked = (rows.withColumn("u", u)
               .withColumn("key", F.when(F.col("weight") == 1.0, F.col("u"))
                           .otherwise(quotient / (F.lit(1.0) + quotient))))
-    ranked = running_total(ranked, ["source"], "key", F.col("size"), "before", bins, ["doc_id", "size"])
+    ranked = running_total(ranked, ["source"], "key", F.col("size"), "before", bins,
+                           ["doc_id", "size", *(["mark"] if "mark" in sizes.columns else [])])
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     extra = (F.col("part") > 0) & (F.col("before") + F.col("size") / 2 <= rest)
     return (ranked.withColumn("copies", F.col("whole") + extra.cast("long"))
@@ -94,13 +95,14 @@ def mix_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap:
                   seed: str = "mix") -> DataFrame:
     """The mix itself: all columns of ``documents``, each row as often as it is taken."""
     names = documents.columns
-    sized = documents.withColumn("_size", word_count(F.col("text")))
-    sizes = stage_table(sized.select("doc_id", "source", F.col("_size").alias("size")), "sizes")
+    # rows alike in every column are one key; their copies are summed before the join
+    mark = F.md5(F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])))
+    keyed = documents.withColumns({"_size": word_count(F.col("text")), "_mark": mark})
+    sizes = stage_table(keyed.select("doc_id", "source", F.col("_size").alias("size"), F.col("_mark").alias("mark")), "sizes")
     copies = (pareto_copies(sizes, source_targets(sizes, weights, cap), seed)
-              .select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"),
-                      F.col("size").alias("_words"), F.col("copies").alias("_copies")).distinct())
-    joined = sized.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))
-                        & F.col("source").eqNullSafe(F.col("_src")) & (F.col("_size") == F.col("_words")))
-    return (joined.filter("_copies > 0")
+              .groupBy(F.col("mark").alias("_key")).agg(F.sum("copies").alias("_copies")))
+    rows = (keyed.select("_mark", F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"))
+            .groupBy("_mark").agg(F.first("_row").alias("_row")))  # combined before the shuffle
+    return (rows.join(copies, F.col("_mark") == F.col("_key")).filter("_copies > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*[F.col(f"`{n}`") for n in names]))
+            .select(*[F.col(f"_row.`{n}`") for n in names]))

@@ -116,3 +116,12 @@ def test_shard_edge_cases(documents, rows):
 def test_sharding_is_repeatable(documents):
     df = documents([(i, f"t {i % 70}") for i in range(200)])
     assert sorted(shard(df).collect()) == sorted(shard(df.repartition(5)).collect())
+
+
+def test_rows_alike_in_id_source_and_size_take_their_own_copies(documents):
+    """The mix holds as many rows as the copies sum up to, whatever the ids are."""
+    rows = [(None if i % 3 else i // 6, f"w{i % 40} x y", "ab"[i % 2]) for i in range(300)]
+    df = documents(rows)
+    copies = mix(df).collect()
+    assert len({r["copies"] for r in copies if r["doc_id"] is None}) > 1
+    assert mix_documents(df).count() == sum(r["copies"] for r in copies)
