@@ -115,3 +115,29 @@ def test_nearest_edge_cases(embeddings):
     got = answers(nearest(embeddings(same), lambda v: v % 20 == 0, k=5))
     assert [v for _, v, _ in got[0]] == [1, 2, 3, 4, 5]      # ties to the smaller id
     assert [v for _, v, _ in got[20]] == [0, 1, 2, 3, 4]
+
+
+def recall(got, x):
+    q = np.arange(0, len(x), 20)
+    score = x[q] @ x.T
+    score[np.arange(len(q)), q] = -np.inf
+    best = np.argsort(-score, axis=1, kind="stable")[:, :20]
+    hits = [len({v for _, v, _ in got[int(i)]} & set(b.tolist())) for i, b in zip(q, best, strict=True)]
+    return np.mean(hits) / 20, np.mean(np.array(hits) == 20)
+
+
+def test_recall_with_the_registered_parameters(spark, embeddings):
+    """Tables that are not searched whole: sf0.1, and one of more than a block."""
+    from marketlens.llm.queries import op3_hash_forest
+
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    assert [r["vec_id"] for r in rows] == list(range(len(rows)))
+    x = np.array([r["embedding"] for r in rows], float)
+    found, exact = recall(answers(op3_hash_forest(spark, "/root/testdata/sf0.1")), x)
+    print(f"sf0.1: {len(x)} vectors, recall {found:.4f}, {exact:.4f} of the queries exact")
+    assert found >= 0.9
+    y = np.random.default_rng(4).standard_normal((10_000, x.shape[1])).astype(np.float32).astype(float)
+    got = answers(nearest(embeddings([(i, v.tolist()) for i, v in enumerate(y)]), lambda v: v % 20 == 0, k=20))
+    found, exact = recall(got, y)
+    print(f"random: {len(y)} vectors, recall {found:.4f}, {exact:.4f} of the queries exact")
+    assert found >= 0.9
