@@ -92,5 +92,27 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
 FROM sets s JOIN component c ON c.node = s.doc_id
 """
 
+OP13 = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+         CAST(list_inner_product(a.e, r.e) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND n.score * 100 BETWEEN p.score * 80 AND p.score * 100
+QUALIFY rank <= 5
+"""
+
 ORACLES = {"op2_embedding_dedup": OP2, "op3_hash_forest": OP3, "op4_pareto_mix": OP4,
-           "op5_jaccard_join": OP5}
+           "op5_jaccard_join": OP5, "op13_hard_negatives": OP13}

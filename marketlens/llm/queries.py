@@ -74,9 +74,19 @@ def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from marketlens.llm.hard_negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, label=moved,
+                          positives=5, negatives=5, low=80, high=100, scale=256)
+
+
 QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op5_jaccard_join,
            op6_importance, op7_label_shards, op8_token_planes, op9_conflict_packing,
-           op10_contextual_pii)
+           op10_contextual_pii, op13_hard_negatives)
 
 
 def queries() -> dict[str, Query]:
