@@ -74,6 +74,13 @@ def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op12_fst_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from marketlens.llm.fst_tokens import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -86,7 +93,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op5_jaccard_join,
            op6_importance, op7_label_shards, op8_token_planes, op9_conflict_packing,
-           op10_contextual_pii, op13_hard_negatives)
+           op10_contextual_pii, op12_fst_tokens, op13_hard_negatives)
 
 
 def queries() -> dict[str, Query]:
