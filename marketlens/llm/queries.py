@@ -74,6 +74,12 @@ def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlens.llm.spelling import spelling_variants
+
+    return spelling_variants(_table(spark, sf_dir, "documents"), least_length=5, least_n=3, ratio=2, noise=97)
+
+
 def op12_fst_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from marketlens.llm.fst_tokens import token_counts
@@ -93,7 +99,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (op1_suffix_dedup, op2_embedding_dedup, op3_hash_forest, op4_pareto_mix, op5_jaccard_join,
            op6_importance, op7_label_shards, op8_token_planes, op9_conflict_packing,
-           op10_contextual_pii, op12_fst_tokens, op13_hard_negatives)
+           op10_contextual_pii, op11_spelling_variants, op12_fst_tokens, op13_hard_negatives)
 
 
 def queries() -> dict[str, Query]:
