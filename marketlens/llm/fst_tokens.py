@@ -19,8 +19,8 @@ all of them).  Which neighbouring tokens stand is asked of the tokenizer's own m
 and which class a character has of its own pre-tokenizer.
 
 Texts are cut into chunks of a fixed number of code points.  A chunk's map takes the
-state before it to (tokens, state after it).  After a letter or digit and a space the
-state no longer depends on what came before, so a map is kept as the short head up to
+state before it to (tokens, state after it).  After a printable character and a space
+the state no longer depends on what came before, so a map is kept as the short head up to
 there, the tokens after it, and the state at the end; a chunk without such a place keeps
 its whole text as head.  Maps of all chunks are computed side by side; Spark brings those
 of a document together in order, and they compose by a running scan.  Special strings are
@@ -156,6 +156,7 @@ class Transducer:
         self.number: dict[tuple, int] = {}
         self._table(20)
         self.used = 0
+        self.walked: dict[int, tuple[int, int]] = {}  # transitions that single lanes have met
         self.start = self.state((START, Merges.EMPTY, 0))
         self.settled = self.state((SPACES, Merges.EMPTY, 32))
 
@@ -291,13 +292,11 @@ class Transducer:
         now, total = self.state(name), 0
         for code in codes:
             key = now << 21 | code
-            at = int(self._find(np.array([key]))[0])
-            if self.keys[at] != key:
+            goes = self.walked.get(key)
+            if goes is None:
                 after, change = self.step(self.names[now], code)
-                self._insert(key, self.state(after), change)
-                at = int(self._find(np.array([key]))[0])
-            goes = int(self.goes[at])
-            now, total = goes >> 8, total + (goes & 255) - 128
+                goes = self.walked[key] = (self.state(after), change)
+            now, total = goes[0], total + goes[1]
         return self.names[now], total
 
     def make_room(self) -> None:
@@ -326,11 +325,10 @@ def code_points(text: bytes, special: list[str]) -> np.ndarray:
 
 
 def settled_at(codes: np.ndarray) -> int:
-    """Just after the first ASCII letter or digit with a space behind it; -1: none."""
-    low = codes[:-1] | 32
-    word = ((low >= 97) & (low <= 122) | (codes[:-1] >= 48) & (codes[:-1] <= 57)) & (codes[1:] == 32)
-    hit = int(word.argmax()) if len(word) else 0
-    return hit + 2 if len(word) and word[hit] else -1
+    """Just after the first printable ASCII character with a space behind it; -1: none."""
+    hit = (codes[:-1] > 32) & (codes[:-1] < 127) & (codes[1:] == 32)
+    at = int(hit.argmax()) if len(hit) else 0
+    return at + 2 if len(hit) and hit[at] else -1
 
 
 def chunk_maps(path: str, chunk: int = CHUNK, lanes_bytes: int = LANES_BYTES):
