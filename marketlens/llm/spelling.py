@@ -123,6 +123,17 @@ def pivots_of(prefix: list[tuple[int, str]], frequency: dict[str, int], pivots:
     return list(best[-1][pivots][1])
 
 
+def letter_bits(word: str) -> int:
+    """31 bits for which letters a word has and 31 for the parity of their numbers; one
+    edit changes at most two of each."""
+    some, odd = 0, 0
+    for c in word:
+        bit = 1 << ord(c) % 31
+        some |= bit
+        odd ^= bit
+    return some << 31 | odd
+
+
 def _keys(frequency: dict[str, int]):
     """(word, indexed, key, size): under which keys a word is indexed, for partners of
     each size, and with which it asks."""
@@ -130,14 +141,15 @@ def _keys(frequency: dict[str, int]):
         import pyarrow as pa
 
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
 
             def put(word, indexed, key, size):
-                for column, value in zip(out, (word, indexed, key, size), strict=True):
+                for column, value in zip(out, (word, indexed, key, size, letters), strict=True):
                     column.append(value)
             for word in batch.column(0).to_pylist():
                 n, prefix = len(word), prefix_of(word, frequency)
                 first, second = pivots_of(prefix, frequency)
+                letters = letter_bits(word)
                 for size in (n - 1, n, n + 1):
                     put(word, True, "<" + word[:first + 2], size)
                     put(word, True, ">" + word[second:], size)
@@ -146,18 +158,20 @@ def _keys(frequency: dict[str, int]):
                     put(word, False, ">" + word[place:], n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.string()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.string()),
-                 pa.array(out[3], pa.int32())], names=["word", "indexed", "key", "size"])
+                 pa.array(out[3], pa.int32()), pa.array(out[4], pa.int64())],
+                names=["word", "indexed", "key", "size", "letters"])
     return run
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(u, v), u before v: all pairs of words one edit apart, once each."""
     keys = stage_table(words.select("word").mapInArrow(
-        _keys(gram_frequencies(words)), "word string, indexed boolean, key string, size int"), "word-keys")
-    there = keys.filter("indexed").select(F.col("word").alias("u"), "key", "size")
+        _keys(gram_frequencies(words)), "word string, indexed boolean, key string, size int, letters long"), "word-keys")
+    there = keys.filter("indexed").select(F.col("word").alias("u"), "key", "size", "letters")
     here = keys.filter("NOT indexed").select(F.col("word").alias("v"), F.col("key").alias("k"),
-                                             F.col("size").alias("s"))
-    near = F.levenshtein("u", "v", 1) == 1
+                                             F.col("size").alias("s"), F.col("letters").alias("l"))
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("l"))) <= 4  # cheap, before the distance
+    near = alike & (F.levenshtein("u", "v", 1) == 1)
     pairs = there.join(here, (F.col("key") == F.col("k")) & (F.col("size") == F.col("s"))
                        & (F.col("u") != F.col("v")) & near)
     found = stage_table(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(),

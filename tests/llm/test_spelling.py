@@ -142,6 +142,13 @@ def test_pivots_are_disjoint_and_cheapest(prefix):
     assert tuple(pivots_of(prefix, frequency)) == min(pairs)[1]
 
 
+@given(st.text("abcdeéz", min_size=1, max_size=8), st.integers(0, 8), st.sampled_from(["", "a", "z", "ÿ"]), st.booleans())
+@settings(max_examples=200, deadline=None)
+def test_one_edit_changes_few_letter_bits(word, at, letter, replaced):
+    other = word[:at] + letter + word[at + replaced:]
+    assert (spelling.letter_bits(word) ^ spelling.letter_bits(other)).bit_count() <= 4
+
+
 def test_a_prefix_holds_every_occurrence_of_its_last_bigram():
     frequency = {"ab": 1, "ba": 5, "bc": 2}
     assert prefix_of("abababc", frequency) == [(0, "ab"), (2, "ab"), (4, "ab")]
