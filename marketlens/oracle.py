@@ -362,6 +362,98 @@ SELECT doc_id, row_number() OVER (ORDER BY h, doc_id) - 1 AS position,
 FROM split WHERE split = 'train'""",
 }
 
+TEXT_ORACLE["saved_model_scores"] = TEXT_ORACLE["linear_scores"]
+
+# J5 with exact sizes: a fifth of all rows, rounded up, shared over the classes by largest
+# remainders; in each class the rows of the smallest 60-bit digests.
+TEXT_ORACLE["split_exact"] = """,
+classes AS (
+  SELECT label, COUNT(*) AS k, SUM(COUNT(*)) OVER () AS n, (SUM(COUNT(*)) OVER () * 20 + 99) // 100 AS total
+  FROM corpus GROUP BY label),
+shares AS (
+  SELECT label, CAST(total * k // n AS BIGINT) AS whole, total,
+         row_number() OVER (ORDER BY (total * k) % n DESC, label NULLS FIRST) AS turn FROM classes),
+quotas AS (SELECT label, whole + CASE WHEN turn <= total - SUM(whole) OVER () THEN 1 ELSE 0 END AS quota FROM shares),
+placed AS (
+  SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY
+         CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 15)) AS BIGINT), doc_id) AS place FROM corpus)
+SELECT p.doc_id, p.label, CASE WHEN p.place <= q.quota THEN 'test' ELSE 'train' END AS split
+FROM placed p JOIN quotas q ON p.label IS NOT DISTINCT FROM q.label"""
+
+
+def _exact_logit_ctes() -> str:
+    """The steps of the exact logistic regression, one after the other.  Values are
+    integers of 10^-8; the intercept is feature -1, with value one and without ridge."""
+    from marketlens.operators.exact_logit import STEPS, momenta
+
+    parts = [""",
+w AS (SELECT tf.doc_id, tf.term, v.term_index, tf.tf * v.idf AS w FROM tf JOIN vocab v USING (term)),
+unit AS (SELECT doc_id, term_index, w / sqrt(SUM(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w),
+x AS MATERIALIZED (
+  SELECT doc_id, term_index AS i, CAST(floor(weight * 1e8 + 0.5) AS BIGINT) AS x FROM unit
+  UNION ALL SELECT doc_id, -1, 100000000 FROM doc_terms),
+rows AS MATERIALIZED (
+  SELECT doc_id, split, label,
+         CAST(SUM(CASE WHEN split = 'train' THEN 1 END) OVER () AS DOUBLE) AS n,
+         CAST(SUM(CASE WHEN split = 'train' THEN 1 END) OVER () AS DOUBLE)
+           / ((SELECT COUNT(DISTINCT label) FROM doc_terms WHERE split = 'train')
+              * SUM(CASE WHEN split = 'train' THEN 1 END) OVER (PARTITION BY label)) AS balance
+  FROM doc_terms),
+tx AS MATERIALIZED (SELECT x.doc_id, x.i, x.x FROM x JOIN rows r ON r.doc_id = x.doc_id AND r.split = 'train'),
+size AS (SELECT doc_id, SUM(x) AS s FROM tx GROUP BY doc_id),
+bound AS (
+  SELECT r.doc_id, CAST(floor(r.balance * CAST(s.s AS DOUBLE) / 1e4 + 0.5) AS BIGINT) AS q
+  FROM rows r JOIN size s USING (doc_id)),
+curve AS MATERIALIZED (
+  SELECT tx.i, (SELECT MAX(n) FROM rows) AS n,
+         0.25 * (CAST(CAST(SUM(tx.x * b.q) AS BIGINT) AS DOUBLE) / 1e8 / 1e4 / (SELECT MAX(n) FROM rows))
+           + CASE WHEN tx.i < 0 THEN 0.0 ELSE 1.0 / (SELECT MAX(n) FROM rows) END AS scale
+  FROM tx JOIN bound b USING (doc_id) GROUP BY tx.i),
+b0 AS MATERIALIZED (SELECT i, CAST(0 AS BIGINT) AS now, CAST(0 AS BIGINT) AS ahead FROM curve)"""]
+    for k, momentum in enumerate(momenta(STEPS)):
+        parts.append(f""",
+z{k} AS (SELECT tx.doc_id, CAST(CAST(SUM(tx.x * b.ahead) AS BIGINT) AS DOUBLE) / 1e8 / 1e8 AS z
+  FROM tx JOIN b{k} b USING (i) GROUP BY tx.doc_id),
+r{k} AS (SELECT z.doc_id, CAST(floor(r.balance * (1.0 / (1.0 + exp(-z.z)) - CAST(r.label AS DOUBLE)) * 1e8 + 0.5) AS BIGINT) AS r
+  FROM z{k} z JOIN rows r USING (doc_id)),
+g{k} AS (SELECT tx.i, CAST(CAST(SUM(tx.x * r.r) AS BIGINT) AS DOUBLE) AS g FROM tx JOIN r{k} r USING (doc_id) GROUP BY tx.i),
+a{k} AS (
+  SELECT b.i, b.now, CAST(floor((b.ahead / 1e8 - (g.g / 1e8 / 1e8 / c.n
+           + CASE WHEN b.i < 0 THEN 0.0 ELSE 1.0 / c.n * (b.ahead / 1e8) END) / c.scale) * 1e8 + 0.5) AS BIGINT) AS after
+  FROM b{k} b JOIN g{k} g USING (i) JOIN curve c USING (i)),
+b{k + 1} AS MATERIALIZED (
+  SELECT i, after AS now,
+         after + CAST(floor(CAST({momentum!r} AS DOUBLE) * ((after - now) / 1e8) * 1e8 + 0.5) AS BIGINT) AS ahead
+  FROM a{k})""")
+    parts.append(f""",
+model AS (SELECT i, now FROM b{STEPS}),
+scored AS (
+  SELECT r.doc_id, r.split, r.label, round(CAST(CAST(SUM(x.x * m.now) AS BIGINT) AS DOUBLE) / 1e8 / 1e8, 6) AS logit
+  FROM x JOIN model m USING (i) JOIN rows r USING (doc_id) GROUP BY ALL)""")
+    return "".join(parts)
+
+
+def _exact_logit_oracle() -> dict[str, str]:
+    steps = _exact_logit_ctes()
+    return {
+        "exact_logit_model": steps + """
+SELECT COALESCE(v.term, '') AS term, round(CAST(m.now AS DOUBLE) / 1e8, 6) AS coefficient
+FROM model m LEFT JOIN vocab v ON v.term_index = m.i""",
+        "exact_logit_scores": steps + """
+SELECT doc_id, split, label, logit, round(1.0 / (1.0 + exp(-logit)), 6) AS probability_positive,
+       CAST(logit > 0 AS INTEGER) AS predicted FROM scored""",
+        "exact_logit_metrics": steps + """,
+lines AS (
+  SELECT s.split, s.doc_id, p.h, CASE WHEN (logit > 0) = (s.label = 1) THEN 1 ELSE 0 END AS hit,
+         greatest(logit, 0.0) - logit * s.label + ln(1 + exp(-abs(logit))) AS loss
+  FROM scored s JOIN split p USING (doc_id)),
+batched AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY h, doc_id) - 1) // 32 AS batch_id FROM lines),
+per_batch AS (SELECT split, batch_id, AVG(loss) AS bl FROM batched GROUP BY split, batch_id)
+SELECT r.split, r.n, r.accuracy, round(r.bce_loss, 6) AS bce_loss, round(b.mean, 6) AS bce_loss_batched
+FROM (SELECT split, COUNT(*) AS n, AVG(hit) AS accuracy, AVG(loss) AS bce_loss FROM batched GROUP BY split) r
+JOIN (SELECT split, AVG(bl) AS mean FROM per_batch GROUP BY split) b USING (split)"""}
+
+
 # ---------------------------------------------------------------- runner
 def _counts(status: str, extra: str) -> str:
     from marketlens.registry import RESULTS
@@ -395,13 +487,27 @@ def runner_oracle() -> dict[str, str]:
             "published_reviews": ORACLE["reviews"],
             "csv_scan": with_standins("SELECT review_id, order_id, review_score, review_comment_message, "
                                       "review_creation_date FROM st_order_reviews"),
-            "load_gate": _load_gate_sql()}
+            "load_gate": _load_gate_sql(), "sql_rmf": rmf_sql(), "sql_late_sellers": _late_sellers_sql(),
+            "input_report": _input_report_sql()}
+
+
+def _late_sellers_sql() -> str:
+    return (f"SELECT s.seller_state, COUNT(*) AS n_sellers, COUNT(b.seller_id) AS n_late, "
+            f"MAX(b.n_orders) AS most_rows FROM ({with_standins('SELECT * FROM st_sellers')}) s LEFT JOIN "
+            f"(SELECT * FROM ({ORACLE['best_sellers']}) WHERE average_delay_days > 8) b USING (seller_id) GROUP BY 1")
+
+
+def _input_report_sql() -> str:
+    counts = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'found' AS status, (SELECT COUNT(*) FROM {STANDIN_TABLES[t]}) AS rows"
+        for t in STANDIN_TABLES if t != "products")
+    return with_standins(f"{counts}\nUNION ALL SELECT 'products', 'missing', NULL")
 
 
 def text_oracle() -> dict[str, str]:
     """The text entries, built when asked for (they need the stop-word list)."""
     return {name: _text(body if body.startswith(",") else "\n" + body)
-            for name, body in TEXT_ORACLE.items()}
+            for name, body in {**TEXT_ORACLE, **_exact_logit_oracle()}.items()}
 
 
 BINARY_METRICS = with_standins(""",

@@ -66,7 +66,7 @@ WHERE w.seller_id = v.seller_id AND p.geolocation_zip_code_prefix = v.seller_zip
 # K2: scores 3, 4, 5 are positive.
 REVIEWS = """
 SELECT review_comment_message, review_score, CAST(COALESCE(review_score, 0) > 2 AS INTEGER) AS is_positive
-FROM st_order_reviews WHERE COALESCE(review_comment_message, NULL) IS NOT NULL
+FROM st_order_reviews WHERE review_comment_message IS NOT NULL
 """
 
 # K3: what each order cost, added over the orders of a person and place.
@@ -168,7 +168,7 @@ WHERE r.order_id = o.order_id AND r.review_score IS NOT NULL
 # K9: scores below three, with a text.
 NEGATIVE_REVIEWS = """
 SELECT review_comment_message, review_score FROM st_order_reviews
-WHERE review_score < 3 AND length(review_comment_message) >= 0
+WHERE review_score < 3 AND review_comment_message IS NOT NULL
 """
 
 # An order's scores weigh as many times as the product is in it.

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import terms
-from marketlens.operators import features, model, text
-from marketlens.session import cut_lineage
+from marketlens.operators import exact_logit, features, model, model_store, text
+from marketlens.operators.exact_split import exact_split
+from marketlens.session import cut_lineage, scratch_folder
 from marketlens.sources.marketplace import Marketplace
 
 MAX_FEATURES = 5000   # vocabulary size of the TF-IDF features (reference setting)
@@ -75,6 +76,11 @@ def split_train_test(m: Marketplace) -> DataFrame:
     return cleaned_corpus(m).select("doc_id", "split")
 
 
+def split_exact(m: Marketplace) -> DataFrame:
+    """J5 with exact sizes, stratified by label."""
+    return exact_split(review_corpus(m).select("doc_id", "label"), "doc_id", "label", TEST_PERCENT, SEED)
+
+
 def vocabulary_top_n(m: Marketplace) -> DataFrame:
     train = _train(m)
     return features.top_terms(features.document_terms(train, "doc_id", "terms"), "doc_id",
@@ -93,13 +99,30 @@ def tfidf_transform(m: Marketplace) -> DataFrame:
     return w.select("doc_id", "term", "term_index", F.round("weight", 6).alias("weight"))
 
 
+def _digest_coefficients(vocab: DataFrame) -> DataFrame:
+    digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long")
+    return vocab.select("term", ((digest % 2001 - 1000) / 1000.0).alias("coefficient"))
+
+
+def saved_model_scores(m: Marketplace) -> DataFrame:
+    """The model of ``linear_scores`` saved as tables, published past a
+    deny-list, loaded from where it was published, and scored with."""
+    c = cleaned_once(m)
+    spark = c.sparkSession
+    vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
+    saved, serving = scratch_folder(spark, "model"), scratch_folder(spark, "serving")
+    model_store.save(model_store.linear_text_model(vocab, _digest_coefficients(vocab)), saved)
+    report = model_store.publish(spark, {"sentiment": saved, "bert": saved}, serving, exclude=("bert",))
+    path = report.filter(F.col("status") == "published").first()["path"]
+    return model_store.load(spark, path).score(c.select("doc_id", "terms"), "doc_id", "terms")
+
+
 def linear_scores(m: Marketplace) -> DataFrame:
     """J10, J12, I17 with a deterministic model: each term's coefficient is a digest of
     the term, in [-1, 1]."""
     c = cleaned_once(m)
     vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
-    digest = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long")
-    coefficients = vocab.select("term", ((digest % 2001 - 1000) / 1000.0).alias("coefficient"))
+    coefficients = _digest_coefficients(vocab)
     return model.linear_scores(features.transform_tfidf(c, "doc_id", "terms", vocab), coefficients, c, "doc_id")
 
 
@@ -156,6 +179,42 @@ def logreg_metrics(m: Marketplace) -> DataFrame:
                                 group_cols=["split"])
 
 
+def _exact_logit(m: Marketplace) -> tuple[DataFrame, exact_logit.LinearModel]:
+    """Every review's features, and the model fitted on those of the training split."""
+    c = cleaned_once(m)
+    vocab = cut_lineage(features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES))
+    weights = features.transform_tfidf(c, "doc_id", "terms", vocab)
+    rows = cut_lineage(exact_logit.feature_rows(c.select("doc_id", "split", "label"), weights, "doc_id"))
+    terms = [r["term"] for r in vocab.orderBy("term_index").collect()]  # at most MAX_FEATURES
+    return rows, exact_logit.fit(rows.filter(F.col("split") == "train"), terms, "label")
+
+
+def exact_logit_model(m: Marketplace) -> DataFrame:
+    """J9 with sums that don't depend on their order: (term, coefficient); the intercept
+    has the empty term."""
+    rows, fitted = _exact_logit(m)
+    spark = rows.sparkSession
+    intercept = spark.createDataFrame([("", fitted.intercept / exact_logit.UNIT)], "term string, coefficient double")
+    return (fitted.table(spark).unionByName(intercept)
+            .select("term", F.round("coefficient", 6).alias("coefficient")))
+
+
+def exact_logit_scores(m: Marketplace) -> DataFrame:
+    """J9 + J10: fitted on the training split, every review scored."""
+    rows, fitted = _exact_logit(m)
+    return exact_logit.scores(rows, fitted, "doc_id").select(
+        "doc_id", "split", "label", "logit", "probability_positive", "predicted")
+
+
+def exact_logit_metrics(m: Marketplace) -> DataFrame:
+    """J11-J13 of ``exact_logit_scores``, per split, in batches of 32."""
+    scored = cut_lineage(exact_logit_scores(m))
+    batches = features.assign_batches(scored, "doc_id", BATCH_SIZE, SEED, group_col="split")
+    out = model.binary_metrics(batches, "logit", "label", batch_col="batch_id", group_cols=["split"])
+    return out.select("split", "n", "accuracy", F.round("bce_loss", 6).alias("bce_loss"),
+                      F.round("bce_loss_batched", 6).alias("bce_loss_batched"))
+
+
 def binary_metrics(m: Marketplace) -> DataFrame:
     """J11-J13 and I17 on a deterministic score: the rating baseline's logit
     ``coalesce(review_score, 0) - 2.5`` against ``is_positive``, per split, with

@@ -100,7 +100,8 @@ def text_queries() -> dict[str, Query]:
     names = ("review_clean_text", "lemma_substitution", "split_train_test", "vocabulary_top_n",
              "tfidf_fit", "tfidf_transform", "linear_scores", "class_weights", "encode_fixed_length",
              "attention_mask", "shuffle_batches", "logreg_scores", "logreg_metrics",
-             "binary_metrics")
+             "binary_metrics", "split_exact", "saved_model_scores", "exact_logit_model",
+             "exact_logit_scores", "exact_logit_metrics")
     return {n: _mart(getattr(text_pipeline, n)) for n in names}
 
 
@@ -162,9 +163,45 @@ def _load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "table_name", "status", "violations")
 
 
+def _sql_rmf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: K11 from SQL text, its two dates as named parameters."""
+    from marketlens.sources.sql_text import Catalogue
+
+    return Catalogue(spark, load_standins(spark, sf_dir)).query(
+        "SELECT * FROM rmf_per_client(CAST(:snapshot AS TIMESTAMP_NTZ), CAST(:control AS TIMESTAMP_NTZ))",
+        {"snapshot": STANDIN_SNAPSHOT, "control": STANDIN_CONTROL})
+
+
+def _sql_late_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: text that reads a result as a function, a table, and a parameter."""
+    from marketlens.sources.sql_text import Catalogue
+
+    return Catalogue(spark, load_standins(spark, sf_dir)).query(
+        """SELECT s.seller_state, COUNT(*) AS n_sellers, COUNT(b.seller_id) AS n_late, MAX(b.n_orders) AS most_rows
+           FROM sellers s LEFT JOIN (SELECT * FROM best_sellers() WHERE average_delay_days > :days) b
+             ON b.seller_id = s.seller_id
+           GROUP BY s.seller_state""", {"days": 8})
+
+
+def _input_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: a data folder that lacks one of its nine files."""
+    from marketlens.runner import run_folder
+    from marketlens.sources.csv_files import CSV_WRITE, input_report
+    from marketlens.sources.schemas import SCHEMAS
+
+    folder = run_folder(spark, "inputs")
+    for name, df in load_standins(spark, sf_dir).tables().items():
+        if name != "products":
+            columns = [F.col(f.name).cast(f.dataType) if f.name in df.columns
+                       else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields]
+            df.select(*columns).write.options(**CSV_WRITE).csv(f"{folder}/{name}")
+    return input_report(spark, folder, {name: name for name in SCHEMAS}).select("table_name", "status", "rows")
+
+
 def runner_queries() -> dict[str, Query]:
     return {"batch_report": _batch_report, "publish_results": _publish_results,
-            "published_reviews": _published_reviews, "csv_scan": _csv_scan, "load_gate": _load_gate}
+            "published_reviews": _published_reviews, "csv_scan": _csv_scan, "load_gate": _load_gate,
+            "sql_rmf": _sql_rmf, "sql_late_sellers": _sql_late_sellers, "input_report": _input_report}
 
 
 def queries() -> dict[str, Query]:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from marketlens.operators.quality import load_violations
 from marketlens.session import remove_scratch, scratch_folder
-from marketlens.sources.csv_files import CSV_READ, CSV_WRITE
+from marketlens.sources.csv_files import CSV_READ, CSV_WRITE, is_missing_path
 from marketlens.sources.schemas import FOREIGN_KEYS, LOAD_ORDER
 
 REPORT_SCHEMA = T.StructType([
@@ -80,7 +80,9 @@ def read_loaded(spark: SparkSession, out_dir: str, table: str) -> DataFrame | No
     """The rows of every load of a table so far; None before the first."""
     try:
         return spark.read.parquet(f"{out_dir.rstrip('/')}/{table}/load-*")
-    except AnalysisException:  # no such path
+    except AnalysisException as exc:  # nothing loaded yet; any other error would switch checks off
+        if not is_missing_path(exc):
+            raise
         return None
 
 

@@ -3,6 +3,9 @@ the one set of options with which results are written as CSV and read back (A2,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +14,9 @@ from pyspark.sql import types as T
 from marketlens.operators.repair import repair_categories, repair_geolocation
 from marketlens.sources.marketplace import Marketplace
 from marketlens.sources.schemas import SCHEMAS, csv_file_names
+from marketlens.sources.split_csv import read_quoted_csv
 
-# Tables whose text may span lines; only their files can't be split into tasks.
+# Tables whose text may span lines: read by ``split_csv``, in splits like the others.
 MULTI_LINE = ("order_reviews",)
 BAD_RECORD = "_bad_record"
 
@@ -25,10 +29,29 @@ CSV_READ = {**_COMMON, "nullValue": "\ue000", "emptyValue": "", "multiLine": "tr
             "enforceSchema": "false"}
 
 
+# One record of a multi-line file, as the reader below parses its files.
+CSV_RECORD = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
 class MissingInput(FileNotFoundError):
     """A required input path does not exist (A5)."""
 
 
+def is_missing_path(exc: AnalysisException) -> bool:
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
+@contextmanager
+def input_needed(table: str, path: str) -> Iterator[None]:
+    """A5: a path that isn't there, and nothing else, is a missing input."""
+    try:
+        yield
+    except AnalysisException as exc:  # raised while resolving
+        if not is_missing_path(exc):
+            raise
+        raise MissingInput(f"{table}: input not found at {path}") from exc
+
+
 def file_position() -> Column:
     """Where a row stands in its input: file, then place in the file.  A sortable string;
     row numbers alone follow the order in which Spark plans the files."""
@@ -47,15 +70,29 @@ def read_csv_table(spark: SparkSession, path: str, table: str,
     """A1: headed CSV with the table's schema; the header must name its columns in order.
     Review text may span lines and hold quotes.  ``with_position`` adds ``input_pos``
     (file order) for keep-first dedup.  See ``type_violations`` for bad values."""
-    try:
+    with input_needed(table, path):
+        if table in MULTI_LINE:
+            return read_quoted_csv(spark, path, SCHEMAS[table], CSV_RECORD,
+                                   position="input_pos" if with_position else None)
         df = _reader(spark, table).schema(SCHEMAS[table]).csv(path)
-    except AnalysisException as exc:  # PATH_NOT_FOUND is raised while resolving
-        raise MissingInput(f"{table}: input not found at {path}") from exc
     if with_position:
         df = df.withColumn("input_pos", file_position())
     return df
 
 
+def input_report(spark: SparkSession, data_dir: str, files: dict[str, str]) -> DataFrame:
+    """A5 for a whole folder: (table_name, status, rows, path); a file that isn't there is
+    ``missing``, and the others are counted all the same."""
+    found = []
+    for table, name in files.items():
+        path = f"{data_dir.rstrip('/')}/{name}"
+        try:
+            found.append((table, "found", read_csv_table(spark, path, table).count(), path))
+        except MissingInput:
+            found.append((table, "missing", None, path))
+    return spark.createDataFrame(found, "table_name string, status string, rows long, path string")
+
+
 def type_violations(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Rows whose values don't fit the table's types (or that have too many or too few
     fields), counted: one row (table_name, n_bad_rows, first_bad_row, digest), the last over

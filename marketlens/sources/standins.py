@@ -166,22 +166,23 @@ def st_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_standins(spark: SparkSession, sf_dir: str) -> Marketplace:
-    """All nine tables as lazy plans, geolocation and categories repaired as on load.
-    Nothing runs and nothing is remembered here: a query plans only what it reads."""
-    sellers = st_sellers(spark, sf_dir).withColumn("input_pos", F.col("seller_id"))
-    customers = st_customers(spark, sf_dir).withColumn("input_pos", F.col("customer_id"))
-    geo_raw, cat_raw = st_geolocation_raw(spark, sf_dir), st_prodcategory_raw(spark, sf_dir)
-    products = st_products(spark, sf_dir)
+    """All nine tables, geolocation and categories repaired as on load.  Nothing runs and
+    nothing is remembered here: each table is made when a query first reads it."""
+    def made(table, position: str | None = None):
+        df = table(spark, sf_dir)
+        return df.withColumn("input_pos", F.col(position)) if position else df
+
     return Marketplace(
-        geolocation=repair_geolocation(geo_raw, sellers, customers),
-        customers=customers.drop("input_pos"),
-        orders=st_orders(spark, sf_dir),
-        sellers=sellers.drop("input_pos"),
-        prodcategory=repair_categories(cat_raw, products),
-        products=products,
-        order_items=st_order_items(spark, sf_dir),
-        order_payments=st_order_payments(spark, sf_dir),
-        order_reviews=st_order_reviews(spark, sf_dir),
-        geolocation_raw=geo_raw,
-        prodcategory_raw=cat_raw,
+        geolocation=lambda: repair_geolocation(made(st_geolocation_raw), made(st_sellers, "seller_id"),
+                                               made(st_customers, "customer_id")),
+        customers=lambda: made(st_customers),
+        orders=lambda: made(st_orders),
+        sellers=lambda: made(st_sellers),
+        prodcategory=lambda: repair_categories(made(st_prodcategory_raw), made(st_products)),
+        products=lambda: made(st_products),
+        order_items=lambda: made(st_order_items),
+        order_payments=lambda: made(st_order_payments),
+        order_reviews=lambda: made(st_order_reviews),
+        geolocation_raw=lambda: made(st_geolocation_raw),
+        prodcategory_raw=lambda: made(st_prodcategory_raw),
     )

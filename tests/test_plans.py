@@ -10,7 +10,8 @@ from marketlens import registry
 from tests.conftest import SMOKE_DIR
 
 RUNS_JOBS = {"batch_report", "publish_results", "published_reviews", "csv_scan", "load_gate",
-             "logreg_scores", "logreg_metrics"}
+             "logreg_scores", "logreg_metrics", "exact_logit_model", "exact_logit_scores", "exact_logit_metrics",
+             "saved_model_scores", "input_report"}
 
 
 @pytest.fixture
