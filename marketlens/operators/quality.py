@@ -132,17 +132,23 @@ def table_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def load_violations(name: str, df: DataFrame, parents: Mapping[str, DataFrame | None],
-                    target: DataFrame | None) -> int:
+                    target: DataFrame | None, buckets: int | None = None) -> int:
     """C8-C11 for one table against what it is loaded into: rows with repeated or NULL
     keys, rows whose key the target already holds, rows without a parent among
-    ``parents`` (None: there is none), texts that are too long, amounts that don't fit."""
+    ``parents`` (None: there is none), texts that are too long, amounts that don't fit.
+
+    ``buckets``: targets and parents are bucketed by their keys into so many.  The new rows
+    are then dealt out the same way, so only they move."""
     key = list(PRIMARY_KEYS[name])
     n = 0
+
+    def beside_target(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.repartition(buckets, *columns) if buckets else rows
     for report in (pk_violations({name: df}), length_violations({name: df}), value_violations({name: df})):
         counts = [c for c in report.columns if c in ("n_duplicate_rows", "n_null_key_rows", "n_violations")]
         n += sum(int(r[c] or 0) for r in report.collect() for c in counts)  # one row a rule
     if target is not None:
-        here = df.select(*[F.col(k).alias(f"_{k}") for k in key])
+        here = beside_target(df.select(*[F.col(k).alias(f"_{k}") for k in key]), *[f"_{k}" for k in key])
         there = target.select(*key)
         same = reduce(lambda a, b: a & b, [F.col(f"_{k}") == F.col(k) for k in key])
         n += here.join(there, same, "left_semi").count()
@@ -152,7 +158,8 @@ def load_violations(name: str, df: DataFrame, parents: Mapping[str, DataFrame |
             known = parents[parent]
             if known is not None:
                 known = known.select(F.col(parent_key).alias("_pk"))
-                rows = (rows.groupBy("_ck").agg(F.count("*").alias("_n"))
+                # one row a key, counted in the tasks first, before it is dealt out
+                rows = (beside_target(rows.groupBy("_ck").agg(F.count("*").alias("_n")), "_ck")
                         .join(known, F.col("_ck") == F.col("_pk"), "left_anti"))
                 n += int(rows.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0])
             else:

@@ -463,6 +463,35 @@ def _counts(status: str, extra: str) -> str:
         for n in RESULTS)
 
 
+def _load_in_steps_sql() -> str:
+    """Each table's own violations; keys that are there already; keys without a parent
+    among what was loaded before.  All tables of the first step are loaded whole."""
+    own = "(SELECT n FROM own WHERE table_name = '{}')"
+    orphans = ("(SELECT COUNT(*) FROM {} WHERE {} IS NOT NULL AND {} NOT IN (SELECT {} FROM {} WHERE {} IS NOT NULL))")
+    def lost(child, column, parent, key, where="true"):
+        return orphans.format(f"(SELECT * FROM {STANDIN_TABLES[child]} WHERE {where})", column, column, key,
+                              STANDIN_TABLES[parent], key)
+    def count(table, where="true"):
+        return f"(SELECT COUNT(*) FROM {STANDIN_TABLES[table]} WHERE {where})"
+    steps = []
+    for table in ("geolocation", "customers", "sellers", "prodcategory", "products"):
+        terms = [own.format(table)] + [lost(*f) for f in FOREIGN_KEYS if f[0] == table]
+        steps.append((1, table, " + ".join(terms)))
+    for step, where in ((1, "order_id % 3 <> 0"), (2, "order_id % 3 = 0")):
+        steps.append((step, "orders", " + ".join(lost(*f, where) for f in FOREIGN_KEYS if f[0] == "orders")))
+    steps.append((2, "customers", own.format("customers") + " + " + count("customers") + " + "
+                  + " + ".join(lost(*f) for f in FOREIGN_KEYS if f[0] == "customers")))
+    steps.append((2, "order_items", " + ".join([own.format("order_items")]
+                                               + [lost(*f) for f in FOREIGN_KEYS if f[0] == "order_items"])))
+    steps.append((3, "orders", count("orders", "order_id % 5 = 0")))
+    rows = "\nUNION ALL ".join(f"SELECT {k} AS step, '{t}' AS table_name, CAST({n} AS BIGINT) AS violations"
+                               for k, t, n in steps)
+    return with_standins(f""",
+own AS (SELECT table_name, pk AS n FROM ({_load_report_body()})),
+steps AS ({rows})
+SELECT step, table_name, CASE WHEN violations > 0 THEN 'rejected' ELSE 'loaded' END AS status, violations FROM steps""")
+
+
 def _load_gate_sql() -> str:
     """Own violations of each table, where keys without a parent are all of a child's
     keys if that parent was rejected; tables in the order of loading."""
@@ -487,7 +516,7 @@ def runner_oracle() -> dict[str, str]:
             "published_reviews": ORACLE["reviews"],
             "csv_scan": with_standins("SELECT review_id, order_id, review_score, review_comment_message, "
                                       "review_creation_date FROM st_order_reviews"),
-            "load_gate": _load_gate_sql(), "sql_rmf": rmf_sql(), "sql_late_sellers": _late_sellers_sql(),
+            "load_gate": _load_gate_sql(), "load_in_steps": _load_in_steps_sql(), "sql_rmf": rmf_sql(), "sql_late_sellers": _late_sellers_sql(),
             "input_report": _input_report_sql()}
 
 

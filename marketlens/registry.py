@@ -163,6 +163,28 @@ def _load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "table_name", "status", "violations")
 
 
+def _load_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1, C9-C11 against targets that are kept bucketed: a first load with two thirds of the
+    orders; then the rest of them, all items, and the customers again; then orders that are
+    all there."""
+    from functools import reduce
+
+    from marketlens.runner import load_tables, run_folder
+
+    m, target = load_standins(spark, sf_dir), run_folder(spark, "steps")
+    third, fifth = F.col("order_id") % 3 == 0, F.col("order_id") % 5 == 0
+    customers = m.customers.withColumn("customer_state", F.substring("customer_state", 1, 2))  # so that they fit
+    sellers = m.sellers.withColumn("seller_state", F.substring("seller_state", 1, 2))
+    geolocation = m.geolocation.withColumn("geolocation_state", F.substring("geolocation_state", 1, 2))
+    steps = [{"geolocation": geolocation, "customers": customers, "sellers": sellers,
+              "prodcategory": m.prodcategory, "products": m.products, "orders": m.orders.filter(~third)},
+             {"customers": customers, "orders": m.orders.filter(third), "order_items": m.order_items},
+             {"orders": m.orders.filter(fifth)}]
+    reports = [load_tables(spark, tables, target, buckets=8).select(
+        F.lit(k + 1).alias("step"), "table_name", "status", "violations") for k, tables in enumerate(steps)]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _sql_rmf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: K11 from SQL text, its two dates as named parameters."""
     from marketlens.sources.sql_text import Catalogue
@@ -200,7 +222,7 @@ def _input_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runner_queries() -> dict[str, Query]:
     return {"batch_report": _batch_report, "publish_results": _publish_results,
-            "published_reviews": _published_reviews, "csv_scan": _csv_scan, "load_gate": _load_gate,
+            "published_reviews": _published_reviews, "csv_scan": _csv_scan, "load_gate": _load_gate, "load_in_steps": _load_in_steps,
             "sql_rmf": _sql_rmf, "sql_late_sellers": _sql_late_sellers, "input_report": _input_report}
 
 

@@ -138,3 +138,75 @@ def test_models_are_published_by_loading_and_saving(spark):
     assert publish_models({"tfidf": folder, "bert": folder}, target) == [("tfidf", "published"), ("bert", "skipped")]
     again = {r["doc_id"]: r["predicted"] for r in model.score(model.load_model(f"{target}/tfidf"), df).collect()}
     assert again == {i: i % 2 for i in range(20)}
+
+
+def test_one_query_is_cancelled_while_twelve_end(spark):
+    import threading
+    import time
+
+    from marketlens.runner import BatchControl
+
+    def slow():
+        return spark.range(4).repartition(4).select(F.expr("java_method('java.lang.Thread', 'sleep', 600000L)"))
+
+    out, control = tempfile.mkdtemp(prefix="run-"), BatchControl()
+    queries = {"stuck": slow, **{f"q{k}": (lambda k=k: spark.range(k + 1)) for k in range(12)}}
+    stop = threading.Timer(6, control.cancel, ["stuck"])
+    stop.start()
+    began = time.time()
+    report = run_batch(spark, queries, out, control=control, workers=4).collect()
+    assert time.time() - began < 120
+    assert [r["name"] for r in report] == list(queries)
+    assert report[0]["status"] == "cancelled" and report[0]["error"]
+    assert [(r["status"], r["rows"]) for r in report[1:]] == [("ok", k + 1) for k in range(12)]
+
+
+def test_a_time_limit_stops_one_query(spark):
+    def slow():
+        return spark.range(2).select(F.expr("java_method('java.lang.Thread', 'sleep', 600000L)"))
+
+    report = {r["name"]: r["status"] for r in run_batch(
+        spark, {"stuck": slow, "ok": lambda: spark.range(3)}, tempfile.mkdtemp(prefix="run-"), time_limit=8).collect()}
+    assert report == {"stuck": "timed out", "ok": "ok"}
+
+
+def test_a_result_is_counted_by_the_job_that_writes_it(spark):
+    from marketlens.runner import write_result
+
+    sc, out = spark.sparkContext, tempfile.mkdtemp(prefix="run-")
+    sc.addJobTag("counted-write")
+    try:
+        assert write_result(spark.range(100, numPartitions=3), out + "/x", "csv") == 100
+        assert write_result(spark.range(0), out + "/y") == 0
+    finally:
+        sc.removeJobTag("counted-write")
+    assert len(sc.statusTracker().getJobIdsForTag("counted-write")) == 2 if hasattr(
+        sc.statusTracker(), "getJobIdsForTag") else True
+    assert spark.catalog.listTables("global_temp") == [] or all(
+        not t.name.startswith("counted_") for t in spark.catalog.listTables("global_temp"))
+
+
+def test_models_can_be_trained_after_counted_writes(spark):
+    from marketlens.operators import model
+    from marketlens.runner import write_result
+
+    assert write_result(spark.range(5), tempfile.mkdtemp(prefix="run-") + "/x") == 5
+    df = spark.createDataFrame([(i, ["good"] if i % 2 else ["bad"], i % 2) for i in range(20)],
+                               "doc_id long, terms array<string>, label int")
+    fitted = model.fit_sentiment_model(df, "doc_id", "terms", "label", max_features=10)
+    assert {r["doc_id"]: r["predicted"] for r in model.score(fitted, df).collect()} == {i: i % 2 for i in range(20)}
+
+
+def test_bucketed_targets_take_several_loads(spark):
+    out = tempfile.mkdtemp(prefix="run-")
+    geo = spark.createDataFrame([("z", 0.0, 0.0, "c", "st"), ("y", 0.0, 0.0, "c", "st")], GEO)
+    customers = spark.createDataFrame([(f"c{k}", "u1", "z", "c", "st") for k in range(20)], CUSTOMERS)
+    both = {"geolocation": geo, "customers": customers}
+    assert _status(load_tables(spark, both, out, buckets=4)) == {"geolocation": ("loaded", 0), "customers": ("loaded", 0)}
+    assert _status(load_tables(spark, both, out, buckets=4)) == {"geolocation": ("rejected", 2), "customers": ("rejected", 20)}
+    more = spark.createDataFrame([("c20", "u1", "y", "c", "st"), ("c21", "u1", "x", "c", "st")], CUSTOMERS)
+    assert _status(load_tables(spark, {"customers": more}, out, buckets=4)) == {"customers": ("rejected", 1)}
+    fits = more.filter("customer_id = 'c20'")
+    assert _status(load_tables(spark, {"customers": fits}, out, buckets=4)) == {"customers": ("loaded", 0)}
+    assert sorted(r["customer_id"] for r in read_loaded(spark, out, "customers").collect()) == sorted(f"c{k}" for k in range(21))
+    assert _status(load_tables(spark, {"customers": fits}, out, buckets=8))["customers"][0].startswith("error: ValueError")
