@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import join_tokens, normalise_text, tokens
+from marketlens.operators.lemmas import looked_up
 
 PAD_ID = 0
 UNKNOWN_ID = 1
@@ -47,12 +48,11 @@ def substitute_lemmas(df: DataFrame, id_col: str, tokens_col: str, lemmas: DataF
                       output_col: str = "lemmas") -> DataFrame:
     """Replace each token by its dictionary form from a ``(token, lemma)`` table,
     keeping tokens without an entry; returns (id, lemmas).  The table may be of any
-    size.  A document's positions are gathered for each of its distinct tokens first,
+    size, a token in any share of the documents (``lemmas.looked_up``).  A document's positions are gathered for each of its distinct tokens first,
     so what is joined by token is a row a document and token, not an occurrence;
     then documents are re-assembled in order."""
-    mapped = (_positions(df, id_col, tokens_col, "token")
-              .groupBy(id_col, "token").agg(F.collect_list("_pos").alias("_at"))
-              .join(lemmas.select("token", "lemma"), "token", "left"))
+    at = _positions(df, id_col, tokens_col, "token").groupBy(id_col, "token").agg(F.collect_list("_pos").alias("_at"))
+    mapped = looked_up(at, lemmas.select("token", "lemma"), "token", spread=[id_col])
     word = F.coalesce("lemma", "token")
     entries = F.transform("_at", lambda p: F.struct(p.alias("_pos"), word.alias("_t")))
     return (mapped.groupBy(id_col)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import terms
-from marketlens.operators import exact_logit, features, model, model_store, text
+from marketlens.operators import exact_logit, features, lemmas, model, model_store, text
 from marketlens.operators.exact_split import exact_split
 from marketlens.session import cut_lineage, scratch_folder
 from marketlens.sources.marketplace import Marketplace
@@ -67,8 +67,22 @@ def lemma_substitution(m: Marketplace) -> DataFrame:
     ``text.substitute_lemmas``."""
     c = cleaned_once(m)
     vocab = features.explode_words(c, "doc_id", "tokens", "term")
-    lemmas = text.plural_lemmas(vocab)
-    out = text.substitute_lemmas(c, "doc_id", "tokens", lemmas)
+    out = text.substitute_lemmas(c, "doc_id", "tokens", cut_lineage(text.plural_lemmas(vocab)))
+    return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized_text"))
+
+
+def rule_lemmas(m: Marketplace) -> DataFrame:
+    """The dictionary forms that the Portuguese rules give the corpus's tokens."""
+    vocab = features.explode_words(cleaned_corpus(m), "doc_id", "tokens", "term")
+    return lemmas.rule_lemmas(vocab, lemmas.rules_table(vocab.sparkSession))
+
+
+def lemmas_by_rules(m: Marketplace) -> DataFrame:
+    """Every review with its tokens' dictionary forms, by the Portuguese rules."""
+    c = cleaned_once(m)
+    vocab = features.explode_words(c, "doc_id", "tokens", "term")
+    table = cut_lineage(lemmas.rule_lemmas(vocab, lemmas.rules_table(c.sparkSession)))
+    out = text.substitute_lemmas(c, "doc_id", "tokens", table)
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized_text"))
 
 

@@ -100,7 +100,7 @@ def text_queries() -> dict[str, Query]:
     names = ("review_clean_text", "lemma_substitution", "split_train_test", "vocabulary_top_n",
              "tfidf_fit", "tfidf_transform", "linear_scores", "class_weights", "encode_fixed_length",
              "attention_mask", "shuffle_batches", "logreg_scores", "logreg_metrics",
-             "binary_metrics", "split_exact", "saved_model_scores", "exact_logit_model",
+             "binary_metrics", "rule_lemmas", "lemmas_by_rules", "split_exact", "saved_model_scores", "exact_logit_model",
              "exact_logit_scores", "exact_logit_metrics")
     return {n: _mart(getattr(text_pipeline, n)) for n in names}
 

@@ -11,7 +11,7 @@ from tests.conftest import SMOKE_DIR
 
 RUNS_JOBS = {"batch_report", "publish_results", "published_reviews", "csv_scan", "load_gate",
              "logreg_scores", "logreg_metrics", "exact_logit_model", "exact_logit_scores", "exact_logit_metrics",
-             "saved_model_scores", "input_report", "load_in_steps"}
+             "saved_model_scores", "input_report", "load_in_steps", "lemma_substitution", "lemmas_by_rules"}
 
 
 @pytest.fixture
