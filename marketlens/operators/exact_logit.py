@@ -57,9 +57,12 @@ class LinearModel:
     intercept: int
     steps: int
 
-    def table(self, spark) -> DataFrame:
-        """(term, coefficient)."""
-        rows = [(t, c / UNIT) for t, c in zip(self.terms, self.coefficients, strict=True)]
+    def table(self, spark, digits: int = 8) -> DataFrame:
+        """(term, coefficient), the intercept under the empty term; rounded half-up on the
+        integers."""
+        part = UNIT // 10 ** digits
+        rows = [(t, (c + part // 2) // part / 10 ** digits)
+                for t, c in zip([*self.terms, ""], [*self.coefficients, self.intercept], strict=True)]
         return spark.createDataFrame(rows, "term string, coefficient double")
 
 
@@ -78,24 +81,29 @@ def _constant(values: list[int]) -> Column:
     return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
 
 
-def logit(model: list[int], intercept: int) -> Column:
-    """The logit of a row of ``feature_rows``: an exact integer sum, divided once."""
+def _with_intercept(rows: DataFrame, n_terms: int) -> DataFrame:
+    """The intercept as one more feature, of value one."""
+    return rows.withColumns({"at": F.concat("at", F.array(F.lit(n_terms))),
+                             "x": F.concat("x", F.array(F.lit(UNIT).cast("long")))})
+
+
+def _logit(model: list[int]) -> Column:
+    """The logit of a row with its intercept: an exact integer sum, divided once.  The
+    model is a literal array, no number in it becomes code: steps share what is compiled."""
     coefficient = _constant(model)
     products = F.zip_with("at", "x", lambda i, x: F.element_at(coefficient, i + 1) * x)
-    z = F.aggregate(products, F.lit(0).cast("long"), lambda total, p: total + p) + F.lit(intercept * UNIT).cast("long")
+    z = F.aggregate(products, F.lit(0).cast("long"), lambda total, p: total + p)
     return z.cast("double") / F.lit(float(UNIT)) / F.lit(float(UNIT))
 
 
-def _by_feature(rows: DataFrame, share: Column, n_terms: int) -> tuple[list[int], int]:
-    """Sums over rows of ``share`` times each feature's value, and of ``share`` times one
-    for the intercept; exact, as wide decimals."""
-    pairs = F.explode(F.concat(
-        F.arrays_zip(F.col("at").alias("i"), F.transform("x", lambda v: v * F.col("_share")).alias("p")),
-        F.array(F.struct(F.lit(-1).alias("i"), (F.lit(UNIT) * F.col("_share")).alias("p")))))
+def _by_feature(rows: DataFrame, share: Column, n: int) -> list[int]:
+    """Sums over rows of ``share`` times each of ``n`` features; exact, as wide decimals."""
+    products = F.transform("x", lambda v: v * F.col("_share"))
+    pairs = F.explode(F.arrays_zip(F.col("at").alias("i"), products.alias("p")))
     sums = (rows.withColumn("_share", share).select(pairs.alias("e")).groupBy(F.col("e.i").alias("i"))
             .agg(F.sum(F.col("e.p").cast("decimal(20,0)")).alias("total")))
     found = {r["i"]: int(r["total"]) for r in sums.collect()}  # a row a feature
-    return [found.get(i, 0) for i in range(n_terms)], found.get(-1, 0)
+    return [found.get(i, 0) for i in range(n)]
 
 
 def fit(rows: DataFrame, terms: list[str], label_col: str, C: float = 1.0, steps: int = STEPS) -> LinearModel:
@@ -108,24 +116,20 @@ def fit(rows: DataFrame, terms: list[str], label_col: str, C: float = 1.0, steps
     for label, n_label in counts.items():
         balance = F.when(F.col(label_col) == label, F.lit(n / (len(counts) * n_label))).otherwise(balance)
     ridge = 1.0 / (C * n)
+    rows = _with_intercept(rows, n_terms)
 
-    size = F.aggregate("x", F.lit(UNIT).cast("long"), lambda total, v: total + v)
+    size = F.aggregate("x", F.lit(0).cast("long"), lambda total, v: total + v)
     bound = F.floor(balance * size.cast("double") / F.lit(float(UNIT // CURVE_UNIT)) + F.lit(0.5)).cast("long")
-    curve, curve_0 = _by_feature(rows, bound, n_terms)
-
-    def curvature(total: int, free: bool = False) -> float:
-        mean = float(total) / float(UNIT) / float(CURVE_UNIT) / float(n)
-        return 0.25 * mean + (0.0 if free else ridge)
-
-    scale = [curvature(c) for c in curve] + [curvature(curve_0, free=True)]
+    curve = _by_feature(rows, bound, n_terms + 1)
+    scale = [0.25 * (float(c) / float(UNIT) / float(CURVE_UNIT) / float(n)) + (ridge if place < n_terms else 0.0)
+             for place, c in enumerate(curve)]
     now = [0] * (n_terms + 1)
     ahead = list(now)  # where the gradient is taken: beyond ``now`` in the last direction
     for momentum in momenta(steps):
-        z = logit(ahead[:-1], ahead[-1])
+        z = _logit(ahead)
         residual = fixed(balance * (F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col(label_col).cast("double")))
-        slope, slope_0 = _by_feature(rows, residual, n_terms)
         after = []
-        for place, total in enumerate([*slope, slope_0]):
+        for place, total in enumerate(_by_feature(rows, residual, n_terms + 1)):
             at = ahead[place] / float(UNIT)
             down = float(total) / float(UNIT) / float(UNIT) / float(n) + (ridge * at if place < n_terms else 0.0)
             after.append(_held(at - down / scale[place]) if scale[place] > 0.0 else ahead[place])
@@ -136,7 +140,7 @@ def fit(rows: DataFrame, terms: list[str], label_col: str, C: float = 1.0, steps
 
 def scores(rows: DataFrame, model: LinearModel, id_col: str, digits: int = 6) -> DataFrame:
     """Every row's logit, probability and prediction."""
-    z = F.round(logit(model.coefficients, model.intercept), digits)
-    return (rows.withColumn("logit", z)
+    z = F.round(_logit([*model.coefficients, model.intercept]), digits)
+    return (_with_intercept(rows, len(model.terms)).withColumn("logit", z)
             .withColumn("probability_positive", F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("logit"))), digits))
             .withColumn("predicted", (F.col("logit") > 0).cast("int")).drop("at", "x"))

@@ -460,7 +460,7 @@ def _exact_logit_oracle() -> dict[str, str]:
     steps = _exact_logit_ctes()
     return {
         "exact_logit_model": steps + """
-SELECT COALESCE(v.term, '') AS term, round(CAST(m.now AS DOUBLE) / 1e8, 6) AS coefficient
+SELECT COALESCE(v.term, '') AS term, floor((m.now + 50) / 100.0) / 1e6 AS coefficient
 FROM model m LEFT JOIN vocab v ON v.term_index = m.i""",
         "exact_logit_scores": steps + """
 SELECT doc_id, split, label, logit, round(1.0 / (1.0 + exp(-logit)), 6) AS probability_positive,

@@ -207,10 +207,7 @@ def exact_logit_model(m: Marketplace) -> DataFrame:
     """J9 with sums that don't depend on their order: (term, coefficient); the intercept
     has the empty term."""
     rows, fitted = _exact_logit(m)
-    spark = rows.sparkSession
-    intercept = spark.createDataFrame([("", fitted.intercept / exact_logit.UNIT)], "term string, coefficient double")
-    return (fitted.table(spark).unionByName(intercept)
-            .select("term", F.round("coefficient", 6).alias("coefficient")))
+    return fitted.table(rows.sparkSession, digits=6)
 
 
 def exact_logit_scores(m: Marketplace) -> DataFrame:

