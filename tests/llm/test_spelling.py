@@ -161,3 +161,13 @@ def test_query_equals_brute_force(spark, sf_dir):
     docs = pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
     got = op11_spelling_variants(spark, sf_dir).select("word", "form", "root", "n", "n_near", "form_n")
     assert sorted(map(tuple, got.collect())) == brute([(d["doc_id"], d["text"]) for d in docs])
+
+
+def test_query_equals_its_sql(spark, duck):
+    from marketlens.llm.oracles import OP11
+    from marketlens.llm.queries import op11_spelling_variants
+
+    got = op11_spelling_variants(spark, "/root/testdata/sf0.001")
+    want = duck.execute(OP11)
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(want.fetchall())
