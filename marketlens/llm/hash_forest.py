@@ -14,8 +14,9 @@ and the share of candidates are what recall was measured with (see the README).
 
 Nulls and edge cases: null, empty and zero vectors and those with null or non-finite
 components take no part; vectors of different lengths are never compared; a null vec_id
-is no query and no candidate; rows that repeat a vec_id are separate candidates, and
-none of them is one for the queries of that id; with fewer candidates than ``k`` a query
+is no query and no candidate; rows alike in vec_id and vector are one row; rows that share
+a vec_id but differ are separate candidates, none of them for the queries of that id, and
+the smallest vector of an id is the one that asks; with fewer candidates than ``k`` a query
 gets all; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -111,13 +112,16 @@ def nearest(embeddings: DataFrame, is_query: Callable[[Column], Column], k: int
             seed: int = 23) -> DataFrame:
     """query_id, rank, vec_id, score.  ``is_query`` tells queries by their id."""
     rows = vectors(embeddings).filter(F.col("ok") & (F.col("vec") != F.lit(NULL_ID).cast("long")))
-    rows = rows.select("vec", "e", F.coalesce(is_query(F.col("vec")), F.lit(False)).alias("asks"))
+    rows = (rows.select("vec", "e", F.coalesce(is_query(F.col("vec")), F.lit(False)).alias("asks"))
+            .dropDuplicates(["vec", "e"]))
     n, n_queries = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
     blocks, chunks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_queries / chunk_rows))
     index = (rows.withColumn("block", F.pmod(F.xxhash64("vec"), F.lit(blocks)))
              .withColumn("chunk", F.explode(_numbers(chunks)))
              .select("block", "chunk", "vec", "e"))
-    asked = (rows.filter("asks").withColumn("chunk", F.pmod(F.xxhash64("vec", F.lit(1)), F.lit(chunks)))
+    asking = (rows.filter("asks").groupBy(F.col("vec").alias("q")).agg(F.min("e").alias("least"))
+              .select(F.col("q").alias("vec"), F.col("least").alias("e")))
+    asked = (asking.withColumn("chunk", F.pmod(F.xxhash64("vec", F.lit(1)), F.lit(chunks)))
              .withColumn("block", F.explode(_numbers(blocks)))
              .select("block", "chunk", "vec", "e"))
     found = (index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk"))

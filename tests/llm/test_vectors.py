@@ -117,6 +117,19 @@ def test_nearest_edge_cases(embeddings):
     assert [v for _, v, _ in got[20]] == [0, 1, 2, 3, 4]
 
 
+def test_repeated_rows_are_one_candidate_and_one_query(embeddings):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(4).astype(np.float32).tolist()) for i in range(60)]
+    want = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20))
+    assert answers(nearest(embeddings(rows + rows[:30] + rows[:5]), lambda v: v % 20 == 0, k=20)) == want
+    # an id with two vectors: the smaller asks, each is a candidate of the others
+    two = rows + [(20, [9.0, 9.0, 9.0, 9.0])]
+    got = answers(nearest(embeddings(two), lambda v: v % 20 == 0, k=20))
+    asks = min(rows[20][1], [9.0] * 4)
+    assert all(len(v) == 20 and [r for r, _, _ in v] == list(range(1, 21)) for v in got.values())
+    assert got[20] == answers(nearest(embeddings([*rows[:20], (20, asks), *rows[21:]]), lambda v: v % 20 == 0, k=20))[20]
+
+
 def recall(got, x):
     q = np.arange(0, len(x), 20)
     score = x[q] @ x.T
