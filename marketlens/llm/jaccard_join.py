@@ -312,6 +312,48 @@ def _bounded_blocks(percent: int):
     return run
 
 
+def _may_share(n: str, pos: str, m: str, pos2: str, percent: int) -> Column:
+    """Whether a shingle at these places can be the first that two linked sets share: all
+    of their intersection is at or after it in both."""
+    left = F.least(F.col(n) - F.col(pos), F.col(m) - F.col(pos2))
+    return left * (100 + percent) >= F.lit(percent) * (F.col(n) + F.col(m))
+
+
+def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
+    return rows.select(F.least(x, y).alias("u"), F.greatest(x, y).alias("v")).distinct()
+
+
+def _keyed(shared: DataFrame, percent: int) -> DataFrame:
+    """Prefix shingles under the size classes in which their documents can meet others.
+
+    Sets that link are in the same class or in neighbouring ones; key k is where classes
+    k and k + 1 meet.  The smallest size under a key bounds the intersection from below,
+    and so shortens the prefix: to about half of it among sets of like size."""
+    ratio = 1.01 * 100 / percent
+    size = F.floor(F.log("n") / F.lit(float(np.log(ratio)))).cast("int")
+    least = F.floor(F.pow(F.lit(ratio), F.col("key")) * (1 - 1e-9))
+    return (shared.withColumn("class", size)
+            .withColumn("key", F.explode(F.array(F.col("class"), F.col("class") - 1)))
+            .filter((F.col("n") - F.col("pos")) * (100 + percent) >= percent * (F.col("n") + least)))
+
+
+def _apart(keyed: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows whose shingle and key are met in several components, as a stage table,
+    with component, its size, and whether it has most of the documents there."""
+    names = ["tok", "key", "class", "pos", "doc", "n"]
+    placed = (keyed.join(parts, F.col("doc") == F.col("node"), "left")
+              .select(*names, F.coalesce("component", "doc").alias("part")))
+    counts = placed.groupBy("tok", "key", "part").agg(F.count("*").alias("c"))
+    mixed = (counts.groupBy(F.col("tok").alias("tok2"), F.col("key").alias("key2"))
+             .agg(F.max(F.struct("c", F.col("part"))).alias("top"), F.count("*").alias("k")).filter("k > 1"))
+    members = parts.groupBy(F.col("component").alias("of")).agg(F.count("*").alias("size"))
+    return stage_table(
+        placed.join(mixed, (F.col("tok") == F.col("tok2")) & (F.col("key") == F.col("key2")))
+        .join(members, F.col("part") == F.col("of"), "left")
+        .select(*names, "part", (F.col("part") == F.col("top.part")).alias("main"),
+                F.coalesce("size", F.lit(1)).alias("size")), "mixed")
+
+
 def _close(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (u, v) that the bound leaves."""
     a = cells.select(F.col("doc").alias("u"), "n", "cells")
@@ -326,8 +368,13 @@ def _close_blocks(placed: DataFrame, others: DataFrame, cells: DataFrame, percen
     component, so a group of copies is not expanded into pairs."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     large = placed.filter(F.col("size") >= LARGE).withColumn("block", F.pmod(F.xxhash64("doc"), blocks))
-    met = (large.select("tok", "part", "block").distinct().join(others.select("tok", "x", "part2"), "tok")
-           .filter("part <> part2").select("part", "block", "x").distinct())
+    there = large.groupBy("tok", "key", "part", "block").agg(F.max(F.col("n") - F.col("pos")).alias("rest"),
+                                                             F.min("n").alias("low"))
+    needed = percent * (F.col("m") + F.col("low"))
+    met = (there.join(others, ["tok", "key"])
+           .filter((F.col("part") != F.col("part2")) & ((100 + percent) * F.col("rest") >= needed)
+                   & ((100 + percent) * (F.col("m") - F.col("pos2")) >= needed))
+           .select("part", "block", "x").distinct())
     chunks = (met.groupBy("part", "block").agg(F.count("*").alias("c"))
               .select("part", "block", F.ceil(F.col("c") / (4 * BLOCK)).cast("long").alias("chunks")))
     right = stage_table(met.join(chunks, ["part", "block"]).withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("chunks")))
@@ -380,46 +427,46 @@ def jaccard_components(documents: DataFrame, n: int = 4, percent: int = 85) -> D
     same = ["s1", "s2", "n"]
     reps = stage_table(prefixes.filter("n > 0").groupBy(*same).agg(F.min("doc").alias("rep")), "reps")
     tokens = (prefixes.filter("n > 0").join(reps.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
-              .select("doc", "n", F.explode("prefix").alias("tok")))
+              .select("doc", "n", F.posexplode("prefix").alias("pos", "tok")))
     tokens = stage_table(tokens, "tokens")
-    hubs = (tokens.groupBy("tok").agg(F.min(F.struct("doc", "n")).alias("hub"), F.max("doc").alias("far"))
-            .filter(F.col("hub.doc") < F.col("far")).select(F.col("tok").alias("tok2"), "hub"))
-    shared = stage_table(tokens.join(hubs, F.col("tok") == F.col("tok2")).select("tok", "doc", "n", "hub"), "shared")
+    hubs = (tokens.groupBy("tok").agg(F.min(F.struct("pos", "doc", "n")).alias("hub"), F.min("doc").alias("low"),
+                                      F.max("doc").alias("far"))
+            .filter("low < far").select(F.col("tok").alias("tok2"), "hub"))
+    shared = stage_table(tokens.join(hubs, F.col("tok") == F.col("tok2")).select("tok", "pos", "doc", "n", "hub"), "shared")
     drop_stage(tokens)
     cells = prefixes.select("doc", "n", "cells")
-    near = (F.least("n", "m") * 100 >= F.lit(percent) * F.greatest("n", "m"))
-    star = (shared.filter(F.col("doc") != F.col("hub.doc")).withColumn("m", F.col("hub.n")).filter(near)
-            .select(F.col("hub.doc").alias("u"), F.col("doc").alias("v")).distinct())
-    links = _linked(stage_table(_close(star, cells, percent), "close"), docs, n, percent, classes)
+    star = shared.filter((F.col("doc") != F.col("hub.doc")) & _may_share("n", "pos", "hub.n", "hub.pos", percent))
+    links = _linked(stage_table(_close(_pairs(star, "doc", "hub.doc"), cells, percent), "close"), docs, n, percent, classes)
     parts = stage_table(connected_components(links), "parts")
     # pairs left over: they share a prefix shingle and are in different components
-    placed = (shared.select("tok", "doc", "n")
-              .join(parts, F.col("doc") == F.col("node"), "left")
-              .select("tok", "doc", "n", F.coalesce("component", "doc").alias("part")))
-    counts = placed.groupBy("tok", "part").agg(F.count("*").alias("c"))
-    mixed = (counts.groupBy(F.col("tok").alias("tok2"))
-             .agg(F.max(F.struct("c", F.col("part"))).alias("top"), F.count("*").alias("k")).filter("k > 1"))
-    members = parts.groupBy(F.col("component").alias("of")).agg(F.count("*").alias("size"))
-    placed = (placed.join(mixed, F.col("tok") == F.col("tok2")).join(members, F.col("part") == F.col("of"), "left")
-              .select("tok", "doc", "n", "part", (F.col("part") == F.col("top.part")).alias("main"),
-                      F.coalesce("size", F.lit(1)).alias("size")))
-    placed = stage_table(placed, "mixed")
-    others = placed.filter(~F.col("main")).select("tok", F.col("doc").alias("x"), F.col("n").alias("m"),
-                                                  F.col("part").alias("part2"))
-    pairs = (placed.filter(F.col("size") < LARGE).join(others, ["tok"])
-             .filter((F.col("part") != F.col("part2")) & near)
-             .select(F.least("doc", "x").alias("u"), F.greatest("doc", "x").alias("v")).distinct())
-    close = stage_table(_close(pairs, cells, percent).unionByName(_close_blocks(placed, others, cells, percent))
-                        .distinct(), "close")
-    more = _linked(close, docs, n, percent, classes)
+    placed = _apart(_keyed(shared.select("tok", "pos", "doc", "n"), percent), parts)
+    hubs = (placed.groupBy("tok", "key").agg(F.min(F.struct("pos", "doc", "n", "part", "class")).alias("hub"))
+            .select(F.col("tok").alias("tok2"), F.col("key").alias("key2"), "hub"))
+    star = (placed.join(hubs, (F.col("tok") == F.col("tok2")) & (F.col("key") == F.col("key2")))
+            .filter((F.col("part") != F.col("hub.part")) & _may_share("n", "pos", "hub.n", "hub.pos", percent)))
+    more = _linked(stage_table(_close(_pairs(star, "doc", "hub.doc"), cells, percent), "close"), docs, n, percent, classes)
     if not more.isEmpty():
-        parts = connected_components(links.unionByName(more))
+        links = stage_table(links.unionByName(more), "links")
+        drop_stage(parts)
+        parts = stage_table(connected_components(links), "parts")
+        placed = _apart(placed.select("tok", "key", "class", "pos", "doc", "n"), parts)
+    others = placed.filter(~F.col("main")).select("tok", "key", F.col("doc").alias("x"), F.col("n").alias("m"),
+                                                  F.col("pos").alias("pos2"), F.col("class").alias("class2"),
+                                                  F.col("part").alias("part2"))
+    met = (placed.filter(F.col("size") < LARGE).join(others, ["tok", "key"])
+           .filter((F.col("part") != F.col("part2")) & _may_share("n", "pos", "m", "pos2", percent)
+                   & ((F.col("class") == F.col("key")) | (F.col("class2") == F.col("key")))))
+    close = stage_table(_close(_pairs(met, "doc", "x"), cells, percent)
+                        .unionByName(_close_blocks(placed, others, cells, percent)).distinct(), "close")
+    last = _linked(close, docs, n, percent, classes)
+    if not last.isEmpty():
+        parts = connected_components(links.unionByName(last))
     out = (prefixes.select("doc", "n", "s1", "s2").join(reps, same, "left")
            .join(parts, F.col("rep") == F.col("node"), "left")
            .select("doc", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component")))
     # rows that repeat an id are one node: it is in the smallest of their components
     out = stage_table(out, "jaccard")
-    drop_stage(shared, links, placed, more, prefixes, reps)
+    drop_stage(shared, links, placed, more, last, prefixes, reps)
     return out
 
 
