@@ -35,10 +35,12 @@ def _lookup(values: list[int], index: str):
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col(index).cast("int") + 1)
 
 
-def propagate(state: DataFrame, caps: list[int], rounds: int = 12) -> DataFrame:
-    """``state`` (g, shard, c) after label propagation under the quotas ``caps``."""
+def propagate(state: DataFrame, caps: list[int]) -> DataFrame:
+    """``state`` (g, shard, c) after label propagation under the quotas ``caps``, until nothing
+    moves.  A move takes rows of a group from a smaller to its largest open part, so the sum
+    of the parts' squares grows (or an equal part empties into a smaller shard): it ends."""
     shards = len(caps)
-    for _ in range(rounds):
+    while True:
         loads = _per_shard(state, "c", shards)
         room = [max(0, cap - load) for cap, load in zip(caps, loads, strict=True)]
         if not any(room):
@@ -67,13 +69,13 @@ def propagate(state: DataFrame, caps: list[int], rounds: int = 12) -> DataFrame:
     return state
 
 
-def shard(documents: DataFrame, shards: int = 8, rounds: int = 12) -> DataFrame:
+def shard(documents: DataFrame, shards: int = 8) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for each document."""
     with released_shuffles(documents.sparkSession):  # the rounds' counts leave no files
-        return _shard(documents, shards, rounds)
+        return _shard(documents, shards)
 
 
-def _shard(documents: DataFrame, shards: int, rounds: int) -> DataFrame:
+def _shard(documents: DataFrame, shards: int) -> DataFrame:
     rows = stage_table(
         columns_of(documents, "doc_id", "text")
         .select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
@@ -88,7 +90,7 @@ def _shard(documents: DataFrame, shards: int, rounds: int) -> DataFrame:
     linked = stage_table(tagged.filter("linked IS NOT NULL").drop("linked"), "linked")
     first = (F.col("key") * shards).cast("int").alias("shard")
     state = stage_table(linked.select("g", first).groupBy("g", "shard").agg(F.count("*").alias("c")), "state")
-    state = propagate(state, caps, rounds)
+    state = propagate(state, caps)
     upto = Window.partitionBy("g").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     places = (state.withColumn("upto", F.sum("c").over(upto)).groupBy(F.col("g").alias("pg"))
               .agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("places")))
