@@ -209,5 +209,7 @@ def resample(documents: DataFrame, labels: DataFrame, label_rows: int = LABEL_RO
     where they are read, which is cheaper than a shuffle of their texts."""
     table, _, _, cut = _cut(documents, labels, label_rows, sharpness, k)
     key = gumbel_key(F.col("doc_id"), F.col("_log_weight"), sharpness)
-    return (scored(documents, table).filter(key >= F.lit(cut))
-            .select(*[F.col(f"`{n}`") for n in documents.columns]))
+    # the input row travels as one struct, so none of its names can clash
+    rows = documents.select("doc_id", "text", F.struct(*[F.col(f"`{n}`") for n in documents.columns]).alias("row"))
+    return (scored(rows, table).filter(key >= F.lit(cut))
+            .select(*[F.col(f"row.`{n}`").alias(n) for n in documents.columns]))

@@ -97,11 +97,11 @@ def mix_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap:
     names = documents.columns
     # rows alike in every column are one key; their copies are summed before the join
     mark = F.md5(F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])))
-    keyed = documents.withColumns({"_size": word_count(F.col("text")), "_mark": mark})
-    sizes = stage_table(keyed.select("doc_id", "source", F.col("_size").alias("size"), F.col("_mark").alias("mark")), "sizes")
+    sizes = stage_table(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark")),
+                        "sizes")
     copies = (pareto_copies(sizes, source_targets(sizes, weights, cap), seed)
               .groupBy(F.col("mark").alias("_key")).agg(F.sum("copies").alias("_copies")))
-    rows = (keyed.select("_mark", F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"))
+    rows = (documents.select(mark.alias("_mark"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"))
             .groupBy("_mark").agg(F.first("_row").alias("_row")))  # combined before the shuffle
     return (rows.join(copies, F.col("_mark") == F.col("_key")).filter("_copies > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))

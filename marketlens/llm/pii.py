@@ -216,7 +216,9 @@ def redact(documents: DataFrame) -> DataFrame:
     """All columns of ``documents``; in the text, spans are replaced by their kind in
     brackets (overlapping spans by the first one's)."""
     base, more = _spans(documents)
-    marked = documents.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # the input row travels as one struct, so none of its names can clash
+    marked = documents.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                              F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
     rows = _with_spans(marked, base, more)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -231,4 +233,4 @@ def redact(documents: DataFrame) -> DataFrame:
         return F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
 
     text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", zero, add, close))
-    return rows.withColumn("text", text).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return rows.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns])
