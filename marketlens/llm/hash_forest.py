@@ -3,9 +3,11 @@
 Rows are dealt evenly into blocks.  A block's index is a forest: each tree is the sorted
 array of the rows' long hash strings (signs against random hyperplanes).  A query
 descends every tree to the longest prefix that matches anything, then all trees ascend
-together, one level at a time, until the matching ranges hold enough candidates; every
-row in the ranges of that level is scored exactly by its inner product in double
-precision.  Each block returns its nearest ``k``, the blocks' answers are merged.
+together, one level at a time, until the matching ranges hold ``share`` entries for each
+row of the block and ``k`` rows that may answer; every row in the ranges of that level is
+scored exactly by its inner product in double precision.  Each block returns its nearest
+``k``, the blocks' answers are merged.  Nothing but ``k`` bounds the candidates from
+below, so small tables are searched as large ones are.
 
 The stated queries visit every block, in chunks, so a unit of work is one block against
 one chunk and has a bounded size whatever the number of rows; rows are dealt by a hash
@@ -49,33 +51,48 @@ class Forest:
         signs = (unit(x) @ h.T >= 0).reshape(len(x), self.trees, self.depth)
         return (signs @ (1 << np.arange(self.depth - 1, -1, -1)).astype(np.int64)).T
 
-    def candidates(self, queries: np.ndarray, least: int):
-        """For each query the rows in all trees' ranges at the deepest common level
-        where the ranges hold ``least`` entries (or the root, where all rows are)."""
+    def _ranges(self, codes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each tree's range of the rows whose first ``level`` signs are the queries'."""
+        shift = self.depth - level
+        prefix = codes >> shift
+        low = np.stack([np.searchsorted(s, p << shift) for s, p in zip(self.sorted, prefix, strict=True)])
+        high = np.stack([np.searchsorted(s, (p + 1) << shift) for s, p in zip(self.sorted, prefix, strict=True)])
+        return low, high
+
+    def _rows(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        seen = np.zeros(len(self.x), bool)
+        for order, a, b in zip(self.order, low, high, strict=True):
+            seen[order[a:b]] = True
+        return np.flatnonzero(seen)
+
+    def candidates(self, queries: np.ndarray, least: int, k: int, ids: np.ndarray, own: np.ndarray):
+        """For each query the rows under other ids than its own in all trees' ranges, at the
+        deepest common level where the ranges hold ``least`` entries and ``k`` such rows (or
+        at the root, where all rows are)."""
         codes = self.codes(queries)
         low = np.zeros((self.trees, len(queries)), np.int64)
         high = np.full((self.trees, len(queries)), len(self.x))
-        open_ = np.ones(len(queries), bool)
+        levels = np.zeros(len(queries), np.int64)
         for level in range(self.depth, 0, -1):  # descend to the bottom, ascend together
-            at = np.flatnonzero(open_)
+            at = np.flatnonzero(levels == 0)
             if not len(at):
                 break
-            shift = self.depth - level
-            prefix = codes[:, at] >> shift
-            lo = np.stack([np.searchsorted(s, p << shift) for s, p in zip(self.sorted, prefix, strict=True)])
-            hi = np.stack([np.searchsorted(s, (p + 1) << shift) for s, p in zip(self.sorted, prefix, strict=True)])
+            lo, hi = self._ranges(codes[:, at], level)
             enough = (hi - lo).sum(axis=0) >= least
             done = at[enough]
-            low[:, done], high[:, done] = lo[:, enough], hi[:, enough]
-            open_[done] = False
+            low[:, done], high[:, done], levels[done] = lo[:, enough], hi[:, enough], level
         for q in range(len(queries)):
-            seen = np.zeros(len(self.x), bool)
-            for t in range(self.trees):
-                seen[self.order[t, low[t, q]:high[t, q]]] = True
-            yield np.flatnonzero(seen)
+            rows, level = self._rows(low[:, q], high[:, q]), levels[q]
+            found = rows[ids[rows] != own[q]]
+            while len(found) < k and level > 0:
+                level -= 1
+                lo, hi = self._ranges(codes[:, [q]], level)
+                rows = self._rows(lo[:, 0], hi[:, 0])
+                found = rows[ids[rows] != own[q]]
+            yield found
 
 
-def _search(k: int, trees: int, share: float, least: int, seed: int):
+def _search(k: int, trees: int, share: float, seed: int):
     def run(key, left, right):
         import pyarrow as pa
 
@@ -88,9 +105,8 @@ def _search(k: int, trees: int, share: float, least: int, seed: int):
             rows, x = dims[q.shape[1]]
             forest, own = Forest(x, trees, seed), ids[rows]
             q_ids = right["vec"].to_numpy()[q_rows]
-            enough, columns = max(least, math.ceil(share * len(x))), np.ascontiguousarray(x.T)
-            for i, found in enumerate(forest.candidates(q, enough)):
-                found = found[own[found] != q_ids[i]]
+            columns = np.ascontiguousarray(x.T)
+            for i, found in enumerate(forest.candidates(q, math.ceil(share * len(x)), k, own, q_ids)):
                 score = np.zeros(len(found))
                 for d, part in enumerate(columns):  # in order, as a plain sum of products
                     score += part[found] * q[i, d]
@@ -107,9 +123,8 @@ def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def nearest(embeddings: DataFrame, is_query: Callable[[Column], Column], k: int = 20, trees: int = 64,
-            share: float = 0.6, least: int = 2000, block_rows: int = 8192, chunk_rows: int = 4096,
-            seed: int = 23) -> DataFrame:
+def nearest(embeddings: DataFrame, is_query: Callable[[Column], Column], k: int = 20, trees: int = 128,
+            share: float = 1.0, block_rows: int = 8192, chunk_rows: int = 4096, seed: int = 23) -> DataFrame:
     """query_id, rank, vec_id, score.  ``is_query`` tells queries by their id."""
     rows = vectors(embeddings).filter(F.col("ok") & (F.col("vec") != F.lit(NULL_ID).cast("long")))
     rows = (rows.select("vec", "e", F.coalesce(is_query(F.col("vec")), F.lit(False)).alias("asks"))
@@ -125,7 +140,7 @@ def nearest(embeddings: DataFrame, is_query: Callable[[Column], Column], k: int
              .withColumn("block", F.explode(_numbers(blocks)))
              .select("block", "chunk", "vec", "e"))
     found = (index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk"))
-             .applyInArrow(_search(k, trees, share, least, seed),
+             .applyInArrow(_search(k, trees, share, seed),
                            "query_id long, vec_id long, score double"))
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from marketlens.llm.embedding_dedup import embedding_dedup, table_plan
 from marketlens.llm.hash_forest import nearest
@@ -87,7 +88,7 @@ def answers(df):
 
 def test_nearest_with_all_candidates_is_exact(embeddings):
     rows = sample()
-    got = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20))
+    got = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20, trees=8, share=8))
     want = brute_nearest(rows, 20)
     assert got.keys() == want.keys()
     for q, found in got.items():
@@ -100,7 +101,7 @@ def test_recall_of_the_forest(embeddings):
     x = rng.standard_normal((4000, 32))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    got = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20, least=200, block_rows=2000, chunk_rows=64))
+    got = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20, block_rows=2000, chunk_rows=64))
     q = np.arange(0, 4000, 20)
     score = x[q] @ x.T
     score[np.arange(len(q)), q] = -9
@@ -120,14 +121,25 @@ def test_nearest_edge_cases(embeddings):
 def test_repeated_rows_are_one_candidate_and_one_query(embeddings):
     rng = np.random.default_rng(8)
     rows = [(i, rng.standard_normal(4).astype(np.float32).tolist()) for i in range(60)]
-    want = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20))
-    assert answers(nearest(embeddings(rows + rows[:30] + rows[:5]), lambda v: v % 20 == 0, k=20)) == want
+    want = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20, trees=8, share=8))
+    assert answers(nearest(embeddings(rows + rows[:30] + rows[:5]), lambda v: v % 20 == 0, k=20, trees=8, share=8)) == want
     # an id with two vectors: the smaller asks, each is a candidate of the others
     two = rows + [(20, [9.0, 9.0, 9.0, 9.0])]
-    got = answers(nearest(embeddings(two), lambda v: v % 20 == 0, k=20))
+    got = answers(nearest(embeddings(two), lambda v: v % 20 == 0, k=20, trees=8, share=8))
     asks = min(rows[20][1], [9.0] * 4)
     assert all(len(v) == 20 and [r for r, _, _ in v] == list(range(1, 21)) for v in got.values())
-    assert got[20] == answers(nearest(embeddings([*rows[:20], (20, asks), *rows[21:]]), lambda v: v % 20 == 0, k=20))[20]
+    assert got[20] == answers(nearest(embeddings([*rows[:20], (20, asks), *rows[21:]]), lambda v: v % 20 == 0, k=20, trees=8, share=8))[20]
+
+
+def test_every_query_gets_k_rows_where_there_are_as_many(embeddings):
+    """A query whose own id holds most of its range ascends until others are found."""
+    rng = np.random.default_rng(3)
+    near = (np.ones(8) + 1e-3 * rng.standard_normal((200, 8))).astype(np.float32)
+    far = rng.standard_normal((50, 8)).astype(np.float32)
+    rows = [(0, v.tolist()) for v in near] + [(i + 1, v.tolist()) for i, v in enumerate(far)]
+    got = answers(nearest(embeddings(rows), lambda v: v % 20 == 0, k=20, share=0.01))
+    assert sorted(got) == [0, 20, 40] and all(len(v) == 20 for v in got.values())
+    assert all(v != 0 for _, v, _ in got[0])
 
 
 def recall(got, x):
@@ -139,17 +151,21 @@ def recall(got, x):
     return np.mean(hits) / 20, np.mean(np.array(hits) == 20)
 
 
-def test_recall_with_the_registered_parameters(spark, embeddings):
-    """Tables that are not searched whole: sf0.1, and one of more than a block."""
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_with_the_registered_parameters(spark, sf):
     from marketlens.llm.queries import op3_hash_forest
 
-    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    folder = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").orderBy("vec_id").collect()
     assert [r["vec_id"] for r in rows] == list(range(len(rows)))
     x = np.array([r["embedding"] for r in rows], float)
-    found, exact = recall(answers(op3_hash_forest(spark, "/root/testdata/sf0.1")), x)
-    print(f"sf0.1: {len(x)} vectors, recall {found:.4f}, {exact:.4f} of the queries exact")
+    found, exact = recall(answers(op3_hash_forest(spark, folder)), x)
+    print(f"{sf}: {len(x)} vectors, recall {found:.4f}, {exact:.4f} of the queries exact")
     assert found >= 0.9
-    y = np.random.default_rng(4).standard_normal((10_000, x.shape[1])).astype(np.float32).astype(float)
+
+
+def test_recall_on_more_than_a_block(embeddings):
+    y = np.random.default_rng(4).standard_normal((10_000, 64)).astype(np.float32).astype(float)
     got = answers(nearest(embeddings([(i, v.tolist()) for i, v in enumerate(y)]), lambda v: v % 20 == 0, k=20))
     found, exact = recall(got, y)
     print(f"random: {len(y)} vectors, recall {found:.4f}, {exact:.4f} of the queries exact")
