@@ -91,15 +91,21 @@ def _shard(documents: DataFrame, shards: int) -> DataFrame:
     first = (F.col("key") * shards).cast("int").alias("shard")
     state = stage_table(linked.select("g", first).groupBy("g", "shard").agg(F.count("*").alias("c")), "state")
     state = propagate(state, caps)
+    # a group's rows in a shard come one after another: what comes before them is a total
+    # over the rows (g, shard, c), however many members a group has
+    before = running_total(state.withColumn("gkey", uniform(F.hex("g"), seed="group")), ["shard"], "gkey", F.col("c"),
+                           "before", 1024, ["g"])
     upto = Window.partitionBy("g").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    places = (state.withColumn("upto", F.sum("c").over(upto)).groupBy(F.col("g").alias("pg"))
-              .agg(F.array_sort(F.collect_list(F.struct("upto", "shard"))).alias("places")))
+    places = (before.withColumn("upto", F.sum("c").over(upto))
+              .withColumn("shift", F.col("before") - (F.col("upto") - F.col("c"))).groupBy(F.col("g").alias("pg"))
+              .agg(F.array_sort(F.collect_list(F.struct("upto", "shard", "shift"))).alias("places")))
     member = running_total(linked, ["g"], "key", F.lit(1), "member", 256, ties)
-    placed = (member.join(places, F.col("g") == F.col("pg"))
-              .withColumn("shard", F.filter("places", lambda p: p["upto"] > F.col("member"))[0]["shard"])
-              .drop("pg", "places", "member").withColumn("gkey", uniform(F.hex("g"), seed="group")))
-    placed = stage_table(running_total(placed, ["shard"], "gkey", F.lit(1), "nth", 1024, ["g", "key", *ties])
-                         .withColumn("over", F.col("nth") >= _lookup(caps, "shard")).drop("nth", "gkey"), "placed")
+    placed = stage_table(
+        member.join(places, F.col("g") == F.col("pg"))
+        .withColumn("place", F.filter("places", lambda p: p["upto"] > F.col("member"))[0])
+        .withColumn("shard", F.col("place.shard"))
+        .withColumn("over", F.col("member") + F.col("place.shift") >= _lookup(caps, "shard"))
+        .drop("pg", "places", "place", "member"), "placed")
     kept = placed.filter(~F.col("over")).drop("over")
     free = [cap - n for cap, n in zip(caps, _per_shard(kept.withColumn("n1", F.lit(1)), "n1", shards), strict=True)]
     ends = [sum(free[:s + 1]) for s in range(shards)]
