@@ -7,8 +7,11 @@ sources in the order in which they fill up).  With rate = target / size of the s
 every document is taken ``floor(rate)`` whole times for certain.  The rest is a Pareto
 order sample: each document draws odds from a random number, divided by its inclusion
 odds; documents are ranked by that quotient and the first ones are taken, up to where
-the words taken come nearest to the target.  Inclusion probabilities differ by source,
-and within a source by ``weight`` where one is given.
+the words taken come nearest to the target.  Inclusion odds are those of the source's
+rate, part / (1 - part), times a tilt by size: 1 for a document of the source's mean size,
+down to 1/2 for a short one and up to 2 for a long one, so that words, not rows, are drawn
+evenly.  The odds of the source are the same for all its documents and cancel in the
+ranks, which are kept per source; ``key`` is the quotient of draw and tilt, put into (0, 1).
 
 Random numbers are digests of the document's id, so reruns and retried tasks agree.
 Ranks come from running totals over bins (``common.running_total``): a source with a
@@ -36,8 +39,8 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0) -> DataFrame:
-    """(source, source_size, target) from rows (source, size)."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """(source, source_size, source_rows, target) from rows (source, size)."""
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     place = Window.orderBy(F.col("source").asc_nulls_last())
     per = (per.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
                                             (F.row_number().over(place) - 1) % len(weights) + 1))
@@ -51,35 +54,33 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: fl
            .withColumn("level", F.col("left") / F.sum("w").over(after))
            .withColumn("full", F.col("level") * F.col("w") > F.col("cap")))
     level = F.max(F.when(~F.col("full"), F.col("level"))).over(everything)  # of the first not full
-    return per.select("source", "source_size",
+    return per.select("source", "source_size", "source_rows",
                       F.when(F.col("full"), F.col("cap"))
                       .otherwise(F.least(F.coalesce(level, F.lit(0.0)) * F.col("w"), F.col("cap"))).alias("target"))
 
 
 def pareto_copies(sizes: DataFrame, targets: DataFrame, seed: str = "mix", bins: int = 1024) -> DataFrame:
-    """``sizes`` (doc_id, source, size, optional weight and mark, the last tie) with source_size, target, copies."""
-    if "weight" not in sizes.columns:
-        sizes = sizes.withColumn("weight", F.lit(1.0))
+    """``sizes`` (doc_id, source, size, optional mark, the last tie) with source_size, target, copies."""
     t = targets.withColumnRenamed("source", "_source")
     rows = (sizes.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
             .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                         .otherwise(F.lit(0.0)))
             .withColumn("whole", F.floor("rate"))
             .withColumn("part", F.col("rate") - F.col("whole")))
-    # inclusion odds, relative to those of a document of weight 1 (where they are 1)
-    pi = F.least(F.greatest(F.col("part") * F.col("weight"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    odds = (F.col("part") / (F.lit(1.0) - F.col("part"))) / (pi / (F.lit(1.0) - pi))
+    own = F.col("size").cast("double") * F.col("source_rows").cast("double")
+    mean = F.col("source_size").cast("double")  # both times the rows of the source
+    tilt = F.when(mean > 0, (own * 2.0 + mean) / (own + mean * 2.0)).otherwise(F.lit(1.0))
     u = uniform(F.col("doc_id"), seed=seed)
-    quotient = F.when(F.col("weight") == 1.0, u / (F.lit(1.0) - u)).otherwise(u / (F.lit(1.0) - u) * odds)
-    ranked = (rows.withColumn("u", u)
-              .withColumn("key", F.when(F.col("weight") == 1.0, F.col("u"))
-                          .otherwise(quotient / (F.lit(1.0) + quotient))))
+    draw = u / (F.lit(1.0) - u)
+    quotient = F.col("draw") / F.col("tilt")
+    ranked = (rows.withColumns({"draw": draw, "tilt": tilt})
+              .withColumn("key", quotient / (F.lit(1.0) + quotient)))
     ranked = running_total(ranked, ["source"], "key", F.col("size"), "before", bins,
                            ["doc_id", "size", *(["mark"] if "mark" in sizes.columns else [])])
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     extra = (F.col("part") > 0) & (F.col("before") + F.col("size") / 2 <= rest)
     return (ranked.withColumn("copies", F.col("whole") + extra.cast("long"))
-            .drop("rate", "whole", "part", "u", "key", "before", "weight"))
+            .drop("rate", "whole", "part", "draw", "tilt", "key", "before", "source_rows"))
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = 3.0, seed: str = "mix") -> DataFrame:

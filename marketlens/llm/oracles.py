@@ -23,22 +23,13 @@ SELECT e.vec_id, COALESCE(d.n, 0) AS n_links, c.component_id, e.vec_id = c.compo
 FROM embeddings e JOIN component c ON c.node = e.vec_id LEFT JOIN degree d ON d.u = e.vec_id
 """
 
-OP3 = f"""
-WITH {_VECTORS},
-scored AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score
-  FROM vecs q JOIN vecs v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-       vec_id, score
-FROM scored QUALIFY rank <= 20
-"""
-
 OP4 = r"""
 WITH sizes AS (
   SELECT doc_id, source,
          CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
-per AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
+per AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
+               CAST(COUNT(*) AS DOUBLE) AS n FROM sizes GROUP BY source),
 weighed AS (
   SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w,
          source_size * CAST(3 AS DOUBLE) AS cap FROM per),
@@ -49,20 +40,24 @@ filled AS (
             / SUM(w) OVER (ORDER BY cap / w, source NULLS LAST
                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
 targets AS (
-  SELECT source, source_size,
+  SELECT source, source_size, n,
          CASE WHEN level * w > cap THEN cap
               ELSE least(COALESCE(MAX(CASE WHEN level * w <= cap THEN level END) OVER (), 0) * w, cap)
          END AS target FROM filled),
 rates AS (
-  SELECT s.*, t.source_size, t.target,
+  SELECT s.*, t.source_size, t.target, t.n, CAST(s.size AS DOUBLE) * t.n AS own, CAST(t.source_size AS DOUBLE) AS mean,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
          (CAST(('0x' || substr(md5('mix:' || COALESCE(CAST(s.doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT)
           + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+drawn AS (  -- random odds divided by inclusion odds, those of the source left out
+  SELECT *, (u / (CAST(1 AS DOUBLE) - u))
+            / CASE WHEN mean > 0 THEN (own * CAST(2 AS DOUBLE) + mean) / (own + mean * CAST(2 AS DOUBLE))
+                   ELSE CAST(1 AS DOUBLE) END AS quotient FROM rates),
 ranked AS (
   SELECT *, CAST(floor(rate) AS BIGINT) AS whole,
-         COALESCE(SUM(size) OVER (PARTITION BY source ORDER BY u, doc_id, size
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM rates),
+         COALESCE(SUM(size) OVER (PARTITION BY source ORDER BY quotient / (CAST(1 AS DOUBLE) + quotient), doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM drawn),
 counted AS (
   SELECT *, whole + CASE WHEN rate > whole AND before + size / 2.0 <= target - whole * source_size
                          THEN 1 ELSE 0 END AS copies FROM ranked)
@@ -159,6 +154,6 @@ SELECT v.word, v.form, f.root, v.n, v.n_near, v.form_n
 FROM variants v JOIN follow f ON f.word = v.word AND f.next IS NULL
 """
 
-ORACLES = {"op2_embedding_dedup": OP2, "op3_hash_forest": OP3, "op4_pareto_mix": OP4,
+ORACLES = {"op2_embedding_dedup": OP2, "op4_pareto_mix": OP4,
            "op5_jaccard_join": OP5, "op11_spelling_variants": OP11,
            "op13_hard_negatives": OP13}
