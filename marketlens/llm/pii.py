@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import columns_of, drop_stage, stage_table
 
 KINDS = ("email", "ip", "card", "phone")
+RUN = 128  # array elements handled at a time: longer arrays cost no more an element
+PIECE = 4096  # code points of a text looked at around a mention
 _JOINT = "\u0001"  # stands for a separator inside a run
 _LABEL, _LOCAL = "A-Za-z0-9-", "A-Za-z0-9._%+\u0001-"
 EMAIL = f"(?:(?<![{_LOCAL}])|\\G)[{_LOCAL}]++@[{_LABEL}]++\u0001[A-Za-z0-9\u0001-]++"
@@ -55,21 +57,67 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add) % 10 == 0
 
 
+def _runs(array: Column) -> Column:
+    """An array cut into arrays of ``RUN`` elements (one empty array, if it is empty)."""
+    def cut(a: Column) -> Column:
+        last = F.floor(F.greatest(F.size(a) - 1, F.lit(0)) / RUN).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(a, i * RUN + 1, F.lit(RUN)))
+
+    return _bound(array, cut)
+
+
+def _before(amounts: Column, add) -> Column:
+    """For each element of an array of integers what ``add`` makes of those before it."""
+    return F.aggregate(amounts, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(add(F.element_at(acc, -1), x))))
+
+
 def found(text: Column, pattern: str) -> Column:
-    """All matches as an array of (start, end, value)."""
+    """All matches as an array of (start, end, value).  Ends are summed up over runs of
+    matches first, then inside each run."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)),
                        lambda m, g: F.struct(m.alias("m"), g.alias("g")))
     empty = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string>>)")
 
+    def length(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda acc, x: acc + x["g"] + F.length(x["m"]))
+
     def add(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["g"]
         end = start + F.length(x["m"])
         span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), add, lambda acc: acc["spans"])
+    def spans(runs: Column) -> Column:
+        begin = F.slice(_before(F.transform(runs, length), lambda a, b: a + b), F.lit(1), F.size(runs))
+        return F.flatten(F.zip_with(runs, begin, lambda run, at: F.aggregate(
+            run, F.struct(at.alias("at"), empty.alias("spans")), add, lambda acc: acc["spans"])))
+
+    return _bound(_runs(pairs), spans)
+
+
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others; both are in order of their starts.  A run
+    of spans is compared only with the runs of others that reach into it."""
+    def ends(run: Column) -> Column:
+        return F.struct(F.array_min(F.transform(run, lambda x: x["start"])).alias("low"),
+                        F.array_max(F.transform(run, lambda x: x["end"])).alias("high"), run.alias("run"))
+
+    def outside(run: Column, near: Column) -> Column:
+        return F.filter(run, lambda c: ~F.exists(near, lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])))
+
+    def reach(e: Column, all_: Column) -> Column:
+        met = F.filter(all_, lambda o: (e["low"] < o["high"]) & (o["low"] < e["high"]))
+        return _bound(F.flatten(F.transform(met, lambda o: o["run"])), lambda near: outside(e["run"], near))
+
+    return _bound(F.transform(_runs(others), ends), lambda all_: F.flatten(
+        F.transform(F.transform(_runs(spans), ends), lambda e: reach(e, all_))))
 
 
 def base_spans(text: Column) -> Column:
@@ -103,17 +151,33 @@ def _mentions(docs: DataFrame) -> DataFrame:
     none = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string>>)")
     candidates = F.filter(F.when(digit, found(F.col("text"), CANDIDATE)).otherwise(none),
                           lambda x: F.length(_digits(x["value"])) >= 4)
-    apart = F.filter(candidates, lambda c: ~F.exists(
-        "base", lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])))
     every = F.concat(F.transform("base", lambda b: F.struct(
         b["start"].alias("start"), b["end"].alias("end"), b["kind"].alias("kind"), F.lower(b["value"]).alias("value"))),
-        F.transform(apart, lambda c: F.struct(
+        F.transform("apart", lambda c: F.struct(
             c["start"].alias("start"), c["end"].alias("end"), F.lit(None).cast("int").alias("kind"),
             F.lower(c["value"]).alias("value"))))
+    # what stands around a mention comes from a piece of the text, so that a mention costs the
+    # same in a text of any length: piece i begins 64 code points before i * PIECE
+    last = F.floor(F.length("text") / PIECE).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(
+        F.col("text"), F.greatest(i * PIECE - 63, F.lit(1)), F.least(i * PIECE, F.lit(64)) + PIECE + 32))
+
+    def part(at: Column, back: Column | int, n: Column) -> Column:
+        """``n`` code points from ``back`` before ``at`` on."""
+        piece = F.floor(at / PIECE).cast("int")
+        begin = F.greatest(piece * PIECE - 64, F.lit(0))
+        return F.substring(F.element_at("pieces", piece + 1), at - back - begin + 1, n)
+
+    def context(x: Column) -> Column:
+        left = F.least(x["start"], F.lit(64))
+        return F.struct(*[x[n].alias(n) for n in ("start", "end", "kind", "value")],
+                        part(x["start"], left, left).alias("before"), part(x["end"], 0, F.lit(32)).alias("after"))
+
     rows = (docs.withColumn("base", base_spans(F.col("text")))
-            .withColumn("mention", F.explode(every)).select("doc_id", "mark", "text", "mention.*"))
-    before = F.substring(F.col("text"), F.greatest(F.col("start") - 63, F.lit(1)), F.least(F.col("start"), F.lit(64)))
-    after = F.substring(F.col("text"), F.col("end") + 1, F.lit(32))
+            .withColumn("apart", _apart(candidates, F.col("base"))).withColumn("pieces", pieces)
+            .select("doc_id", "mark", F.explode(F.transform(every, context)).alias("mention"))
+            .select("doc_id", "mark", "mention.*"))
+    before, after = F.col("before"), F.col("after")
 
     def word(part: Column, pattern: str) -> Column:
         return F.regexp_replace(F.lower(F.regexp_extract(part, pattern, 1)), "[0-9]", "0")
@@ -187,14 +251,15 @@ def _spans(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _with_spans(docs: DataFrame, base: DataFrame, more: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, mark, ...) with the arrays ``base`` and ``spans``."""
+    """``docs`` (doc_id, mark, ...) with the arrays ``base`` and ``spans``; what is added never
+    overlaps a seed, so the two have no span in common."""
     empty = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")
     b = base.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), "base")
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m"))
     joined = docs.join(b, same, "left").drop("_d", "_m")
     joined = joined.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")), "left").drop("d", "m")
     return (joined.withColumn("base", F.coalesce("base", empty))
-            .withColumn("spans", F.array_sort(F.array_union(F.col("base"), F.coalesce("more", empty)))).drop("more"))
+            .withColumn("spans", F.array_sort(F.concat(F.col("base"), F.coalesce("more", empty)))).drop("more"))
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -221,16 +286,25 @@ def redact(documents: DataFrame) -> DataFrame:
                               F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
     rows = _with_spans(marked, base, more)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
-                         F.element_at(names, s["kind"] + 1))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, piece).otherwise(acc["out"]).alias("out"))
-
-    def close(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
 
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate("spans", zero, add, close))
+    def masked(part: Column, begin: Column, run: Column) -> Column:
+        """The text from ``begin`` to the last end of a run of spans; ``part`` starts at ``begin``."""
+        def add(acc: Column, s: Column) -> Column:
+            piece = F.concat(acc["out"], F.substring(part, acc["at"] - begin + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
+                             F.element_at(names, s["kind"] + 1))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                            F.when(s["start"] >= acc["at"], piece).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(run, F.struct(begin.alias("at"), F.lit("").alias("out")), add, lambda acc: acc["out"])
+
+    def rebuilt(runs: Column) -> Column:
+        highs = F.transform(runs, lambda run: F.array_max(F.transform(run, lambda s: s["end"])))
+        return _bound(_before(highs, F.greatest), lambda begin: F.concat(
+            F.array_join(F.zip_with(runs, F.arrays_zip(
+                F.slice(begin, F.lit(1), F.size(runs)).alias("a"), F.slice(begin, F.lit(2), F.size(runs)).alias("b")),
+                lambda run, at: _bound(F.substring(F.col("text"), at["a"] + 1, at["b"] - at["a"]),
+                                       lambda part: masked(part, at["a"], run))), ""),
+            F.substring(F.col("text"), F.element_at(begin, -1) + 1, F.length("text"))))
+
+    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(_bound(_runs(F.col("spans")), rebuilt))
     return rows.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns])

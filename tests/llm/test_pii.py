@@ -105,3 +105,30 @@ def test_long_chains_of_contexts(documents):
     for i, text in rows:
         value = text.split()[2]
         assert got[i] == f"card:{text.index(value)}:{text.index(value) + len(value)}", text
+
+
+def test_a_long_text_with_many_matches(documents):
+    """A third of a megabyte with 16,000 addresses and as many candidates between them."""
+    text = " ".join(f"a{i % 7}@b{i % 5}.cd id x{1_000_000 + i}" for i in range(16_000))
+    assert len(text) > 330_000
+    df = documents([(1, text), (2, None)])
+    got = {r["doc_id"]: r for r in personal_data(df).collect()}
+    want = brute(text)
+    assert got[1]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+    assert got[1]["n_email"] == 16_000
+    out = {r["doc_id"]: r["text"] for r in redact(df).collect()}
+    assert "@" not in out[1] and out[1].count("[EMAIL]") >= 16_000 and out[2] is None
+
+
+def test_masks_of_overlapping_spans_over_many_runs(documents):
+    """Spans of several kinds that overlap, in numbers beyond one run of them."""
+    unit = "4111 1111 1111 1111@b.cd 1.2.3.4@e.fg +1 555 555 0100@x.yz é😀 "
+    text = unit * 400
+    got = redact(documents([(1, text)])).collect()[0]["text"]
+    spans = [s.split(":") for s in personal_data(documents([(1, text)])).collect()[0]["spans"].split(",")]
+    want, at = "", 0
+    for kind, start, end in spans:
+        if int(start) >= at:
+            want += text[at:int(start)] + f"[{kind.upper()}]"
+        at = max(at, int(end))
+    assert len(spans) > 1000 and got == want + text[at:]
