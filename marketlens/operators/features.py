@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+PART_DOCS = 5_000  # documents of a part whose terms are counted together
+
 
 def stable_hash(id_col: str | Column, seed: int | str = 42) -> Column:
     """Uniform 32-bit value from md5(id ':' seed); the same in any engine with md5 and
@@ -50,12 +52,28 @@ def document_terms(df: DataFrame, id_col: str, terms_col: str) -> DataFrame:
             .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
 
 
-def top_terms(doc_terms: DataFrame, id_col: str, max_features: int = 5000) -> DataFrame:
-    """H5: the ``max_features`` terms with the highest corpus count (ties by term),
-    indexed 0.. in alphabetical order, with their document frequency.  The limit is
-    the feature: Spark keeps a top-N per task and merges at most N rows per task."""
-    stats = doc_terms.groupBy("term").agg(F.sum("tf").alias("total_count"),
-                                          F.count("*").alias("doc_freq"))
+def repeats(df: DataFrame, id_col: str) -> bool:
+    """Whether rows share an id (null counts as one)."""
+    return bool(df.groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").limit(1).count())
+
+
+def term_stats(df: DataFrame, id_col: str, terms_col: str) -> DataFrame:
+    """(term, total_count, doc_freq).  A document's distinct terms are known in its row, so
+    what is grouped over documents has one entry a term, never one a document and term.
+    Rows that share an id are one document: only where there are any, arrays are put together."""
+    docs = df.select(id_col, F.col(terms_col).alias("_terms"))
+    if repeats(df, id_col):
+        docs = docs.groupBy(id_col).agg(F.flatten(F.collect_list("_terms")).alias("_terms"))
+    both = F.posexplode_outer(F.concat("_terms", F.array_distinct("_terms"))).alias("_pos", "term")
+    entries = docs.select(F.size("_terms").alias("_n"), both).filter(F.col("term").isNotNull())
+    of_all = F.col("_pos") < F.col("_n")
+    return entries.groupBy("term").agg(F.count_if(of_all).alias("total_count"), F.count_if(~of_all).alias("doc_freq"))
+
+
+def top_terms(stats: DataFrame, max_features: int = 5000) -> DataFrame:
+    """H5: the ``max_features`` terms of ``term_stats`` with the highest corpus count (ties
+    by term), indexed 0.. in alphabetical order, with their document frequency.  The limit
+    is the feature: Spark keeps a top-N per task and merges at most N rows per task."""
     top = stats.orderBy(F.desc("total_count"), F.asc("term")).limit(max_features)
     # At most max_features rows: ranking them in one window partition is bounded.
     return top.withColumn("term_index",
@@ -65,16 +83,23 @@ def top_terms(doc_terms: DataFrame, id_col: str, max_features: int = 5000) -> Da
 def fit_tfidf(train: DataFrame, id_col: str, terms_col: str, max_features: int = 5000) -> DataFrame:
     """Vocabulary (term, term_index, total_count, doc_freq, idf) from training rows."""
     n_docs = train.agg(F.count("*")).scalar()
-    vocab = top_terms(document_terms(train, id_col, terms_col), id_col, max_features)
+    vocab = top_terms(term_stats(train, id_col, terms_col), max_features)
     return vocab.withColumn(
         "idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("doc_freq"))) + F.lit(1.0))
 
 
 def transform_tfidf(df: DataFrame, id_col: str, terms_col: str, vocab: DataFrame) -> DataFrame:
     """(doc, term, term_index, weight) for vocabulary terms, each document's
-    weights scaled to unit L2 norm.  Terms outside the vocabulary are ignored."""
-    tf = document_terms(df, id_col, terms_col)
-    w = (tf.join(vocab.select("term", "term_index", "idf"), "term")
+    weights scaled to unit L2 norm.  Terms outside the vocabulary are ignored.
+
+    Documents are dealt out by id as they are, with their arrays; counts, weights and norms
+    of a document are then made where it lies (with a vocabulary that is broadcast), and the
+    result is partitioned by id.  A part has few documents, however many there are in all."""
+    rows = df.select(id_col, terms_col)
+    parts = rows.count() // PART_DOCS + 1
+    known = vocab.select("term", "term_index", "idf")
+    tf = document_terms(rows.repartition(parts, id_col), id_col, terms_col)
+    w = (tf.join(known, "term")
          .withColumn("w", F.col("tf") * F.col("idf")))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", "term_index", (F.col("w") / norm).alias("weight"))

@@ -44,19 +44,22 @@ def cleaned_corpus(m: Marketplace) -> DataFrame:
     return features.train_test_split(with_terms, "doc_id", TEST_PERCENT, SEED)
 
 
-def cleaned_once(m: Marketplace) -> DataFrame:
-    """The cleaned corpus for queries that read it several times (vocabulary fit and
+def cleaned_once(m: Marketplace, *columns: str) -> DataFrame:
+    """``columns`` of the cleaned corpus for queries that read it several times (vocabulary fit and
     transform, lemma table and substitution, model fit and scoring): cleaned once
     and checkpointed in the shared folder, so the CPU-heavy cleaning never runs
-    twice in a query and a lost executor does not recompute it.  The checkpoint
-    keeps the doc_id partitioning."""
-    return cut_lineage(cleaned_corpus(m).select("doc_id", "label", "split", "tokens", "terms"))
+    twice in a query and a lost executor does not recompute it."""
+    return cut_lineage(cleaned_corpus(m).select("doc_id", *columns))
 
 
 def _train(m: Marketplace) -> DataFrame:
     return cleaned_corpus(m).filter(F.col("split") == "train")
 
 
+def _train_terms(m: Marketplace) -> DataFrame:
+    return cleaned_once(m, "split", "terms").filter(F.col("split") == "train")
+
+
 def review_clean_text(m: Marketplace) -> DataFrame:
     return cleaned_corpus(m).select("doc_id", "label", "clean_text")
 
@@ -65,7 +68,7 @@ def lemma_substitution(m: Marketplace) -> DataFrame:
     """J4 with a lemma table derived from the corpus vocabulary (plural -> singular
     where the singular occurs); any (token, lemma) table can be passed to
     ``text.substitute_lemmas``."""
-    c = cleaned_once(m)
+    c = cleaned_once(m, "tokens")
     vocab = features.explode_words(c, "doc_id", "tokens", "term")
     out = text.substitute_lemmas(c, "doc_id", "tokens", cut_lineage(text.plural_lemmas(vocab)))
     return out.select("doc_id", F.array_join("lemmas", " ").alias("lemmatized_text"))
@@ -79,7 +82,7 @@ def rule_lemmas(m: Marketplace) -> DataFrame:
 
 def lemmas_by_rules(m: Marketplace) -> DataFrame:
     """Every review with its tokens' dictionary forms, by the Portuguese rules."""
-    c = cleaned_once(m)
+    c = cleaned_once(m, "tokens")
     vocab = features.explode_words(c, "doc_id", "tokens", "term")
     table = cut_lineage(lemmas.rule_lemmas(vocab, lemmas.rules_table(c.sparkSession)))
     out = text.substitute_lemmas(c, "doc_id", "tokens", table)
@@ -96,18 +99,18 @@ def split_exact(m: Marketplace) -> DataFrame:
 
 
 def vocabulary_top_n(m: Marketplace) -> DataFrame:
-    train = _train(m)
-    return features.top_terms(features.document_terms(train, "doc_id", "terms"), "doc_id",
-                              MAX_FEATURES).select("term", "term_index", "total_count", "doc_freq")
+    train = _train_terms(m)
+    return features.top_terms(features.term_stats(train, "doc_id", "terms"), MAX_FEATURES).select(
+        "term", "term_index", "total_count", "doc_freq")
 
 
 def tfidf_fit(m: Marketplace) -> DataFrame:
-    vocab = features.fit_tfidf(_train(m), "doc_id", "terms", MAX_FEATURES)
+    vocab = features.fit_tfidf(_train_terms(m), "doc_id", "terms", MAX_FEATURES)
     return vocab.select("term", "term_index", "doc_freq", F.round("idf", 6).alias("idf"))
 
 
 def tfidf_transform(m: Marketplace) -> DataFrame:
-    c = cleaned_once(m)
+    c = cleaned_once(m, "split", "terms")
     vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
     w = features.transform_tfidf(c, "doc_id", "terms", vocab)
     return w.select("doc_id", "term", "term_index", F.round("weight", 6).alias("weight"))
@@ -121,9 +124,9 @@ def _digest_coefficients(vocab: DataFrame) -> DataFrame:
 def saved_model_scores(m: Marketplace) -> DataFrame:
     """The model of ``linear_scores`` saved as tables, published past a
     deny-list, loaded from where it was published, and scored with."""
-    c = cleaned_once(m)
+    c = cleaned_once(m, "split", "terms")
     spark = c.sparkSession
-    vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
+    vocab = cut_lineage(features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES))
     saved, serving = scratch_folder(spark, "model"), scratch_folder(spark, "serving")
     model_store.save(model_store.linear_text_model(vocab, _digest_coefficients(vocab)), saved)
     report = model_store.publish(spark, {"sentiment": saved, "bert": saved}, serving, exclude=("bert",))
@@ -134,8 +137,8 @@ def saved_model_scores(m: Marketplace) -> DataFrame:
 def linear_scores(m: Marketplace) -> DataFrame:
     """J10, J12, I17 with a deterministic model: each term's coefficient is a digest of
     the term, in [-1, 1]."""
-    c = cleaned_once(m)
-    vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
+    c = cleaned_once(m, "split", "terms")
+    vocab = cut_lineage(features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES))
     coefficients = _digest_coefficients(vocab)
     return model.linear_scores(features.transform_tfidf(c, "doc_id", "terms", vocab), coefficients, c, "doc_id")
 
@@ -145,7 +148,7 @@ def class_weights(m: Marketplace) -> DataFrame:
 
 
 def _encoded(m: Marketplace) -> DataFrame:
-    c = cleaned_once(m)
+    c = cleaned_once(m, "split", "tokens", "terms")
     vocab = features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES)
     return text.encode_fixed_length(c, "doc_id", "tokens", vocab, MAX_LEN)
 
@@ -177,7 +180,7 @@ def logreg_scores(m: Marketplace) -> DataFrame:
     The cleaned terms are materialised once in the checkpoint folder: the vocabulary
     fit, the iterative classifier fit and the scoring all read them.
     """
-    c = cleaned_once(m)
+    c = cleaned_once(m, "label", "split", "terms")
     fitted = model.fit_sentiment_model(c.filter(F.col("split") == "train"), "doc_id", "terms",
                                        "label", MAX_FEATURES)
     return model.score(fitted, c).select("doc_id", "split", "label", "logit",
@@ -195,7 +198,7 @@ def logreg_metrics(m: Marketplace) -> DataFrame:
 
 def _exact_logit(m: Marketplace) -> tuple[DataFrame, exact_logit.LinearModel]:
     """Every review's features, and the model fitted on those of the training split."""
-    c = cleaned_once(m)
+    c = cleaned_once(m, "label", "split", "terms")
     vocab = cut_lineage(features.fit_tfidf(c.filter(F.col("split") == "train"), "doc_id", "terms", MAX_FEATURES))
     weights = features.transform_tfidf(c, "doc_id", "terms", vocab)
     rows = cut_lineage(exact_logit.feature_rows(c.select("doc_id", "split", "label"), weights, "doc_id"))
