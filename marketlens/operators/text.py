@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlens.functions.text import join_tokens, normalise_text, tokens
-from marketlens.operators.lemmas import looked_up
+from marketlens.operators.features import repeats
+from marketlens.operators.lemmas import BROADCAST_ROWS, looked_up
 
 PAD_ID = 0
 UNKNOWN_ID = 1
@@ -44,13 +50,46 @@ def _positions(df: DataFrame, id_col: str, tokens_col: str, token: str) -> DataF
     return df.select(id_col, F.posexplode_outer(tokens_col).alias("_pos", token))
 
 
+def _replaced(pairs: list[tuple[str, str]], output_col: str):
+    """Each row's words by their forms in ``pairs``, where the row lies."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.columns
+            offsets = lists.offsets
+            words = lists.values.slice(offsets[0].as_py(), offsets[-1].as_py() - offsets[0].as_py())
+            known = pa.array([t for t, _ in pairs], words.type)
+            forms = pa.array([form for _, form in pairs], words.type)
+            found = pc.coalesce(forms.take(pc.index_in(words, value_set=known)), words)
+            out = pa.ListArray.from_arrays(pc.subtract(offsets, offsets[0]), found)
+            yield pa.RecordBatch.from_arrays([ids, out], [batch.schema.names[0], output_col])
+    return run
+
+
+def _substituted_in_place(df: DataFrame, id_col: str, tokens_col: str, pairs: list[tuple[str, str]],
+                          output_col: str) -> DataFrame:
+    """No word is moved; only where rows share an id, they are put together by position."""
+    schema = T.StructType([df.schema[id_col], T.StructField(output_col, T.ArrayType(T.StringType()))])
+    out = df.select(id_col, tokens_col).mapInArrow(_replaced(pairs, output_col), schema)
+    if not repeats(df, id_col):
+        return out
+    entries = F.transform(output_col, lambda w, i: F.struct(i.alias("_pos"), w.alias("_t")))
+    together = out.groupBy(id_col).agg(F.array_sort(F.flatten(F.collect_list(entries))).alias("_pairs"))
+    return together.select(id_col, F.transform("_pairs", lambda p: p["_t"]).alias(output_col))
+
+
 def substitute_lemmas(df: DataFrame, id_col: str, tokens_col: str, lemmas: DataFrame,
                       output_col: str = "lemmas") -> DataFrame:
     """Replace each token by its dictionary form from a ``(token, lemma)`` table,
     keeping tokens without an entry; returns (id, lemmas).  The table may be of any
-    size, a token in any share of the documents (``lemmas.looked_up``).  A document's positions are gathered for each of its distinct tokens first,
-    so what is joined by token is a row a document and token, not an occurrence;
-    then documents are re-assembled in order."""
+    size, a token in any share of the documents.
+
+    A table of at most ``BROADCAST_ROWS`` rows goes to every task, which replaces the words
+    where they lie.  With a larger one (``lemmas.looked_up``) a document's positions are
+    gathered for each of its distinct tokens first, so what is joined by token is a row a
+    document and token, not an occurrence; then documents are re-assembled in order."""
+    pairs = [tuple(r) for r in lemmas.select("token", "lemma").limit(BROADCAST_ROWS + 1).collect()]
+    if len(pairs) <= BROADCAST_ROWS and len({t for t, _ in pairs}) == len(pairs):
+        return _substituted_in_place(df, id_col, tokens_col, [p for p in pairs if p[0] is not None], output_col)
     at = _positions(df, id_col, tokens_col, "token").groupBy(id_col, "token").agg(F.collect_list("_pos").alias("_at"))
     mapped = looked_up(at, lemmas.select("token", "lemma"), "token", spread=[id_col])
     word = F.coalesce("lemma", "token")
