@@ -10,7 +10,8 @@ the state at a split's start follows from the splits before it:
 3. the lines of a record are put together again, wherever its last line lies, and parsed.
 
 Splits hold at most ``spark.sql.files.maxPartitionBytes``, so no task holds more lines
-than that, and a record's lines meet only with each other.
+than that; lines are shuffled once, by split, and after that only those of records that
+began in an earlier split.
 
 Quotes inside quoted values are doubled (the reference's format); unquoted values hold
 none.  ``\\r\\n`` counts as ``\\n``.
@@ -61,11 +62,18 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         F.last(F.when(F.col("last_begun").isNotNull(), F.struct("split", "last_begun")), ignorenulls=True)
         .over(before).alias("owner"))
     owned = marked.join(carried, ["file", "split"]).select(
-        "file", F.coalesce(F.when(F.col("own").isNotNull(), F.col("split")), F.col("owner.split")).alias("in_split"),
+        "file", "split", F.coalesce(F.when(F.col("own").isNotNull(), F.col("split")), F.col("owner.split")).alias("in_split"),
         F.coalesce("own", "owner.last_begun").alias("begun"),
         F.struct("split", "line_no", "line").alias("part"))
-    whole = owned.groupBy("file", "in_split", "begun").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return (whole.select("file", F.col("in_split").alias("split"), F.col("begun").alias("line_no"),
+    # a record's lines lie in its own split, but for the last one's of a split: only what other
+    # splits hold of that one is moved, to where it began
+    parts = F.array_sort(F.collect_list("part"))
+    own_lines = owned.filter(F.col("in_split") == F.col("split")).groupBy("file", "split", "begun").agg(parts.alias("parts"))
+    rest = (owned.filter(F.col("in_split") != F.col("split")).groupBy("file", F.col("in_split").alias("split"))
+            .agg(F.first("begun").alias("rest_of"), parts.alias("rest")))
+    whole = own_lines.join(rest, ["file", "split"], "left").withColumn(
+        "parts", F.when(F.col("rest_of") == F.col("begun"), F.concat("parts", "rest")).otherwise(F.col("parts")))
+    return (whole.select("file", "split", F.col("begun").alias("line_no"),
                          F.array_join(F.col("parts.line"), "\n").alias("record"))
             .filter(F.col("record") != ""))
 

@@ -153,3 +153,24 @@ def test_only_what_a_text_names_is_registered(spark, catalogue):
 def test_a_filter_reaches_the_scan_through_a_function(catalogue):
     plan = catalogue.query("SELECT review_score FROM t_negative_reviews() WHERE review_score = 2")._jdf.queryExecution()
     assert "= 2" in plan.executedPlan().toString()
+
+
+def test_lines_are_shuffled_once(spark, tmp_path):
+    """By (file, split); records are put together there, only the rest of one that began in
+    an earlier split moves."""
+    from marketlens.sources.split_csv import records
+
+    words = "one two three " * 10
+    (tmp_path / "a.csv").write_text("a,b\n" + "".join(f'{k},"{words}\n{words}"\n' for k in range(200)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = records(spark, str(tmp_path / "a.csv"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r["record"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == {"a,b", *(f'{k},"{words}\n{words}"' for k in range(200))}
+    assert "begun" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
