@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows that one unit of work emits; also the longest array a generator builds.
 EMIT = 65536
+# A row of up to so many copies may be repeated where it lies.
+IN_PLACE = 64
 
 
 def _numbers(upto) -> object:
@@ -34,3 +36,11 @@ def repeat_squared(df: DataFrame, n_col: str, spread_keys: list[str]) -> DataFra
            .repartition(*spread_keys, "_unit"))
     copies = F.least(total - F.col("_unit") * EMIT, F.lit(EMIT).cast("long"))
     return cut.withColumn("_copy", F.explode(_numbers(copies))).drop("_block", "_unit", "_copy")
+
+
+def repeat_most_in_place(df: DataFrame, n_col: str, spread_keys: list[str]) -> DataFrame:
+    """As ``repeat_squared``, but a row of few copies (``IN_PLACE``) is repeated where it lies,
+    so the many rows of small groups are not shuffled again."""
+    n = F.greatest(F.col(n_col), F.lit(0)).cast("long")
+    few = df.filter((n * n).between(1, IN_PLACE)).withColumn("_copy", F.explode(_numbers(n * n))).drop("_copy")
+    return few.unionByName(repeat_squared(df.filter(n * n > IN_PLACE), n_col, spread_keys))
