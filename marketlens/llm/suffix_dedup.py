@@ -44,7 +44,7 @@ from marketlens.llm.common import (NULL_ID, RollingHash, columns_of, drop_stage,
 CHUNK = 1 << 20        # bytes of text hashed at a time
 POSITION_BITS = 26     # of a packed (hash, position) key
 CLASS_LIMIT = 512      # segments of a class sorted in one block
-BLOCK_BYTES = 1 << 16  # of a block that one suffix array covers
+BLOCK_BYTES = 1 << 14  # of a block that one suffix array covers
 RANGES = 5             # of window starts around the anchor, see _cores
 SEGMENT = ["h", "doc", "pos", "windows", "lead", "raw"]
 DOC = "struct<id: long, d1: long, d2: long>"  # id key and text digest; compared in this order
@@ -53,19 +53,23 @@ DOC = "struct<id: long, d1: long, d2: long>"  # id key and text digest; compared
 def suffix_array(codes: list[int]) -> list[int]:
     """The suffix array of ``codes``, whose last value is smaller than all others.
 
-    Group labels are the group's first rank, so labels compare as groups do.
+    Group labels are the group's first rank, so labels compare as groups do.  A group of one
+    suffix is kept as that suffix, without a set around it.
     """
     n = len(codes)
-    label, members, first_of_end = [0] * n, {}, {}
-    by_code: dict[int, list[int]] = {}
+    by_code = {}
     for i, c in enumerate(codes):
-        by_code.setdefault(c, []).append(i)
+        if c in by_code:
+            by_code[c].append(i)
+        else:
+            by_code[c] = [i]
+    label, members, first_of_end = [0] * n, [None] * n, [0] * (n + 1)
     rank = 0
     for c in sorted(by_code):
         group = by_code[c]
         for i in group:
             label[i] = rank
-        members[rank] = set(group)
+        members[rank] = set(group) if len(group) > 1 else group[0]
         first_of_end[rank + len(group)] = rank
         rank += len(group)
     smaller = [-1] * n  # previous-smaller pointers
@@ -73,7 +77,9 @@ def suffix_array(codes: list[int]) -> list[int]:
     while end > 0:
         here = first_of_end[end]
         if here == end - 1:  # one suffix: it extends one smaller suffix at most
-            i = next(iter(members[here]))
+            i = members[here]
+            if type(i) is set:
+                i = i.pop()
             p = i - 1
             while p >= 0 and label[p] >= here:
                 p = smaller[p]
@@ -81,16 +87,16 @@ def suffix_array(codes: list[int]) -> list[int]:
             if p >= 0:
                 old = label[p]
                 rest = members[old]
-                top = old + len(rest)
-                if top > old + 1:
-                    rest.discard(p)
+                if type(rest) is set and len(rest) > 1:
+                    top = old + len(rest)
+                    rest.remove(p)
                     new = label[p] = top - 1
-                    members[new] = {p}
+                    members[new] = p
                     first_of_end[top] = new
                     first_of_end[new] = old
             end = here
             continue
-        pointed: dict[int, int] = {}
+        pointed = {}
         for i in sorted(members[here]):
             p = i - 1
             while p >= 0 and label[p] >= here:
@@ -98,34 +104,51 @@ def suffix_array(codes: list[int]) -> list[int]:
             smaller[i] = p
             if p >= 0:
                 pointed[p] = pointed.get(p, 0) + 1
-        by_count: dict[int, dict[int, list[int]]] = {}
+        by_count = {}
         for p, times in pointed.items():
-            by_count.setdefault(times, {}).setdefault(label[p], []).append(p)
+            g = label[p]
+            if times in by_count:
+                groups = by_count[times]
+                if g in groups:
+                    groups[g].append(p)
+                else:
+                    groups[g] = [p]
+            else:
+                by_count[times] = {g: [p]}
         for times in sorted(by_count, reverse=True):
             for old, moved in by_count[times].items():
                 rest = members[old]
-                if len(moved) == len(rest):
+                if type(rest) is int or len(moved) == len(rest):
                     continue  # the whole group moves: it stays where it is
                 top = old + len(rest)
-                rest.difference_update(moved)
-                new = old + len(rest)
-                for p in moved:
-                    label[p] = new
-                members[new] = set(moved)
+                if len(moved) == 1:
+                    p = moved[0]
+                    rest.remove(p)
+                    new = label[p] = top - 1
+                    members[new] = p
+                else:
+                    moved = set(moved)
+                    rest -= moved
+                    new = old + len(rest)
+                    for p in moved:
+                        label[p] = new
+                    members[new] = moved
                 first_of_end[top] = new
                 first_of_end[new] = old
         end = here
-    order, placed, fill = [-1] * n, [False] * n, {}
+    order, fill = [-1] * n, list(range(n))
     order[0] = n - 1
-    placed[n - 1] = True
+    label[n - 1] = -1  # of a suffix that is placed
     for r in range(n):
         p = order[r] - 1
-        while p >= 0 and not placed[p]:
+        while p >= 0:
             g = label[p]
-            at = fill.get(g, g)
-            order[at] = p
+            if g < 0:
+                break
+            at = fill[g]
             fill[g] = at + 1
-            placed[p] = True
+            order[at] = p
+            label[p] = -1
             p = smaller[p]
     return order
 
@@ -259,24 +282,29 @@ def _trimmed(rows: list[tuple], length: int, gram: int) -> list[tuple]:
         for _, _, key in own:
             seen[key] = seen.get(key, 0) + 1
     out = []
-    for (doc, pos, _, _, raw), own in zip(rows, cores, strict=True):
+    for (doc, pos, _, lead, raw), own in zip(rows, cores, strict=True):
         kept = [(a, n) for a, n, key in own if seen[key] > 1]
         if kept:
             a, b = min(a for a, _ in kept), max(a + n for a, n in kept)
-            out.append((doc, pos + a, b - a, raw[a:b + length - 1]))
+            out.append((doc, pos + a, b - a, raw[a:b + length - 1], lead - a))
     return out
 
 
-def _block_repeats(rows: list[tuple], length: int) -> list[tuple[tuple, int, int]]:
-    """(doc, start, end) of windows of the block that have an earlier equal window."""
+def _block_repeats(rows: list[tuple], length: int, gram: int) -> list[tuple[tuple, int, int]]:
+    """(doc, start, end) of windows of the block that have an earlier equal window.
+
+    Every window of a segment covers the segment's anchor, and equal windows have it at the
+    same place, so the anchor's bytes are one code: less is sorted, with the same result."""
     codes, owner, base = [], [], []
-    for k, (_, _, _, raw) in enumerate(rows):
+    anchors: dict[bytes, int] = {}
+    for k, (_, _, _, raw, lead) in enumerate(rows):
         base.append(len(codes))
-        codes.extend(raw)
+        codes.extend(raw[:lead])
+        codes.append(anchors.setdefault(raw[lead:lead + gram], 256 + len(anchors)))
+        codes.extend(raw[lead + gram:])
         codes.append(-1)
-        owner.extend([k] * (len(raw) + 1))
+        owner.extend([k] * (len(codes) - base[-1]))
     codes.append(-2)
-    text = b"\x00".join(r[3] for r in rows)
     run: list[tuple[int, int]] = []
     found = []
 
@@ -288,11 +316,11 @@ def _block_repeats(rows: list[tuple], length: int) -> list[tuple[tuple, int, int
     last = None
     for s in suffix_array(codes)[1:]:
         k = owner[s]
-        doc, pos, windows, _ = rows[k]
+        doc, pos, windows, raw, _ = rows[k]
         off = s - base[k]
         if off >= windows:
             continue
-        word = text[s:s + length]
+        word = raw[off:off + length]
         if word != last:
             close()
             run, last = [], word
@@ -317,7 +345,7 @@ def _sorted_blocks(length: int, gram: int):
         import pyarrow as pa
 
         def emit(rows):
-            spans = _merge(_block_repeats(rows, length))
+            spans = _merge(_block_repeats(rows, length, gram))
             if spans:
                 d, s, e = zip(*spans, strict=True)
                 yield pa.RecordBatch.from_arrays([_doc_array(d), pa.array(s, pa.int64()), pa.array(e, pa.int64())],

@@ -89,3 +89,38 @@ def test_rows_of_one_id_with_different_texts(documents):
 def signed_md5(text):
     raw = hashlib.md5(text.encode()).digest()
     return tuple(int.from_bytes(raw[k:k + 8], "big", signed=True) for k in (0, 8))
+
+
+def test_anchors_are_sorted_as_one_code():
+    """The suffix array covers fewer codes than the segments have bytes; the windows found
+    are those of a brute force."""
+    import random
+
+    import marketlens.llm.suffix_dedup as module
+
+    rng, length, gram = random.Random(5), 20, 6
+    lefts, rights = ([bytes(rng.choice(b"ab") for _ in range(m)) for _ in range(3)] for m in (8, length + 4))
+    rows = []
+    for k in range(60):
+        lead = rng.randrange(1, 8)
+        anchor = rng.choice([b"anchor", b"ANCHOR"])
+        left, right = rng.choice(lefts)[-lead:], rng.choice(rights)
+        windows = rng.randrange(1, lead + 2)
+        raw = (left + anchor + right)[:windows + length - 1]
+        rows.append(((k % 7, 0, 0), 1000 * k, windows, raw, lead))
+    seen, sizes, real = {}, [], module.suffix_array
+    for doc, pos, windows, raw, lead in rows:
+        for off in range(windows):
+            seen.setdefault((raw[off:off + length], lead - off), []).append((doc, pos + off))
+    want = sorted((d, p, p + length) for places in seen.values() for d, p in places if (d, p) != min(places))
+
+    def counted(codes):
+        sizes.append(len(codes))
+        return real(codes)
+    module.suffix_array = counted
+    try:
+        got = module._block_repeats(rows, length, gram)
+    finally:
+        module.suffix_array = real
+    assert sorted(got) == want and want
+    assert sizes[0] == sum(len(r[3]) - gram + 2 for r in rows) + 1
